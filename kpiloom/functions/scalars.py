@@ -96,8 +96,8 @@ def safe_ratio_pct(num, den) -> Column:
 
 def fmt_pct(c, digits: int = 1) -> Column:
     """``12.3%``: rounded half-up at ``digits`` decimals, then formatted."""
-    rounded = F.round(_col(c).cast("decimal(38,10)"), digits)
-    return F.format_string(f"%.{digits}f%%", rounded)
+    rounded = F.round(_col(c).cast("decimal(38,10)"), digits).cast(f"decimal(38,{digits})")
+    return F.concat(rounded.cast("string"), F.lit("%"))
 
 
 def fmt_thousands(c, digits: int = 0) -> Column:

@@ -27,3 +27,24 @@ def load_all() -> dict[str, tuple[Callable, str | None]]:
         core, io, jobs, measures, relational, rules, scalars,
     )
     return REGISTRY
+
+
+# Output hygiene shared by the registered queries: results leave as plain
+# double / bigint / string columns so both engines hand back the same types.
+def to_doubles(df):
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def day_text(c):
+    """Date -> 'yyyy-MM-dd' text (SQL side: strftime(c, '%Y-%m-%d'))."""
+    from pyspark.sql import functions as F
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+def ts_text(c):
+    """Timestamp -> 'yyyy-MM-dd HH:mm:ss.SSSSSS' text (SQL: strftime(c, '%Y-%m-%d %H:%M:%S.%f'))."""
+    from pyspark.sql import functions as F
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
