@@ -1,3 +1,267 @@
-"""Registered queries."""
+"""Scheme rules applied to the test tables.
 
-from kpiloom.workloads import register  # noqa: F401
+Mapping (SURVEY 7.3): an inspection is an ``events`` row (inspector =
+``user_id``); done / five-star / one-star = ``view`` / ``purchase`` /
+``error``; region class T7 = the user's customer nation in region 0 or 1;
+SP orders = ``orders`` per customer per day; a quality case is an order
+costing ``o_totalprice / 20``; km = ``value`` of done inspections; booking
+time = inspection time minus 30 minutes; joining day = first order day.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kpiloom.operators import rules as R
+from kpiloom.operators.consolidate import consolidate, mappings_for
+from kpiloom.sources.scheme import load_scheme, scheme_amount
+from kpiloom.sources.tables import table
+from kpiloom.workloads import register
+
+
+def T(spark, sf_dir, name):
+    return table(spark, sf_dir, name)
+
+
+def parsed_scheme(spark):
+    return R.scheme_parse(load_scheme(spark))
+
+
+def person_class(spark, sf_dir):
+    c = T(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = T(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    cls = F.when(F.col("n_regionkey").isin(0, 1), F.lit("T7 Regions")).otherwise(F.lit("Non T7"))
+    # nation: fixed 25 rows -> broadcast
+    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").alias("person"), cls.alias("condition"))
+
+
+def productivity(spark, sf_dir):
+    daily = R.daily_counts(T(spark, sf_dir, "events"), "user_id", "ts")
+    return R.daily_slab_incentive(daily, R.slabs(parsed_scheme(spark), "Productivity"),
+                                  person_class(spark, sf_dir), alias="productivity_incentive")
+
+
+def sp_orders(spark, sf_dir):
+    daily = R.daily_counts(T(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
+    return R.daily_slab_incentive(daily, R.slabs(parsed_scheme(spark), "SP / SP Lite"), alias="sp_incentive")
+
+
+def flat(spark, sf_dir):
+    e = T(spark, sf_dir, "events")
+    et = F.col("event_type")
+    return R.flat_incentives(e, "user_id", [
+        ("sp_pro", et == "view", scheme_amount("SP Pro")),
+        ("pdi", et == "click", scheme_amount("PDI")),
+        ("five_star", et == "purchase", scheme_amount("CJ 5 Star Rating")),
+        ("referral", et == "signup", scheme_amount("Referral")),
+    ])
+
+
+def night(spark, sf_dir):
+    e = T(spark, sf_dir, "events")
+    booked = F.col("ts") - F.expr("INTERVAL 30 MINUTES")
+    return R.night_incentive(e, "user_id", booked, F.col("ts"), scheme_amount("Night Inspection"))
+
+
+def cases(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    return o.select("o_custkey", "o_orderdate", (F.col("o_totalprice").cast("decimal(18,2)") / 20).alias("cost"))
+
+
+def im_penalty(spark, sf_dir):
+    return R.im_slab_penalty(cases(spark, sf_dir), "o_custkey", "cost", R.slabs(parsed_scheme(spark), "IM"))
+
+
+def one_star(spark, sf_dir):
+    return R.per_unit_penalty(T(spark, sf_dir, "events"), "user_id", F.col("event_type") == "error",
+                              scheme_amount("1 Star Rating"), "one_star_penalty")
+
+
+def reimbursement(spark, sf_dir):
+    return R.km_reimbursement(T(spark, sf_dir, "events"), "user_id", F.col("value"),
+                              F.col("event_type") == "view", scheme_amount("Conveyance"))
+
+
+# -------------------------------------------------------------- oracle pieces
+
+CLS_SQL = """cls AS (SELECT c_custkey, CASE WHEN n_regionkey IN (0, 1) THEN 'T7' ELSE 'NT7' END AS cls
+             FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+PROD_CASE = """CASE WHEN cls = 'T7' THEN CASE WHEN n >= 9 THEN 1000 WHEN n = 8 THEN 800 WHEN n = 7 THEN 500
+                                         WHEN n = 6 THEN 300 WHEN n = 5 THEN 100 ELSE 0 END
+          WHEN cls = 'NT7' THEN CASE WHEN n >= 9 THEN 1000 WHEN n = 8 THEN 700 WHEN n = 7 THEN 500
+                                          WHEN n = 6 THEN 300 WHEN n = 5 THEN 150 WHEN n = 4 THEN 50 ELSE 0 END
+          ELSE 0 END"""
+PROD_SQL = f"""
+WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS d, COUNT(*) AS n FROM events GROUP BY 1, 2), {CLS_SQL}
+SELECT user_id AS person, CAST(SUM({PROD_CASE}) AS DOUBLE) AS productivity_incentive,
+       CAST(COUNT(*) AS BIGINT) AS active_days
+FROM daily LEFT JOIN cls ON user_id = c_custkey GROUP BY user_id"""
+
+SP_CASE = """CASE WHEN n >= 9 THEN 800 WHEN n = 8 THEN 700 WHEN n = 7 THEN 600 WHEN n = 6 THEN 500 WHEN n = 5 THEN 400
+          WHEN n = 4 THEN 300 WHEN n = 3 THEN 200 WHEN n = 2 THEN 130 WHEN n = 1 THEN 40 ELSE 0 END"""
+SP_SQL = f"""
+WITH daily AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, COUNT(*) AS n FROM orders GROUP BY 1, 2)
+SELECT o_custkey AS person, CAST(SUM({SP_CASE}) AS DOUBLE) AS sp_incentive, CAST(COUNT(*) AS BIGINT) AS active_days
+FROM daily GROUP BY o_custkey"""
+
+FLAT_SQL = """
+SELECT user_id AS person,
+       COUNT(*) FILTER (WHERE event_type = 'view') * 150.0 AS sp_pro,
+       COUNT(*) FILTER (WHERE event_type = 'click') * 50.0 AS pdi,
+       COUNT(*) FILTER (WHERE event_type = 'purchase') * 10.0 AS five_star,
+       COUNT(*) FILTER (WHERE event_type = 'signup') * 4000.0 AS referral
+FROM events GROUP BY user_id"""
+
+NIGHT_SQL = """
+SELECT user_id AS person,
+       CAST(COUNT(*) FILTER (WHERE hour(ts - INTERVAL 30 MINUTE) >= 18 AND hour(ts - INTERVAL 30 MINUTE) < 22
+                                AND hour(ts) >= 18 AND hour(ts) < 22) * 150 AS DOUBLE) AS night_incentive
+FROM events GROUP BY user_id"""
+
+IM_CASE = """CASE WHEN cost >= 1 AND cost <= 2000 THEN 500 WHEN cost >= 2001 AND cost <= 5000 THEN 1000
+          WHEN cost >= 5001 AND cost <= 7500 THEN 1500 WHEN cost >= 7501 AND cost <= 10000 THEN 2500 ELSE 0 END"""
+CASES_SQL = "cases AS (SELECT o_custkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) / 20 AS cost FROM orders)"
+IM_SQL = f"""
+WITH {CASES_SQL}
+SELECT o_custkey AS person, CAST(SUM({IM_CASE}) AS DOUBLE) AS im_penalty, CAST(COUNT(*) AS BIGINT) AS im_cases
+FROM cases WHERE cost < 10000 GROUP BY o_custkey"""
+
+ONE_STAR_SQL = """
+SELECT user_id AS person, COUNT(*) FILTER (WHERE event_type = 'error') * 200.0 AS one_star_penalty
+FROM events GROUP BY user_id"""
+
+REIMB_SQL = """
+SELECT user_id AS person,
+       CAST(COALESCE(SUM(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(18,2)) * 6 END), 0) AS DOUBLE)
+         AS reimbursement
+FROM events GROUP BY user_id"""
+
+
+@register("join_slab_range", PROD_SQL)
+def q_join_slab_range(spark, sf_dir):
+    # daily counts x broadcast slab table: equality on the region class plus
+    # the [lo, hi] range condition
+    return productivity(spark, sf_dir)
+
+
+@register("inc_productivity", PROD_SQL)
+def q_inc_productivity(spark, sf_dir):
+    return productivity(spark, sf_dir)
+
+
+@register("inc_sp_orders", SP_SQL)
+def q_inc_sp_orders(spark, sf_dir):
+    return sp_orders(spark, sf_dir)
+
+
+@register("inc_flat", FLAT_SQL)
+def q_inc_flat(spark, sf_dir):
+    return flat(spark, sf_dir)
+
+
+@register("inc_excellence", """
+SELECT user_id AS person, strftime(ts, '%Y-%m') AS month, CAST(COUNT(*) AS BIGINT) AS n,
+       COUNT(*) FILTER (WHERE event_type = 'view') / COUNT(*) AS share,
+       CASE WHEN COUNT(*) > 120 AND COUNT(*) FILTER (WHERE event_type = 'view') / COUNT(*) >= 0.7
+            THEN 3000.0 ELSE 0.0 END AS excellence_bonus
+FROM events GROUP BY 1, 2""")
+def q_inc_excellence(spark, sf_dir):
+    # Rule row ">120 Inspections/Month + 70% Conversion" -> 3000; conversion = done share.
+    return R.excellence_bonus(T(spark, sf_dir, "events"), "user_id", "ts", F.col("event_type") == "view",
+                              min_count=120, min_share=0.70, bonus=scheme_amount("Excellence Bonus"))
+
+
+@register("inc_night", NIGHT_SQL)
+def q_inc_night(spark, sf_dir):
+    return night(spark, sf_dir)
+
+
+@register("pen_im_slab", IM_SQL)
+def q_pen_im_slab(spark, sf_dir):
+    return im_penalty(spark, sf_dir)
+
+
+@register("pen_critical", f"""
+WITH {CASES_SQL},
+agg AS (SELECT o_custkey AS person, CAST(COUNT(*) AS BIGINT) AS n_critical, MAX(cost) AS max_cost
+        FROM cases WHERE cost >= 10000 GROUP BY o_custkey),
+s AS (SELECT *, CASE WHEN n_critical >= 2 OR max_cost >= 20000 THEN 'EXIT' WHEN max_cost > 13500 THEN 'ZERO'
+                     WHEN max_cost >= 10000 THEN 'HALF' END AS action FROM agg)
+SELECT person, n_critical, CAST(max_cost AS DOUBLE) AS max_cost, action,
+       CASE WHEN action = 'HALF' THEN 0.5 ELSE 0.0 END AS multiplier, action = 'EXIT' AS exit
+FROM s""")
+def q_pen_critical(spark, sf_dir):
+    out = R.critical_penalty(cases(spark, sf_dir), "o_custkey", "cost")
+    return out.withColumn("max_cost", F.col("max_cost").cast("double"))
+
+
+def joined_days(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    return o.groupBy(F.col("o_custkey").alias("person")).agg(F.min(F.to_date("o_orderdate")).alias("join_day"))
+
+
+@register("pen_critical_new", f"""
+WITH {CASES_SQL},
+j AS (SELECT o_custkey AS person, MIN(CAST(o_orderdate AS DATE)) AS join_day FROM orders GROUP BY 1),
+c AS (SELECT cases.o_custkey AS person, cost FROM cases JOIN j ON cases.o_custkey = j.person
+      WHERE cost >= 10000 AND CAST(o_orderdate AS DATE) - join_day <= 60),
+agg AS (SELECT person, CAST(COUNT(*) AS BIGINT) AS n_critical, MAX(cost) AS max_cost,
+               COUNT(*) FILTER (WHERE cost <= 13500) AS n_half FROM c GROUP BY person)
+SELECT person, n_critical, CAST(max_cost AS DOUBLE) AS max_cost,
+       CASE WHEN n_critical >= 2 OR max_cost > 13500 THEN 'ZERO' ELSE 'FLAT' END AS action,
+       CASE WHEN n_critical >= 2 OR max_cost > 13500 THEN 0.0 ELSE n_half * 2500.0 END AS flat_penalty
+FROM agg""")
+def q_pen_critical_new(spark, sf_dir):
+    out = R.critical_penalty_new(cases(spark, sf_dir), "o_custkey", "cost", "o_orderdate", joined_days(spark, sf_dir),
+                                 flat_penalty=2500.0)
+    return out.withColumn("max_cost", F.col("max_cost").cast("double"))
+
+
+@register("pen_one_star", ONE_STAR_SQL)
+def q_pen_one_star(spark, sf_dir):
+    return one_star(spark, sf_dir)
+
+
+@register("reimb_km", REIMB_SQL)
+def q_reimb_km(spark, sf_dir):
+    return reimbursement(spark, sf_dir)
+
+
+NET_SQL = f"""
+WITH p AS ({PROD_SQL.replace('WITH daily', 'SELECT * FROM (WITH daily').strip()})),
+fl AS ({FLAT_SQL}),
+ni AS ({NIGHT_SQL}),
+rb AS ({REIMB_SQL}),
+os AS ({ONE_STAR_SQL}),
+im AS ({IM_SQL.replace('WITH cases', 'SELECT * FROM (WITH cases').strip()})),
+u AS (
+  SELECT CAST(person AS VARCHAR) AS cj_id, CAST(productivity_incentive AS DECIMAL(38,4)) AS a, NULL AS b, NULL AS c,
+         NULL AS d, NULL AS e, NULL AS f FROM p
+  UNION ALL SELECT CAST(person AS VARCHAR), NULL, CAST(sp_pro + pdi + five_star + referral AS DECIMAL(38,4)), NULL,
+         NULL, NULL, NULL FROM fl
+  UNION ALL SELECT CAST(person AS VARCHAR), NULL, NULL, CAST(night_incentive AS DECIMAL(38,4)), NULL, NULL, NULL FROM ni
+  UNION ALL SELECT CAST(person AS VARCHAR), NULL, NULL, NULL, CAST(reimbursement AS DECIMAL(38,4)), NULL, NULL FROM rb
+  UNION ALL SELECT CAST(person AS VARCHAR), NULL, NULL, NULL, NULL, CAST(-one_star_penalty AS DECIMAL(38,4)), NULL FROM os
+  UNION ALL SELECT CAST(person AS VARCHAR), NULL, NULL, NULL, NULL, NULL, CAST(-im_penalty AS DECIMAL(38,4)) FROM im),
+g AS (SELECT cj_id, COALESCE(SUM(a), 0) AS a, COALESCE(SUM(b), 0) AS b, COALESCE(SUM(c), 0) AS c,
+             COALESCE(SUM(d), 0) AS d, COALESCE(SUM(e), 0) AS e, COALESCE(SUM(f), 0) AS f FROM u GROUP BY cj_id)
+SELECT cj_id, CAST(a AS DOUBLE) AS productivity, CAST(b AS DOUBLE) AS per_unit, CAST(c AS DOUBLE) AS night,
+       CAST(d AS DOUBLE) AS conveyance, CAST(e AS DOUBLE) AS one_star, CAST(f AS DOUBLE) AS im,
+       CAST(a + b + c + d + e + f AS DOUBLE) AS net_payout
+FROM g"""
+
+
+@register("net_payout", NET_SQL)
+def q_net_payout(spark, sf_dir):
+    fl = flat(spark, sf_dir)
+    fl = fl.select("person", (F.col("sp_pro") + F.col("pdi") + F.col("five_star") + F.col("referral")).alias("per_unit"))
+    os_ = one_star(spark, sf_dir).select("person", (-F.col("one_star_penalty")).alias("one_star"))
+    im = im_penalty(spark, sf_dir).select("person", (-F.col("im_penalty")).alias("im"))
+    maps = (mappings_for(productivity(spark, sf_dir), "productivity", "person", ["productivity_incentive"])
+            + mappings_for(fl, "per_unit", "person", ["per_unit"])
+            + mappings_for(night(spark, sf_dir), "night", "person", ["night_incentive"])
+            + mappings_for(reimbursement(spark, sf_dir), "conveyance", "person", ["reimbursement"])
+            + mappings_for(os_, "one_star", "person", ["one_star"])
+            + mappings_for(im, "im", "person", ["im"]))
+    return consolidate(maps, total_name="net_payout", sort=False)
