@@ -1,3 +1,270 @@
-"""Registered queries."""
+"""Source and sink queries.  Data-moving keys are round trips: a test table is
+written to a fresh folder under the shared checkpoint folder, read back, and
+compared with the plain source table."""
 
-from kpiloom.workloads import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+from kpiloom.functions.search import search_any
+from kpiloom.operators import rules as R
+from kpiloom.session import scratch_path
+from kpiloom.sources import files as FS
+from kpiloom.sources import sinks as SK
+from kpiloom.sources.catalog import register_sheets, run_sql
+from kpiloom.sources.html import read_html_table, table_html
+from kpiloom.sources.scheme import load_scheme
+from kpiloom.sources.tables import register_tables, table
+from kpiloom.workloads import register, ts_text
+
+
+def T(spark, sf_dir, name):
+    return table(spark, sf_dir, name)
+
+
+SRC_SQL = """
+SELECT o_orderpriority, o_orderstatus, CAST(COUNT(*) AS BIGINT) AS n_orders,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM orders WHERE o_totalprice > 50000 GROUP BY o_orderpriority, o_orderstatus"""
+
+
+@register("src_sql", SRC_SQL)
+def q_src_sql(spark, sf_dir):
+    register_tables(spark, sf_dir, ["orders"])
+    df, err = run_sql(spark, SRC_SQL)
+    if err:
+        raise RuntimeError(err)
+    return df
+
+
+CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+
+def _typed_customer(df):
+    return df.select(F.col("c_custkey").cast("bigint"), F.col("c_name").cast("string"),
+                     F.col("c_nationkey").cast("int"), F.col("c_acctbal").cast("double"),
+                     F.col("c_mktsegment").cast("string"))
+
+
+@register("src_csv", CUSTOMER_SQL)
+def q_src_csv(spark, sf_dir):
+    path = scratch_path(spark, "customer_csv")
+    T(spark, sf_dir, "customer").write.option("header", True).csv(path)
+    return _typed_customer(FS.read_csv(spark, path))
+
+
+@register("src_multi", """
+SELECT 'nation' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows FROM nation
+UNION ALL SELECT 'region', COUNT(*) FROM region
+UNION ALL SELECT 'supplier', COUNT(*) FROM supplier""")
+def q_src_multi(spark, sf_dir):
+    folder = scratch_path(spark, "book")
+    for n in ("nation", "region", "supplier"):
+        T(spark, sf_dir, n).write.option("header", True).csv(f"{folder}/{n}.csv")
+    tables, _skipped = FS.read_folder(spark, folder, "csv", existing={"customer"})
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+             for name, df in sorted(tables.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+HTML_COLS = ["c_custkey", "c_name", "c_mktsegment"]
+
+
+@register("src_html_table", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def q_src_html_table(spark, sf_dir):
+    # Render customers as HTML documents of at most 100 rows each (chunk =
+    # key / 100), then read every document's first table back.
+    c = T(spark, sf_dir, "customer").withColumn("chunk", F.floor(F.col("c_custkey") / 100))
+    docs = table_html(c, ["chunk"], HTML_COLS, "c_custkey")
+    rows = read_html_table(docs, "html", HTML_COLS, keep=["chunk"])
+    return rows.select(F.col("c_custkey").cast("bigint"), "c_name", "c_mktsegment")
+
+
+ORDER_JSON_SCHEMA = StructType([
+    StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+    StructField("o_orderstatus", StringType()), StructField("o_totalprice", DoubleType()),
+    StructField("o_orderdate", StringType()), StructField("__error__", StringType()),
+])
+
+
+@register("src_json", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS o_orderdate
+FROM orders""")
+def q_src_json(spark, sf_dir):
+    path = scratch_path(spark, "orders_json")
+    o = T(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                          ts_text("o_orderdate").alias("o_orderdate"))
+    FS.write_result_json(o, path)
+    df, status, err = FS.read_result_json(spark, path, ORDER_JSON_SCHEMA)
+    if status != "success":
+        raise RuntimeError(err)
+    return df
+
+
+CHANNELS = [("1-URGENT", "DIRECT"), ("2-HIGH", "DIRECT"), ("3-MEDIUM", "PARTNER"), ("5-LOW", "WALKIN")]
+
+
+@register("src_inline", """
+WITH ch(priority, channel) AS (VALUES ('1-URGENT', 'DIRECT'), ('2-HIGH', 'DIRECT'), ('3-MEDIUM', 'PARTNER'),
+                                      ('5-LOW', 'WALKIN'))
+SELECT COALESCE(ch.channel, 'Unknown') AS channel, CAST(COUNT(*) AS BIGINT) AS insp,
+       CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS si
+FROM orders LEFT JOIN ch ON o_orderpriority = ch.priority GROUP BY 1""")
+def q_src_inline(spark, sf_dir):
+    ch = FS.inline(spark, CHANNELS, "priority string, channel string")
+    o = T(spark, sf_dir, "orders")
+    j = o.join(F.broadcast(ch), o.o_orderpriority == ch.priority, "left")   # literal rows: fixed size
+    return j.groupBy(F.coalesce(F.col("channel"), F.lit("Unknown")).alias("channel")).agg(
+        F.count(F.lit(1)).alias("insp"), F.count_if(F.col("o_orderstatus") == "F").alias("si"))
+
+
+@register("src_scheme", """
+WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS d, COUNT(*) AS n FROM events GROUP BY 1, 2),
+slab(condition, lo, hi, amount) AS (VALUES
+  ('T7 Regions', 3, 3, 0.0), ('T7 Regions', 4, 4, 0.0), ('T7 Regions', 5, 5, 100.0), ('T7 Regions', 6, 6, 300.0),
+  ('T7 Regions', 7, 7, 500.0), ('T7 Regions', 8, 8, 800.0), ('T7 Regions', 9, NULL, 1000.0),
+  ('Non T7', 3, 3, 0.0), ('Non T7', 4, 4, 50.0), ('Non T7', 5, 5, 150.0), ('Non T7', 6, 6, 300.0),
+  ('Non T7', 7, 7, 500.0), ('Non T7', 8, 8, 700.0), ('Non T7', 9, NULL, 1000.0))
+SELECT condition, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, amount,
+       CAST(COUNT(d) AS BIGINT) AS person_days
+FROM slab LEFT JOIN daily ON n >= lo AND (hi IS NULL OR n <= hi)
+GROUP BY condition, lo, hi, amount""")
+def q_src_scheme(spark, sf_dir):
+    # How many person-days each productivity slab of the scheme covers.
+    slabs = R.slabs(R.scheme_parse(load_scheme(spark)), "Productivity")
+    daily = R.daily_counts(T(spark, sf_dir, "events"), "user_id", "ts")
+    cond = (daily.n >= slabs.lo) & (slabs.hi.isNull() | (daily.n <= slabs.hi))
+    hits = daily.join(F.broadcast(slabs), cond).groupBy("condition", "lo", "hi", "amount").agg(
+        F.count(F.lit(1)).alias("person_days"))
+    h = hits.alias("h")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("condition", "lo", "hi", "amount")]
+    return slabs.alias("s").join(h, same[0] & same[1] & same[2] & same[3], "left").select(
+        "s.condition", "s.lo", "s.hi", "s.amount",
+        F.coalesce("h.person_days", F.lit(0)).cast("bigint").alias("person_days"))
+
+
+@register("norm_headers", CUSTOMER_SQL)
+def q_norm_headers(spark, sf_dir):
+    c = T(spark, sf_dir, "customer")
+    shouting = c.toDF(*[x.replace("_", " ").title() for x in c.columns])   # "C Custkey", ...
+    return FS.norm_headers(shouting, required=list(c.columns))
+
+
+@register("view_register", """
+SELECT o_orderstatus, CAST(COUNT(*) AS BIGINT) AS n_orders FROM orders GROUP BY o_orderstatus""")
+def q_view_register(spark, sf_dir):
+    register_sheets({"Order Sheet": T(spark, sf_dir, "orders")})
+    df, err = run_sql(spark, "SELECT o_orderstatus, COUNT(*) AS n_orders FROM order_sheet GROUP BY o_orderstatus")
+    if err:
+        raise RuntimeError(err)
+    return df
+
+
+@register("sink_report", """
+SELECT 'Urgent_Orders' AS sheet_name, 'urgent orders' AS query_name, CAST(COUNT(*) AS BIGINT) AS row_count
+FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT 'events per user - long name cut', 'events per user - long name cut to thirty one chars',
+       CAST(COUNT(DISTINCT user_id) AS BIGINT) FROM events""")
+def q_sink_report(spark, sf_dir):
+    root = scratch_path(spark, "report")
+    register_tables(spark, sf_dir, ["orders", "events"])
+    qs = [("urgent orders", "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'"),
+          ("events per user - long name cut to thirty one chars", "SELECT user_id, COUNT(*) AS n FROM events GROUP BY user_id"),
+          ("broken", "SELECT nope FROM orders")]
+    results = []
+    for name, sql in qs:
+        df, err = run_sql(spark, sql)
+        results.append((name, df, "failed" if err else "success"))
+    SK.write_report(spark, results, root, mapping={"urgent orders": "Urgent_Orders"})
+    return spark.read.parquet(f"{root}/_manifest").select("sheet_name", "query_name", "row_count")
+
+
+@register("sink_append", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+def q_sink_append(spark, sf_dir):
+    path = scratch_path(spark, "appended")
+    o = T(spark, sf_dir, "orders")
+    SK.append_positional(o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice"), path)
+    # second batch with other column names: matched by position
+    SK.append_positional(o.where(F.col("o_orderstatus") == "O").select(
+        F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_totalprice").alias("p")), path)
+    return spark.read.parquet(path)
+
+
+SINK_CSV_SCHEMA = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()),
+                              StructField("c_nationkey", IntegerType()), StructField("c_acctbal", DoubleType()),
+                              StructField("c_mktsegment", StringType())])
+
+
+@register("sink_csv", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+WHERE regexp_matches(c_mktsegment, 'machinery', 'i') OR regexp_matches(c_name, 'machinery', 'i')""")
+def q_sink_csv(spark, sf_dir):
+    c = T(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    hits = search_any(c, "machinery").select("c_custkey")
+    full = T(spark, sf_dir, "customer").join(hits, "c_custkey", "left_semi")
+    target = SK.write_csv(full, scratch_path(spark, "customers"), filtered=True)
+    if not target.endswith("_filtered"):
+        raise RuntimeError("filtered export must carry the _filtered suffix")
+    return FS.read_csv(spark, target, schema=SINK_CSV_SCHEMA)
+
+
+RUNLOG_FROM_EVENTS = """
+SELECT 'q' || CAST(event_id AS VARCHAR) AS query_name, event_type AS sheet_name,
+       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
+       value AS execution_time, CASE WHEN event_type = 'error' THEN 0 ELSE user_id END AS row_count
+FROM events"""
+
+
+def runlog_from_events(spark, sf_dir):
+    e = T(spark, sf_dir, "events")
+    failed = F.col("event_type") == "error"
+    return e.select(
+        F.concat(F.lit("q"), F.col("event_id").cast("string")).alias("query_name"),
+        F.col("event_type").alias("sheet_name"),
+        F.when(failed, "failed").otherwise("success").alias("status"),
+        F.col("ts").cast("timestamp").alias("start_time"),
+        (F.col("ts") + F.make_dt_interval(secs=F.col("value"))).cast("timestamp").alias("end_time"),
+        F.col("value").alias("execution_time"),
+        F.when(failed, F.lit(0)).otherwise(F.col("user_id")).cast("bigint").alias("row_count"),
+        F.when(failed, F.lit("error event")).alias("error"))
+
+
+@register("sink_runlog", RUNLOG_FROM_EVENTS)
+def q_sink_runlog(spark, sf_dir):
+    path = scratch_path(spark, "runlog")
+    SK.append_runlog(runlog_from_events(spark, sf_dir), path)
+    return spark.read.parquet(path).select("query_name", "sheet_name", "status", "execution_time", "row_count")
+
+
+@register("ws_save_load", """
+SELECT 'customers' AS name, 'sql' AS type, 'success' AS status, CAST(COUNT(*) AS BIGINT) AS row_count FROM customer
+UNION ALL SELECT 'no_orders', 'sql', 'pending', NULL
+UNION ALL SELECT 'events_per_user', 'kpi', 'success', CAST(COUNT(DISTINCT user_id) AS BIGINT) FROM events""")
+def q_ws_save_load(spark, sf_dir):
+    root = scratch_path(spark, "workspaces")
+    sheets = {
+        "customers": (T(spark, sf_dir, "customer"), "sql", "SELECT * FROM customer"),
+        "no_orders": (T(spark, sf_dir, "orders").where(F.col("o_totalprice") < 0), "sql", "SELECT ..."),
+        "events_per_user": (T(spark, sf_dir, "events").groupBy("user_id").count(), "kpi", "SELECT ..."),
+        "scheme": (load_scheme(spark), "scheme", None),
+    }
+    SK.save_workspace(spark, root, "alice", sheets)
+    meta, tables = SK.load_workspace(spark, root, "alice")
+    counts = None
+    for name, df in tables.items():
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("name"), "row_count")
+        counts = c if counts is None else counts.unionByName(c)
+    return meta.join(counts, "name", "left").select("name", "type", "status", "row_count")
+
+
+@register("ts_naive", """
+SELECT event_id, strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS local_ts FROM events""")
+def q_ts_naive(spark, sf_dir):
+    e = T(spark, sf_dir, "events").select("event_id", "ts")
+    return FS.strip_zone(e, "Asia/Kolkata", ["ts"], from_zone="UTC").select(
+        "event_id", ts_text("ts").alias("local_ts"))
