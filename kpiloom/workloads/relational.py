@@ -378,5 +378,3 @@ def q_union_pos(spark, sf_dir):
     b = T(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select("l_orderkey", "l_extendedprice")
     return union_positional(a, b)
 
-
-__all__ = ["to_doubles"]

@@ -124,5 +124,3 @@ def q_fn_word_name(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return p.select("p_partkey", S.word_name(F.concat_ws("-", "p_name", "p_type")).alias("word"))
 
-
-__all__ = ["to_doubles"]
