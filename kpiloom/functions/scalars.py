@@ -20,15 +20,50 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def key_norm(c, null_label: str | None = NULL_KEY) -> Column:
+INTEGRAL = ("byte", "short", "integer", "long")
+NUMERIC = INTEGRAL + ("float", "double", "decimal")
+
+
+def _type_name(dtype) -> str | None:
+    return None if dtype is None else dtype.typeName()
+
+
+def key_norm(c, null_label: str | None = NULL_KEY, dtype=None) -> Column:
     """Person key: text, blanks (tab/newline too) stripped at both ends, lower case.
 
-    A null key becomes the explicit bucket ``null_label`` (pass ``None`` to keep nulls).
+    A null key becomes the explicit bucket ``null_label`` (pass ``None`` to
+    keep nulls).  When ``dtype`` says the column is numeric the text cannot
+    hold blanks, so the regex pass is skipped (integers need no lower-casing
+    either).
     """
-    text = F.lower(F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", ""))
+    name = _type_name(dtype)
+    if name in INTEGRAL:
+        text = _col(c).cast("string")
+    elif name in NUMERIC:
+        text = F.lower(_col(c).cast("string"))
+    else:
+        text = F.lower(F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", ""))
     return text if null_label is None else F.coalesce(text, F.lit(null_label))
 
 
+def money_units(c, dtype=None, scale: int = 4) -> Column:
+    """A money value as a whole number of ``10**-scale`` units (``long``).
+
+    Sums of these are exact, order independent and run on the fast
+    primitive-long path of the aggregate (a ``decimal(38, s)`` sum falls back
+    to BigDecimal arithmetic).  Divide by ``10**scale`` at the end.  ANSI
+    mode turns an overflow (beyond ~9.2e14 units) into an error, never a
+    wrong total.
+    """
+    v = num_coerce(c, dtype)
+    return F.round(v * F.lit(float(10 ** scale))).cast("long")
+
+
+def from_units(c, scale: int = 4) -> Column:
+    """Units back to a double (correctly rounded: exact integer / power of ten)."""
+    return _col(c).cast("double") / F.lit(float(10 ** scale))
+
+
 def num_coerce(c, dtype=None) -> Column:
     """Any value -> double; unparseable, null, NaN and +-inf become 0.
 
@@ -36,8 +71,7 @@ def num_coerce(c, dtype=None) -> Column:
     text check entirely.
     """
     col = _col(c)
-    if dtype is not None and dtype.typeName() in ("integer", "long", "short", "byte", "float",
-                                                  "double", "decimal"):
+    if _type_name(dtype) in NUMERIC:
         v = col.cast("double")
     else:
         s = col.cast("string")

@@ -13,8 +13,9 @@ it crosses the network.  It replaces an N-way FULL OUTER JOIN chain (N-1
 shuffles, each with a skew-prone join) with the same result: the key set is
 the union of all keys, missing values are 0.
 
-Money is summed as ``decimal(38, scale)`` (exact, order independent) and cast
-to double at the end.
+Money is summed exactly as whole ``10**-scale`` units in a ``long`` (fast
+primitive aggregation, order independent) and turned back into a double at
+the end.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from kpiloom.functions.scalars import NULL_KEY, key_norm, num_coerce
+from kpiloom.functions.scalars import NULL_KEY, from_units, key_norm, money_units
 
 # Person-key column candidates (first present wins, compared in
 # lower case) and the words that mark a payout column.
@@ -76,12 +77,12 @@ def presum(df: DataFrame, key_col: str, val_col: str, key_name: str = "cj_id", l
            null_key: str | None = NULL_KEY, scale: int = MONEY_SCALE) -> DataFrame:
     """One row per normalised key with the summed, coerced value (``agg_key_presum``)."""
     label = label or val_col
-    money = DecimalType(38, scale)
     dtype = df.schema[val_col].dataType
-    return (df.select(key_norm(q(key_col), null_key).alias(key_name),
-                      num_coerce(q(val_col), dtype).cast(money).alias(label))
+    ktype = df.schema[key_col].dataType
+    return (df.select(key_norm(q(key_col), null_key, ktype).alias(key_name),
+                      money_units(q(val_col), dtype, scale).alias("_u"))
               .groupBy(key_name)
-              .agg(F.sum(q(label)).cast("double").alias(label)))
+              .agg(from_units(F.sum("_u"), scale).alias(label)))
 
 
 def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: str = "total_incentive",
@@ -100,23 +101,21 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
     if key_name in labels or total_name in labels:
         raise ValueError("a label collides with the key or total column name")
 
-    money = DecimalType(38, scale)
     parts = []
     for i, m in enumerate(mappings):
-        dtype = m.df.schema[m.val_col].dataType
-        value = num_coerce(q(m.val_col), dtype).cast(money)
-        cols = [key_norm(q(m.key_col), null_key).alias(key_name)]
-        cols += [(value if j == i else F.lit(None).cast(money)).alias(f"_v{j}") for j in range(len(mappings))]
+        value = money_units(q(m.val_col), m.df.schema[m.val_col].dataType, scale)
+        cols = [key_norm(q(m.key_col), null_key, m.df.schema[m.key_col].dataType).alias(key_name)]
+        cols += [(value if j == i else F.lit(None).cast("long")).alias(f"_v{j}") for j in range(len(mappings))]
         parts.append(m.df.select(*cols))
     long = reduce(DataFrame.unionAll, parts)
 
-    sums = [F.coalesce(F.sum(f"_v{j}"), F.lit(0).cast(money)).alias(f"_v{j}") for j in range(len(mappings))]
+    sums = [F.coalesce(F.sum(f"_v{j}"), F.lit(0).cast("long")).alias(f"_v{j}") for j in range(len(mappings))]
     wide = long.groupBy(key_name).agg(*sums)
     total = reduce(lambda a, b: a + b, [F.col(f"_v{j}") for j in range(len(mappings))])
     out = wide.select(
         F.col(key_name),
-        *[F.col(f"_v{j}").cast("double").alias(lab) for j, lab in enumerate(labels)],
-        total.cast("double").alias(total_name),
+        *[from_units(f"_v{j}", scale).alias(lab) for j, lab in enumerate(labels)],
+        from_units(total, scale).alias(total_name),
     )
     if sort:
         out = out.orderBy(F.col(total_name).desc(), F.col(key_name).asc())
@@ -125,9 +124,9 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
 
 def row_total(df: DataFrame, label_cols: list[str], total_name: str = "total") -> DataFrame:
     """Row-wise sum of ``label_cols`` after numeric coercion (missing -> 0)."""
-    parts = [num_coerce(q(c), df.schema[c].dataType).cast(DecimalType(38, MONEY_SCALE)) for c in label_cols]
-    total = reduce(lambda a, b: a + b, parts) if parts else F.lit(0)
-    return df.withColumn(total_name, total.cast("double"))
+    parts = [money_units(q(c), df.schema[c].dataType) for c in label_cols]
+    total = reduce(lambda a, b: a + b, parts) if parts else F.lit(0).cast("long")
+    return df.withColumn(total_name, from_units(total))
 
 
 def payout_cards(merged: DataFrame, key_col: str = "cj_id", total_col: str = "total_incentive",
@@ -135,7 +134,9 @@ def payout_cards(merged: DataFrame, key_col: str = "cj_id", total_col: str = "to
     """One row: head count, payout total and average (truncated to whole units), top earner.
 
     The top earner is the key with the largest total, smallest key on ties
-    (``min_by`` over a struct, a plain aggregate, no sort).
+    (``min_by`` over a struct, a plain aggregate, no sort).  The grand total
+    is a decimal sum: it runs over one row per person and may exceed the
+    range of the per-person long units.
     """
     money = DecimalType(38, MONEY_SCALE)
     total = q(total_col).cast(money)

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.functions.scalars import from_units, money_units
 from kpiloom.operators.joins import slab_join
 
 # ------------------------------------------------------------- scheme parsing
@@ -191,7 +192,9 @@ def per_unit_penalty(df: DataFrame, person: str, predicate: Column, rate: float,
 
 
 def km_reimbursement(df: DataFrame, person: str, km: Column, done: Column, rate: float = 6.0) -> DataFrame:
-    """``rate`` per km over completed inspections only (exact decimal sum)."""
-    amt = F.when(done, km.cast("decimal(18,2)") * F.lit(rate).cast("decimal(18,2)"))
+    """``rate`` per km over completed inspections only (exact sum in 1e-4 units;
+    the rate is taken to 1e-4 as well)."""
+    rate_units = int(round(float(rate) * 10 ** 4))
+    amt = F.when(done, money_units(km) * F.lit(rate_units))
     return df.groupBy(F.col(person).alias("person")).agg(
-        F.coalesce(F.sum(amt), F.lit(0).cast("decimal(18,2)")).cast("double").alias("reimbursement"))
+        from_units(F.coalesce(F.sum(amt), F.lit(0).cast("long")), 8).alias("reimbursement"))

@@ -38,22 +38,25 @@ def read_html_table(df: DataFrame, html_col: str, columns: list[str], keep: list
     ``_``); ``columns`` are looked up by name in each document's own header,
     so documents may order their columns differently.  A name missing from
     a header gives nulls.  Header and body travel in the same row, so there
-    is no join: one narrow pass plus an explode.
+    is no join: narrow projections plus one explode.  Each regex result is
+    materialised as a column once and then reused.
     """
     keep = keep or []
     table = F.regexp_extract(F.col(html_col), r"(?is)<table[^>]*>(.*?)</table>", 1)
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
+    step1 = df.select(*keep, F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1).alias("_rows"))
     cell_re = F.lit(r"(?is)<t[hd][^>]*>(.*?)</t[hd]>")
-    head = F.transform(F.regexp_extract_all(F.element_at(rows, 1), cell_re, 1),
+    head = F.transform(F.regexp_extract_all(F.element_at("_rows", 1), cell_re, 1),
                        lambda x: F.regexp_replace(F.lower(cell_text(x)), " ", "_"))
-    body = F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))
-    exploded = df.where(F.size(rows) > 0).select(*keep, head.alias("_head"), F.posexplode(body).alias("row_no", "_tr"))
-    cells = F.transform(F.regexp_extract_all(F.col("_tr"), cell_re, 1), cell_text)
+    body = F.slice("_rows", 2, F.greatest(F.size("_rows") - 1, F.lit(0)))
+    step2 = step1.where(F.size("_rows") > 0).select(*keep, head.alias("_head"), body.alias("_body"))
+    step3 = step2.select(*keep, "_head", F.posexplode("_body").alias("row_no", "_tr"))
+    step4 = step3.select(*keep, "_head", "row_no",
+                         F.transform(F.regexp_extract_all("_tr", cell_re, 1), cell_text).alias("_cells"))
+
     def pick(name):
         pos = F.array_position(F.col("_head"), name).cast("int")
-        return F.when(pos > 0, F.element_at(cells, pos)).alias(name)
-    out = [pick(name) for name in columns]
-    return exploded.select(*keep, "row_no", *out)
+        return F.when(pos > 0, F.element_at(F.col("_cells"), pos)).alias(name)
+    return step4.select(*keep, "row_no", *[pick(n) for n in columns])
 
 
 def table_html(rows_df: DataFrame, group_cols: list[str], columns: list[str], order_col: str) -> DataFrame:

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.search import search_col, search_summary
+from kpiloom.functions.scalars import from_units
+from kpiloom.functions.search import search_summary
 from kpiloom.operators.consolidate import Mapping, consolidate, mappings_for, payout_cards, presum, row_total
 from kpiloom.operators.paging import page, top_n
 from kpiloom.sources.tables import table
@@ -25,8 +26,10 @@ def kpi_sheets(spark, sf_dir) -> dict[str, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     events = table(spark, sf_dir, "events")
     lines = table(spark, sf_dir, "lineitem")
-    net = F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(18,2)"))
-    per_order = lines.groupBy("l_orderkey").agg(F.sum(net).alias("line_payout"))
+    # net = price * (1 - discount), exactly, in 1e-4 units: cents x (100 - discount points)
+    net_units = (F.round(F.col("l_extendedprice") * 100).cast("long")
+                 * (F.lit(100) - F.round(F.col("l_discount") * 100).cast("long")))
+    per_order = lines.groupBy("l_orderkey").agg(from_units(F.sum(net_units)).alias("line_payout"))
     line_kpi = (per_order.join(orders.select("o_orderkey", "o_custkey"),
                                per_order.l_orderkey == orders.o_orderkey)
                 .select(F.col("o_custkey").alias("inspector"), "line_payout"))
@@ -160,4 +163,4 @@ def q_search_col(spark, sf_dir):
                           "cj_id", "1[0-4]$", "total_incentive")
 
 
-__all__ = ["flagship", "kpi_sheets", "search_col"]
+__all__ = ["flagship", "kpi_sheets"]
