@@ -76,7 +76,7 @@ def run_batch(spark: SparkSession, registry: DataFrame, out_root: str, frequency
     jobs = [(e["name"], e["sql"], sheet_name_for(e["name"], {e["name"]: e["sheet_name"]}, limit=None))
             for e in entries]
     if parallel and len(jobs) > 1:
-        target = inheritable_thread_target(
+        target = inheritable_thread_target(spark)(
             lambda j: run_one(spark, j[0], j[1], j[2], out_root, pool=f"batch_{j[0]}"))
         with ThreadPoolExecutor(max_workers=max_workers) as ex:
             results = list(ex.map(target, jobs))
