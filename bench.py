@@ -31,7 +31,7 @@ def main() -> None:
     from kpiloom.session import get_session
     from kpiloom.workloads import load_all
 
-    spark = get_session("kpiloom-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+    spark = get_session("kpiloom-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus),
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     registry = load_all()
     names = [n for n in HEADLINE if n in registry]

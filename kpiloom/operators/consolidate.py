@@ -101,12 +101,20 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
     if key_name in labels or total_name in labels:
         raise ValueError("a label collides with the key or total column name")
 
-    parts = []
+    # One projection per (source table, key column): several value columns of
+    # the same table are read in the same pass.
+    groups: dict[tuple[int, str], list[int]] = {}
     for i, m in enumerate(mappings):
-        value = money_units(q(m.val_col), m.df.schema[m.val_col].dataType, scale)
-        cols = [key_norm(q(m.key_col), null_key, m.df.schema[m.key_col].dataType).alias(key_name)]
-        cols += [(value if j == i else F.lit(None).cast("long")).alias(f"_v{j}") for j in range(len(mappings))]
-        parts.append(m.df.select(*cols))
+        groups.setdefault((id(m.df), m.key_col), []).append(i)
+    parts = []
+    for (_, key_col), idx in groups.items():
+        src = mappings[idx[0]].df
+        cols = [key_norm(q(key_col), null_key, src.schema[key_col].dataType).alias(key_name)]
+        for j, m in enumerate(mappings):
+            value = money_units(q(m.val_col), src.schema[m.val_col].dataType, scale) if j in idx \
+                else F.lit(None).cast("long")
+            cols.append(value.alias(f"_v{j}"))
+        parts.append(src.select(*cols))
     long = reduce(DataFrame.unionAll, parts)
 
     sums = [F.coalesce(F.sum(f"_v{j}"), F.lit(0).cast("long")).alias(f"_v{j}") for j in range(len(mappings))]

@@ -34,7 +34,7 @@ def scheme_parse(scheme: DataFrame) -> DataFrame:
     ``9+ X/Day`` -> (9, open); ``3 X/Day`` -> (3, 3); ``>120 X/Month`` ->
     (121, open); ``RFC 1 - 2000`` / ``INR 10000 - 13500`` -> (lo, hi);
     ``Single IM >= INR 20000`` -> (20000, open); ``Two Critical IMs`` ->
-    (2, open) counted in cases; ``Per ...`` -> no bounds.  Payout ``800`` /
+    (2, open) with unit ``case_count``; ``Per ...`` -> no bounds.  Payout ``800`` /
     ``INR 2500`` -> amount; ``Half ...`` / ``Zero ...`` / ``... Exit`` -> action.
     """
     s = F.trim(F.col("Slab_or_Range"))
@@ -54,7 +54,8 @@ def scheme_parse(scheme: DataFrame) -> DataFrame:
     lo = F.coalesce(rng_lo, at_least, more_than + 1, plus, exact, two)
     hi = F.coalesce(rng_hi, exact)
 
-    unit = (F.when(s.rlike(r"(?i)/day"), "day")
+    unit = (F.when(s.rlike(r"(?i)^two\b"), "case_count")
+             .when(s.rlike(r"(?i)/day"), "day")
              .when(s.rlike(r"(?i)/month"), "month")
              .when(s.rlike(r"(?i)per\s+km"), "km")
              .when(s.rlike(r"(?i)^(RFC|INR)|INR\s*\d|critical"), "case")
@@ -69,13 +70,36 @@ def scheme_parse(scheme: DataFrame) -> DataFrame:
     share_text = F.regexp_extract(s, r"(\d+(?:\.\d+)?)%", 1)
     min_share = F.when(share_text != "", share_text.cast("double") / 100)
 
+    ident = [F.col("rule_no")] if "rule_no" in scheme.columns else []
     return scheme.select(
-        F.col("Category").alias("category"), F.col("Sub_Category").alias("sub_category"),
+        *ident, F.col("Category").alias("category"), F.col("Sub_Category").alias("sub_category"),
         F.col("Region_or_Condition").alias("condition"),
         lo.alias("lo"), hi.alias("hi"), unit.alias("unit"), amount.alias("amount"), action.alias("action"),
         min_share.alias("min_share"))
 
 
+def rule_coverage(parsed: DataFrame, facts: DataFrame) -> DataFrame:
+    """How many facts fall inside each bounded rule of the typed scheme.
+
+    ``facts``: (family, condition, unit, value) -- ``family`` null matches any
+    sub-category.  A fact hits a rule with the same unit, a matching
+    condition (rule ``All`` matches every condition) and ``lo <= value <=
+    hi``.  The rule table (tens of rows) is broadcast; facts are counted in
+    one grouped aggregate.  Rules without bounds get a null count.
+    """
+    r = parsed.where(F.col("lo").isNotNull()).select("rule_no", "sub_category", "condition", "unit", "lo", "hi")
+    cond = ((F.col("f.unit") == F.col("r.unit"))
+            & (F.col("f.family").isNull() | (F.col("f.family") == F.col("r.sub_category")))
+            & ((F.col("r.condition") == "All") | (F.col("r.condition") == F.col("f.condition")))
+            & (F.col("f.value") >= F.col("r.lo"))
+            & (F.col("r.hi").isNull() | (F.col("f.value") <= F.col("r.hi"))))
+    hits = (facts.alias("f").join(F.broadcast(r.alias("r")), cond)
+                 .groupBy(F.col("r.rule_no").alias("rule_no")).agg(F.count(F.lit(1)).alias("n_hits")))
+    counted = parsed.join(hits, "rule_no", "left")
+    return counted.select(*parsed.columns,
+                          F.when(F.col("lo").isNotNull(), F.coalesce("n_hits", F.lit(0))).alias("n_hits"))
+
+
 def slabs(parsed: DataFrame, sub_category: str) -> DataFrame:
     """Slab rows (condition, lo, hi, amount) of one rule."""
     return (parsed.where((F.col("sub_category") == sub_category) & F.col("lo").isNotNull())
@@ -90,6 +114,23 @@ def daily_counts(events: DataFrame, person: str, ts: str, where: Column | None =
     return src.groupBy(F.col(person).alias("person"), F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def person_day_rollup(df: DataFrame, person: str, ts: str, counters: dict[str, Column]) -> DataFrame:
+    """One grouped pass over a fact table: per person and day the row count
+    ``n`` plus one sum per counter column.  Several rules that read the same
+    facts then share this single scan and shuffle."""
+    return df.groupBy(F.col(person).alias("person"), F.to_date(ts).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(name) for name, c in counters.items()])
+
+
+def price_days(daily: DataFrame, slab_table: DataFrame, person_class: DataFrame | None = None,
+               out_col: str = "day_amount") -> DataFrame:
+    """Attach each person-day's slab amount for its count ``n`` (keeps all columns)."""
+    if person_class is not None:
+        return slab_join(daily.join(person_class, "person", "left"), "n", slab_table,
+                         on=[("condition", "condition")], out_col=out_col)
+    return slab_join(daily, "n", slab_table.drop("condition"), out_col=out_col)
+
+
 def daily_slab_incentive(daily: DataFrame, slab_table: DataFrame, person_class: DataFrame | None = None,
                          alias: str = "incentive") -> DataFrame:
     """Sum over days of the slab amount for each day's count.
@@ -97,11 +138,7 @@ def daily_slab_incentive(daily: DataFrame, slab_table: DataFrame, person_class:
     ``person_class`` (person, condition) selects the slab family per person
     (e.g. T7 / Non T7); without it the slab rows must carry one condition.
     """
-    if person_class is not None:
-        daily = daily.join(person_class, "person", "left")
-        priced = slab_join(daily, "n", slab_table, on=[("condition", "condition")], out_col="amount")
-    else:
-        priced = slab_join(daily, "n", slab_table.drop("condition"), out_col="amount")
+    priced = price_days(daily, slab_table, person_class, out_col="amount")
     return priced.groupBy("person").agg(F.sum("amount").cast("double").alias(alias),
                                         F.count(F.lit(1)).alias("active_days"))
 

@@ -8,7 +8,7 @@ their latest feedback (ties kept) and the store record.
 
 Scale notes: the period filter is pushed into the inspection scan; feedback
 is first reduced to the appointments of the period (left-semi join against
-t4's keys, which AQE broadcasts when small) before the latest-row step, so a
+the filtered log's keys, which AQE broadcasts when small) before the latest-row step, so a
 one-month report never ranks the whole feedback history.  Latest-per-key is
 a grouped max + semi-join, not a window (see operators.latest).
 """
@@ -35,7 +35,8 @@ def inspection_feedback_report(inspection_log: DataFrame, centre_list: DataFrame
             .select(*[F.col(c) for c in T4_COLS], F.to_date("inspection_end_time").alias("dat"))
             .distinct())
 
-    period_keys = t4.select("appointment_id")
+    # appointments of the period, straight from the filtered log (no centre join / distinct needed)
+    period_keys = il.select("appointment_id")
     fb_in = feedback.join(period_keys, "appointment_id", "left_semi")
     fb = latest_per_key(fb_in, "appointment_id", "created_at", where=F.col("feedback_rating").isNotNull())
     fb = fb.select("appointment_id", *FEEDBACK_COLS)

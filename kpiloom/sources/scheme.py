@@ -7,7 +7,7 @@ import csv
 import io
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 SCHEME_COLUMNS = ["Category", "Sub_Category", "Region_or_Condition", "Slab_or_Range", "Amount_or_Payout", "Notes"]
 SCHEME_SCHEMA = StructType([StructField(c, StringType(), True) for c in SCHEME_COLUMNS])
@@ -69,11 +69,13 @@ def scheme_rows() -> list[tuple]:
 
 
 def load_scheme(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The rule sheet as strings: from a CSV file when ``path`` is given, else
-    the built-in copy above.  Re-read on every call (never cached)."""
+    """The rule sheet as strings plus ``rule_no`` (1-based sheet order) for
+    the built-in copy: from a CSV file when ``path`` is given, else the copy
+    above.  Re-read on every call (never cached)."""
     if path:
         return spark.read.csv(path, header=True, schema=SCHEME_SCHEMA, encoding="utf-8")
-    return spark.createDataFrame(scheme_rows(), SCHEME_SCHEMA)
+    schema = StructType([StructField("rule_no", IntegerType(), False)] + SCHEME_SCHEMA.fields)
+    return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(scheme_rows())], schema)
 
 
 def scheme_amount(sub_category: str) -> float:

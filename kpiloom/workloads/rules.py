@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kpiloom.functions.scalars import from_units, money_units
 from kpiloom.operators import rules as R
 from kpiloom.operators.consolidate import consolidate, mappings_for
 from kpiloom.sources.scheme import load_scheme, scheme_amount
@@ -254,14 +255,124 @@ FROM g"""
 
 @register("net_payout", NET_SQL)
 def q_net_payout(spark, sf_dir):
-    fl = flat(spark, sf_dir)
-    fl = fl.select("person", (F.col("sp_pro") + F.col("pdi") + F.col("five_star") + F.col("referral")).alias("per_unit"))
-    os_ = one_star(spark, sf_dir).select("person", (-F.col("one_star_penalty")).alias("one_star"))
+    # All event-based rules share one scan and one (person, day) aggregate;
+    # the IM penalty comes from orders.  Then one consolidate shuffle.
+    e = T(spark, sf_dir, "events")
+    et, ts = F.col("event_type"), F.col("ts")
+    booked = ts - F.expr("INTERVAL 30 MINUTES")
+    counters = {
+        "views": (et == "view").cast("long"), "clicks": (et == "click").cast("long"),
+        "purchases": (et == "purchase").cast("long"), "signups": (et == "signup").cast("long"),
+        "errors": (et == "error").cast("long"),
+        "night": (R.in_window(booked) & R.in_window(ts)).cast("long"),
+        "km_units": F.when(et == "view", money_units(F.col("value"))),
+    }
+    daily = R.person_day_rollup(e, "user_id", "ts", counters)
+    priced = R.price_days(daily, R.slabs(parsed_scheme(spark), "Productivity"), person_class(spark, sf_dir))
+    per_unit = (F.sum("views") * scheme_amount("SP Pro") + F.sum("clicks") * scheme_amount("PDI")
+                + F.sum("purchases") * scheme_amount("CJ 5 Star Rating") + F.sum("signups") * scheme_amount("Referral"))
+    km_rate = int(scheme_amount("Conveyance"))
+    people = priced.groupBy("person").agg(
+        F.sum("day_amount").alias("productivity"), per_unit.alias("per_unit"),
+        (F.sum("night") * scheme_amount("Night Inspection")).alias("night"),
+        from_units(F.coalesce(F.sum("km_units"), F.lit(0)) * km_rate).alias("conveyance"),
+        (-F.sum("errors") * scheme_amount("1 Star Rating")).alias("one_star"))
     im = im_penalty(spark, sf_dir).select("person", (-F.col("im_penalty")).alias("im"))
-    maps = (mappings_for(productivity(spark, sf_dir), "productivity", "person", ["productivity_incentive"])
-            + mappings_for(fl, "per_unit", "person", ["per_unit"])
-            + mappings_for(night(spark, sf_dir), "night", "person", ["night_incentive"])
-            + mappings_for(reimbursement(spark, sf_dir), "conveyance", "person", ["reimbursement"])
-            + mappings_for(os_, "one_star", "person", ["one_star"])
+    maps = (mappings_for(people, "", "person", ["productivity", "per_unit", "night", "conveyance", "one_star"])
             + mappings_for(im, "im", "person", ["im"]))
+    labels = ["productivity", "per_unit", "night", "conveyance", "one_star", "im"]
+    maps = [type(m)(m.df, m.key_col, m.val_col, lab) for m, lab in zip(maps, labels)]
     return consolidate(maps, total_name="net_payout", sort=False)
+
+
+# Expected typed rule table, stated independently for the oracle (rule_no,
+# category, sub_category, condition, lo, hi, unit, amount, action, min_share).
+TYPED_RULES_SQL = """
+rules(rule_no, category, sub_category, condition, lo, hi, unit, amount, action, min_share) AS (VALUES
+ (1, 'Incentive', 'Productivity', 'T7 Regions', 3, 3, 'day', 0.0, NULL, NULL),
+ (2, 'Incentive', 'Productivity', 'T7 Regions', 4, 4, 'day', 0.0, NULL, NULL),
+ (3, 'Incentive', 'Productivity', 'T7 Regions', 5, 5, 'day', 100.0, NULL, NULL),
+ (4, 'Incentive', 'Productivity', 'T7 Regions', 6, 6, 'day', 300.0, NULL, NULL),
+ (5, 'Incentive', 'Productivity', 'T7 Regions', 7, 7, 'day', 500.0, NULL, NULL),
+ (6, 'Incentive', 'Productivity', 'T7 Regions', 8, 8, 'day', 800.0, NULL, NULL),
+ (7, 'Incentive', 'Productivity', 'T7 Regions', 9, NULL, 'day', 1000.0, NULL, NULL),
+ (8, 'Incentive', 'Productivity', 'Non T7', 3, 3, 'day', 0.0, NULL, NULL),
+ (9, 'Incentive', 'Productivity', 'Non T7', 4, 4, 'day', 50.0, NULL, NULL),
+ (10, 'Incentive', 'Productivity', 'Non T7', 5, 5, 'day', 150.0, NULL, NULL),
+ (11, 'Incentive', 'Productivity', 'Non T7', 6, 6, 'day', 300.0, NULL, NULL),
+ (12, 'Incentive', 'Productivity', 'Non T7', 7, 7, 'day', 500.0, NULL, NULL),
+ (13, 'Incentive', 'Productivity', 'Non T7', 8, 8, 'day', 700.0, NULL, NULL),
+ (14, 'Incentive', 'Productivity', 'Non T7', 9, NULL, 'day', 1000.0, NULL, NULL),
+ (15, 'Incentive', 'SP / SP Lite', 'All', 1, 1, 'day', 40.0, NULL, NULL),
+ (16, 'Incentive', 'SP / SP Lite', 'All', 2, 2, 'day', 130.0, NULL, NULL),
+ (17, 'Incentive', 'SP / SP Lite', 'All', 3, 3, 'day', 200.0, NULL, NULL),
+ (18, 'Incentive', 'SP / SP Lite', 'All', 4, 4, 'day', 300.0, NULL, NULL),
+ (19, 'Incentive', 'SP / SP Lite', 'All', 5, 5, 'day', 400.0, NULL, NULL),
+ (20, 'Incentive', 'SP / SP Lite', 'All', 6, 6, 'day', 500.0, NULL, NULL),
+ (21, 'Incentive', 'SP / SP Lite', 'All', 7, 7, 'day', 600.0, NULL, NULL),
+ (22, 'Incentive', 'SP / SP Lite', 'All', 8, 8, 'day', 700.0, NULL, NULL),
+ (23, 'Incentive', 'SP / SP Lite', 'All', 9, NULL, 'day', 800.0, NULL, NULL),
+ (24, 'Incentive', 'SP Pro', 'All', NULL, NULL, 'inspection', 150.0, NULL, NULL),
+ (25, 'Incentive', 'Excellence Bonus', 'All', 121, NULL, 'month', 3000.0, NULL, 0.7),
+ (26, 'Incentive', 'PDI', 'All', NULL, NULL, 'inspection', 50.0, NULL, NULL),
+ (27, 'Incentive', 'CJ 5 Star Rating', 'All', NULL, NULL, 'inspection', 10.0, NULL, NULL),
+ (28, 'Incentive', 'Night Inspection', 'All', NULL, NULL, 'inspection', 150.0, NULL, NULL),
+ (29, 'Penalty', 'IM', 'All', 1, 2000, 'case', 500.0, NULL, NULL),
+ (30, 'Penalty', 'IM', 'All', 2001, 5000, 'case', 1000.0, NULL, NULL),
+ (31, 'Penalty', 'IM', 'All', 5001, 7500, 'case', 1500.0, NULL, NULL),
+ (32, 'Penalty', 'IM', 'All', 7501, 10000, 'case', 2500.0, NULL, NULL),
+ (33, 'Penalty', 'Critical IM (Regular CJ)', 'All', 10000, 13500, 'case', NULL, 'HALF', NULL),
+ (34, 'Penalty', 'Critical IM (Regular CJ)', 'All', 13501, 19999, 'case', NULL, 'ZERO', NULL),
+ (35, 'Penalty', 'Critical IM (Regular CJ)', 'All', 20000, NULL, 'case', NULL, 'EXIT', NULL),
+ (36, 'Penalty', 'Critical IM (Regular CJ)', 'All', 2, NULL, 'case_count', NULL, 'EXIT', NULL),
+ (37, 'Penalty', 'Critical IM (0-60 Days from DOJ)', 'All', 10000, 13500, 'case', 2500.0, NULL, NULL),
+ (38, 'Penalty', 'Critical IM (0-60 Days from DOJ)', 'All', 13501, 19999, 'case', NULL, 'ZERO', NULL),
+ (39, 'Penalty', 'Critical IM (0-60 Days from DOJ)', 'All', 20000, NULL, 'case', NULL, 'ZERO', NULL),
+ (40, 'Penalty', 'Critical IM (0-60 Days from DOJ)', 'All', 2, NULL, 'case_count', NULL, 'ZERO', NULL),
+ (41, 'Penalty', '1 Star Rating', 'All', NULL, NULL, 'inspection', 200.0, NULL, NULL),
+ (42, 'Reimbursement', 'Conveyance', 'All', NULL, NULL, 'km', 6.0, NULL, NULL),
+ (43, 'Note', 'Tipping', 'All', NULL, NULL, NULL, NULL, NULL, NULL),
+ (44, 'Note', 'Referral', 'All', NULL, NULL, 'referral', 4000.0, NULL, NULL))"""
+
+COVERAGE_SQL = f"""
+WITH {TYPED_RULES_SQL},
+pd AS (SELECT user_id, CAST(ts AS DATE) AS d, COUNT(*) AS n FROM events GROUP BY 1, 2),
+cls AS (SELECT c_custkey, CASE WHEN n_regionkey IN (0, 1) THEN 'T7 Regions' ELSE 'Non T7' END AS condition
+        FROM customer JOIN nation ON c_nationkey = n_nationkey),
+cost AS (SELECT o_custkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 20 AS DOUBLE) AS value FROM orders),
+facts AS (
+  SELECT 'Productivity' AS family, cls.condition, 'day' AS unit, CAST(n AS DOUBLE) AS value
+  FROM pd JOIN cls ON pd.user_id = cls.c_custkey
+  UNION ALL SELECT 'SP / SP Lite', 'All', 'day', CAST(COUNT(*) AS DOUBLE) FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)
+  UNION ALL SELECT NULL, 'All', 'case', value FROM cost
+  UNION ALL SELECT NULL, 'All', 'case_count', CAST(COUNT(*) AS DOUBLE) FROM cost WHERE value >= 10000 GROUP BY o_custkey
+  UNION ALL SELECT NULL, 'All', 'month', CAST(COUNT(*) AS DOUBLE) FROM events GROUP BY user_id, strftime(ts, '%Y-%m'))
+SELECT rule_no, category, sub_category, condition, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, unit,
+       CAST(amount AS DOUBLE) AS amount, action, CAST(min_share AS DOUBLE) AS min_share,
+       CASE WHEN lo IS NULL THEN NULL ELSE CAST((
+         SELECT COUNT(*) FROM facts f WHERE f.unit = r.unit AND (f.family IS NULL OR f.family = r.sub_category)
+            AND (r.condition = 'All' OR r.condition = f.condition) AND f.value >= r.lo
+            AND (r.hi IS NULL OR f.value <= r.hi)) AS BIGINT) END AS n_hits
+FROM rules r"""
+
+
+@register("scheme_parse", COVERAGE_SQL)
+def q_scheme_parse(spark, sf_dir):
+    # The typed scheme with, per bounded rule, how many facts of the test
+    # tables fall inside it (person-days, orders by cost, critical-case
+    # counts, person-months).
+    ev, o = T(spark, sf_dir, "events"), T(spark, sf_dir, "orders")
+    lit_s = lambda v: F.lit(v).cast("string")
+    pd = R.daily_counts(ev, "user_id", "ts").join(person_class(spark, sf_dir), "person")
+    cost = (F.col("o_totalprice").cast("decimal(18,2)") / 20).cast("double")
+    cases_df = o.select("o_custkey", cost.alias("value"))
+    facts = (pd.select(lit_s("Productivity").alias("family"), "condition", lit_s("day").alias("unit"),
+                       F.col("n").cast("double").alias("value"))
+             .unionAll(R.daily_counts(o, "o_custkey", "o_orderdate").select(
+                 lit_s("SP / SP Lite"), lit_s("All"), lit_s("day"), F.col("n").cast("double")))
+             .unionAll(cases_df.select(lit_s(None), lit_s("All"), lit_s("case"), "value"))
+             .unionAll(cases_df.where(F.col("value") >= 10000).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("c"))
+                       .select(lit_s(None), lit_s("All"), lit_s("case_count"), F.col("c").cast("double")))
+             .unionAll(ev.groupBy("user_id", F.date_format("ts", "yyyy-MM")).agg(F.count(F.lit(1)).alias("c"))
+                       .select(lit_s(None), lit_s("All"), lit_s("month"), F.col("c").cast("double"))))
+    return R.rule_coverage(parsed_scheme(spark), facts)
