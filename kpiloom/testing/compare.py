@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 
 
 def norm(v):
@@ -25,11 +26,16 @@ def norm(v):
     return v
 
 
+STRICT = os.environ.get("KPILOOM_STRICT_FLOATS") == "1"
+
+
 def same(a, b) -> bool:
     if isinstance(a, float) or isinstance(b, float):
         if a is None or b is None:
             return a is b
         try:
+            if STRICT:
+                return float(a) == float(b)
             return math.isclose(float(a), float(b), rel_tol=1e-9, abs_tol=1e-9)
         except TypeError:
             return False
@@ -61,3 +67,19 @@ def duck_views(con, sf_dir: str) -> None:
     from kpiloom.sources.tables import TABLES, table_path
     for t in TABLES:
         con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf_dir, t)}')")
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_problems(spark_dtypes, duck_cols, duck_types) -> list[str]:
+    """Column type mismatches (Spark dtype name vs DuckDB type)."""
+    duck = {c: str(t) for c, t in zip(duck_cols, duck_types)}
+    out = []
+    for c, t in spark_dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        if c in duck and duck[c] != want:
+            out.append(f"{c}: spark {t} vs duck {duck[c]}")
+    return out

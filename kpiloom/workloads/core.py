@@ -48,8 +48,8 @@ def flagship_mappings(spark, sf_dir) -> list[Mapping]:
             + mappings_for(s["line_kpi"], "line_kpi"))
 
 
-def flagship(spark, sf_dir) -> DataFrame:
-    return consolidate(flagship_mappings(spark, sf_dir))
+def flagship(spark, sf_dir, sort: bool = True) -> DataFrame:
+    return consolidate(flagship_mappings(spark, sf_dir), sort=sort)
 
 
 KEY = r"lower(regexp_replace(CAST({c} AS VARCHAR), '^\s+|\s+$', '', 'g'))"
@@ -113,7 +113,7 @@ FROM m"""
 
 @register("payout_cards", CARDS)
 def q_payout_cards(spark, sf_dir):
-    return payout_cards(flagship(spark, sf_dir))
+    return payout_cards(flagship(spark, sf_dir, sort=False))
 
 
 TOP = f"""
@@ -126,7 +126,7 @@ ORDER BY t DESC, cj_id LIMIT {{n}} OFFSET {{off}}"""
 
 @register("top1", TOP.format(n=1, off=0))
 def q_top1(spark, sf_dir):
-    return top_n(flagship(spark, sf_dir).select("cj_id", "total_incentive"),
+    return top_n(flagship(spark, sf_dir, sort=False).select("cj_id", "total_incentive"),
                  [F.col("total_incentive").desc(), F.col("cj_id").asc()], 1)
 
 
@@ -140,14 +140,14 @@ def q_sort_total(spark, sf_dir):
     # The global sort is a range-partitioned shuffle; the position is derived
     # without a single-partition window (see operators.paging.with_position).
     from kpiloom.operators.paging import with_position
-    merged = flagship(spark, sf_dir).select("cj_id", "total_incentive")
+    merged = flagship(spark, sf_dir, sort=False).select("cj_id", "total_incentive")
     return with_position(merged, [F.col("total_incentive").desc(), F.col("cj_id").asc()], "position")
 
 
 @register("page", TOP.format(n=500, off=500))
 def q_page(spark, sf_dir):
     # Page 2 of the payout table, 500 rows per page.
-    return page(flagship(spark, sf_dir).select("cj_id", "total_incentive"),
+    return page(flagship(spark, sf_dir, sort=False).select("cj_id", "total_incentive"),
                 [F.col("total_incentive").desc(), F.col("cj_id").asc()], 2, 500)
 
 
@@ -158,7 +158,7 @@ m AS (SELECT cj_id, COALESCE(order_kpi, 0) + COALESCE(event_kpi, 0) + COALESCE(l
 SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COALESCE(SUM(t), 0) AS DOUBLE) AS total
 FROM m WHERE regexp_matches(cj_id, '1[0-4]$', 'i')""")
 def q_search_col(spark, sf_dir):
-    merged = flagship(spark, sf_dir)
+    merged = flagship(spark, sf_dir, sort=False)
     return search_summary(merged.withColumn("total_incentive", F.col("total_incentive").cast("decimal(38,4)")),
                           "cj_id", "1[0-4]$", "total_incentive")
 

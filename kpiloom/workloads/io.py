@@ -129,7 +129,7 @@ slab(condition, lo, hi, amount) AS (VALUES
   ('T7 Regions', 7, 7, 500.0), ('T7 Regions', 8, 8, 800.0), ('T7 Regions', 9, NULL, 1000.0),
   ('Non T7', 3, 3, 0.0), ('Non T7', 4, 4, 50.0), ('Non T7', 5, 5, 150.0), ('Non T7', 6, 6, 300.0),
   ('Non T7', 7, 7, 500.0), ('Non T7', 8, 8, 700.0), ('Non T7', 9, NULL, 1000.0))
-SELECT condition, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, amount,
+SELECT condition, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, CAST(amount AS DOUBLE) AS amount,
        CAST(COUNT(d) AS BIGINT) AS person_days
 FROM slab LEFT JOIN daily ON n >= lo AND (hi IS NULL OR n <= hi)
 GROUP BY condition, lo, hi, amount""")

@@ -108,10 +108,10 @@ FROM daily GROUP BY o_custkey"""
 
 FLAT_SQL = """
 SELECT user_id AS person,
-       COUNT(*) FILTER (WHERE event_type = 'view') * 150.0 AS sp_pro,
-       COUNT(*) FILTER (WHERE event_type = 'click') * 50.0 AS pdi,
-       COUNT(*) FILTER (WHERE event_type = 'purchase') * 10.0 AS five_star,
-       COUNT(*) FILTER (WHERE event_type = 'signup') * 4000.0 AS referral
+       CAST(COUNT(*) FILTER (WHERE event_type = 'view') * 150 AS DOUBLE) AS sp_pro,
+       CAST(COUNT(*) FILTER (WHERE event_type = 'click') * 50 AS DOUBLE) AS pdi,
+       CAST(COUNT(*) FILTER (WHERE event_type = 'purchase') * 10 AS DOUBLE) AS five_star,
+       CAST(COUNT(*) FILTER (WHERE event_type = 'signup') * 4000 AS DOUBLE) AS referral
 FROM events GROUP BY user_id"""
 
 NIGHT_SQL = """
@@ -122,14 +122,14 @@ FROM events GROUP BY user_id"""
 
 IM_CASE = """CASE WHEN cost >= 1 AND cost <= 2000 THEN 500 WHEN cost >= 2001 AND cost <= 5000 THEN 1000
           WHEN cost >= 5001 AND cost <= 7500 THEN 1500 WHEN cost >= 7501 AND cost <= 10000 THEN 2500 ELSE 0 END"""
-CASES_SQL = "cases AS (SELECT o_custkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) / 20 AS cost FROM orders)"
+CASES_SQL = "cases AS (SELECT o_custkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) * 0.05 AS cost FROM orders)"
 IM_SQL = f"""
 WITH {CASES_SQL}
 SELECT o_custkey AS person, CAST(SUM({IM_CASE}) AS DOUBLE) AS im_penalty, CAST(COUNT(*) AS BIGINT) AS im_cases
 FROM cases WHERE cost < 10000 GROUP BY o_custkey"""
 
 ONE_STAR_SQL = """
-SELECT user_id AS person, COUNT(*) FILTER (WHERE event_type = 'error') * 200.0 AS one_star_penalty
+SELECT user_id AS person, CAST(COUNT(*) FILTER (WHERE event_type = 'error') * 200 AS DOUBLE) AS one_star_penalty
 FROM events GROUP BY user_id"""
 
 REIMB_SQL = """
@@ -165,7 +165,7 @@ def q_inc_flat(spark, sf_dir):
 SELECT user_id AS person, strftime(ts, '%Y-%m') AS month, CAST(COUNT(*) AS BIGINT) AS n,
        COUNT(*) FILTER (WHERE event_type = 'view') / COUNT(*) AS share,
        CASE WHEN COUNT(*) > 120 AND COUNT(*) FILTER (WHERE event_type = 'view') / COUNT(*) >= 0.7
-            THEN 3000.0 ELSE 0.0 END AS excellence_bonus
+            THEN 3000.0 ELSE 0.0 END::DOUBLE AS excellence_bonus
 FROM events GROUP BY 1, 2""")
 def q_inc_excellence(spark, sf_dir):
     # Rule row ">120 Inspections/Month + 70% Conversion" -> 3000; conversion = done share.
@@ -190,7 +190,7 @@ agg AS (SELECT o_custkey AS person, CAST(COUNT(*) AS BIGINT) AS n_critical, MAX(
 s AS (SELECT *, CASE WHEN n_critical >= 2 OR max_cost >= 20000 THEN 'EXIT' WHEN max_cost > 13500 THEN 'ZERO'
                      WHEN max_cost >= 10000 THEN 'HALF' END AS action FROM agg)
 SELECT person, n_critical, CAST(max_cost AS DOUBLE) AS max_cost, action,
-       CASE WHEN action = 'HALF' THEN 0.5 ELSE 0.0 END AS multiplier, action = 'EXIT' AS exit
+       CASE WHEN action = 'HALF' THEN 0.5 ELSE 0.0 END::DOUBLE AS multiplier, action = 'EXIT' AS exit
 FROM s""")
 def q_pen_critical(spark, sf_dir):
     out = R.critical_penalty(cases(spark, sf_dir), "o_custkey", "cost")
@@ -211,7 +211,7 @@ agg AS (SELECT person, CAST(COUNT(*) AS BIGINT) AS n_critical, MAX(cost) AS max_
                COUNT(*) FILTER (WHERE cost <= 13500) AS n_half FROM c GROUP BY person)
 SELECT person, n_critical, CAST(max_cost AS DOUBLE) AS max_cost,
        CASE WHEN n_critical >= 2 OR max_cost > 13500 THEN 'ZERO' ELSE 'FLAT' END AS action,
-       CASE WHEN n_critical >= 2 OR max_cost > 13500 THEN 0.0 ELSE n_half * 2500.0 END AS flat_penalty
+       CAST(CASE WHEN n_critical >= 2 OR max_cost > 13500 THEN 0 ELSE n_half * 2500 END AS DOUBLE) AS flat_penalty
 FROM agg""")
 def q_pen_critical_new(spark, sf_dir):
     out = R.critical_penalty_new(cases(spark, sf_dir), "o_custkey", "cost", "o_orderdate", joined_days(spark, sf_dir),
@@ -339,7 +339,7 @@ WITH {TYPED_RULES_SQL},
 pd AS (SELECT user_id, CAST(ts AS DATE) AS d, COUNT(*) AS n FROM events GROUP BY 1, 2),
 cls AS (SELECT c_custkey, CASE WHEN n_regionkey IN (0, 1) THEN 'T7 Regions' ELSE 'Non T7' END AS condition
         FROM customer JOIN nation ON c_nationkey = n_nationkey),
-cost AS (SELECT o_custkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 20 AS DOUBLE) AS value FROM orders),
+cost AS (SELECT o_custkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.05 AS DOUBLE) AS value FROM orders),
 facts AS (
   SELECT 'Productivity' AS family, cls.condition, 'day' AS unit, CAST(n AS DOUBLE) AS value
   FROM pd JOIN cls ON pd.user_id = cls.c_custkey

@@ -2,7 +2,7 @@
 
 import pytest
 
-from kpiloom.testing.compare import compare
+from kpiloom.testing.compare import compare, type_problems
 from kpiloom.workloads import load_all
 
 from conftest import SF_SMALL
@@ -20,6 +20,7 @@ def test_query_matches_oracle(spark, duck, name):
         return
     rel = duck.sql(sql)
     problems = compare(df.columns, rows, rel.columns, rel.fetchall())
+    problems += type_problems(df.dtypes, rel.columns, rel.types)
     assert not problems, problems
 
 
