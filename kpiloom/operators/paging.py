@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kpiloom.session import checkpoint_dir
+
 PAGE_SIZE = 500
 # Beyond this many skipped rows a page is cut from positions, not offset/limit.
 DEEP_OFFSET = 100_000
@@ -31,7 +33,9 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
     # Fix partition contents (and thus ids) before they are counted and used
-    # twice; a reliable checkpoint also cuts the lineage.
+    # twice; a reliable checkpoint (shared folder, survives executor loss)
+    # also cuts the lineage.
+    checkpoint_dir(df.sparkSession)
     ranked = ranked.checkpoint(eager=True)
     counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -138,3 +138,24 @@ def strip_zone(df: DataFrame, zone: str, columns: list[str] | None = None, from_
         elif f.dataType.typeName() == "timestamp_ntz":
             out = out.withColumn(f.name, F.convert_timezone(F.lit(from_zone or "UTC"), F.lit(zone), c))
     return out
+
+
+def read_warehouse(spark: SparkSession, url: str, sql: str, properties: dict | None = None,
+                   partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+                   partitions: int | None = None, fetch_size: int = 10000) -> DataFrame:
+    """A warehouse query through Spark's JDBC source (the cluster form of ``src_sql``).
+
+    With ``partition_column`` / ``lower`` / ``upper`` / ``partitions`` the
+    query is read by ``partitions`` parallel tasks, each fetching one range,
+    instead of one task pulling the whole result.  (No database is reachable
+    from the test environment, so this reader is not exercised by the tests.)
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("fetchsize", fetch_size)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    if partition_column:
+        reader = (reader.option("dbtable", f"({sql}) q").option("partitionColumn", partition_column)
+                        .option("lowerBound", lower).option("upperBound", upper).option("numPartitions", partitions))
+    else:
+        reader = reader.option("query", sql)
+    return reader.load()
