@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 JOIN_TYPES = {
@@ -69,36 +69,69 @@ def star_join(base: DataFrame, base_name: str, specs: list[JoinSpec], tables: di
     return out
 
 
+SLAB_BROADCAST_ROWS = 10_000
+
+
 def slab_join(values: DataFrame, value_col: str, slabs: DataFrame, lo: str = "lo", hi: str = "hi",
               amount: str = "amount", else_value=0, on: list[tuple[str, str]] | None = None,
-              out_col: str | None = None) -> DataFrame:
+              out_col: str | None = None, broadcast_limit: int = SLAB_BROADCAST_ROWS) -> DataFrame:
     """Attach to each row the amount of the slab whose ``[lo, hi]`` holds
-    ``value_col`` (null bound = open); no slab -> ``else_value``.
-
-    ``slabs`` is a rule table (tens of rows, its size is fixed by the rule
-    sheet, not by the data), so it is broadcast: the join runs map-side with
-    no shuffle of the large side.  ``on`` adds equality conditions (e.g. the
-    region class), turning it into a broadcast hash join with a range filter.
-    Slabs must not overlap; if they do, the first by ``lo`` is taken.
+    ``value_col`` (null bound = open); no slab -> ``else_value``.  Slabs must
+    not overlap (within one ``on`` group).
+
+    The slab table is counted first (it is a rule table: tens of rows).  Up to
+    ``broadcast_limit`` rows it is broadcast and the lookup runs map-side with
+    no shuffle of the large side.  A larger slab table is not broadcast: slabs
+    are cut into value buckets and joined on the bucket id (an equi-join the
+    planner can shuffle), see :func:`_bucketed_slab_join`.  ``on`` adds
+    equality conditions (e.g. the region class).
     """
     out_col = out_col or amount
+    if slabs.count() > broadcast_limit:
+        return _bucketed_slab_join(values, value_col, slabs, lo, hi, amount, else_value, on or [], out_col)
     v = values.alias("_v")
     s = slabs.alias("_s")
     x = F.col(f"_v.`{value_col}`")
     cond = (F.col(f"_s.{lo}").isNull() | (x >= F.col(f"_s.{lo}"))) & (F.col(f"_s.{hi}").isNull() | (x <= F.col(f"_s.{hi}")))
     for lcol, rcol in on or []:
         cond = cond & (F.col(f"_v.`{lcol}`") == F.col(f"_s.`{rcol}`"))
-    # Row identity for the rare overlapping-slab case: keep the lowest slab.
     joined = v.join(F.broadcast(s), cond, "left")
     rest = [F.col(f"_v.`{c}`") for c in values.columns]
     amt = F.coalesce(F.col(f"_s.{amount}"), F.lit(else_value))
     return joined.select(*rest, amt.alias(out_col))
 
 
-def semi_join_latest(df: DataFrame, key: str, order_col: str, latest: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose (key, order_col) equals the per-key maximum in ``latest``."""
-    return df.join(latest, on=[key, order_col], how="left_semi")
+def _bucketed_slab_join(values: DataFrame, value_col: str, slabs: DataFrame, lo: str, hi: str, amount: str,
+                        else_value, on: list[tuple[str, str]], out_col: str) -> DataFrame:
+    """Range lookup without a broadcast and without pairing every value with every slab.
 
-
-def col_ref(name: str) -> Column:
-    return F.col(name) if "." in name else F.col(f"`{name}`")
+    Bucket width ``w`` = (value span) / (4 x number of slabs), so the slabs,
+    exploded over the buckets they overlap, give at most ~5x as many rows as
+    there are slabs.  Open slab ends are closed at the data's min / max (one
+    scalar aggregate); slabs outside the data's range are dropped.  Each value
+    row carries its bucket id; the equi-join on (bucket, on-keys) plus the
+    range filter finds its slab.
+    """
+    x = F.col(f"`{value_col}`").cast("double")
+    stats = values.agg(F.min(x).alias("vmin"), F.max(x).alias("vmax")).first()
+    n_slabs = slabs.count()
+    vmin, vmax = stats.vmin, stats.vmax
+    if vmin is None:                                   # no values at all
+        return values.withColumn(out_col, F.lit(else_value))
+    width = max((vmax - vmin) / (4.0 * n_slabs), 1e-9)
+    lo_c = F.coalesce(F.col(lo).cast("double"), F.lit(vmin))
+    hi_c = F.coalesce(F.col(hi).cast("double"), F.lit(vmax))
+    overlaps = (lo_c <= hi_c) & (lo_c <= F.lit(vmax)) & (hi_c >= F.lit(vmin))
+    sl = (slabs.where(overlaps)
+               .select(*[F.col(f"`{r}`").alias(f"_on{i}") for i, (_, r) in enumerate(on)],
+                       F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.col(amount).alias("_amt"),
+                       F.explode(F.sequence(F.floor((F.greatest(lo_c, F.lit(vmin)) - vmin) / width),
+                                            F.floor((F.least(hi_c, F.lit(vmax)) - vmin) / width))).alias("_b")))
+    keyed = values.withColumn("_b", F.floor((x - F.lit(vmin)) / width))
+    cond = [keyed["_b"] == sl["_b"]]
+    cond += [keyed[f"`{lcol}`"] == sl[f"_on{i}"] for i, (lcol, _) in enumerate(on)]
+    xv = keyed[f"`{value_col}`"]
+    cond.append((sl["_lo"].isNull() | (xv >= sl["_lo"])) & (sl["_hi"].isNull() | (xv <= sl["_hi"])))
+    joined = keyed.join(sl, cond, "left")
+    amt = F.coalesce(sl["_amt"], F.lit(else_value))
+    return joined.select(*[keyed[f"`{c}`"] for c in values.columns], amt.alias(out_col))

@@ -163,3 +163,23 @@ def test_filters(spark):
     assert rename(df, {"ts": "ts"}).columns == ["ts"]
     with pytest.raises(ValueError):
         union_positional(df, df.withColumn("x", F.lit(1)))
+
+
+def test_slab_join_without_broadcast_matches_broadcast(spark):
+    vals = spark.range(0, 3000).select((F.col("id") * 7 % 1001 - 50).cast("double").alias("v"),
+                                       (F.col("id") % 2).alias("g"))
+    rows = [(g, i * 10 + g, i * 10 + 7 + g, float(i * 100 + g)) for g in (0, 1) for i in range(90)]
+    rows += [(0, None, -40, -1.0), (1, 905, None, -2.0)]          # open ends
+    slabs = spark.createDataFrame(rows, "g long, lo long, hi long, amount double")
+    a = slab_join(vals, "v", slabs, on=[("g", "g")], else_value=0.0)
+    b = slab_join(vals, "v", slabs, on=[("g", "g")], else_value=0.0, broadcast_limit=0)
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert b.count() == 3000
+
+
+def test_bucketed_slab_join_drops_out_of_range_slabs(spark):
+    vals = spark.createDataFrame([(5.0,), (15.0,), (None,)], "v double")
+    slabs = spark.createDataFrame([(0, 10, 1.0), (11, 20, 2.0), (100, 200, 3.0), (-50, -10, 4.0)],
+                                  "lo long, hi long, amount double")
+    got = sorted(slab_join(vals, "v", slabs, broadcast_limit=0).collect(), key=lambda r: (r.v is None, r.v))
+    assert [(r.v, r.amount) for r in got] == [(5.0, 1.0), (15.0, 2.0), (None, 0)]
