@@ -25,9 +25,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, LongType
 
-from kpiloom.functions.scalars import NULL_KEY, from_units, key_norm, money_units
+from kpiloom.functions.scalars import INTEGRAL, NULL_KEY, from_units, key_norm, money_units
 
 # Person-key column candidates (first present wins, compared in
 # lower case) and the words that mark a payout column.
@@ -106,10 +106,14 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
     groups: dict[tuple[int, str], list[int]] = {}
     for i, m in enumerate(mappings):
         groups.setdefault((id(m.df), m.key_col), []).append(i)
+    # Integer keys everywhere: group on the long key and make it text after
+    # the aggregate (cheaper hashing; the cast is one-to-one).
+    integral = all(m.df.schema[m.key_col].dataType.typeName() in INTEGRAL for m in mappings)
     parts = []
     for (_, key_col), idx in groups.items():
         src = mappings[idx[0]].df
-        cols = [key_norm(q(key_col), null_key, src.schema[key_col].dataType).alias(key_name)]
+        key = q(key_col).cast("long") if integral else key_norm(q(key_col), null_key, src.schema[key_col].dataType)
+        cols = [key.alias(key_name)]
         for j, m in enumerate(mappings):
             value = money_units(q(m.val_col), src.schema[m.val_col].dataType, scale) if j in idx \
                 else F.lit(None).cast("long")
@@ -120,8 +124,9 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
     sums = [F.coalesce(F.sum(f"_v{j}"), F.lit(0).cast("long")).alias(f"_v{j}") for j in range(len(mappings))]
     wide = long.groupBy(key_name).agg(*sums)
     total = reduce(lambda a, b: a + b, [F.col(f"_v{j}") for j in range(len(mappings))])
+    key_out = key_norm(F.col(key_name), null_key, LongType()) if integral else F.col(key_name)
     out = wide.select(
-        F.col(key_name),
+        key_out.alias(key_name),
         *[from_units(f"_v{j}", scale).alias(lab) for j, lab in enumerate(labels)],
         from_units(total, scale).alias(total_name),
     )

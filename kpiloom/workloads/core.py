@@ -27,8 +27,8 @@ def kpi_sheets(spark, sf_dir) -> dict[str, DataFrame]:
     events = table(spark, sf_dir, "events")
     lines = table(spark, sf_dir, "lineitem")
     # net = price * (1 - discount), exactly, in 1e-4 units: cents x (100 - discount points)
-    net_units = (F.round(F.col("l_extendedprice") * 100).cast("long")
-                 * (F.lit(100) - F.round(F.col("l_discount") * 100).cast("long")))
+    net_units = (F.rint(F.col("l_extendedprice") * 100).cast("long")
+                 * (F.lit(100) - F.rint(F.col("l_discount") * 100).cast("long")))
     per_order = lines.groupBy("l_orderkey").agg(from_units(F.sum(net_units)).alias("line_payout"))
     line_kpi = (per_order.join(orders.select("o_orderkey", "o_custkey"),
                                per_order.l_orderkey == orders.o_orderkey)

@@ -183,3 +183,15 @@ def test_bucketed_slab_join_drops_out_of_range_slabs(spark):
                                   "lo long, hi long, amount double")
     got = sorted(slab_join(vals, "v", slabs, broadcast_limit=0).collect(), key=lambda r: (r.v is None, r.v))
     assert [(r.v, r.amount) for r in got] == [(5.0, 1.0), (15.0, 2.0), (None, 0)]
+
+
+def test_consolidate_integer_keys_fast_path(spark):
+    a = spark.createDataFrame([(1, 2.0), (None, 3.0), (10, 1.0)], "k long, v double")
+    b = spark.createDataFrame([(1, 5.0), (2, 7.0)], "k int, v double")
+    got = {r.cj_id: r.total_incentive for r in consolidate(mappings_for(a, "a", "k", ["v"]) +
+                                                           mappings_for(b, "b", "k", ["v"])).collect()}
+    assert got == {"1": 7.0, "nan": 3.0, "10": 1.0, "2": 7.0}
+    mixed = spark.createDataFrame([(" 1 ", 1.0)], "k string, v double")
+    got = {r.cj_id: r.total_incentive for r in consolidate(mappings_for(a, "a", "k", ["v"]) +
+                                                           mappings_for(mixed, "m", "k", ["v"])).collect()}
+    assert got["1"] == 3.0
