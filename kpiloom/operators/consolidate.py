@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType
 
-from kpiloom.functions.scalars import INTEGRAL, NULL_KEY, from_units, key_norm, money_units
+from kpiloom.functions.scalars import INTEGRAL, NULL_KEY, from_units, key_norm, money_units, num_coerce
 
 # Person-key column candidates (first present wins, compared in
 # lower case) and the words that mark a payout column.
@@ -135,6 +135,19 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
     return out
 
 
+def net_payout(incentives: list[Mapping], reimbursements: list[Mapping] = (), penalties: list[Mapping] = (),
+               tips: list[Mapping] = (), key_name: str = "cj_id", total_name: str = "net_payout") -> DataFrame:
+    """Incentives + reimbursements + tips - penalties per person.
+
+    Penalty values are negated before the merge; tips pass through whole.
+    One :func:`consolidate` (one shuffle) over all components.
+    """
+    negated = [Mapping(m.df.withColumn(f"_neg_{m.val_col}", -num_coerce(q(m.val_col), m.df.schema[m.val_col].dataType)),
+                       m.key_col, f"_neg_{m.val_col}", m.label) for m in penalties]
+    return consolidate(list(incentives) + list(reimbursements) + list(tips) + negated,
+                       key_name=key_name, total_name=total_name, sort=False)
+
+
 def row_total(df: DataFrame, label_cols: list[str], total_name: str = "total") -> DataFrame:
     """Row-wise sum of ``label_cols`` after numeric coercion (missing -> 0)."""
     parts = [money_units(q(c), df.schema[c].dataType) for c in label_cols]

@@ -31,6 +31,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, i
     return reader.option("inferSchema", infer).csv(path)
 
 
+def load_csv_table(spark: SparkSession, path: str, name: str | None = None, existing: set[str] | None = None,
+                   schema: StructType | None = None, **options) -> tuple[str, DataFrame]:
+    """A CSV file as a named table: the given name or the file stem; a name
+    already taken (case-insensitive) is refused."""
+    table = table_name_for(path, name)
+    if table.lower() in {n.lower() for n in (existing or set())}:
+        raise ValueError(f"a table named {table!r} already exists")
+    return table, read_csv(spark, path, schema=schema, **options)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = True) -> list[str]:
     """Paths of the files below ``folder`` matching ``pattern`` (listing only:
     the binary-file source prunes the ``content`` column, nothing is read).

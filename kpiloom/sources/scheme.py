@@ -84,3 +84,13 @@ def scheme_amount(sub_category: str) -> float:
     if len(hits) != 1:
         raise KeyError(f"{sub_category!r} is not a single-row rule")
     return float(hits[0][4])
+
+
+SCHEME_SHEET = "scheme"
+
+
+def with_scheme_first(spark: SparkSession, sheets: dict, name: str = SCHEME_SHEET, path: str | None = None) -> dict:
+    """Sheets with the (freshly re-read) scheme first; any stale copy is replaced."""
+    out = {name: load_scheme(spark, path)}
+    out.update({k: v for k, v in sheets.items() if k != name})
+    return out

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.scalars import from_units, money_units
 from kpiloom.operators import rules as R
-from kpiloom.operators.consolidate import consolidate, mappings_for
+from kpiloom.operators.consolidate import Mapping, net_payout
 from kpiloom.sources.scheme import load_scheme, scheme_amount
 from kpiloom.sources.tables import table
 from kpiloom.workloads import register
@@ -276,13 +276,16 @@ def q_net_payout(spark, sf_dir):
         F.sum("day_amount").alias("productivity"), per_unit.alias("per_unit"),
         (F.sum("night") * scheme_amount("Night Inspection")).alias("night"),
         from_units(F.coalesce(F.sum("km_units"), F.lit(0)) * km_rate).alias("conveyance"),
-        (-F.sum("errors") * scheme_amount("1 Star Rating")).alias("one_star"))
-    im = im_penalty(spark, sf_dir).select("person", (-F.col("im_penalty")).alias("im"))
-    maps = (mappings_for(people, "", "person", ["productivity", "per_unit", "night", "conveyance", "one_star"])
-            + mappings_for(im, "im", "person", ["im"]))
-    labels = ["productivity", "per_unit", "night", "conveyance", "one_star", "im"]
-    maps = [type(m)(m.df, m.key_col, m.val_col, lab) for m, lab in zip(maps, labels)]
-    return consolidate(maps, total_name="net_payout", sort=False)
+        (F.sum("errors") * scheme_amount("1 Star Rating")).alias("one_star"))
+    im = im_penalty(spark, sf_dir)
+
+    def m(df, col, label):
+        return Mapping(df, "person", col, label)
+    return net_payout(
+        incentives=[m(people, "productivity", "productivity"), m(people, "per_unit", "per_unit"),
+                    m(people, "night", "night")],
+        reimbursements=[m(people, "conveyance", "conveyance")],
+        penalties=[m(people, "one_star", "one_star"), m(im, "im_penalty", "im")])
 
 
 # Expected typed rule table, stated independently for the oracle (rule_no,

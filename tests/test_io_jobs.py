@@ -127,3 +127,15 @@ def test_strip_zone(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:00",)], "t string").select(F.to_timestamp_ntz("t").alias("t"))
     out = FS.strip_zone(df, "Asia/Kolkata").first().t
     assert str(out) == "2024-01-01 05:30:00"
+
+
+def test_csv_table_naming_and_scheme_first(spark):
+    from kpiloom.sources.scheme import with_scheme_first
+    p = scratch_path(spark, "people.csv")
+    spark.createDataFrame([(1, "a")], "id int, n string").write.option("header", True).csv(p)
+    name, df = FS.load_csv_table(spark, p)
+    assert name == "people" and df.count() == 1
+    with pytest.raises(ValueError):
+        FS.load_csv_table(spark, p, existing={"PEOPLE"})
+    sheets = with_scheme_first(spark, {"x": df, "scheme": None})
+    assert list(sheets) == ["scheme", "x"] and sheets["scheme"].count() == 44

@@ -195,3 +195,14 @@ def test_consolidate_integer_keys_fast_path(spark):
     got = {r.cj_id: r.total_incentive for r in consolidate(mappings_for(a, "a", "k", ["v"]) +
                                                            mappings_for(mixed, "m", "k", ["v"])).collect()}
     assert got["1"] == 3.0
+
+
+def test_net_payout_signs_and_tips(spark):
+    from kpiloom.operators.consolidate import net_payout
+    inc = spark.createDataFrame([("a", 100.0), ("b", 50.0)], "k string, v double")
+    pen = spark.createDataFrame([("a", "30"), ("c", "5")], "k string, v string")
+    tip = spark.createDataFrame([("b", 12.5)], "k string, v double")
+    out = net_payout(mappings_for(inc, "inc", "k", ["v"]), penalties=mappings_for(pen, "pen", "k", ["v"]),
+                     tips=mappings_for(tip, "tips", "k", ["v"]))
+    got = {r.cj_id: (r.inc, r.tips, r.pen, r.net_payout) for r in out.collect()}
+    assert got == {"a": (100.0, 0.0, -30.0, 70.0), "b": (50.0, 12.5, 0.0, 62.5), "c": (0.0, 0.0, -5.0, -5.0)}
