@@ -139,3 +139,26 @@ def test_csv_table_naming_and_scheme_first(spark):
         FS.load_csv_table(spark, p, existing={"PEOPLE"})
     sheets = with_scheme_first(spark, {"x": df, "scheme": None})
     assert list(sheets) == ["scheme", "x"] and sheets["scheme"].count() == 44
+
+
+def test_batch_cli_with_yaml_and_html_registries(spark, tmp_path):
+    from kpiloom.plans.cli import main
+    data = scratch_path(spark, "nums")
+    spark.range(10).write.parquet(data)
+    yml = tmp_path / "q.yaml"
+    yml.write_text("queries:\n"
+                   "  - name: Evens\n    sql: SELECT * FROM nums WHERE id % 2 = 0\n    sheet_name: Evens\n"
+                   "    refresh_frequency: manual\n    enabled: true\n"
+                   "  - name: Broken\n    sql: SELECT nope FROM nums\n    sheet_name: Broken\n"
+                   "    refresh_frequency: manual\n")
+    out = scratch_path(spark, "out")
+    s = main(["--registry", str(yml), "--table", f"nums={data}", "--out", out, "--frequency", "MANUAL"], spark)
+    assert (s["total_queries"], s["successful"], s["failed"], s["total_rows"]) == (2, 1, 1, 5)
+    assert spark.read.parquet(f"{out}/Evens").count() == 5
+    assert spark.read.parquet(f"{out}/_runlog").count() == 2
+    html = tmp_path / "q.html"
+    html.write_text("<html><table><tr><th>Query Name</th><th>SQL Query</th><th>Sheet Name</th></tr>"
+                    "<tr><td>Small</td><td>SELECT * FROM nums WHERE id &lt; 3</td><td>Small</td></tr></table></html>")
+    out2 = scratch_path(spark, "out2")
+    s = main(["--registry", str(html), "--table", f"nums={data}", "--out", out2, "--sequential"], spark)
+    assert (s["total_queries"], s["total_rows"]) == (1, 3)
