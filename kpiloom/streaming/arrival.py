@@ -8,6 +8,8 @@
 The checkpoint records which files each batch consumed, so a restarted job
 neither skips nor double counts files; overwriting by batch id makes the
 sink exactly-once even when a batch is re-executed after an executor loss.
+``compact`` folds the partials into a snapshot (``_snapshots/upto=<id>``,
+hidden from the partial scan) so reads stay bounded on long-running streams.
 """
 
 from __future__ import annotations
@@ -44,12 +46,61 @@ def start_refresh(spark: SparkSession, source_dir: str, schema: StructType, stat
     return writer.start()
 
 
+def _snapshots(spark: SparkSession, state_dir: str) -> list[int]:
+    """Batch ids covered by compacted snapshots (``<state>/_snapshots/upto=<id>``)."""
+    from kpiloom.sources.files import list_files
+    try:
+        paths = list_files(spark, f"{state_dir.rstrip('/')}/_snapshots", "*.parquet")
+    except Exception:  # no snapshot folder yet
+        return []
+    ids = {int(p.split("upto=")[1].split("/")[0]) for p in paths if "upto=" in p and "/_SUCCESS" not in p}
+    return sorted(ids)
+
+
+def _merged_partials(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Per-key (v, n) over the newest snapshot plus the micro-batches after it."""
+    base = state_dir.rstrip("/")
+    snaps = _snapshots(spark, state_dir)
+    parts = spark.read.parquet(base)
+    if snaps:
+        parts = parts.where(F.col("batch_id") > snaps[-1])
+    parts = parts.select("cj_id", "v", "n")
+    if snaps:
+        parts = parts.unionByName(spark.read.parquet(f"{base}/_snapshots/upto={snaps[-1]}").select("cj_id", "v", "n"))
+    return parts
+
+
 def current_totals(spark: SparkSession, state_dir: str, value_name: str = "total", count_name: str = "n_rows") -> DataFrame:
-    """Totals per key over every committed micro-batch."""
-    parts = spark.read.parquet(state_dir)
+    """Totals per key over every committed micro-batch (newest snapshot + later batches)."""
+    parts = _merged_partials(spark, state_dir)
     return parts.groupBy("cj_id").agg(F.sum("v").cast("double").alias(value_name),
                                       F.sum("n").cast("bigint").alias(count_name))
 
 
+def compact(spark: SparkSession, state_dir: str) -> int | None:
+    """Fold all committed micro-batch partials into one snapshot ``upto=<last batch>``.
+
+    The snapshot is written to a new folder (never over the inputs), so a
+    failed compaction leaves the previous state readable; readers switch to
+    the new snapshot only once its write has committed.  Older partials stay
+    on disk for the retention policy to remove.  Returns the batch id covered.
+    """
+    base = state_dir.rstrip("/")
+    last = spark.read.parquet(base).agg(F.max("batch_id")).first()[0]
+    snaps = _snapshots(spark, state_dir)
+    if last is None or (snaps and snaps[-1] >= last):
+        return snaps[-1] if snaps else None
+    # only batches up to `last` (a batch committed meanwhile stays a partial)
+    if snaps:
+        newer = spark.read.parquet(base).where((F.col("batch_id") > snaps[-1]) & (F.col("batch_id") <= last))
+        older = spark.read.parquet(f"{base}/_snapshots/upto={snaps[-1]}")
+        merged = newer.select("cj_id", "v", "n").unionByName(older.select("cj_id", "v", "n"))
+    else:
+        merged = spark.read.parquet(base).where(F.col("batch_id") <= last).select("cj_id", "v", "n")
+    merged = merged.groupBy("cj_id").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    merged.write.mode("overwrite").parquet(f"{base}/_snapshots/upto={last}")
+    return last
+
+
 def batches_seen(spark: SparkSession, state_dir: str) -> DataFrame:
     return spark.read.parquet(state_dir).select("batch_id").distinct()

@@ -162,3 +162,24 @@ def test_batch_cli_with_yaml_and_html_registries(spark, tmp_path):
     out2 = scratch_path(spark, "out2")
     s = main(["--registry", str(html), "--table", f"nums={data}", "--out", out2, "--sequential"], spark)
     assert (s["total_queries"], s["total_rows"]) == (1, 3)
+
+
+def test_streaming_compaction(spark):
+    from kpiloom.streaming.arrival import compact
+    landing, state, ckpt = (scratch_path(spark, n) for n in ("land2", "state2", "ckpt2"))
+    schema = spark.createDataFrame([], "k long, v double").schema
+
+    def land_and_run(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(landing)
+        q = start_refresh(spark, landing, schema, state, ckpt, "k", "v")
+        q.awaitTermination(120)
+
+    land_and_run([(1, 1.0), (2, 2.0)])
+    land_and_run([(1, 0.5)])
+    assert compact(spark, state) == 1
+    land_and_run([(2, 0.25), (3, 3.0)])
+    want = {"1": (1.5, 2), "2": (2.25, 2), "3": (3.0, 1)}
+    assert {r.cj_id: (r.total, r.n_rows) for r in current_totals(spark, state).collect()} == want
+    assert compact(spark, state) == 2
+    assert {r.cj_id: (r.total, r.n_rows) for r in current_totals(spark, state).collect()} == want
+    assert compact(spark, state) == 2          # nothing new: no second snapshot
