@@ -14,7 +14,7 @@ from kpiloom.operators.latest import latest_per_key
 from kpiloom.operators.paging import domain_values, top_n
 from kpiloom.plans.report import inspection_feedback_report, report_inputs_from_tables
 from kpiloom.sources.tables import table
-from kpiloom.workloads import day_text, register, to_doubles, ts_text
+from kpiloom.workloads import day_text, register, ts_text
 
 
 def T(spark, sf_dir, name):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions import scalars as S
 from kpiloom.sources.tables import table
-from kpiloom.workloads import day_text, register, to_doubles
+from kpiloom.workloads import day_text, register
 
 NUM_RE_SQL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
