@@ -51,9 +51,10 @@ def money_units(c, dtype=None, scale: int = 4) -> Column:
 
     Sums of these are exact, order independent and run on the fast
     primitive-long path of the aggregate (a ``decimal(38, s)`` sum falls back
-    to BigDecimal arithmetic).  Divide by ``10**scale`` at the end.  ANSI
-    mode turns an overflow (beyond ~9.2e14 units) into an error, never a
-    wrong total.
+    to BigDecimal arithmetic).  Divide by ``10**scale`` at the end.  The
+    supported range is |value| < 9.2e18 / 10**scale (9.2e14 at the default
+    scale 4) per row and per sum; ANSI mode turns anything beyond it into an
+    error, never a wrong total (pass a smaller ``scale`` for larger amounts).
     """
     v = num_coerce(c, dtype)
     # rint (a single FPU op) instead of round(), which goes through BigDecimal
