@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType
 
-from kpiloom.functions.scalars import INTEGRAL, NULL_KEY, from_units, key_norm, money_units, num_coerce
+from kpiloom.functions.scalars import INTEGRAL, NULL_KEY, from_units, key_norm, money_units
 
 # Person-key column candidates (first present wins, compared in
 # lower case) and the words that mark a payout column.
@@ -44,6 +44,7 @@ class Mapping:
     key_col: str
     val_col: str
     label: str
+    negate: bool = False          # penalties enter the merge with their sign flipped
 
 
 def q(name: str) -> Column:
@@ -115,8 +116,11 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
         key = q(key_col).cast("long") if integral else key_norm(q(key_col), null_key, src.schema[key_col].dataType)
         cols = [key.alias(key_name)]
         for j, m in enumerate(mappings):
-            value = money_units(q(m.val_col), src.schema[m.val_col].dataType, scale) if j in idx \
-                else F.lit(None).cast("long")
+            if j in idx:
+                value = money_units(q(m.val_col), src.schema[m.val_col].dataType, scale)
+                value = -value if m.negate else value
+            else:
+                value = F.lit(None).cast("long")
             cols.append(value.alias(f"_v{j}"))
         parts.append(src.select(*cols))
     long = reduce(DataFrame.unionAll, parts)
@@ -142,8 +146,7 @@ def net_payout(incentives: list[Mapping], reimbursements: list[Mapping] = (), pe
     Penalty values are negated before the merge; tips pass through whole.
     One :func:`consolidate` (one shuffle) over all components.
     """
-    negated = [Mapping(m.df.withColumn(f"_neg_{m.val_col}", -num_coerce(q(m.val_col), m.df.schema[m.val_col].dataType)),
-                       m.key_col, f"_neg_{m.val_col}", m.label) for m in penalties]
+    negated = [Mapping(m.df, m.key_col, m.val_col, m.label, negate=not m.negate) for m in penalties]
     return consolidate(list(incentives) + list(reimbursements) + list(tips) + negated,
                        key_name=key_name, total_name=total_name, sort=False)
 
