@@ -49,7 +49,10 @@ def run_sql(spark: SparkSession, sql: str, args: dict | None = None):
     try:
         return (spark.sql(sql, args=args) if args else spark.sql(sql)), None
     except (AnalysisException, ParseException) as e:
-        return None, str(e).strip().splitlines()[0]
+        msg = str(e).strip().splitlines()[0]
+        if isinstance(e, ParseException) and re.search(r"(?i)\bqualify\b", sql):
+            msg += " | Spark SQL has no QUALIFY: rank in a sub-select and filter it outside"
+        return None, msg
 
 
 def run_kpi(spark: SparkSession, sql: str, sheets: dict[str, DataFrame | None]):

@@ -39,12 +39,14 @@ def write_sheet(df: DataFrame, root: str, sheet: str, fmt: str = "parquet") -> i
 
 
 def write_report(spark: SparkSession, results: list[tuple[str, DataFrame | None, str]], root: str,
-                 mapping: dict[str, str] | None = None) -> DataFrame:
+                 mapping: dict[str, str] | None = None, overwrite: bool = True) -> DataFrame:
     """Write each successful result ``(query_name, df, status)`` to its sheet.
 
-    Failed results are skipped; other sheets under ``root`` are untouched
-    (only the touched sheet folders are replaced).  The manifest rows of this
-    run are appended to ``root/_manifest`` and returned.
+    ``overwrite=True`` replaces a sheet, ``False`` appends the rows below the
+    existing ones (by position).  Failed results are skipped; other sheets
+    under ``root`` are untouched (only the touched sheet folders change).  The
+    manifest rows of this run (rows written) are appended to ``root/_manifest``
+    and returned.
     """
     now = dt.datetime.now()
     rows = []
@@ -52,7 +54,12 @@ def write_report(spark: SparkSession, results: list[tuple[str, DataFrame | None,
         if status != "success" or df is None:
             continue
         sheet = sheet_name_for(qname, mapping)
-        rows.append((sheet, qname, write_sheet(df, root, sheet), now))
+        if overwrite:
+            n = write_sheet(df, root, sheet)
+        else:
+            n = df.count()
+            append_positional(df, f"{root.rstrip('/')}/{sheet}")
+        rows.append((sheet, qname, n, now))
     manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA)
     manifest.write.mode("append").parquet(f"{root.rstrip('/')}/_manifest")
     return manifest

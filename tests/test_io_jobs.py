@@ -183,3 +183,12 @@ def test_streaming_compaction(spark):
     assert compact(spark, state) == 2
     assert {r.cj_id: (r.total, r.n_rows) for r in current_totals(spark, state).collect()} == want
     assert compact(spark, state) == 2          # nothing new: no second snapshot
+
+
+def test_report_append_mode_and_qualify_hint(spark):
+    root = scratch_path(spark, "rep_app")
+    SK.write_report(spark, [("s", spark.range(2), "success")], root)
+    SK.write_report(spark, [("s", spark.range(3).withColumnRenamed("id", "other"), "success")], root, overwrite=False)
+    assert spark.read.parquet(f"{root}/s").count() == 5
+    _, err = run_sql(spark, "SELECT id, RANK() OVER (ORDER BY id) AS r FROM range(3) QUALIFY r = 1")
+    assert "QUALIFY" in err
