@@ -60,3 +60,11 @@ def detail(facts: DataFrame) -> DataFrame:
     """Detail rows with the Unknown fallback and the row's si ratio."""
     return facts.select("month", unknown(F.col("channel")).alias("channel"), "si", "insp",
                         ratio_text(F.col("si"), F.col("insp")).alias("si_pct"))
+
+
+def facet_values(facts: DataFrame) -> DataFrame:
+    """Filter choices: ``(domain, value)`` rows for the sorted distinct months and
+    channels (empty channel shown as ``Unknown``)."""
+    months = facts.select(F.lit("month").alias("domain"), F.col("month").alias("value"))
+    channels = facts.select(F.lit("channel").alias("domain"), unknown(F.col("channel")).alias("value"))
+    return months.unionByName(channels).distinct().orderBy("domain", "value")

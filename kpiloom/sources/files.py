@@ -3,6 +3,7 @@ header normalisation and time-zone stripping."""
 
 from __future__ import annotations
 
+import logging
 import os
 import posixpath
 
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
+log = logging.getLogger(__name__)
+
 
 def table_name_for(path: str, name: str | None = None) -> str:
     """Given name, else the file stem."""
@@ -78,6 +81,7 @@ def read_folder(spark: SparkSession, folder: str, fmt: str = "csv", prefix: str
         else:
             name = stem
         if name.lower() in existing or name in tables:
+            log.warning("table %r already exists; %s skipped", name, entry)
             skipped.append(name)
             continue
         if fmt == "csv":

@@ -11,7 +11,7 @@ from kpiloom.operators.filters import (
 )
 from kpiloom.operators.joins import JoinSpec, join_on, star_join
 from kpiloom.operators.latest import latest_per_key
-from kpiloom.operators.paging import domain_values, top_n
+from kpiloom.operators.paging import top_n
 from kpiloom.plans.report import inspection_feedback_report, report_inputs_from_tables
 from kpiloom.sources.tables import table
 from kpiloom.workloads import day_text, register, ts_text
@@ -193,9 +193,10 @@ def q_dash_detail(spark, sf_dir):
 
 @register("domain_values", f"""
 WITH {FACTS_SQL}
-SELECT DISTINCT month FROM facts""")
+SELECT DISTINCT 'month' AS domain, month AS value FROM facts
+UNION SELECT DISTINCT 'channel', COALESCE(NULLIF(channel, ''), 'Unknown') FROM facts""")
 def q_domain_values(spark, sf_dir):
-    return domain_values(facts(spark, sf_dir), "month")
+    return D.facet_values(facts(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------- joins
