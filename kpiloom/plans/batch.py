@@ -135,15 +135,29 @@ def kpi_order(kpis: dict[str, list[str]]) -> list[str]:
     return order
 
 
-def refresh_kpis(spark: SparkSession, sheets: dict[str, DataFrame], kpis: dict[str, tuple[str, list[str]]]):
+def refresh_kpis(spark: SparkSession, sheets: dict[str, DataFrame], kpis: dict[str, tuple[str, list[str]]],
+                 materialize: bool = False):
     """Evaluate every KPI once, dependencies first; each result is registered
     as a view for the KPIs after it.  Returns ``{name: (df, error)}``.
-    Views stay lazy: nothing runs until a KPI result is written or read."""
+
+    Views are lazy: a KPI read by several later KPIs would be recomputed by
+    each.  With ``materialize=True`` every KPI is computed once into a
+    reliable checkpoint (the shared checkpoint folder, survives executor loss)
+    and later KPIs read that stored result.
+    """
+    from kpiloom.session import checkpoint_dir
     from kpiloom.sources.catalog import register_sheets
     register_sheets(sheets)
+    if materialize:
+        checkpoint_dir(spark)
     out = {}
     for name in kpi_order({k: deps for k, (_sql, deps) in kpis.items()}):
         df, err = run_sql(spark, kpis[name][0])
+        if df is not None and materialize:
+            try:
+                df = df.checkpoint(eager=True)
+            except Exception as e:  # runtime failure of this KPI only
+                df, err = None, str(e).strip().splitlines()[0]
         out[name] = (df, err)
         if df is not None:
             register_sheets({name: df})

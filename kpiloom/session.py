@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.scheduler.mode": "FAIR",          # parallel batch queries share executors by pool
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -70,7 +70,7 @@ def q_kpi_refresh(spark, sf_dir):
         "kpi_pay": ("SELECT user_id, n * 150 AS pay FROM kpi_views WHERE n >= 10", ["kpi_views"]),
         "kpi_views": ("SELECT user_id, COUNT(*) AS n FROM events_data WHERE event_type = 'view' GROUP BY user_id", []),
     }
-    out = refresh_kpis(spark, {"events_data": T(spark, sf_dir, "events")}, kpis)
+    out = refresh_kpis(spark, {"events_data": T(spark, sf_dir, "events")}, kpis, materialize=True)
     df, err = out["kpi_total"]
     if err:
         raise RuntimeError(err)

@@ -192,3 +192,11 @@ def test_report_append_mode_and_qualify_hint(spark):
     assert spark.read.parquet(f"{root}/s").count() == 5
     _, err = run_sql(spark, "SELECT id, RANK() OVER (ORDER BY id) AS r FROM range(3) QUALIFY r = 1")
     assert "QUALIFY" in err
+
+
+def test_kpi_refresh_materialized(spark):
+    from kpiloom.plans.batch import refresh_kpis
+    kpis = {"b": ("SELECT SUM(n) AS s FROM a", ["a"]), "a": ("SELECT id % 3 AS k, COUNT(*) AS n FROM base GROUP BY 1", []),
+            "bad": ("SELECT nope FROM a", ["a"])}
+    out = refresh_kpis(spark, {"base": spark.range(10)}, kpis, materialize=True)
+    assert out["b"][0].first().s == 10 and out["bad"][0] is None and out["bad"][1]
