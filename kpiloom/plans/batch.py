@@ -10,7 +10,9 @@ query that fails to parse, analyse or run only marks its own row.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -50,24 +52,43 @@ class QueryResult:
     error: str | None
 
 
-def run_one(spark: SparkSession, name: str, sql: str, sheet: str, out_root: str, pool: str | None = None) -> QueryResult:
+def run_one(spark: SparkSession, name: str, sql: str, sheet: str, out_root: str, pool: str | None = None,
+            timeout: float | None = None) -> QueryResult:
+    """Run one named query into its sheet; never raises.
+
+    With ``timeout`` (seconds) the query's jobs run under their own job group
+    and a timer cancels the group when time is up: the running tasks are
+    interrupted and the query is recorded as failed.
+    """
+    sc = spark.sparkContext
     if pool:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+        sc.setLocalProperty("spark.scheduler.pool", pool)
+    group = f"kpiloom-{uuid.uuid4().hex}"
+    sc.setJobGroup(group, name, interruptOnCancel=True)
+    timer = threading.Timer(timeout, sc.cancelJobGroup, [group]) if timeout else None
     start, t0 = dt.datetime.now(), time.perf_counter()
     rows, err = 0, None
     df, err = run_sql(spark, sql)
     if df is not None:
         try:
+            if timer:
+                timer.start()
             rows = write_sheet(df, out_root, sheet)
         except Exception as e:  # runtime failure of this query only
             err = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
+            if timer and not timer.is_alive():
+                err = f"timed out after {timeout:g}s"
+        finally:
+            if timer:
+                timer.cancel()
+    sc.setLocalProperty("spark.jobGroup.id", None)
     secs = time.perf_counter() - t0
     return QueryResult(name, sheet, "failed" if err else "success", start, dt.datetime.now(), secs,
                        0 if err else rows, err)
 
 
 def run_batch(spark: SparkSession, registry: DataFrame, out_root: str, frequency: str | None = None,
-              parallel: bool = True, max_workers: int = MAX_PARALLEL) -> DataFrame:
+              parallel: bool = True, max_workers: int = MAX_PARALLEL, timeout: float | None = None) -> DataFrame:
     """Run the selected registry entries; returns the run log (one row per query).
 
     Collecting the registry is fine: it is configuration, not data.
@@ -77,11 +98,11 @@ def run_batch(spark: SparkSession, registry: DataFrame, out_root: str, frequency
             for e in entries]
     if parallel and len(jobs) > 1:
         target = inheritable_thread_target(spark)(
-            lambda j: run_one(spark, j[0], j[1], j[2], out_root, pool=f"batch_{j[0]}"))
+            lambda j: run_one(spark, j[0], j[1], j[2], out_root, pool=f"batch_{j[0]}", timeout=timeout))
         with ThreadPoolExecutor(max_workers=max_workers) as ex:
             results = list(ex.map(target, jobs))
     else:
-        results = [run_one(spark, n, s, sh, out_root) for n, s, sh in jobs]
+        results = [run_one(spark, n, s, sh, out_root, timeout=timeout) for n, s, sh in jobs]
     return spark.createDataFrame([tuple(vars(r).values()) for r in results], RUNLOG_SCHEMA)
 
 

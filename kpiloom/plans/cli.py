@@ -1,7 +1,7 @@
 """Batch report job for ``spark-submit``.
 
     spark-submit -m kpiloom.plans.cli --registry queries.yaml --table orders=/data/orders \
-        --out /reports/2026-04 [--frequency daily] [--sequential]
+        --out /reports/2026-04 [--frequency daily] [--sequential] [--timeout 300]
 
 The registry is a YAML / JSON list (or a ``queries:`` key) of entries
 ``{name, sql, sheet_name, refresh_frequency, enabled}``, or the first table of
@@ -73,6 +73,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     ap.add_argument("--out", required=True)
     ap.add_argument("--frequency")
     ap.add_argument("--sequential", action="store_true")
+    ap.add_argument("--timeout", type=float, help="seconds per query; the query's jobs are cancelled after it")
     args = ap.parse_args(argv)
 
     if spark is None:
@@ -80,7 +81,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         spark = get_session("kpiloom-batch")
     register_inputs(spark, args.table)
     registry = registry_from_file(spark, args.registry)
-    log = run_batch(spark, registry, args.out, frequency=args.frequency, parallel=not args.sequential)
+    log = run_batch(spark, registry, args.out, frequency=args.frequency, parallel=not args.sequential,
+                    timeout=args.timeout)
     append_runlog(log, f"{args.out.rstrip('/')}/_runlog")
     summary = run_summary(log).collect()
     out = summary[0].asDict() if summary else {}

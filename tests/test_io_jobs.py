@@ -200,3 +200,17 @@ def test_kpi_refresh_materialized(spark):
             "bad": ("SELECT nope FROM a", ["a"])}
     out = refresh_kpis(spark, {"base": spark.range(10)}, kpis, materialize=True)
     assert out["b"][0].first().s == 10 and out["bad"][0] is None and out["bad"][1]
+
+
+def test_batch_timeout_cancels_only_the_slow_query(spark):
+    import time as _t
+    reg = spark.createDataFrame([
+        ("slow", "SELECT SUM(a.id * b.id) AS s FROM range(200000000) a JOIN range(3) b ON a.id % 3 = b.id",
+         "Slow", "daily", True),
+        ("fast", "SELECT 1 AS x", "Fast", "daily", True)], REGISTRY_SCHEMA)
+    t0 = _t.time()
+    log = run_batch(spark, reg, scratch_path(spark, "to"), timeout=3, parallel=False)
+    got = {r.query_name: (r.status, r.error) for r in log.collect()}
+    assert got["fast"] == ("success", None)
+    assert got["slow"][0] == "failed" and "timed out" in got["slow"][1]
+    assert _t.time() - t0 < 60
