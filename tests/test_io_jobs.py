@@ -205,7 +205,7 @@ def test_kpi_refresh_materialized(spark):
 def test_batch_timeout_cancels_only_the_slow_query(spark):
     import time as _t
     reg = spark.createDataFrame([
-        ("slow", "SELECT SUM(a.id * b.id) AS s FROM range(200000000) a JOIN range(3) b ON a.id % 3 = b.id",
+        ("slow", "SELECT SUM(a.id * b.id) AS s FROM range(20000000000) a JOIN range(3) b ON a.id % 3 = b.id",
          "Slow", "daily", True),
         ("fast", "SELECT 1 AS x", "Fast", "daily", True)], REGISTRY_SCHEMA)
     t0 = _t.time()
