@@ -38,6 +38,13 @@ def to_doubles(df):
                        else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
+def as_double(df, *cols):
+    """Integer columns that can hold nulls leave as doubles: pandas turns a
+    nullable integer column into float64 on one side and Int64 on the other."""
+    from pyspark.sql import functions as F
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 def day_text(c):
     """Date -> 'yyyy-MM-dd' text (SQL side: strftime(c, '%Y-%m-%d'))."""
     from pyspark.sql import functions as F

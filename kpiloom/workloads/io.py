@@ -16,7 +16,7 @@ from kpiloom.sources.catalog import register_sheets, run_sql
 from kpiloom.sources.html import read_html_table, table_html
 from kpiloom.sources.scheme import load_scheme
 from kpiloom.sources.tables import register_tables, table
-from kpiloom.workloads import register, ts_text
+from kpiloom.workloads import as_double, register, ts_text
 
 
 def T(spark, sf_dir, name):
@@ -129,7 +129,7 @@ slab(condition, lo, hi, amount) AS (VALUES
   ('T7 Regions', 7, 7, 500.0), ('T7 Regions', 8, 8, 800.0), ('T7 Regions', 9, NULL, 1000.0),
   ('Non T7', 3, 3, 0.0), ('Non T7', 4, 4, 50.0), ('Non T7', 5, 5, 150.0), ('Non T7', 6, 6, 300.0),
   ('Non T7', 7, 7, 500.0), ('Non T7', 8, 8, 700.0), ('Non T7', 9, NULL, 1000.0))
-SELECT condition, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, CAST(amount AS DOUBLE) AS amount,
+SELECT condition, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, CAST(amount AS DOUBLE) AS amount,
        CAST(COUNT(d) AS BIGINT) AS person_days
 FROM slab LEFT JOIN daily ON n >= lo AND (hi IS NULL OR n <= hi)
 GROUP BY condition, lo, hi, amount""")
@@ -142,9 +142,10 @@ def q_src_scheme(spark, sf_dir):
         F.count(F.lit(1)).alias("person_days"))
     h = hits.alias("h")
     same = [F.col(f"s.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("condition", "lo", "hi", "amount")]
-    return slabs.alias("s").join(h, same[0] & same[1] & same[2] & same[3], "left").select(
+    out = slabs.alias("s").join(h, same[0] & same[1] & same[2] & same[3], "left").select(
         "s.condition", "s.lo", "s.hi", "s.amount",
         F.coalesce("h.person_days", F.lit(0)).cast("bigint").alias("person_days"))
+    return as_double(out, "lo", "hi")
 
 
 @register("norm_headers", CUSTOMER_SQL)
@@ -242,9 +243,9 @@ def q_sink_runlog(spark, sf_dir):
 
 
 @register("ws_save_load", """
-SELECT 'customers' AS name, 'sql' AS type, 'success' AS status, CAST(COUNT(*) AS BIGINT) AS row_count FROM customer
+SELECT 'customers' AS name, 'sql' AS type, 'success' AS status, CAST(COUNT(*) AS DOUBLE) AS row_count FROM customer
 UNION ALL SELECT 'no_orders', 'sql', 'pending', NULL
-UNION ALL SELECT 'events_per_user', 'kpi', 'success', CAST(COUNT(DISTINCT user_id) AS BIGINT) FROM events""")
+UNION ALL SELECT 'events_per_user', 'kpi', 'success', CAST(COUNT(DISTINCT user_id) AS DOUBLE) FROM events""")
 def q_ws_save_load(spark, sf_dir):
     root = scratch_path(spark, "workspaces")
     sheets = {
@@ -259,7 +260,7 @@ def q_ws_save_load(spark, sf_dir):
     for name, df in tables.items():
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("name"), "row_count")
         counts = c if counts is None else counts.unionByName(c)
-    return meta.join(counts, "name", "left").select("name", "type", "status", "row_count")
+    return as_double(meta.join(counts, "name", "left").select("name", "type", "status", "row_count"), "row_count")
 
 
 @register("ts_naive", """

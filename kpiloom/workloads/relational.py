@@ -14,7 +14,7 @@ from kpiloom.operators.latest import latest_per_key
 from kpiloom.operators.paging import top_n
 from kpiloom.plans.report import inspection_feedback_report, report_inputs_from_tables
 from kpiloom.sources.tables import table
-from kpiloom.workloads import day_text, register, ts_text
+from kpiloom.workloads import as_double, day_text, register, ts_text
 
 
 def T(spark, sf_dir, name):
@@ -212,11 +212,13 @@ def debtors(spark, sf_dir):
 
 
 @register("join_left", """
-SELECT c.c_custkey, e.event_id, e.value FROM customer c LEFT JOIN events e ON c.c_custkey = e.user_id""")
+SELECT c.c_custkey, CAST(e.event_id AS DOUBLE) AS event_id, e.value
+FROM customer c LEFT JOIN events e ON c.c_custkey = e.user_id""")
 def q_join_left(spark, sf_dir):
     c = T(spark, sf_dir, "customer").select("c_custkey")
     e = T(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    return join_on(c, e, "c_custkey", "user_id", "LEFT JOIN").select("c_custkey", "event_id", "value")
+    return as_double(join_on(c, e, "c_custkey", "user_id", "LEFT JOIN").select("c_custkey", "event_id", "value"),
+                     "event_id")
 
 
 @register("join_inner", """
@@ -229,31 +231,35 @@ def q_join_inner(spark, sf_dir):
 
 
 @register("join_right", """
-SELECT e.event_id, c.c_custkey, c.c_name FROM events e RIGHT JOIN customer c ON e.user_id = c.c_custkey
+SELECT CAST(e.event_id AS DOUBLE) AS event_id, c.c_custkey, c.c_name FROM events e RIGHT JOIN customer c ON e.user_id = c.c_custkey
 WHERE c.c_acctbal < 0""")
 def q_join_right(spark, sf_dir):
     c = T(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0).select("c_custkey", "c_name")
     e = T(spark, sf_dir, "events").select("event_id", "user_id")
-    return join_on(e, c, "user_id", "c_custkey", "RIGHT JOIN").select("event_id", "c_custkey", "c_name")
+    return as_double(join_on(e, c, "user_id", "c_custkey", "RIGHT JOIN").select("event_id", "c_custkey", "c_name"),
+                     "event_id")
 
 
 @register("join_full", """
-SELECT t.user_id AS event_user, d.c_custkey AS debtor, CAST(t.n_events AS BIGINT) AS n_events, d.c_name
+SELECT CAST(t.user_id AS DOUBLE) AS event_user, CAST(d.c_custkey AS DOUBLE) AS debtor,
+       CAST(t.n_events AS DOUBLE) AS n_events, d.c_name
 FROM (SELECT user_id, COUNT(*) AS n_events FROM events GROUP BY user_id) t
 FULL OUTER JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0) d ON t.user_id = d.c_custkey""")
 def q_join_full(spark, sf_dir):
     t = events_per_user(spark, sf_dir)
     d = T(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0).select("c_custkey", "c_name")
-    return join_on(t, d, "user_id", "c_custkey", "FULL OUTER JOIN").select(
+    out = join_on(t, d, "user_id", "c_custkey", "FULL OUTER JOIN").select(
         F.col("user_id").alias("event_user"), F.col("c_custkey").alias("debtor"), "n_events", "c_name")
+    return as_double(out, "event_user", "debtor", "n_events")
 
 
 @register("join_using", """
-SELECT user_id, CAST(t.n_events AS BIGINT) AS n_events, d.c_name
+SELECT user_id, CAST(t.n_events AS DOUBLE) AS n_events, d.c_name
 FROM (SELECT user_id, COUNT(*) AS n_events FROM events GROUP BY user_id) t
 FULL OUTER JOIN (SELECT c_custkey AS user_id, c_name FROM customer WHERE c_acctbal < 0) d USING (user_id)""")
 def q_join_using(spark, sf_dir):
-    return join_on(events_per_user(spark, sf_dir), debtors(spark, sf_dir), "user_id", "user_id", "full")
+    return as_double(join_on(events_per_user(spark, sf_dir), debtors(spark, sf_dir), "user_id", "user_id", "full"),
+                     "n_events")
 
 
 @register("join_on_diff", """
@@ -266,7 +272,7 @@ def q_join_on_diff(spark, sf_dir):
 
 
 @register("join_star", """
-SELECT o.o_orderkey, c.c_name, li.n_lines, CAST(li.qty AS DOUBLE) AS qty
+SELECT o.o_orderkey, c.c_name, CAST(li.n_lines AS DOUBLE) AS n_lines, CAST(li.qty AS DOUBLE) AS qty
 FROM orders o
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN (SELECT l_orderkey AS o_orderkey, CAST(COUNT(*) AS BIGINT) AS n_lines, SUM(l_quantity) AS qty
@@ -283,7 +289,8 @@ def q_join_star(spark, sf_dir):
              JoinSpec("li", "o_orderkey", "o_orderkey", "LEFT JOIN"),
              JoinSpec("supplier", None, "s_suppkey")]          # incomplete: skipped
     j = star_join(orders, "o", specs, tables)
-    return j.select("o_orderkey", F.col("customer.c_name"), F.col("li.n_lines"), F.col("li.qty"))
+    return as_double(j.select("o_orderkey", F.col("customer.c_name"), F.col("li.n_lines"), F.col("li.qty")),
+                     "n_lines")
 
 
 REPORT_SQL = """
@@ -313,7 +320,7 @@ fb AS (
            DENSE_RANK() OVER (PARTITION BY appointment_id ORDER BY created_at DESC) AS rnk
     FROM fbsrc WHERE feedback_rating IS NOT NULL) WHERE rnk = 1)
 SELECT t4.appointment_id, t4.inspection_by, t4.version, t4.inspection_status, t4.region, t4.city, t4.centre,
-       strftime(t4.dat, '%Y-%m-%d') AS dat, fb.feedback_rating,
+       strftime(t4.dat, '%Y-%m-%d') AS dat, CAST(fb.feedback_rating AS DOUBLE) AS feedback_rating,
        strftime(fb.created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, fb.feedbacks, fb.additional_comment,
        fo."Store Type", fo.verified, fo.store_name
 FROM t4 LEFT JOIN fb ON fb.appointment_id = t4.appointment_id
@@ -326,7 +333,8 @@ def report(spark, sf_dir, first, last):
                                     T(spark, sf_dir, "lineitem"))
     out = inspection_feedback_report(ins["inspection_log"], ins["centre_list"], ins["feedback"],
                                      ins["store_info"], first, last)
-    return out.withColumn("dat", day_text("dat")).withColumn("created_at", ts_text("created_at"))
+    out = out.withColumn("dat", day_text("dat")).withColumn("created_at", ts_text("created_at"))
+    return as_double(out, "feedback_rating")
 
 
 @register("join_enrich", REPORT_SQL.replace("1994-01-01", "1996-01-01").replace("1994-12-31", "1996-12-31"))

@@ -17,7 +17,7 @@ from kpiloom.operators import rules as R
 from kpiloom.operators.consolidate import Mapping, net_payout
 from kpiloom.sources.scheme import load_scheme, scheme_amount
 from kpiloom.sources.tables import table
-from kpiloom.workloads import register
+from kpiloom.workloads import as_double, register
 
 
 def T(spark, sf_dir, name):
@@ -350,12 +350,12 @@ facts AS (
   UNION ALL SELECT NULL, 'All', 'case', value FROM cost
   UNION ALL SELECT NULL, 'All', 'case_count', CAST(COUNT(*) AS DOUBLE) FROM cost WHERE value >= 10000 GROUP BY o_custkey
   UNION ALL SELECT NULL, 'All', 'month', CAST(COUNT(*) AS DOUBLE) FROM events GROUP BY user_id, strftime(ts, '%Y-%m'))
-SELECT rule_no, category, sub_category, condition, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, unit,
+SELECT rule_no, category, sub_category, condition, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, unit,
        CAST(amount AS DOUBLE) AS amount, action, CAST(min_share AS DOUBLE) AS min_share,
        CASE WHEN lo IS NULL THEN NULL ELSE CAST((
          SELECT COUNT(*) FROM facts f WHERE f.unit = r.unit AND (f.family IS NULL OR f.family = r.sub_category)
             AND (r.condition = 'All' OR r.condition = f.condition) AND f.value >= r.lo
-            AND (r.hi IS NULL OR f.value <= r.hi)) AS BIGINT) END AS n_hits
+            AND (r.hi IS NULL OR f.value <= r.hi)) AS DOUBLE) END AS n_hits
 FROM rules r"""
 
 
@@ -378,4 +378,4 @@ def q_scheme_parse(spark, sf_dir):
                        .select(lit_s(None), lit_s("All"), lit_s("case_count"), F.col("c").cast("double")))
              .unionAll(ev.groupBy("user_id", F.date_format("ts", "yyyy-MM")).agg(F.count(F.lit(1)).alias("c"))
                        .select(lit_s(None), lit_s("All"), lit_s("month"), F.col("c").cast("double"))))
-    return R.rule_coverage(parsed_scheme(spark), facts)
+    return as_double(R.rule_coverage(parsed_scheme(spark), facts), "lo", "hi", "n_hits")
