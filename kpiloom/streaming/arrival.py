@@ -14,6 +14,8 @@ hidden from the partial scan) so reads stay bounded on long-running streams.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
@@ -25,8 +27,14 @@ MONEY = DecimalType(38, 4)
 
 def start_refresh(spark: SparkSession, source_dir: str, schema: StructType, state_dir: str, checkpoint: str,
                   key: str, value: str, fmt: str = "parquet", max_files_per_batch: int | None = None,
-                  available_now: bool = True, processing_time: str | None = None):
-    """Start the streaming refresh; returns the ``StreamingQuery``."""
+                  available_now: bool = True, processing_time: str | None = None,
+                  after_batch: Callable[[SparkSession, int], None] | None = None):
+    """Start the streaming refresh; returns the ``StreamingQuery``.
+
+    ``after_batch(spark, batch_id)`` runs on the driver once a batch's partial
+    is committed -- e.g. to recompute and write the KPI tables that read
+    :func:`current_totals` (the "refresh KPIs when data lands" step).
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
@@ -37,6 +45,8 @@ def start_refresh(spark: SparkSession, source_dir: str, schema: StructType, stat
     def merge(batch: DataFrame, batch_id: int) -> None:
         part = batch.groupBy("cj_id").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n"))
         part.write.mode("overwrite").parquet(f"{state_dir.rstrip('/')}/batch_id={batch_id}")
+        if after_batch is not None:
+            after_batch(batch.sparkSession, batch_id)
 
     writer = rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if processing_time:

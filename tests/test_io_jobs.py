@@ -214,3 +214,20 @@ def test_batch_timeout_cancels_only_the_slow_query(spark):
     assert got["fast"] == ("success", None)
     assert got["slow"][0] == "failed" and "timed out" in got["slow"][1]
     assert _t.time() - t0 < 60
+
+
+def test_streaming_after_batch_hook(spark):
+    landing, state, ckpt, out = (scratch_path(spark, n) for n in ("land3", "state3", "ckpt3", "kpi3"))
+    schema = spark.createDataFrame([], "k string, v double").schema
+    for rows in ([("a", 1.0)], [("b", 2.0)], [("a", 3.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)   # one file each
+    seen = []
+
+    def refresh_kpi(s, batch_id):
+        seen.append(batch_id)
+        current_totals(s, state).where("total > 1").write.mode("overwrite").parquet(out)
+
+    q = start_refresh(spark, landing, schema, state, ckpt, "k", "v", max_files_per_batch=1, after_batch=refresh_kpi)
+    q.awaitTermination(120)
+    assert seen == [0, 1, 2]
+    assert sorted((r.cj_id, r.total) for r in spark.read.parquet(out).collect()) == [("a", 4.0), ("b", 2.0)]
