@@ -1,7 +1,10 @@
 """Make an N-times larger copy of a test-table folder (key-offset replicas),
 for scaling runs of bench.py.  Written once into a fresh folder.
 
-    python tools/scale_up.py SRC_DIR DST_DIR N
+    python tools/scale_up.py SRC_DIR DST_DIR N [HOT_SHARE]
+
+With HOT_SHARE (e.g. 0.33) that share of orders and events is given to one
+customer / user (key 0), to measure the plans under a hot key.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ KEYS = {
 
 def main():
     src, dst, n = sys.argv[1], sys.argv[2], int(sys.argv[3])
+    hot = float(sys.argv[4]) if len(sys.argv) > 4 else 0.0
+    hot_cols = {"orders": ("o_orderkey", "o_custkey"), "events": ("event_id", "user_id")}
     from pyspark.sql import functions as F
     from kpiloom.session import get_session
     spark = get_session(master="local[8]", shuffle_partitions=8)
@@ -34,6 +39,10 @@ def main():
         big = copies[0]
         for c in copies[1:]:
             big = big.unionByName(c)
+        if hot and name in hot_cols:
+            pk, fk = hot_cols[name]
+            pick = (F.abs(F.xxhash64(F.col(pk))) % 1000) < int(hot * 1000)
+            big = big.withColumn(fk, F.when(pick, F.lit(0)).otherwise(F.col(fk)))
         big.write.parquet(f"{dst}/{name}.parquet")
     spark.stop()
 
