@@ -66,7 +66,8 @@ def compare(spark_cols, spark_rows, duck_cols, duck_rows) -> list[str]:
 def duck_views(con, sf_dir: str) -> None:
     from kpiloom.sources.tables import TABLES, table_path
     for t in TABLES:
-        con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf_dir, t)}')")
+        if os.path.exists(table_path(sf_dir, t)):      # scaled copies may hold a subset of the tables
+            con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf_dir, t)}')")
 
 
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
