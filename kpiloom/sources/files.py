@@ -6,6 +6,7 @@ from __future__ import annotations
 import logging
 import os
 import posixpath
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,13 +65,16 @@ def read_folder(spark: SparkSession, folder: str, fmt: str = "csv", prefix: str
     ``existing`` (case-insensitive) are skipped.  Returns ``(tables, skipped)``.
     """
     existing = {n.lower() for n in (existing or set())}
-    base = folder.rstrip("/")
+    # Listed paths are full URIs (hdfs://host:port/..., file:/...); compare path parts only.
+    base = urlparse(folder).path.rstrip("/") or "/"
     entries = []
     for p in list_files(spark, folder, pattern or f"*.{fmt}"):
-        at = p.find(base)
-        rel = p[at + len(base) + 1:] if at >= 0 else posixpath.basename(p)
-        top = rel.split("/")[0]
-        entry = (p[:at + len(base)] if at >= 0 else posixpath.dirname(p)) + "/" + top
+        uri = urlparse(p)
+        path = uri.path
+        if not path.startswith(base + "/"):
+            raise ValueError(f"{p} is not below {folder}")
+        top = path[len(base) + 1:].split("/")[0]
+        entry = p[:len(p) - len(path)] + base + "/" + top if uri.scheme else base + "/" + top
         if entry not in entries:
             entries.append(entry)
     tables, skipped = {}, []
