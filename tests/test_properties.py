@@ -125,3 +125,35 @@ def test_money_outside_long_units_raises(spark):
     df = spark.createDataFrame([("a", "1e300")], "k string, v string")
     with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
         consolidate(mappings_for(df, "a", "k", ["v"])).collect()
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 3)),
+                min_size=1, max_size=40))
+def test_latest_per_key_matches_dense_rank(spark, rows):
+    from kpiloom.operators.latest import latest_per_key
+    data = [(i, k, t, r) for i, (k, t, r) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k long, t long, r long")
+    got = sorted(r.id for r in latest_per_key(df, "k", "t", where=F.col("r") > 0).collect())
+    kept = [d for d in data if d[3] > 0]
+    best = {}
+    for _, k, t, _ in kept:
+        if t is not None:
+            best[k] = max(best.get(k, t), t)
+    want = sorted(i for i, k, t, _ in kept if t is not None and t == best[k])
+    assert got == want
+
+
+cell_text = st.text(alphabet="ab <>&\"'#;xyz", min_size=0, max_size=8)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(cell_text, cell_text), min_size=1, max_size=12))
+def test_html_round_trip(spark, rows):
+    from kpiloom.sources.html import read_html_table, table_html
+    data = [(i, a, b) for i, (a, b) in enumerate(rows)]
+    df = spark.createDataFrame(data, "n long, a string, b string").withColumn("doc", F.lit(1))
+    docs = table_html(df, ["doc"], ["n", "a", "b"], "n")
+    back = read_html_table(docs, "html", ["n", "a", "b"], keep=["doc"]).collect()
+    got = sorted((int(r.n), r.a, r.b) for r in back)
+    assert got == sorted((n, a.strip(), b.strip()) for n, a, b in data)      # cells are trimmed
