@@ -1,8 +1,8 @@
 """Equi-joins driven by small specs, star joins, and the slab range join.
 
 Broadcast policy: only tables whose size is bounded by configuration (rule
-and slab tables, the 25-row nation / 5-row region dimensions) are hinted with
-``F.broadcast``.  Every other join is left to the planner: with AQE on, a side
+and slab tables -- counted first, see :func:`slab_join` -- and the 25-row
+nation / 5-row region dimensions) are hinted with ``F.broadcast``.  Every other join is left to the planner: with AQE on, a side
 that turns out smaller than ``spark.sql.adaptive.autoBroadcastJoinThreshold``
 at run time is broadcast, otherwise it stays a shuffled sort-merge join, and
 skewed partitions are split (``spark.sql.adaptive.skewJoin.enabled``).
