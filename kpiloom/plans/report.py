@@ -7,9 +7,10 @@ their latest feedback (ties kept) and the store record.
     result = t4 LEFT JOIN fb LEFT JOIN fo     (t4.* + feedback + store columns)
 
 Scale notes: the period filter is pushed into the inspection scan; feedback
-is first reduced to the appointments of the period (left-semi join against
-the filtered log's keys, which AQE broadcasts when small) before the latest-row step, so a
-one-month report never ranks the whole feedback history.  Latest-per-key is
+and the store records are first reduced to the appointments of the period
+(left-semi joins against the filtered log's keys, which AQE broadcasts when
+small), so a one-month report never ranks the whole feedback history nor
+shuffles the whole store table.  Latest-per-key is
 a grouped max + semi-join, not a window (see operators.latest).
 """
 
@@ -41,7 +42,9 @@ def inspection_feedback_report(inspection_log: DataFrame, centre_list: DataFrame
     fb = latest_per_key(fb_in, "appointment_id", "created_at", where=F.col("feedback_rating").isNotNull())
     fb = fb.select("appointment_id", *FEEDBACK_COLS)
 
-    fo = store_info.select(F.col("pub_appt_id"), *[F.col(f"`{c}`") for c in STORE_COLS])
+    # store records, also restricted to the period's appointments before the join
+    fo = (store_info.select(F.col("pub_appt_id"), *[F.col(f"`{c}`") for c in STORE_COLS])
+                    .join(period_keys.withColumnRenamed("appointment_id", "pub_appt_id"), "pub_appt_id", "left_semi"))
     out = (t4.join(fb, "appointment_id", "left")
              .join(fo, F.col("appointment_id") == F.col("pub_appt_id"), "left"))
     return out.select(*T4_COLS, "dat", *FEEDBACK_COLS, *[F.col(f"`{c}`") for c in STORE_COLS])
