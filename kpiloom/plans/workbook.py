@@ -133,7 +133,7 @@ class Workbook:
     # ----------------------------------------------------- persistence
     def save(self, root: str, workspace: str) -> DataFrame:
         return save_workspace(self.spark, root, workspace,
-                              {n: (s.df, s.type, s.query) for n, s in self.sheets.items()})
+                              {n: (s.df, s.type, s.query, s.deps) for n, s in self.sheets.items()})
 
     @classmethod
     def load(cls, spark: SparkSession, root: str, workspace: str, scheme_path: str | None = None) -> "Workbook":
@@ -142,5 +142,5 @@ class Workbook:
         meta, tables = load_workspace(spark, root, workspace)
         for r in meta.collect():          # one row per sheet: workbook metadata, not data
             wb.sheets[r.name] = Sheet(r.name, r.type, query=r.query, df=tables.get(r.name),
-                                      status="success" if r.name in tables else "pending")
+                                      status="success" if r.name in tables else "pending", deps=list(r.deps or []))
         return wb

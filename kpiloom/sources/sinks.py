@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 SHEET_NAME_MAX = 31
 
@@ -105,12 +105,12 @@ def append_runlog(log: DataFrame, path: str) -> None:
 META_SCHEMA = StructType([
     StructField("workspace", StringType()), StructField("name", StringType()), StructField("type", StringType()),
     StructField("query", StringType()), StructField("status", StringType()),
+    StructField("deps", ArrayType(StringType())),
 ])
 
 
-def save_workspace(spark: SparkSession, root: str, workspace: str,
-                   sheets: dict[str, tuple[DataFrame | None, str, str | None]]) -> DataFrame:
-    """Persist a workspace: ``sheets`` = name -> (df, type, query).
+def save_workspace(spark: SparkSession, root: str, workspace: str, sheets: dict[str, tuple]) -> DataFrame:
+    """Persist a workspace: ``sheets`` = name -> (df, type, query[, deps]).
 
     Tables with rows are written as Parquet (types survive a reload); empty
     or missing tables are not written and come back ``pending``.  The scheme
@@ -118,13 +118,15 @@ def save_workspace(spark: SparkSession, root: str, workspace: str,
     """
     base = f"{root.rstrip('/')}/{workspace}"
     meta = []
-    for name, (df, typ, query) in sheets.items():
+    for name, spec in sheets.items():
+        df, typ, query = spec[:3]
+        deps = list(spec[3]) if len(spec) > 3 and spec[3] else []
         if typ == "scheme":
             continue
         has_rows = df is not None and not df.isEmpty()
         if has_rows:
             df.write.mode("overwrite").parquet(f"{base}/tables/{name}")
-        meta.append((workspace, name, typ, query, "success" if has_rows else "pending"))
+        meta.append((workspace, name, typ, query, "success" if has_rows else "pending", deps))
     meta_df = spark.createDataFrame(meta, META_SCHEMA)
     meta_df.write.mode("overwrite").parquet(f"{base}/_meta")
     return meta_df

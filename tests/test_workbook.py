@@ -36,3 +36,5 @@ def test_workbook_end_to_end(spark):
     back = Workbook.load(spark, root, "w")
     assert list(back.sheets)[0] == "scheme"
     assert back.sheets["payout"].df.count() == 3 and back.sheets["never run"].status == "pending"
+    assert back.sheets["payout"].deps == ["bonus"]
+    assert {r.name: r.status for r in back.refresh().collect()}["payout"] == "success"
