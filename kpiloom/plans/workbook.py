@@ -12,6 +12,7 @@ Sheets stay lazy DataFrames; nothing is collected.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from kpiloom.functions.search import search_any
 from kpiloom.operators.consolidate import Mapping, consolidate, mappings_for
 from kpiloom.operators.paging import PAGE_SIZE, page
 from kpiloom.plans.batch import kpi_order, status_rollup
-from kpiloom.sources.catalog import register_sheets, run_sql
+from kpiloom.sources.catalog import name_variants, register_sheets, run_sql
 from kpiloom.sources.files import load_csv_table
 from kpiloom.sources.scheme import SCHEME_SHEET, load_scheme
 from kpiloom.sources.sinks import load_workspace, save_workspace
@@ -76,6 +77,20 @@ class Workbook:
         self.sheets[name] = sheet
         return sheet
 
+    def _deps(self, sheet: Sheet) -> list[str]:
+        """Declared dependencies, else the other KPI sheets whose name (any
+        view-name variant) appears as a word in the statement."""
+        if sheet.deps:
+            return sheet.deps
+        found = []
+        for name, other in self.sheets.items():
+            if other.type != "kpi" or name == sheet.name:
+                continue
+            if any(re.search(rf"(?i)(?<![\w`]){re.escape(v)}(?![\w`])", sheet.query or "")
+                   for v in name_variants(name)):
+                found.append(name)
+        return found
+
     def _views(self) -> None:
         register_sheets({n: s.df for n, s in self.sheets.items() if s.df is not None})
 
@@ -96,7 +111,7 @@ class Workbook:
         for name, sheet in self.sheets.items():
             if sheet.type == "sql":
                 self.run(name)
-        kpis = {n: s.deps for n, s in self.sheets.items() if s.type == "kpi"}
+        kpis = {n: self._deps(s) for n, s in self.sheets.items() if s.type == "kpi"}
         for name in kpi_order(kpis):
             self.run(name)
         return self.status()

@@ -38,3 +38,12 @@ def test_workbook_end_to_end(spark):
     assert back.sheets["payout"].df.count() == 3 and back.sheets["never run"].status == "pending"
     assert back.sheets["payout"].deps == ["bonus"]
     assert {r.name: r.status for r in back.refresh().collect()}["payout"] == "success"
+
+
+def test_workbook_infers_kpi_dependencies(spark):
+    wb = Workbook(spark)
+    wb.add_table("facts", spark.range(10))
+    wb.add_kpi("Total Pay", "SELECT SUM(pay) AS total FROM per_row")          # reads a KPI added later
+    wb.add_kpi("per row", "SELECT id, id * 10 AS pay FROM facts")
+    status = {r.name: r.status for r in wb.refresh().collect()}
+    assert status["Total Pay"] == "success" and wb.sheets["Total Pay"].df.first().total == 450
