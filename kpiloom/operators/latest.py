@@ -23,16 +23,17 @@ def latest_per_key(df: DataFrame, key: str | list[str], order_col: str, keep_tie
     """Rows holding the maximum ``order_col`` of their key (ties kept).
 
     ``where`` filters before ranking (e.g. ``rating IS NOT NULL``); rows with
-    a null ``order_col`` never qualify.  With ``keep_ties=False`` one row per
-    key is returned (the smallest of the tied rows by all columns).
+    a null ``order_col`` never qualify.  With ``keep_ties=False`` exactly one
+    row per key is returned -- among tied rows the largest by the remaining
+    columns -- in a single pass: ``max(struct(order_col, *others))`` is an
+    ordinary partial aggregate, so the input is read once.
     """
     keys = [key] if isinstance(key, str) else list(key)
     src = df if where is None else df.where(where)
+    if not keep_ties:
+        others = [c for c in src.columns if c not in keys and c != order_col]
+        picked = (src.where(F.col(order_col).isNotNull()).groupBy(*keys)
+                     .agg(F.max(F.struct(order_col, *others)).alias("_r")))
+        return picked.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in src.columns])
     latest = src.groupBy(*keys).agg(F.max(order_col).alias(order_col))
-    out = src.join(latest, on=keys + [order_col], how="left_semi")
-    if keep_ties:
-        return out
-    # One row per key: min over a struct of all columns, as an aggregate.
-    others = [c for c in out.columns if c not in keys]
-    picked = out.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_r"))
-    return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
+    return src.join(latest, on=keys + [order_col], how="left_semi")

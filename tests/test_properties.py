@@ -142,6 +142,12 @@ def test_latest_per_key_matches_dense_rank(spark, rows):
             best[k] = max(best.get(k, t), t)
     want = sorted(i for i, k, t, _ in kept if t is not None and t == best[k])
     assert got == want
+    one = sorted(r.id for r in latest_per_key(df, "k", "t", keep_ties=False, where=F.col("r") > 0).collect())
+    top = {}
+    for i, k, t, r in kept:
+        if t is not None:
+            top[k] = max(top.get(k, (t, i, r)), (t, i, r))
+    assert one == sorted(v[1] for v in top.values())
 
 
 cell_text = st.text(alphabet="ab <>&\"'#;xyz", min_size=0, max_size=8)
