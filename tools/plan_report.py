@@ -66,7 +66,8 @@ def main():
         text = buf.getvalue()
         final = "isFinalPlan=true" in text
         s = summarise(text)
-        print(f"| {name}{'' if final else ' (initial plan)'} | {s['shuffles']} | {s['reused_shuffles']} | {s['broadcasts']} | {s['bhj']} | {s['smj']} | "
+        label = "" if final else (" (no exchange: not adaptive)" if "AdaptiveSparkPlan" not in text else " (initial plan)")
+        print(f"| {name}{label} | {s['shuffles']} | {s['reused_shuffles']} | {s['broadcasts']} | {s['bhj']} | {s['smj']} | "
               f"{s['bnlj']} | {s['hash_aggs']} | {s['sorts']} | {s['python']} |")
         details.append((name, s))
     print("\n## Scans (pushed filters / read schema)\n")
