@@ -87,7 +87,7 @@ def slab_join(values: DataFrame, value_col: str, slabs: DataFrame, lo: str = "lo
     equality conditions (e.g. the region class).
     """
     out_col = out_col or amount
-    if slabs.count() > broadcast_limit:
+    if slabs.limit(broadcast_limit + 1).count() > broadcast_limit:     # reads at most limit + 1 rows
         return _bucketed_slab_join(values, value_col, slabs, lo, hi, amount, else_value, on or [], out_col)
     v = values.alias("_v")
     s = slabs.alias("_s")
