@@ -91,13 +91,17 @@ def q_agg_key_presum(spark, sf_dir):
 
 
 @register("row_total", """
-SELECT o_orderkey, o_totalprice, CAST(o_custkey AS DOUBLE) AS cust_score,
-       CAST(CAST(o_totalprice AS DECIMAL(38,4)) + CAST(CAST(o_custkey AS DOUBLE) AS DECIMAL(38,4)) AS DOUBLE) AS total
-FROM orders""")
+SELECT l_orderkey, l_linenumber, l_extendedprice,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE) AS tax_amount,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2))
+            + CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE) AS gross
+FROM lineitem""")
 def q_row_total(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice",
-                                              F.col("o_custkey").cast("double").alias("cust_score"))
-    return row_total(o, ["o_totalprice", "cust_score"], "total")
+    # gross per line = price + tax amount, summed across the two columns of each row
+    li = table(spark, sf_dir, "lineitem")
+    tax = (F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(18,2)")).cast("double")
+    rows = li.select("l_orderkey", "l_linenumber", "l_extendedprice", tax.alias("tax_amount"))
+    return row_total(rows, ["l_extendedprice", "tax_amount"], "gross")
 
 
 CARDS = f"""
