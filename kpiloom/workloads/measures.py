@@ -145,29 +145,34 @@ def q_agg_group_only(spark, sf_dir):
 
 
 @register("builder", """
-SELECT c.c_mktsegment, n.n_name, CAST(COUNT(*) AS BIGINT) AS n_orders,
+SELECT c.c_mktsegment, orders.o_orderpriority, CAST(COUNT(*) AS BIGINT) AS n_orders,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
        CAST(SUM(CASE WHEN o_totalprice >= 0 AND o_totalprice <= 100000 THEN 10
                      WHEN o_totalprice >= 100001 THEN 25 ELSE 0 END) AS BIGINT) AS slab_pay,
-       CAST(COUNT(o_orderkey) * 2 AS BIGINT) AS flat_pay
+       CAST(COUNT(o_orderkey) * 2 AS BIGINT) AS flat_pay,
+       CAST(SUM(ol.n_lines) AS BIGINT) AS n_lines
 FROM orders
 LEFT JOIN customer c ON orders.o_custkey = c.c_custkey
-LEFT JOIN nation n ON orders.o_custkey = n.n_nationkey
+LEFT JOIN (SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_lines FROM lineitem GROUP BY 1) ol USING (o_orderkey)
 WHERE o_orderstatus = 'F'
-GROUP BY c.c_mktsegment, n.n_name""")
+GROUP BY c.c_mktsegment, orders.o_orderpriority""")
 def q_builder(spark, sf_dir):
+    sheets = tables(spark, sf_dir, "orders", "customer", "region")
+    sheets["order_lines"] = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")) \
+                                                           .agg(F.count(F.lit(1)).alias("n_lines"))
     spec = BuildSpec(
         base="orders",
-        joins=[JoinSpec("customer", "o_custkey", "c_custkey", "LEFT JOIN"),
-               JoinSpec("nation", "o_custkey", "n_nationkey", "LEFT JOIN"),
-               JoinSpec("region", "", "r_regionkey")],                     # incomplete -> skipped
-        group_by=["customer.c_mktsegment", "nation.n_name"],
+        joins=[JoinSpec("customer", "o_custkey", "c_custkey", "LEFT JOIN"),       # ON base.k = right.k
+               JoinSpec("order_lines", "o_orderkey", "o_orderkey", "LEFT JOIN"),  # same name: USING
+               JoinSpec("region", "", "r_regionkey")],                            # incomplete: skipped
+        group_by=["customer.c_mktsegment", "o_orderpriority"],
         measures=[Measure(alias="n_orders"),
                   Measure(alias="revenue", func="SUM", column="CAST(o_totalprice AS DECIMAL(18,2))"),
                   Measure(kind="slab", alias="slab_pay", column="o_totalprice",
                           slabs=[(0, 100000, 10), (100001, None, 25)]),
-                  Measure(kind="flat", alias="flat_pay", column="o_orderkey", per_unit=2)],
+                  Measure(kind="flat", alias="flat_pay", column="o_orderkey", per_unit=2),
+                  Measure(alias="n_lines", func="SUM", column="order_lines.n_lines")],
         where="o_orderstatus = 'F'")
-    out = run(spark, sf_dir, spec, "orders", "customer", "nation", "region")
-    return out.select("c_mktsegment", "n_name", "n_orders", "revenue", F.col("slab_pay").cast("bigint"),
-                      F.col("flat_pay").cast("bigint"))
+    out = to_doubles(build(spec, sheets))
+    return out.select("c_mktsegment", "o_orderpriority", "n_orders", "revenue", F.col("slab_pay").cast("bigint"),
+                      F.col("flat_pay").cast("bigint"), F.col("n_lines").cast("bigint"))
