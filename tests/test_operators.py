@@ -207,3 +207,12 @@ def test_net_payout_signs_and_tips(spark):
                      tips=mappings_for(tip, "tips", "k", ["v"]))
     got = {r.cj_id: (r.inc, r.tips, r.pen, r.net_payout) for r in out.collect()}
     assert got == {"a": (100.0, 0.0, -30.0, 70.0), "b": (50.0, 12.5, 0.0, 62.5), "c": (0.0, 0.0, -5.0, -5.0)}
+
+
+def test_distinct_measures(spark):
+    t = {"t": spark.range(1000).select((F.col("id") % 7).alias("g"), (F.col("id") % 100).alias("x"))}
+    out = build(BuildSpec("t", group_by=["g"], measures=[
+        Measure(alias="exact", func="COUNT DISTINCT", column="x"),
+        Measure(alias="approx", func="APPROX_COUNT_DISTINCT", column="x")]), t)
+    for r in out.collect():
+        assert r.exact == 100 and abs(r.approx - 100) <= 10
