@@ -74,7 +74,8 @@ SLAB_BROADCAST_ROWS = 10_000
 
 def slab_join(values: DataFrame, value_col: str, slabs: DataFrame, lo: str = "lo", hi: str = "hi",
               amount: str = "amount", else_value=0, on: list[tuple[str, str]] | None = None,
-              out_col: str | None = None, broadcast_limit: int = SLAB_BROADCAST_ROWS) -> DataFrame:
+              out_col: str | None = None, broadcast_limit: int = SLAB_BROADCAST_ROWS,
+              size_bound: int | None = None) -> DataFrame:
     """Attach to each row the amount of the slab whose ``[lo, hi]`` holds
     ``value_col`` (null bound = open); no slab -> ``else_value``.  Slabs must
     not overlap (within one ``on`` group).
@@ -84,10 +85,13 @@ def slab_join(values: DataFrame, value_col: str, slabs: DataFrame, lo: str = "lo
     no shuffle of the large side.  A larger slab table is not broadcast: slabs
     are cut into value buckets and joined on the bucket id (an equi-join the
     planner can shuffle), see :func:`_bucketed_slab_join`.  ``on`` adds
-    equality conditions (e.g. the region class).
+    equality conditions (e.g. the region class).  ``size_bound`` is a proven
+    upper bound on the slab rows (e.g. the 44-row built-in scheme); within the
+    limit it replaces the counting job.
     """
     out_col = out_col or amount
-    if slabs.limit(broadcast_limit + 1).count() > broadcast_limit:     # reads at most limit + 1 rows
+    small = size_bound is not None and size_bound <= broadcast_limit
+    if not small and slabs.limit(broadcast_limit + 1).count() > broadcast_limit:   # reads at most limit+1 rows
         return _bucketed_slab_join(values, value_col, slabs, lo, hi, amount, else_value, on or [], out_col)
     v = values.alias("_v")
     s = slabs.alias("_s")

@@ -123,22 +123,22 @@ def person_day_rollup(df: DataFrame, person: str, ts: str, counters: dict[str, C
 
 
 def price_days(daily: DataFrame, slab_table: DataFrame, person_class: DataFrame | None = None,
-               out_col: str = "day_amount") -> DataFrame:
+               out_col: str = "day_amount", size_bound: int | None = None) -> DataFrame:
     """Attach each person-day's slab amount for its count ``n`` (keeps all columns)."""
     if person_class is not None:
         return slab_join(daily.join(person_class, "person", "left"), "n", slab_table,
-                         on=[("condition", "condition")], out_col=out_col)
-    return slab_join(daily, "n", slab_table.drop("condition"), out_col=out_col)
+                         on=[("condition", "condition")], out_col=out_col, size_bound=size_bound)
+    return slab_join(daily, "n", slab_table.drop("condition"), out_col=out_col, size_bound=size_bound)
 
 
 def daily_slab_incentive(daily: DataFrame, slab_table: DataFrame, person_class: DataFrame | None = None,
-                         alias: str = "incentive") -> DataFrame:
+                         alias: str = "incentive", size_bound: int | None = None) -> DataFrame:
     """Sum over days of the slab amount for each day's count.
 
     ``person_class`` (person, condition) selects the slab family per person
     (e.g. T7 / Non T7); without it the slab rows must carry one condition.
     """
-    priced = price_days(daily, slab_table, person_class, out_col="amount")
+    priced = price_days(daily, slab_table, person_class, out_col="amount", size_bound=size_bound)
     return priced.groupBy("person").agg(F.sum("amount").cast("double").alias(alias),
                                         F.count(F.lit(1)).alias("active_days"))
 
@@ -179,10 +179,11 @@ HALF_UPTO = 13500
 EXIT_FROM = 20000
 
 
-def im_slab_penalty(cases: DataFrame, person: str, cost: str, slab_table: DataFrame) -> DataFrame:
+def im_slab_penalty(cases: DataFrame, person: str, cost: str, slab_table: DataFrame,
+                    size_bound: int | None = None) -> DataFrame:
     """Sum of IM slab penalties per person over non-critical cases (cost below 10000)."""
     c = cases.where(F.col(cost) < CRITICAL_FROM).select(F.col(person).alias("person"), F.col(cost).alias("cost"))
-    priced = slab_join(c, "cost", slab_table.drop("condition"), out_col="amount")
+    priced = slab_join(c, "cost", slab_table.drop("condition"), out_col="amount", size_bound=size_bound)
     return priced.groupBy("person").agg(F.sum("amount").cast("double").alias("im_penalty"),
                                         F.count(F.lit(1)).alias("im_cases"))
 

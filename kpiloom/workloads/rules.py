@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kpiloom.functions.scalars import from_units, money_units
 from kpiloom.operators import rules as R
 from kpiloom.operators.consolidate import Mapping, net_payout
-from kpiloom.sources.scheme import load_scheme, scheme_amount
+from kpiloom.sources.scheme import load_scheme, scheme_amount, scheme_rows
 from kpiloom.sources.tables import table
 from kpiloom.workloads import as_double, register
 
@@ -24,6 +24,9 @@ def T(spark, sf_dir, name):
     return table(spark, sf_dir, name)
 
 
+SCHEME_ROWS = len(scheme_rows())      # proven bound of every slab table cut from the built-in scheme
+
+
 def parsed_scheme(spark):
     return R.scheme_parse(load_scheme(spark))
 
@@ -40,12 +43,13 @@ def person_class(spark, sf_dir):
 def productivity(spark, sf_dir):
     daily = R.daily_counts(T(spark, sf_dir, "events"), "user_id", "ts")
     return R.daily_slab_incentive(daily, R.slabs(parsed_scheme(spark), "Productivity"),
-                                  person_class(spark, sf_dir), alias="productivity_incentive")
+                                  person_class(spark, sf_dir), alias="productivity_incentive", size_bound=SCHEME_ROWS)
 
 
 def sp_orders(spark, sf_dir):
     daily = R.daily_counts(T(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
-    return R.daily_slab_incentive(daily, R.slabs(parsed_scheme(spark), "SP / SP Lite"), alias="sp_incentive")
+    return R.daily_slab_incentive(daily, R.slabs(parsed_scheme(spark), "SP / SP Lite"), alias="sp_incentive",
+                                  size_bound=SCHEME_ROWS)
 
 
 def flat(spark, sf_dir):
@@ -71,7 +75,8 @@ def cases(spark, sf_dir):
 
 
 def im_penalty(spark, sf_dir):
-    return R.im_slab_penalty(cases(spark, sf_dir), "o_custkey", "cost", R.slabs(parsed_scheme(spark), "IM"))
+    return R.im_slab_penalty(cases(spark, sf_dir), "o_custkey", "cost", R.slabs(parsed_scheme(spark), "IM"),
+                             size_bound=SCHEME_ROWS)
 
 
 def one_star(spark, sf_dir):
@@ -268,7 +273,8 @@ def q_net_payout(spark, sf_dir):
         "km_units": F.when(et == "view", money_units(F.col("value"))),
     }
     daily = R.person_day_rollup(e, "user_id", "ts", counters)
-    priced = R.price_days(daily, R.slabs(parsed_scheme(spark), "Productivity"), person_class(spark, sf_dir))
+    priced = R.price_days(daily, R.slabs(parsed_scheme(spark), "Productivity"), person_class(spark, sf_dir),
+                          size_bound=SCHEME_ROWS)
     per_unit = (F.sum("views") * scheme_amount("SP Pro") + F.sum("clicks") * scheme_amount("PDI")
                 + F.sum("purchases") * scheme_amount("CJ 5 Star Rating") + F.sum("signups") * scheme_amount("Referral"))
     km_rate = int(scheme_amount("Conveyance"))

@@ -216,3 +216,11 @@ def test_distinct_measures(spark):
         Measure(alias="approx", func="APPROX_COUNT_DISTINCT", column="x")]), t)
     for r in out.collect():
         assert r.exact == 100 and abs(r.approx - 100) <= 10
+
+
+def test_slab_size_bound_skips_count_but_not_beyond_limit(spark):
+    vals = spark.createDataFrame([(5.0,), (15.0,)], "v double")
+    slabs = spark.createDataFrame([(0, 10, 1.0), (11, 20, 2.0)], "lo long, hi long, amount double")
+    a = sorted(r.amount for r in slab_join(vals, "v", slabs, size_bound=44).collect())
+    b = sorted(r.amount for r in slab_join(vals, "v", slabs, size_bound=44, broadcast_limit=1).collect())
+    assert a == b == [1.0, 2.0]                       # a bound above the limit still takes the bucketed path
