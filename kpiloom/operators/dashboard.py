@@ -20,8 +20,10 @@ def facts_from_orders(orders: DataFrame) -> DataFrame:
     channel = order priority ('' when not specified), si = finished orders,
     insp = all orders.  One grouped aggregate (partial + final)."""
     channel = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("")).otherwise(F.col("o_orderpriority"))
-    return (orders.groupBy(F.date_format(F.col("o_orderdate"), "yyyy-MM").alias("month"), channel.alias("channel"))
-                  .agg(F.count_if(F.col("o_orderstatus") == "F").alias("si"), F.count(F.lit(1)).alias("insp")))
+    # group on the month's first day (a date), format the text once per group
+    facts = (orders.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("_m"), channel.alias("channel"))
+                   .agg(F.count_if(F.col("o_orderstatus") == "F").alias("si"), F.count(F.lit(1)).alias("insp")))
+    return facts.select(F.date_format("_m", "yyyy-MM").alias("month"), "channel", "si", "insp")
 
 
 def ratio_text(si: Column, insp: Column) -> Column:

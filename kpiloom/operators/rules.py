@@ -153,10 +153,10 @@ def excellence_bonus(events: DataFrame, person: str, ts: str, converted: Column,
                      min_share: float = 0.70, bonus: float = 3000.0) -> DataFrame:
     """Per person and month: bonus when inspections > ``min_count`` and the
     converted share >= ``min_share``."""
-    m = events.groupBy(F.col(person).alias("person"), F.date_format(ts, "yyyy-MM").alias("month")).agg(
+    m = events.groupBy(F.col(person).alias("person"), F.trunc(F.to_date(ts), "month").alias("_m")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(converted).alias("converted"))
     share = F.col("converted") / F.col("n")
-    return m.select("person", "month", "n", share.alias("share"),
+    return m.select("person", F.date_format("_m", "yyyy-MM").alias("month"), "n", share.alias("share"),
                     F.when((F.col("n") > min_count) & (share >= min_share), F.lit(bonus)).otherwise(F.lit(0.0))
                     .alias("excellence_bonus"))
 
