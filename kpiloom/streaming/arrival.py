@@ -28,12 +28,15 @@ MONEY = DecimalType(38, 4)
 def start_refresh(spark: SparkSession, source_dir: str, schema: StructType, state_dir: str, checkpoint: str,
                   key: str, value: str, fmt: str = "parquet", max_files_per_batch: int | None = None,
                   available_now: bool = True, processing_time: str | None = None,
-                  after_batch: Callable[[SparkSession, int], None] | None = None):
+                  after_batch: Callable[[SparkSession, int], None] | None = None,
+                  compact_every: int | None = None):
     """Start the streaming refresh; returns the ``StreamingQuery``.
 
     ``after_batch(spark, batch_id)`` runs on the driver once a batch's partial
     is committed -- e.g. to recompute and write the KPI tables that read
     :func:`current_totals` (the "refresh KPIs when data lands" step).
+    ``compact_every=N`` folds the partials into a snapshot after every N
+    committed batches (see :func:`compact`), so reads stay bounded.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_batch:
@@ -45,6 +48,8 @@ def start_refresh(spark: SparkSession, source_dir: str, schema: StructType, stat
     def merge(batch: DataFrame, batch_id: int) -> None:
         part = batch.groupBy("cj_id").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n"))
         part.write.mode("overwrite").parquet(f"{state_dir.rstrip('/')}/batch_id={batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, state_dir)
         if after_batch is not None:
             after_batch(batch.sparkSession, batch_id)
 

@@ -231,3 +231,15 @@ def test_streaming_after_batch_hook(spark):
     q.awaitTermination(120)
     assert seen == [0, 1, 2]
     assert sorted((r.cj_id, r.total) for r in spark.read.parquet(out).collect()) == [("a", 4.0), ("b", 2.0)]
+
+
+def test_streaming_scheduled_compaction(spark):
+    from kpiloom.streaming.arrival import _snapshots
+    landing, state, ckpt = (scratch_path(spark, n) for n in ("land4", "state4", "ckpt4"))
+    schema = spark.createDataFrame([], "k string, v double").schema
+    for rows in ([("a", 1.0)], [("b", 2.0)], [("a", 3.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+    q = start_refresh(spark, landing, schema, state, ckpt, "k", "v", max_files_per_batch=1, compact_every=2)
+    q.awaitTermination(120)
+    assert _snapshots(spark, state) == [1]                      # after batches 0 and 1
+    assert sorted((r.cj_id, r.total) for r in current_totals(spark, state).collect()) == [("a", 4.0), ("b", 2.0)]
