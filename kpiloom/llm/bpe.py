@@ -35,7 +35,6 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LONG_WORD = 256
 MEMO = 250_000
 NEVER = 1 << 40
-_STOPS = frozenset(".!?…。\n")
 _OPENS = frozenset(" abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _CUT = re.compile(r"(?= \S)")
 _BLANKS = re.compile(r" (?:\s|\Z)")
@@ -132,17 +131,16 @@ class ByteBPE:
         return [p for p, ok in zip(parts, alive) if ok]
 
     # -- whole texts ------------------------------------------------------
-    def _piece(self, piece: str) -> tuple[bytes, int, bool]:
+    def _piece(self, piece: str) -> tuple[bytes, int]:
         if piece[1:].isalpha() and piece[0] in _OPENS:  # a blank and letters: one word of the pattern
             ids = self.word(piece.encode())
         else:
             ids = []
             for w in self.words.findall(piece):
                 ids += self.word(w.encode())
-        last = piece[-1:]
-        return struct.pack(f"<{len(ids)}I", *ids), len(ids), last in _STOPS or piece.rstrip()[-1:] in _STOPS
+        return struct.pack(f"<{len(ids)}I", *ids), len(ids)
 
-    def _plain(self, text: str) -> list[tuple[bytes, int, bool]]:
+    def _plain(self, text: str) -> list[tuple[bytes, int]]:
         if not text:
             return []
         if _BLANKS.search(text):
@@ -154,13 +152,13 @@ class ByteBPE:
             out.insert(0, self.at_start[head])
         return out
 
-    def pieces(self, text: str) -> list[tuple[bytes, int, bool]]:
+    def pieces(self, text: str) -> list[tuple[bytes, int]]:
         """The text's pieces in order; special strings inside it become their ids, as the tokenizer's default is."""
         if self.special is None or not any(t in text for t in self.added_plain):
             return self._plain(text)
         out = []
         for part in self.special.split(text):
-            out += [(np.array([self.added[part]], dtype="<u4").tobytes(), 1, True)] if part in self.added else self._plain(part)
+            out += [(np.array([self.added[part]], dtype="<u4").tobytes(), 1)] if part in self.added else self._plain(part)
         return out
 
     def encode_bytes(self, text: str) -> bytes:

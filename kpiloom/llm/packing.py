@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from kpiloom.llm import bpe
+from kpiloom.llm import library
 from kpiloom.llm.common import text_of
 
 SIZE = 2048
@@ -121,19 +121,12 @@ class _Stream:
         return out
 
 
-def _sentence_ends(pieces: list[tuple[bytes, int, bool]]) -> np.ndarray:
-    if not pieces:
-        return np.zeros(0, np.int64)
-    ends = np.cumsum(np.fromiter([p[1] for p in pieces], np.int64, len(pieces)))
-    return ends[np.fromiter([p[2] for p in pieces], bool, len(pieces))]
-
-
 def pack(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: (key, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, end = bpe.load(path), int(end_id).to_bytes(4, "little")
+        coder, end = library.load(path), int(end_id).to_bytes(4, "little")
         stream = _Stream(size, TaskContext.get().partitionId() << 33)
 
         def rows(final: bool) -> pd.DataFrame:
@@ -143,8 +136,8 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END, key: s
 
         for b in batches:
             for k, t in zip(b[key].tolist(), b[text]):
-                pieces = coder.pieces(t)
-                stream.add(None if pd.isna(k) else k, b"".join([p[0] for p in pieces]) + end, _sentence_ends(pieces))
+                ids = coder.ids(t)
+                stream.add(None if pd.isna(k) else k, ids.tobytes() + end, np.nonzero(coder.ends_sentence[ids])[0] + 1)
                 if stream.held >= BLOCK:
                     yield rows(False)
         yield rows(True)

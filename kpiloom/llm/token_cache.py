@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import bpe
+from kpiloom.llm import library
 from kpiloom.llm.common import scratch_path, stored, text_of
 
 NO_KEY = -(1 << 62)  # stands for a null key while a representative is looked up
@@ -42,7 +42,7 @@ def counter(path: str) -> Callable[[str], int]:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda t: len(model.encode(t, num_threads=1))
     try:
-        return bpe.load(path).count
+        return library.load(path).count
     except ValueError:
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
