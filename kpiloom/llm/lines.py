@@ -42,6 +42,7 @@ from kpiloom.llm.common import stored
 THRESHOLD = 0.8
 LEAST_WORDS = 3
 BITS = 20
+SLOT = 4096
 FLUSH = 1 << 18
 LAST = (1 << 63) - 1
 
@@ -68,9 +69,16 @@ def word_counts(texts: DataFrame) -> np.ndarray:
         some = np.nonzero(total)[0]
         yield pd.DataFrame({"bucket": some.astype("int32"), "n": total[some]})
 
-    got = texts.select("text").mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    def packed(slot: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        own = np.zeros(SLOT, np.int64)
+        own[rows["bucket"].to_numpy(dtype=np.int64) % SLOT] = rows["n"]
+        return pd.DataFrame({"slot": [slot[0]], "counts": [own.tobytes()]})
+
+    sums = texts.select("text").mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    slots = sums.groupBy(F.expr(f"bucket div {SLOT}").alias("slot")).applyInPandas(packed, "slot long, counts binary")
     out = np.zeros(1 << BITS, np.int64)
-    out[got["bucket"].to_numpy(dtype=np.int64)] = got["n"]
+    for r in slots.collect():  # 2^BITS numbers of 8 bytes
+        out[r.slot * SLOT:(r.slot + 1) * SLOT] = np.frombuffer(r.counts, np.int64)
     return out
 
 

@@ -135,12 +135,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"y": b["y"], "k": b["k"], "terms": [sorted({i for w in set(t.split()) for i in terms_of(w)}) for t in b["t"]]})
+            yield pd.DataFrame({"y": b["y"], "k": b["k"], "terms": [np.array(sorted({i for w in set(t.split()) for i in terms_of(w)}), "<i4").tobytes() for t in b["t"]]})
 
     rows = docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).join(chosen, key)
     # a key that repeats in docs counts once, so that the sample keeps its bound
-    got = rows.select("y", F.col(key).alias("k"), "t").dropDuplicates(["k"]).mapInPandas(run, "y int, k long, terms array<int>").toPandas().sort_values("k")
-    return fit([(int(y), list(t)) for y, t in zip(got["y"], got["terms"])])
+    got = rows.select("y", F.col(key).alias("k"), "t").dropDuplicates(["k"]).mapInPandas(run, "y int, k long, terms binary").collect()
+    return fit([(r.y, np.frombuffer(r.terms, "<i4").tolist()) for r in sorted(got, key=lambda r: r.k)])
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
