@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.session import scratch_path
 
-# Words are runs of anything but the six ASCII blanks; bytes.split() has the same rule.
-WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -20,7 +19,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     a lost executor costs a re-read and not a recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # the write's shuffle files go when it ends: nothing reads them again
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

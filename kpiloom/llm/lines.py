@@ -5,10 +5,11 @@ Jaccard similarity of their sets is at least ``threshold``; a line that matches
 an earlier one (by document id, then line number) is removed.
 
 1.  Words are ordered by rarity: corpus counts over 2^``BITS`` hash buckets, a
-    table of fixed size that is sent to all executors; the word's hash parts
-    equal counts.  Any fixed order gives right results, a rare-first order few
+    table of fixed size that is sent to all executors; the word's 64-bit hash
+    parts equal counts.  Any fixed order gives right results, a rare-first order few
     candidates.
-2.  Lines with equal sets collapse to the earliest; all others of them go.
+2.  Lines with equal sets (by a 128-bit digest) collapse to the earliest; all
+    others of them go.
 3.  Of a set of n words, the rarest n - ceil(t n) + 1 are indexed: two sets
     that match share one of them.  Rows of a word are compared with earlier
     rows of that word by length, position and a 128-bit image of the set
@@ -27,13 +28,12 @@ last.  An empty table gives no rows; other columns pass through.
 
 from __future__ import annotations
 
-import hashlib
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +43,12 @@ THRESHOLD = 0.8
 LEAST_WORDS = 3
 BITS = 20
 SLOT = 4096
-FLUSH = 1 << 18
+CHUNK = 1 << 18
 LAST = (1 << 63) - 1
 
 
-def words_of(line: bytes) -> set[bytes]:
-    return set(line.lower().split())
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -59,13 +59,14 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 def word_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences by hash bucket."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, mask = np.zeros(1 << BITS, np.int64), (1 << BITS) - 1
+        total, mask = np.zeros(1 << BITS, np.int64), np.uint64((1 << BITS) - 1)
         for b in batches:
-            own: Counter = Counter()
             for t in b["text"]:
-                own.update(t.encode().lower().split())
-            at = np.fromiter((zlib.crc32(w) & mask for w in own), np.int64, len(own))
-            np.add.at(total, at, np.fromiter(own.values(), np.int64, len(own)))
+                at = (hashes(t.encode().lower().split()) & mask).astype(np.int64)
+                if len(at) < 1 << 14:
+                    np.add.at(total, at, 1)
+                else:
+                    total += np.bincount(at, minlength=1 << BITS)
         some = np.nonzero(total)[0]
         yield pd.DataFrame({"bucket": some.astype("int32"), "n": total[some]})
 
@@ -82,53 +83,51 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def prefix_length(n: int, threshold: float) -> int:
-    return n - int(np.ceil(threshold * n - 1e-9)) + 1
-
-
-class _Words(dict):
-    """word -> (its place in the order of rarity as one number, its hash)"""
-
-    def __init__(self, counts: np.ndarray):
-        super().__init__()
-        self.counts, self.mask = counts, len(counts) - 1
-
-    def __missing__(self, w: bytes):
-        if len(self) >= FLUSH:
-            self.clear()
-        h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True)
-        out = self[w] = (int(self.counts[zlib.crc32(w) & self.mask]), h, w)
-        return out
+def _sets(keys: list[tuple[int, int]], sizes: list[int], words: list[bytes], counts: np.ndarray, threshold: float) -> pa.RecordBatch:
+    """Rows of ``line_sets`` for lines of the given numbers of words, none of them 0."""
+    h, line = hashes(words), np.repeat(np.arange(len(sizes)), sizes)
+    rarity = counts[(h & np.uint64(len(counts) - 1)).astype(np.int64)]
+    order = np.lexsort((h, rarity, line))
+    h, line = h[order], line[order]
+    new = np.r_[True, (h[1:] != h[:-1]) | (line[1:] != line[:-1])] if len(h) else np.zeros(0, bool)
+    h, line = h[new], line[new]
+    n = np.bincount(line, minlength=len(sizes))
+    start = np.cumsum(n) - n
+    prefix = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+    mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    bit, one = h & np.uint64(127), np.uint64(1)
+    image = [np.where((bit >> np.uint64(6)) == half, one << (bit & np.uint64(63)), np.uint64(0)) for half in (0, 1)]
+    over = (lambda f, x: f.reduceat(x, start)) if len(n) else (lambda f, x: x)
+    offsets = np.r_[0, np.cumsum(prefix)].astype(np.int32)
+    chosen = h[np.arange(len(h)) - start[line] < prefix[line]]
+    return pa.RecordBatch.from_arrays([
+        pa.array([d for d, _ in keys], pa.int64()), pa.array([no for _, no in keys], pa.int32()),
+        *[pa.array(over(np.add, x).view(np.int64)) for x in (h, mixed ^ (mixed >> np.uint64(32)))], pa.array(n.astype(np.int32)),
+        pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.view(np.int64))), *[pa.array(over(np.bitwise_or, x).view(np.int64)) for x in image],
+    ], names=["doc", "line", "d0", "d1", "n", "prefix", "b0", "b1"])
 
 
 def line_sets(texts: DataFrame, counts: np.ndarray, threshold: float, least_words: int) -> DataFrame:
-    """One row per line: (doc, line, digest, n, prefix, b0, b1)."""
+    """One row per line: (doc, line, d0, d1, n, prefix, b0, b1); d0 and d1 are a 128-bit digest of the set of words."""
     sent = texts.sparkSession.sparkContext.broadcast(counts)
-    columns = ["doc", "line", "digest", "n", "prefix", "b0", "b1"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, sign = _Words(sent.value), 1 << 64
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for doc, t in zip(b["doc"].tolist(), b["text"]):
-                for no, line in enumerate(t.encode().split(b"\n")):
-                    words = line.lower().split()
-                    if len(words) < least_words:
-                        continue
-                    order = sorted(map(known.__getitem__, set(words)))
-                    n, image = len(order), 0
-                    for _, h, _ in order:
-                        image |= 1 << (h & 127)
-                    low, high = image & (sign - 1), image >> 64
-                    digest = hashlib.blake2b(b" ".join([w for _, _, w in order]), digest_size=16).digest()
-                    rows.append((doc, no, digest, n, [h for _, h, _ in order[:prefix_length(n, threshold)]],
-                                 low - sign if low >> 63 else low, high - sign if high >> 63 else high))
-                    if len(rows) >= 20_000:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
-            yield pd.DataFrame(rows, columns=columns)
-
-    return texts.mapInPandas(run, "doc long, line int, digest binary, n int, prefix array<long>, b0 long, b1 long")
+            keys, sizes, words = [], [], []
+            for doc, t in zip(b.column("doc").to_pylist(), b.column("text").to_pylist()):
+                for no, line in enumerate(t.encode().lower().split(b"\n")):
+                    own = line.split()
+                    if len(own) >= max(1, least_words):
+                        keys.append((doc, no))
+                        sizes.append(len(own))
+                        words += own
+                if len(words) >= CHUNK:
+                    yield _sets(keys, sizes, words, sent.value, threshold)
+                    keys, sizes, words = [], [], []
+            if keys:
+                yield _sets(keys, sizes, words, sent.value, threshold)
+
+    return texts.mapInArrow(run, "doc long, line int, d0 long, d1 long, n int, prefix array<long>, b0 long, b1 long")
 
 
 def _index(sets: DataFrame) -> DataFrame:
@@ -225,8 +224,8 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     """(doc, line, exact): the lines to remove, numbered from 0; exact: an earlier line has the same words."""
     texts = _texts(docs, key, text)
     lines = stored(line_sets(texts, word_counts(texts), threshold, least_words), "lines")
-    firsts = lines.groupBy("digest").agg(F.min(F.struct("doc", "line", "n", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
-    sets = stored(firsts.select("digest", "f.*", "copies"), "line-sets")
+    firsts = lines.groupBy("d0", "d1").agg(F.min(F.struct("doc", "line", "n", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
+    sets = stored(firsts.select("d0", "d1", "f.*", "copies"), "line-sets")
     index = _index(sets)
     pairs = stored(nearest_candidates(index, threshold), "line-candidates")
     near = stored(verified(pairs, texts, threshold), "near-lines")
@@ -234,8 +233,8 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     if not still.isEmpty():
         more = stored(other_candidates(index, still, threshold).join(pairs, ["doc", "line", "e_doc", "e_line"], "left_anti"), "line-candidates")
         near = near.unionByName(verified(more, texts, threshold))
-    again = sets.where("copies > 1").select("digest", F.col("doc").alias("f_doc"), F.col("line").alias("f_line"))
-    exact = lines.select("digest", "doc", "line").join(again, "digest").where("doc != f_doc or line != f_line").select("doc", "line", F.lit(True).alias("exact"))
+    again = sets.where("copies > 1").select("d0", "d1", F.col("doc").alias("f_doc"), F.col("line").alias("f_line"))
+    exact = lines.select("d0", "d1", "doc", "line").join(again, ["d0", "d1"]).where("doc != f_doc or line != f_line").select("doc", "line", F.lit(True).alias("exact"))
     return exact.unionByName(near.select("doc", "line", F.lit(False).alias("exact"))).dropDuplicates(["doc", "line"])
 
 

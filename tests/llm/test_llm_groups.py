@@ -178,7 +178,7 @@ def test_line_dedup(worker_code, docs, odd_docs):
 def test_line_candidates_lose_nothing_without_the_second_pass_being_used(worker_code, monkeypatch):
     """All pairs that the native second pass would give include the first pass's."""
     texts = lines._texts(worker_code.createDataFrame(near_lines_fixture(), "doc_id long, text string"), "doc_id", "text")
-    sets = lines.line_sets(texts, lines.word_counts(texts), 0.8, 3).dropDuplicates(["digest"])
+    sets = lines.line_sets(texts, lines.word_counts(texts), 0.8, 3).dropDuplicates(["d0", "d1"])
     index = lines._index(sets).cache()
     some = {tuple(r) for r in lines.nearest_candidates(index, 0.8).collect()}
     every = {tuple(r) for r in lines.other_candidates(index, sets.select("doc", "line"), 0.8).collect()}
