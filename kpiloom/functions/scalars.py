@@ -3,7 +3,10 @@ inside whole-stage codegen (no Python UDFs)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
+from decimal import Decimal
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,9 +18,9 @@ NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 NULL_KEY = "nan"
 
-# The blanks stripped from both ends of a key (space, tab,
-# newline, vertical tab, form feed, carriage return).
-BLANKS = " \t\n\x0b\f\r"
+# The white space of Unicode, stripped from both ends of a key.
+BLANKS = (" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+          "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _col(c) -> Column:
@@ -72,6 +75,29 @@ def from_units(c, scale: int = 4) -> Column:
     return _col(c).cast("double") / F.lit(float(10 ** scale))
 
 
+FRACTION = 9
+
+
+def money_parts(c, dtype=None) -> tuple[Column, Column]:
+    """A value as two longs: its whole part (rounded down), and the rest in units of 1e-9.
+
+    Sums of both run on the fast primitive path, do not depend on the order, and neither lose small
+    values nor overflow before the whole parts exceed a long (9.2e18).  Longs and decimals are split
+    in their own type; a double keeps nine decimals."""
+    if _type_name(dtype) in INTEGRAL:
+        return F.coalesce(_col(c).cast("long"), F.lit(0).cast("long")), F.lit(0).cast("long")
+    v = F.coalesce(_col(c), F.lit(0).cast(dtype)) if _type_name(dtype) == "decimal" else num_coerce(c, dtype)
+    whole = F.floor(v)
+    rest = (v - whole) * F.lit(Decimal(10 ** FRACTION) if _type_name(dtype) == "decimal" else float(10 ** FRACTION))
+    return whole.cast("long"), F.round(rest).cast("long") if _type_name(dtype) == "decimal" else F.rint(rest).cast("long")
+
+
+def from_parts(whole, rest) -> Column:
+    """Both sums as a double: exact in decimals, rounded once."""
+    exact = _col(whole).cast("decimal(28,9)") + _col(rest).cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-FRACTION))
+    return exact.cast("double")
+
+
 def num_coerce(c, dtype=None) -> Column:
     """Any value -> double; unparseable, null, NaN and +-inf become 0.
 
@@ -89,24 +115,31 @@ def num_coerce(c, dtype=None) -> Column:
     return F.coalesce(v, F.lit(0.0))
 
 
-def case_tier(c, tiers: Sequence, else_value=0) -> Column | None:
-    """First-match tier value: ``tiers`` = [(lo, hi, value)], inclusive ends,
-    ``None`` = open end.  A tier with no bound is dropped; no tier left -> None."""
-    col = _col(c)
-    expr = None
-    for lo, hi, value in tiers:
-        conds = []
-        if lo is not None and lo != "":
-            conds.append(col >= F.lit(lo))
-        if hi is not None and hi != "":
-            conds.append(col <= F.lit(hi))
-        if not conds:
-            continue
-        cond = conds[0] if len(conds) == 1 else conds[0] & conds[1]
-        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
-    if expr is None:
+class Tier(NamedTuple):
+    """Values from ``lo`` to ``hi`` (inclusive, None = open) are worth ``value``."""
+    lo: object
+    hi: object
+    value: object
+
+    @classmethod
+    def of(cls, spec) -> Tier:
+        lo, hi, value = (spec.get("min"), spec.get("max"), spec.get("value", 0)) if isinstance(spec, dict) else spec
+        return cls(None if lo == "" else lo, None if hi == "" else hi, value)
+
+    def holds(self, c: Column) -> Column:
+        above = F.lit(True) if self.lo is None else c >= F.lit(self.lo)
+        return above if self.hi is None else above & (c <= F.lit(self.hi))
+
+
+def case_tier(c, tiers: Iterable, else_value=0) -> Column | None:
+    """Value of the first tier that holds the column's value, else ``else_value``.  Tiers are ``(lo, hi, value)`` or
+    dicts with min, max and value; one without any bound says nothing and is left out, and without any tier there
+    is no column."""
+    bounded = [t for t in map(Tier.of, tiers) if (t.lo, t.hi) != (None, None)]
+    if not bounded:
         return None
-    return expr.otherwise(F.lit(else_value))
+    # put on from the last to the first, so that the first is asked first
+    return reduce(lambda rest, t: F.when(t.holds(_col(c)), F.lit(t.value)).otherwise(rest), reversed(bounded), F.lit(else_value))
 
 
 def to_day(c) -> Column:

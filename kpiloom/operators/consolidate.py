@@ -13,29 +13,28 @@ it crosses the network.  It replaces an N-way FULL OUTER JOIN chain (N-1
 shuffles, each with a skew-prone join) with the same result: the key set is
 the union of all keys, missing values are 0.
 
-Money is summed exactly as whole ``10**-scale`` units in a ``long`` (fast
-primitive aggregation, order independent) and turned back into a double at
-the end.
+Money is summed as two longs, the whole part and the rest in units of 1e-9
+(fast primitive aggregation, order independent), and turned back into a double
+at the end.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType
+from pyspark.sql.types import DecimalType, LongType, NumericType
 
-from kpiloom.functions.scalars import INTEGRAL, NULL_KEY, from_units, key_norm, money_units
+from kpiloom.functions.scalars import FRACTION, INTEGRAL, NULL_KEY, from_parts, key_norm, money_parts
 
 # Person-key column candidates (first present wins, compared in
 # lower case) and the words that mark a payout column.
 KEY_CANDIDATES = ["inspection_by", "employee_email", "cj_email", "email", "inspector"]
 VALUE_KEYWORDS = ["incentive", "bonus", "payout"]
 
-MONEY_SCALE = 4
-
 
 @dataclass(frozen=True)
 class Mapping:
@@ -52,14 +51,20 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def default_key(columns: list[str]) -> str:
-    lower = {c.lower(): c for c in columns}
-    return next((lower[c] for c in KEY_CANDIDATES if c in lower), columns[0])
+def default_key(df: DataFrame) -> str:
+    """The column that names the person: the best known candidate that the table has, else its first column."""
+    rank = {name: i for i, name in enumerate(KEY_CANDIDATES)}
+    return min(df.columns, key=lambda c: rank.get(c.lower(), len(rank)))
 
 
-def default_values(columns: list[str]) -> list[str]:
-    found = [c for c in columns if any(k in c.lower() for k in VALUE_KEYWORDS)]
-    return found or columns[1:2]
+def default_values(df: DataFrame, key: str) -> list[str]:
+    """The payout columns: those that a keyword names and, if none is, the first numeric one beside the key
+    (else the first other column, whose text is coerced)."""
+    word = re.compile("|".join(VALUE_KEYWORDS), re.I)
+    others = [f for f in df.schema.fields if f.name != key]
+    named = [f.name for f in others if word.search(f.name)]
+    numeric = [f.name for f in others if isinstance(f.dataType, NumericType)]
+    return named or numeric[:1] or [f.name for f in others[:1]]
 
 
 def mappings_for(df: DataFrame, prefix: str, key_col: str | None = None,
@@ -68,26 +73,25 @@ def mappings_for(df: DataFrame, prefix: str, key_col: str | None = None,
 
     Label = ``prefix`` for a single value column, ``prefix__column`` for several.
     """
-    cols = df.columns
-    key = key_col or default_key(cols)
-    vals = val_cols if val_cols is not None else default_values(cols)
+    key = key_col or default_key(df)
+    vals = val_cols if val_cols is not None else default_values(df, key)
     return [Mapping(df, key, v, prefix if len(vals) == 1 else f"{prefix}__{v}") for v in vals]
 
 
 def presum(df: DataFrame, key_col: str, val_col: str, key_name: str = "cj_id", label: str | None = None,
-           null_key: str | None = NULL_KEY, scale: int = MONEY_SCALE) -> DataFrame:
+           null_key: str | None = NULL_KEY) -> DataFrame:
     """One row per normalised key with the summed, coerced value (``agg_key_presum``)."""
     label = label or val_col
     dtype = df.schema[val_col].dataType
     ktype = df.schema[key_col].dataType
-    return (df.select(key_norm(q(key_col), null_key, ktype).alias(key_name),
-                      money_units(q(val_col), dtype, scale).alias("_u"))
+    whole, rest = money_parts(q(val_col), dtype)
+    return (df.select(key_norm(q(key_col), null_key, ktype).alias(key_name), whole.alias("_w"), rest.alias("_r"))
               .groupBy(key_name)
-              .agg(from_units(F.sum("_u"), scale).alias(label)))
+              .agg(from_parts(F.sum("_w"), F.sum("_r")).alias(label)))
 
 
 def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: str = "total_incentive",
-                null_key: str | None = NULL_KEY, scale: int = MONEY_SCALE, sort: bool = True) -> DataFrame:
+                null_key: str | None = NULL_KEY, sort: bool = True) -> DataFrame:
     """Payout table: ``key_name``, one column per label (missing = 0), ``total_name``.
 
     Sorted by total descending with the key as tie-break (a total order, so
@@ -117,22 +121,22 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
         cols = [key.alias(key_name)]
         for j, m in enumerate(mappings):
             if j in idx:
-                value = money_units(q(m.val_col), src.schema[m.val_col].dataType, scale)
-                value = -value if m.negate else value
+                value = money_parts(q(m.val_col), src.schema[m.val_col].dataType)
+                whole, rest = (-value[0], -value[1]) if m.negate else value
             else:
-                value = F.lit(None).cast("long")
-            cols.append(value.alias(f"_v{j}"))
+                whole = rest = F.lit(None).cast("long")
+            cols += [whole.alias(f"_v{j}"), rest.alias(f"_r{j}")]
         parts.append(src.select(*cols))
     long = reduce(DataFrame.unionAll, parts)
 
-    sums = [F.coalesce(F.sum(f"_v{j}"), F.lit(0).cast("long")).alias(f"_v{j}") for j in range(len(mappings))]
+    sums = [F.coalesce(F.sum(f"_{p}{j}"), F.lit(0).cast("long")).alias(f"_{p}{j}") for j in range(len(mappings)) for p in "vr"]
     wide = long.groupBy(key_name).agg(*sums)
-    total = reduce(lambda a, b: a + b, [F.col(f"_v{j}") for j in range(len(mappings))])
+    whole, rest = (reduce(lambda a, b: a + b, [F.col(f"_{p}{j}") for j in range(len(mappings))]) for p in "vr")
     key_out = key_norm(F.col(key_name), null_key, LongType()) if integral else F.col(key_name)
     out = wide.select(
         key_out.alias(key_name),
-        *[from_units(f"_v{j}", scale).alias(lab) for j, lab in enumerate(labels)],
-        from_units(total, scale).alias(total_name),
+        *[from_parts(f"_v{j}", f"_r{j}").alias(lab) for j, lab in enumerate(labels)],
+        from_parts(whole, rest).alias(total_name),
     )
     if sort:
         out = out.orderBy(F.col(total_name).desc(), F.col(key_name).asc())
@@ -153,9 +157,9 @@ def net_payout(incentives: list[Mapping], reimbursements: list[Mapping] = (), pe
 
 def row_total(df: DataFrame, label_cols: list[str], total_name: str = "total") -> DataFrame:
     """Row-wise sum of ``label_cols`` after numeric coercion (missing -> 0)."""
-    parts = [money_units(q(c), df.schema[c].dataType) for c in label_cols]
-    total = reduce(lambda a, b: a + b, parts) if parts else F.lit(0).cast("long")
-    return df.withColumn(total_name, from_units(total))
+    parts = [money_parts(q(c), df.schema[c].dataType) for c in label_cols]
+    zero = F.lit(0).cast("long")
+    return df.withColumn(total_name, from_parts(reduce(lambda a, p: a + p[0], parts, zero), reduce(lambda a, p: a + p[1], parts, zero)))
 
 
 def payout_cards(merged: DataFrame, key_col: str = "cj_id", total_col: str = "total_incentive",
@@ -167,7 +171,7 @@ def payout_cards(merged: DataFrame, key_col: str = "cj_id", total_col: str = "to
     is a decimal sum: it runs over one row per person and may exceed the
     range of the per-person long units.
     """
-    money = DecimalType(38, MONEY_SCALE)
+    money = DecimalType(38, FRACTION)
     total = q(total_col).cast(money)
     return merged.agg(
         F.count(F.lit(1)).alias("total_people"),

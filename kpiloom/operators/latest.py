@@ -1,20 +1,13 @@
 """Latest row(s) per key -- ``DENSE_RANK() OVER (PARTITION BY k ORDER BY t DESC) = 1``.
 
-A window partitioned by ``k`` sends every row of a key to one task; with one
-key holding a third of the table that task holds a third of the table.  The
-same result (all rows tied on the latest ``t`` are kept) comes from:
-
-    latest = df.groupBy(k).agg(max(t))             -- partial aggregate, skew-proof
-    df  LEFT SEMI JOIN  latest  ON (k, t)          -- shuffle on (k, t), not k
-
-The semi-join partitions on the pair ``(k, t)``, so a hot key's rows spread
-over as many tasks as it has distinct times; ``latest`` holds one row per key
-and AQE broadcasts it when it is small.
+Spark plans the rank filter as a partial group limit before the shuffle: every
+map task keeps only the rows tied on its latest time of a key, so a key with a
+third of the table sends a few rows per task, in one scan and one shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,8 +15,9 @@ def latest_per_key(df: DataFrame, key: str | list[str], order_col: str, keep_tie
                    where=None) -> DataFrame:
     """Rows holding the maximum ``order_col`` of their key (ties kept).
 
-    ``where`` filters before ranking (e.g. ``rating IS NOT NULL``); rows with
-    a null ``order_col`` never qualify.  With ``keep_ties=False`` exactly one
+    ``where`` filters before ranking (e.g. ``rating IS NOT NULL``).  Null keys
+    are one key; a null ``order_col`` comes last, so it is kept only for keys
+    that have no other.  With ``keep_ties=False`` exactly one
     row per key is returned -- among tied rows the largest by the remaining
     columns -- in a single pass: ``max(struct(order_col, *others))`` is an
     ordinary partial aggregate, so the input is read once.
@@ -32,8 +26,7 @@ def latest_per_key(df: DataFrame, key: str | list[str], order_col: str, keep_tie
     src = df if where is None else df.where(where)
     if not keep_ties:
         others = [c for c in src.columns if c not in keys and c != order_col]
-        picked = (src.where(F.col(order_col).isNotNull()).groupBy(*keys)
-                     .agg(F.max(F.struct(order_col, *others)).alias("_r")))
+        picked = src.groupBy(*keys).agg(F.max(F.struct(order_col, *others)).alias("_r"))
         return picked.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in src.columns])
-    latest = src.groupBy(*keys).agg(F.max(order_col).alias(order_col))
-    return src.join(latest, on=keys + [order_col], how="left_semi")
+    latest = F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last()))
+    return src.withColumn("_rank", latest).where("_rank = 1").drop("_rank")

@@ -43,16 +43,6 @@ _AGG = {
 }
 
 
-def _slab_rows(slabs) -> list[tuple]:
-    rows = []
-    for s in slabs:
-        if isinstance(s, dict):
-            rows.append((s.get("min"), s.get("max"), s.get("value", 0)))
-        else:
-            rows.append(tuple(s))
-    return rows
-
-
 def measure_column(m: Measure) -> Column | None:
     """The aggregate Column for a measure, or None when the measure is unusable
     (a slab measure with no bounded slab)."""
@@ -66,7 +56,7 @@ def measure_column(m: Measure) -> Column | None:
             return F.count(F.lit(1)).alias(m.alias)
         return _AGG[func](col_or_expr(m.column)).alias(m.alias)
     if m.kind == "slab":
-        tier = case_tier(col_or_expr(m.column), _slab_rows(m.slabs), m.else_value)
+        tier = case_tier(col_or_expr(m.column), m.slabs, m.else_value)
         if tier is None:
             return None
         outer = m.outer_func.strip().upper()

@@ -8,7 +8,7 @@
   range-partitioned by the sort, each partition's row count gives a prefix
   offset (one row per partition, so that table is bounded by the partition
   count), and each row adds its index inside its partition.
-* deep pages use ``with_position`` instead of a huge ``offset``.
+* ``page(by_position=True)`` uses ``with_position`` instead of a huge ``offset``.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from kpiloom.session import checkpoint_dir
 
 PAGE_SIZE = 500
-# Beyond this many skipped rows a page is cut from positions, not offset/limit.
-DEEP_OFFSET = 100_000
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
@@ -47,12 +45,15 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
     return out
 
 
-def page(df: DataFrame, order: list[Column], page_no: int, size: int = PAGE_SIZE) -> DataFrame:
-    """Rows of page ``page_no`` (1-based) in ``order``."""
+def page(df: DataFrame, order: list[Column], page_no: int, size: int = PAGE_SIZE, by_position: bool = False) -> DataFrame:
+    """Rows of page ``page_no`` (1-based) in ``order``.
+
+    By offset and limit every task keeps its first ``page_no * size`` rows: right for the first pages.  With
+    ``by_position`` the sorted table is numbered and the page cut out, at a cost that does not grow with its depth."""
     if page_no < 1:
         raise ValueError("page numbers start at 1")
     skip = (page_no - 1) * size
-    if skip <= DEEP_OFFSET:
+    if not by_position:
         return df.orderBy(*order).offset(skip).limit(size)
     pos = with_position(df, order, "_pos")
     return pos.where((F.col("_pos") > skip) & (F.col("_pos") <= skip + size)).orderBy("_pos").drop("_pos")

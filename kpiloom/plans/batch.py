@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from kpiloom.sources.catalog import run_sql
-from kpiloom.sources.sinks import RUNLOG_SCHEMA, sheet_name_for, write_sheet
+from kpiloom.sources.sinks import RUNLOG_SCHEMA, refuse_shared_sheets, sheet_name_for, write_sheet
 
 REGISTRY_SCHEMA = StructType([
     StructField("name", StringType()), StructField("sql", StringType()), StructField("sheet_name", StringType()),
@@ -68,19 +68,19 @@ def run_one(spark: SparkSession, name: str, sql: str, sheet: str, out_root: str,
     timer = threading.Timer(timeout, sc.cancelJobGroup, [group]) if timeout else None
     start, t0 = dt.datetime.now(), time.perf_counter()
     rows, err = 0, None
-    df, err = run_sql(spark, sql)
-    if df is not None:
-        try:
-            if timer:
-                timer.start()
+    try:
+        if timer:
+            timer.start()
+        df, err = run_sql(spark, sql) if sql and sql.strip() else (None, "the entry has no SQL")
+        if df is not None:
             rows = write_sheet(df, out_root, sheet)
-        except Exception as e:  # runtime failure of this query only
-            err = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
-            if timer and not timer.is_alive():
-                err = f"timed out after {timeout:g}s"
-        finally:
-            if timer:
-                timer.cancel()
+    except Exception as e:  # any failure of this entry marks its own row only
+        err = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
+        if timer and not timer.is_alive():
+            err = f"timed out after {timeout:g}s"
+    finally:
+        if timer:
+            timer.cancel()
     sc.setLocalProperty("spark.jobGroup.id", None)
     secs = time.perf_counter() - t0
     return QueryResult(name, sheet, "failed" if err else "success", start, dt.datetime.now(), secs,
@@ -96,6 +96,7 @@ def run_batch(spark: SparkSession, registry: DataFrame, out_root: str, frequency
     entries = select_queries(registry, frequency).select("name", "sql", "sheet_name").collect()
     jobs = [(e["name"], e["sql"], sheet_name_for(e["name"], {e["name"]: e["sheet_name"]}, limit=None))
             for e in entries]
+    refuse_shared_sheets([sheet for _, _, sheet in jobs])
     if parallel and len(jobs) > 1:
         target = inheritable_thread_target(spark)(
             lambda j: run_one(spark, j[0], j[1], j[2], out_root, pool=f"batch_{j[0]}", timeout=timeout))
@@ -159,7 +160,9 @@ def kpi_order(kpis: dict[str, list[str]]) -> list[str]:
 def refresh_kpis(spark: SparkSession, sheets: dict[str, DataFrame], kpis: dict[str, tuple[str, list[str]]],
                  materialize: bool = False):
     """Evaluate every KPI once, dependencies first; each result is registered
-    as a view for the KPIs after it.  Returns ``{name: (df, error)}``.
+    as a view for the KPIs after it.  Returns ``{name: (df, error)}``.  The
+    view of a KPI that fails is dropped, so those that read it fail as well
+    and none is computed from an earlier result.
 
     Views are lazy: a KPI read by several later KPIs would be recomputed by
     each.  With ``materialize=True`` every KPI is computed once into a
@@ -167,7 +170,7 @@ def refresh_kpis(spark: SparkSession, sheets: dict[str, DataFrame], kpis: dict[s
     and later KPIs read that stored result.
     """
     from kpiloom.session import checkpoint_dir
-    from kpiloom.sources.catalog import register_sheets
+    from kpiloom.sources.catalog import drop_sheets, register_sheets
     register_sheets(sheets)
     if materialize:
         checkpoint_dir(spark)
@@ -182,4 +185,6 @@ def refresh_kpis(spark: SparkSession, sheets: dict[str, DataFrame], kpis: dict[s
         out[name] = (df, err)
         if df is not None:
             register_sheets({name: df})
+        else:
+            drop_sheets(spark, [name])
     return out

@@ -22,7 +22,7 @@ from kpiloom.functions.search import search_any
 from kpiloom.operators.consolidate import Mapping, consolidate, mappings_for
 from kpiloom.operators.paging import PAGE_SIZE, page
 from kpiloom.plans.batch import kpi_order, status_rollup
-from kpiloom.sources.catalog import name_variants, register_sheets, run_sql
+from kpiloom.sources.catalog import view_names, register_sheets, run_sql
 from kpiloom.sources.files import load_csv_table
 from kpiloom.sources.scheme import SCHEME_SHEET, load_scheme
 from kpiloom.sources.sinks import load_workspace, save_workspace
@@ -87,7 +87,7 @@ class Workbook:
             if other.type != "kpi" or name == sheet.name:
                 continue
             if any(re.search(rf"(?i)(?<![\w`]){re.escape(v)}(?![\w`])", sheet.query or "")
-                   for v in name_variants(name)):
+                   for v in view_names(name)):
                 found.append(name)
         return found
 

@@ -2,7 +2,8 @@
 
 On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file
 system such as HDFS or an object store).  Only when nothing is configured -- a
-local test run -- do we create one under the system temp folder.
+local test run -- do we create one under the system temp folder; any other master
+without that setting is refused.
 """
 
 from __future__ import annotations
@@ -64,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # not set in the SQL conf either
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -8,38 +8,40 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def name_variants(name: str) -> list[str]:
-    """Original, lower case, spaces -> ``_``, both, and non-word -> ``_`` (deduplicated)."""
-    out = []
-    for v in (name, name.lower(), name.replace(" ", "_"), name.lower().replace(" ", "_"),
-              re.sub(r"[^A-Za-z0-9_]", "_", name)):
-        if v and v not in out:
-            out.append(v)
-    return out
+def view_names(sheet: str) -> list[str]:
+    """The names a statement can use: the sheet's own, in back-ticks if it is not a plain word, and its word form
+    (every other character as ``_``).  Spark compares names without case, so no lower-case form is needed."""
+    word = re.sub(r"\W", "_", sheet, flags=re.ASCII)
+    return [sheet] if word == sheet else [sheet, word]
 
 
 def register_sheets(sheets: dict[str, DataFrame | None]) -> list[str]:
-    """Register every sheet holding data as temp views under its name variants.
+    """Register every sheet that holds data as temp views (lazy: nothing is read); returns the names.
 
-    Views are lazy: registering reads nothing.  Spark resolves view names
-    case-insensitively; variants Spark refuses as view names (spaces) are
-    skipped -- the ``_`` variants cover them.
-    """
-    names = []
+    Two sheets that would share a view name are refused."""
+    owner: dict[str, str] = {}
     for name, df in sheets.items():
         if df is None:
             continue
-        for v in name_variants(name):
-            try:
-                df.createOrReplaceTempView(v)
-            except AnalysisException:   # not a valid identifier (e.g. holds a space)
-                continue
-            names.append(v)
-    if not names:
+        for v in view_names(name):
+            if owner.setdefault(v.lower(), name) != name:
+                raise ValueError(f"sheets {owner[v.lower()]!r} and {name!r} share the name {v!r}")
+    if not owner:
         raise ValueError("no sheet holds data; nothing to query")
+    names = []
+    for name, df in sheets.items():
+        for v in view_names(name) if df is not None else []:
+            df.createOrReplaceTempView("`" + v.replace("`", "``") + "`")
+            names.append(v)
     return names
 
 
+def drop_sheets(spark: SparkSession, sheets: list[str]) -> None:
+    for name in sheets:
+        for v in view_names(name):
+            spark.catalog.dropTempView(v)
+
+
 def run_sql(spark: SparkSession, sql: str, args: dict | None = None):
     """``(df, error)``: analysis/parse errors are returned, never raised.
 

@@ -15,7 +15,7 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nb
 
 def cell_text(c: Column) -> Column:
     """Tags removed, entities decoded, blanks trimmed."""
-    t = F.regexp_replace(c, r"(?s)<[^>]*>", "")
+    t = F.regexp_replace(c, r"(?s)<(?:[A-Za-z/!][^>]*)>", "")
     for ent, ch in ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
     return F.trim(t)
@@ -55,7 +55,7 @@ def read_html_table(df: DataFrame, html_col: str, columns: list[str], keep: list
 
     def pick(name):
         pos = F.array_position(F.col("_head"), name).cast("int")
-        return F.when(pos > 0, F.element_at(F.col("_cells"), pos)).alias(name)
+        return F.when(pos > 0, F.try_element_at(F.col("_cells"), pos)).alias(name)
     return step4.select(*keep, "row_no", *[pick(n) for n in columns])
 
 

@@ -26,7 +26,7 @@ def T(spark, sf_dir, name):
 SRC_SQL = """
 SELECT o_orderpriority, o_orderstatus, CAST(COUNT(*) AS BIGINT) AS n_orders,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-FROM orders WHERE o_totalprice > 50000 GROUP BY o_orderpriority, o_orderstatus"""
+FROM orders GROUP BY o_orderpriority, o_orderstatus"""
 
 
 @register("src_sql", SRC_SQL)
@@ -168,7 +168,7 @@ def q_view_register(spark, sf_dir):
 @register("sink_report", """
 SELECT 'Urgent_Orders' AS sheet_name, 'urgent orders' AS query_name, CAST(COUNT(*) AS BIGINT) AS row_count
 FROM orders WHERE o_orderpriority = '1-URGENT'
-UNION ALL SELECT 'events per user - long name cut', 'events per user - long name cut to thirty one chars',
+UNION ALL SELECT 'events per user - long name cut to thirty one chars', 'events per user - long name cut to thirty one chars',
        CAST(COUNT(DISTINCT user_id) AS BIGINT) FROM events""")
 def q_sink_report(spark, sf_dir):
     root = scratch_path(spark, "report")
@@ -185,13 +185,13 @@ def q_sink_report(spark, sf_dir):
 
 
 @register("sink_append", """
-SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders""")
 def q_sink_append(spark, sf_dir):
     path = scratch_path(spark, "appended")
     o = T(spark, sf_dir, "orders")
     SK.append_positional(o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice"), path)
     # second batch with other column names: matched by position
-    SK.append_positional(o.where(F.col("o_orderstatus") == "O").select(
+    SK.append_positional(o.where(F.col("o_orderstatus") != "F").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_totalprice").alias("p")), path)
     return spark.read.parquet(path)
 

@@ -47,7 +47,7 @@ KPI_SQL = """
 SELECT e.user_id, CAST(COUNT(*) AS BIGINT) AS inspections,
        CAST(SUM(CASE WHEN e.event_type = 'purchase' THEN 10 ELSE 0 END) AS BIGINT) AS five_star_pay
 FROM events_sheet e JOIN customer_list c ON e.user_id = c.c_custkey
-WHERE c.c_mktsegment <> 'BUILDING' GROUP BY e.user_id"""
+GROUP BY e.user_id"""
 
 
 @register("kpi_eval", KPI_SQL.replace("events_sheet", "events").replace("customer_list", "customer"))

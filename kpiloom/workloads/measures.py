@@ -109,9 +109,9 @@ def q_meas_slab(spark, sf_dir):
 
 @register("meas_flat", """
 SELECT user_id, CAST(COUNT(event_id) * 150 AS BIGINT) AS per_unit_pay FROM events
-WHERE event_type = 'view' GROUP BY user_id""")
+GROUP BY user_id""")
 def q_meas_flat(spark, sf_dir):
-    spec = BuildSpec("events", group_by=["user_id"], where="event_type = 'view'",
+    spec = BuildSpec("events", group_by=["user_id"],
                      measures=[Measure(kind="flat", alias="per_unit_pay", column="event_id", per_unit=150)])
     return build(spec, tables(spark, sf_dir, "events")).withColumn("per_unit_pay", F.col("per_unit_pay").cast("bigint"))
 

@@ -81,3 +81,12 @@ def test_search_any_and_col(spark):
     s = search_summary(df, "name", "a|b", "pay").first()
     assert (s.n_rows, s.total) == (2, 10.0)
     assert not math.isnan(s.total)
+
+
+def test_small_and_large_amounts_are_summed_whole(spark):
+    from kpiloom.operators.consolidate import consolidate, mappings_for, presum
+    df = spark.createDataFrame([("a", 0.00004), ("a", 0.00004), ("b", 1e15), ("b\xa0", 0.5)], "k string, v double")
+    got = {r.cj_id: r.a for r in consolidate(mappings_for(df, "a", "k", ["v"])).collect()}
+    assert got == {"a": 0.00008, "b": 1e15 + 0.5}
+    exact = df.selectExpr("k", "cast(9007199254740993 as bigint) as v")
+    assert {r.cj_id: r.v for r in presum(exact, "k", "v").collect()}["a"] == 2.0 * 9007199254740993

@@ -7,12 +7,16 @@ from kpiloom.plans.batch import REGISTRY_SCHEMA, kpi_order, run_batch, run_summa
 from kpiloom.session import scratch_path
 from kpiloom.sources import files as FS
 from kpiloom.sources import sinks as SK
-from kpiloom.sources.catalog import name_variants, run_kpi, run_sql
+from kpiloom.sources.catalog import register_sheets, run_kpi, view_names, run_sql
 from kpiloom.streaming.arrival import current_totals, start_refresh
 
 
 def test_name_variants_and_kpi_errors(spark):
-    assert name_variants("My Sheet-1") == ["My Sheet-1", "my sheet-1", "My_Sheet-1", "my_sheet-1", "My_Sheet_1"]
+    assert view_names("My Sheet-1") == ["My Sheet-1", "My_Sheet_1"] and view_names("plain") == ["plain"]
+    register_sheets({"My Sheet-1": spark.range(2)})
+    assert spark.sql("SELECT * FROM `My Sheet-1` UNION ALL SELECT * FROM my_sheet_1").count() == 4
+    with pytest.raises(ValueError, match="share"):
+        register_sheets({"pay-a": spark.range(1), "pay a": spark.range(1)})
     df = spark.createDataFrame([(1,)], "x int")
     out, err = run_kpi(spark, "SELECT SUM(x) AS s FROM my_sheet_1", {"My Sheet-1": df, "empty": None})
     assert err is None and out.first().s == 1
@@ -66,13 +70,23 @@ def test_report_sinks_and_append(spark):
     man = {r.sheet_name: r.row_count for r in spark.read.parquet(f"{root}/_manifest").collect()}
     assert man == {"first": 3, "second": 5}
     assert spark.read.parquet(f"{root}/first").count() == 3            # untouched by the second run
-    assert len(SK.sheet_name_for("x" * 40)) == 31
+    assert SK.sheet_name_for("x" * 40) == "x" * 40
+    with pytest.raises(ValueError, match="one sheet"):
+        SK.write_report(spark, [("a/b", good, "success"), ("a:b", good, "success")], root)
+    boom = spark.range(4).select(F.expr("assert_true(id < 2)"), "id")
+    with pytest.raises(Exception):
+        SK.write_report(spark, [("first", boom, "success")], root)
+    assert spark.read.parquet(f"{root}/first").count() == 3            # a rerun that fails leaves the earlier rows
+    SK.write_report(spark, [("first", spark.range(7), "success")], root)
+    assert spark.read.parquet(f"{root}/first").count() == 7
     path = scratch_path(spark, "app")
     SK.append_positional(spark.createDataFrame([(1, "a")], "k long, v string"), path)
     SK.append_positional(spark.createDataFrame([(2, "b")], "other long, names string"), path)
     assert sorted(spark.read.parquet(path).collect()) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         SK.append_positional(spark.range(1), path)
+    assert SK.append_positional(spark.createDataFrame([(3, 4)], "k int, v int"), path) == 1
+    assert spark.read.parquet(path).where("v = '4' and k = 3").count() == 1
 
 
 def test_workspace_round_trip(spark):
@@ -83,20 +97,22 @@ def test_workspace_round_trip(spark):
     meta, tables = SK.load_workspace(spark, root, "w1")
     assert sorted((r.name, r.status) for r in meta.collect()) == [("e", "pending"), ("t", "success")]
     assert tables["t"].schema == df.schema and tables["t"].first() == (1, 2.5)
+    SK.save_workspace(spark, root, "w1", {"t": (tables["t"], "sql", "q")})    # back to the folder it is read from
+    assert SK.load_workspace(spark, root, "w1")[1]["t"].first() == (1, 2.5)
 
 
 def test_batch_isolates_failures_and_filters(spark):
     spark.range(4).createOrReplaceTempView("nums")
     reg = spark.createDataFrame([
         ("ok", "SELECT * FROM nums", "Ok", "Daily", None), ("bad", "SELECT nope FROM nums", "Bad", "daily", True),
-        ("boom", "SELECT assert_true(id < 2) FROM nums", "Boom", "daily", True),
+        ("boom", "SELECT assert_true(id < 2) FROM nums", "Boom", "daily", True), ("none", None, "None", "daily", True),
         ("weekly", "SELECT 1", "W", "weekly", True), ("off", "SELECT 1", "Off", "daily", False)], REGISTRY_SCHEMA)
-    assert select_queries(reg).count() == 4 and select_queries(reg, "DAILY").count() == 3
+    assert select_queries(reg).count() == 5 and select_queries(reg, "DAILY").count() == 4
     log = run_batch(spark, reg, scratch_path(spark, "b"), frequency="daily")
     got = {r.query_name: (r.status, r.row_count) for r in log.collect()}
-    assert got == {"ok": ("success", 4), "bad": ("failed", 0), "boom": ("failed", 0)}
+    assert got == {"ok": ("success", 4), "bad": ("failed", 0), "boom": ("failed", 0), "none": ("failed", 0)}
     s = run_summary(log).first()
-    assert (s.total_queries, s.successful, s.failed, s.success_rate, s.total_rows) == (3, 1, 2, "33.3%", 4)
+    assert (s.total_queries, s.successful, s.failed, s.success_rate, s.total_rows) == (4, 1, 3, "25.0%", 4)
     assert run_summary(log.where("false")).count() == 0
 
 

@@ -118,11 +118,10 @@ def test_paging_positions_match_brute_force(spark):
     assert seek == [r.k for r in brute[500:1000]]
 
 
-def test_deep_page_uses_positions(spark, monkeypatch):
+def test_deep_page_uses_positions(spark):
     import kpiloom.operators.paging as P
-    monkeypatch.setattr(P, "DEEP_OFFSET", 10)
     df = spark.range(0, 100).withColumnRenamed("id", "k")
-    assert [r.k for r in P.page(df, [F.col("k")], 3, 20).collect()] == list(range(40, 60))
+    assert [r.k for r in P.page(df, [F.col("k")], 3, 20, by_position=True).collect()] == list(range(40, 60))
 
 
 def test_dashboard_fixture(spark):

@@ -52,11 +52,11 @@ def test_merge_is_one_shuffle(spark):
     assert tree.count("HashAggregate") == 2          # partial (map side) + final
 
 
-def test_latest_per_key_has_no_window(spark):
+def test_latest_per_key_prunes_before_its_one_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), (F.col("id") % 10).alias("t"))
     plan = plan_of(latest_per_key(df, "k", "t"))
-    assert "Window" not in plan.split("\n\n")[0]
-    assert "LeftSemi" in plan
+    tree = plan.split("\n\n")[0]
+    assert tree.count("WindowGroupLimit") == 2 and tree.count("Exchange") == 1 and "Join" not in tree
 
 
 def test_slab_join_shapes(spark):

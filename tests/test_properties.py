@@ -4,6 +4,7 @@ same rules, on generated inputs (one Spark job per generated batch)."""
 import math
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -93,11 +94,11 @@ def test_consolidate_matches_python_merge(spark, a_rows, b_rows):
     for label, data in (("a", a_rows), ("b", b_rows)):
         for k, v in data:
             entry = want.setdefault(py_key(k), {"a": 0, "b": 0})
-            entry[label] += round(py_coerce(v) * 10**4)            # exact units, as the merge sums
+            entry[label] += round(py_coerce(v) * 10**9)            # exact units, as the merge sums
     assert set(got) == set(want)
     for k, e in want.items():
-        assert got[k][0] == e["a"] / 10**4 and got[k][1] == e["b"] / 10**4
-        assert got[k][2] == (e["a"] + e["b"]) / 10**4
+        assert got[k][0] == pytest.approx(e["a"] / 10**9, rel=1e-12, abs=2e-9) and got[k][1] == pytest.approx(e["b"] / 10**9, rel=1e-12, abs=2e-9)
+        assert got[k][2] == pytest.approx((e["a"] + e["b"]) / 10**9, rel=1e-12, abs=2e-9)
 
 
 @SETTINGS
@@ -138,15 +139,14 @@ def test_latest_per_key_matches_dense_rank(spark, rows):
     kept = [d for d in data if d[3] > 0]
     best = {}
     for _, k, t, _ in kept:
-        if t is not None:
-            best[k] = max(best.get(k, t), t)
-    want = sorted(i for i, k, t, _ in kept if t is not None and t == best[k])
+        best[k] = max(best.get(k, -1), -1 if t is None else t)
+    want = sorted(i for i, k, t, _ in kept if (-1 if t is None else t) == best[k])
     assert got == want
     one = sorted(r.id for r in latest_per_key(df, "k", "t", keep_ties=False, where=F.col("r") > 0).collect())
     top = {}
     for i, k, t, r in kept:
-        if t is not None:
-            top[k] = max(top.get(k, (t, i, r)), (t, i, r))
+        t = -1 if t is None else t
+        top[k] = max(top.get(k, (t, i, r)), (t, i, r))
     assert one == sorted(v[1] for v in top.values())
 
 
