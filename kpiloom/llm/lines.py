@@ -17,8 +17,8 @@ an earlier one (by document id, then line number) is removed.
     its nearest candidate per word, so a group of thousands of like lines gives
     one candidate per line and word, not all its pairs.
 4.  Candidates are verified on the lines themselves.  Lines none of whose
-    candidates hold are compared with all their other candidates in a second
-    pass, so nothing is missed.
+    candidates hold get their next ones, four times as many each round, until
+    one holds or none is left, so nothing is missed.
 
 Lines of fewer than ``least_words`` words stay as they are, and so do empty
 lines.  A null text stays null.  Rows that repeat a document id are treated as
@@ -29,6 +29,7 @@ last.  An empty table gives no rows; other columns pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -142,15 +143,21 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
 
 
-def nearest_candidates(index: DataFrame, threshold: float) -> DataFrame:
-    """(doc, line, e_doc, e_line): per line and word the nearest earlier line that the filters let pass."""
-    columns = ["word", "doc", "line", "n", "at", "b0", "b1"]
+def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
+    """(doc, line, e_doc, e_line): per line and word its nearest earlier lines that the filters let pass, without the
+    first ``skip``, ``take`` at most; only: the lines (doc, line) to give them for."""
+    columns = ["word", "doc", "line", "n", "at", "b0", "b1", "open"]
+    index = index.withColumn("open", F.lit(True))
+    if only is not None:
+        index = index.drop("open").join(only.withColumn("open", F.lit(True)), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        index = index.join(index.where("open").select("word").distinct(), "word", "left_semi")
 
     def meet(a: dict[str, np.ndarray]) -> pd.DataFrame:
         total = len(a["word"])
         start = np.r_[True, a["word"][1:] != a["word"][:-1]] if total else np.zeros(0, bool)
         first = np.maximum.accumulate(np.where(start, np.arange(total), 0)) if total else np.zeros(0, np.int64)
-        live = np.nonzero(np.arange(total) > first)[0]
+        live = np.nonzero((np.arange(total) > first) & a["open"].astype(bool))[0]
+        seen = np.zeros(total, np.int64)
         late, early, d = [], [], 1
         while len(live):
             other = live - d
@@ -161,9 +168,11 @@ def nearest_candidates(index: DataFrame, threshold: float) -> DataFrame:
             k = np.nonzero(ok)[0]
             differ = _bits(a["b0"][live[k]] ^ a["b0"][other[k]]) + _bits(a["b1"][live[k]] ^ a["b1"][other[k]])
             ok[k] = (n[k] + m[k] - differ) // 2 >= need[k]
+            seen[live[ok]] += 1
+            ok &= seen[live] > skip
             late.append(live[ok])
             early.append(other[ok])
-            live = live[~ok]
+            live = live[seen[live] < skip + take]
             d += 1
             live = live[live - d >= first[live]]
         i = np.concatenate(late) if late else np.zeros(0, np.int64)
@@ -189,19 +198,6 @@ def nearest_candidates(index: DataFrame, threshold: float) -> DataFrame:
     return parts.mapInPandas(run, "doc long, line int, e_doc long, e_line int").distinct()
 
 
-def other_candidates(index: DataFrame, open_lines: DataFrame, threshold: float) -> DataFrame:
-    """All pairs that the filters let pass, for the given lines (doc, line) only."""
-    probe = index.join(open_lines, ["doc", "line"], "left_semi")
-    x, y = probe.alias("x"), index.alias("y")
-    need = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("x.n") + F.col("y.n")) - F.lit(1e-9))
-    ok = ((F.col("x.word") == F.col("y.word"))
-          & (F.struct("y.doc", "y.line") < F.struct("x.doc", "x.line"))
-          & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * threshold - 1e-9)
-          & (1 + F.least(F.col("x.n") - F.col("x.at") - 1, F.col("y.n") - F.col("y.at") - 1) >= need)
-          & ((F.col("x.n") + F.col("y.n") - F.bit_count(F.col("x.b0").bitwiseXOR(F.col("y.b0"))) - F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1")))) / 2 >= need))
-    return x.join(y, ok).select("x.doc", "x.line", F.col("y.doc").alias("e_doc"), F.col("y.line").alias("e_line")).distinct()
-
-
 def _set_of(line: Column) -> Column:
     low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return F.array_distinct(F.filter(F.split(low, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
@@ -227,15 +223,19 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     firsts = lines.groupBy("d0", "d1").agg(F.min(F.struct("doc", "line", "n", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
     sets = stored(firsts.select("d0", "d1", "f.*", "copies"), "line-sets")
     index = _index(sets)
-    pairs = stored(nearest_candidates(index, threshold), "line-candidates")
-    near = stored(verified(pairs, texts, threshold), "near-lines")
-    still = stored(pairs.select("doc", "line").distinct().join(near, ["doc", "line"], "left_anti"), "open-lines")
-    if not still.isEmpty():
-        more = stored(other_candidates(index, still, threshold).join(pairs, ["doc", "line", "e_doc", "e_line"], "left_anti"), "line-candidates")
-        near = near.unionByName(verified(more, texts, threshold))
+    near, still, skip, take = [], None, 0, 1
+    while True:
+        pairs = stored(candidates(index, threshold, skip, take, still), "line-candidates")
+        if pairs.isEmpty():
+            break
+        near.append(stored(verified(pairs, texts, threshold), "near-lines"))
+        still = stored(pairs.select("doc", "line").distinct().join(near[-1], ["doc", "line"], "left_anti"), "open-lines")
+        if still.isEmpty():
+            break
+        skip, take = skip + take, 4 * take
     again = sets.where("copies > 1").select("d0", "d1", F.col("doc").alias("f_doc"), F.col("line").alias("f_line"))
     exact = lines.select("d0", "d1", "doc", "line").join(again, ["d0", "d1"]).where("doc != f_doc or line != f_line").select("doc", "line", F.lit(True).alias("exact"))
-    return exact.unionByName(near.select("doc", "line", F.lit(False).alias("exact"))).dropDuplicates(["doc", "line"])
+    return reduce(DataFrame.unionByName, [x.select("doc", "line", F.lit(False).alias("exact")) for x in near], exact).dropDuplicates(["doc", "line"])
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, least_words: int = LEAST_WORDS) -> DataFrame:

@@ -175,14 +175,17 @@ def test_line_dedup(worker_code, docs, odd_docs):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
-def test_line_candidates_lose_nothing_without_the_second_pass_being_used(worker_code, monkeypatch):
-    """All pairs that the native second pass would give include the first pass's."""
+def test_line_candidates_come_in_rounds(worker_code):
+    """The rounds together give the same candidates as one round without a limit, each once per line and word."""
     texts = lines._texts(worker_code.createDataFrame(near_lines_fixture(), "doc_id long, text string"), "doc_id", "text")
-    sets = lines.line_sets(texts, lines.word_counts(texts), 0.8, 3).dropDuplicates(["d0", "d1"])
+    sets = lines.line_sets(texts, lines.word_counts(texts), 0.4, 3).dropDuplicates(["d0", "d1"])
     index = lines._index(sets).cache()
-    some = {tuple(r) for r in lines.nearest_candidates(index, 0.8).collect()}
-    every = {tuple(r) for r in lines.other_candidates(index, sets.select("doc", "line"), 0.8).collect()}
-    assert some and some <= every
+    every = {tuple(r) for r in lines.candidates(index, 0.4, 0, 10**6).collect()}
+    some, skip, take = set(), 0, 1
+    while now := {tuple(r) for r in lines.candidates(index, 0.4, skip, take, sets.select("doc", "line")).collect()}:
+        some |= now
+        skip, take = skip + take, 2 * take
+    assert some == every and skip > 1
 
 
 def test_url_rules(worker_code):
