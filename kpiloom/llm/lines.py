@@ -5,9 +5,10 @@ Jaccard similarity of their sets is at least ``threshold``; a line that matches
 an earlier one (by document id, then line number) is removed.
 
 1.  Words are ordered by rarity: corpus counts over 2^``BITS`` hash buckets, a
-    table of fixed size that is sent to all executors; the word's 64-bit hash
-    parts equal counts.  Any fixed order gives right results, a rare-first order few
-    candidates.
+    table of fixed size that is sent to all executors as the buckets' ranks; the
+    word's 64-bit hash orders a bucket.  Any fixed order gives right results, a
+    rare-first order few candidates.  A word that occurs once in the whole corpus
+    (its bucket counts 1) is shared by no two lines and has no index row.
 2.  Lines with equal sets (by a 128-bit digest) collapse to the earliest; all
     others of them go.
 3.  Of a set of n words, the rarest n - ceil(t n) + 1 are indexed: two sets
@@ -60,57 +61,88 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 def word_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences by hash bucket."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, mask = np.zeros(1 << BITS, np.int64), np.uint64((1 << BITS) - 1)
+        total, words, mask = np.zeros(1 << BITS, np.uint32), 0, np.uint64((1 << BITS) - 1)
+
+        def out() -> pd.DataFrame:
+            return pd.DataFrame({"slot": np.arange(len(total) // SLOT), "counts": [x.tobytes() for x in total.reshape(-1, SLOT)]})
+
         for b in batches:
             for t in b["text"]:
                 at = (hashes(t.encode().lower().split()) & mask).astype(np.int64)
+                if words + len(at) >= 1 << 32:  # the counts leave before they could overflow
+                    yield out()
+                    total, words = np.zeros(1 << BITS, np.uint32), 0
+                words += len(at)
                 if len(at) < 1 << 14:
-                    np.add.at(total, at, 1)
+                    np.add.at(total, at, np.uint32(1))
                 else:
-                    total += np.bincount(at, minlength=1 << BITS)
-        some = np.nonzero(total)[0]
-        yield pd.DataFrame({"bucket": some.astype("int32"), "n": total[some]})
+                    total += np.bincount(at, minlength=1 << BITS).astype(np.uint32)
+        if words:
+            yield out()
 
-    def packed(slot: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        own = np.zeros(SLOT, np.int64)
-        own[rows["bucket"].to_numpy(dtype=np.int64) % SLOT] = rows["n"]
-        return pd.DataFrame({"slot": [slot[0]], "counts": [own.tobytes()]})
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for slot, c in zip(b["slot"], b["counts"]):
+                sums[slot] = sums.get(slot, 0) + np.frombuffer(c, np.uint32).astype(np.int64)
+        yield pd.DataFrame({"slot": pd.Series(list(sums), dtype="int64"), "counts": [x.tobytes() for x in sums.values()]})
 
-    sums = texts.select("text").mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    slots = sums.groupBy(F.expr(f"bucket div {SLOT}").alias("slot")).applyInPandas(packed, "slot long, counts binary")
+    parts = texts.select("text").mapInPandas(run, "slot long, counts binary").repartition("slot")
     out = np.zeros(1 << BITS, np.int64)
-    for r in slots.collect():  # 2^BITS numbers of 8 bytes
+    for r in parts.mapInPandas(summed, "slot long, counts binary").collect():  # 2^BITS numbers of 8 bytes
         out[r.slot * SLOT:(r.slot + 1) * SLOT] = np.frombuffer(r.counts, np.int64)
     return out
 
 
-def _sets(keys: list[tuple[int, int]], sizes: list[int], words: list[bytes], counts: np.ndarray, threshold: float) -> pa.RecordBatch:
+def ranks(counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The place of each bucket when they are ordered by count, and how many of them hold one word occurrence or none."""
+    place = np.empty(len(counts), np.uint32)
+    place[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint32)
+    return place, int((counts <= 1).sum())
+
+
+def _rare_first(line: np.ndarray, rank: np.ndarray, h: np.ndarray, sizes: int) -> np.ndarray:
+    """The order by line, rank and hash: one sort of a packed number, checked where its cut hashes tie."""
+    low = 64 - BITS - max(1, sizes.bit_length())
+    packed = (line.astype(np.uint64) << np.uint64(64 - max(1, sizes.bit_length()))) | (rank << np.uint64(low)) | (h >> np.uint64(64 - low))
+    order = np.argsort(packed)
+    p, o = packed[order], h[order]
+    if ((p[1:] == p[:-1]) & (o[1:] != o[:-1])).any():
+        return np.lexsort((h, rank, line))
+    return order
+
+
+def _sets(keys: list[tuple[int, int]], sizes: list[int], words: list[bytes], place: np.ndarray, lone: int, threshold: float) -> pa.RecordBatch:
     """Rows of ``line_sets`` for lines of the given numbers of words, none of them 0."""
     h, line = hashes(words), np.repeat(np.arange(len(sizes)), sizes)
-    rarity = counts[(h & np.uint64(len(counts) - 1)).astype(np.int64)]
-    order = np.lexsort((h, rarity, line))
-    h, line = h[order], line[order]
+    rank = place[(h & np.uint64(len(place) - 1)).astype(np.int64)].astype(np.uint64)
+    order = _rare_first(line, rank, h, len(sizes))
+    h, line, rank = h[order], line[order], rank[order]
     new = np.r_[True, (h[1:] != h[:-1]) | (line[1:] != line[:-1])] if len(h) else np.zeros(0, bool)
-    h, line = h[new], line[new]
+    h, line, rank = h[new], line[new], rank[new]
     n = np.bincount(line, minlength=len(sizes))
     start = np.cumsum(n) - n
     prefix = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+    alone = np.bincount(line[rank < lone], minlength=len(sizes))  # the first words of a line; they are in no other
     mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     bit, one = h & np.uint64(127), np.uint64(1)
     image = [np.where((bit >> np.uint64(6)) == half, one << (bit & np.uint64(63)), np.uint64(0)) for half in (0, 1)]
     over = (lambda f, x: f.reduceat(x, start)) if len(n) else (lambda f, x: x)
-    offsets = np.r_[0, np.cumsum(prefix)].astype(np.int32)
-    chosen = h[np.arange(len(h)) - start[line] < prefix[line]]
+    offsets = np.r_[0, np.cumsum(np.maximum(prefix - alone, 0))].astype(np.int32)
+    at = np.arange(len(h)) - start[line]
+    chosen = h[(at >= alone[line]) & (at < prefix[line])]
     return pa.RecordBatch.from_arrays([
         pa.array([d for d, _ in keys], pa.int64()), pa.array([no for _, no in keys], pa.int32()),
         *[pa.array(over(np.add, x).view(np.int64)) for x in (h, mixed ^ (mixed >> np.uint64(32)))], pa.array(n.astype(np.int32)),
-        pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.view(np.int64))), *[pa.array(over(np.bitwise_or, x).view(np.int64)) for x in image],
-    ], names=["doc", "line", "d0", "d1", "n", "prefix", "b0", "b1"])
+        pa.array(alone.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.view(np.int64))),
+        *[pa.array(over(np.bitwise_or, x).view(np.int64)) for x in image],
+    ], names=["doc", "line", "d0", "d1", "n", "alone", "prefix", "b0", "b1"])
 
 
 def line_sets(texts: DataFrame, counts: np.ndarray, threshold: float, least_words: int) -> DataFrame:
-    """One row per line: (doc, line, d0, d1, n, prefix, b0, b1); d0 and d1 are a 128-bit digest of the set of words."""
-    sent = texts.sparkSession.sparkContext.broadcast(counts)
+    """One row per line: (doc, line, d0, d1, n, alone, prefix, b0, b1); d0 and d1 are a 128-bit digest of the set of words,
+    alone counts the words at its start that occur nowhere else, prefix holds the indexed words after them."""
+    sent = texts.sparkSession.sparkContext.broadcast(ranks(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -123,16 +155,17 @@ def line_sets(texts: DataFrame, counts: np.ndarray, threshold: float, least_word
                         sizes.append(len(own))
                         words += own
                 if len(words) >= CHUNK:
-                    yield _sets(keys, sizes, words, sent.value, threshold)
+                    yield _sets(keys, sizes, words, *sent.value, threshold)
                     keys, sizes, words = [], [], []
             if keys:
-                yield _sets(keys, sizes, words, sent.value, threshold)
+                yield _sets(keys, sizes, words, *sent.value, threshold)
 
-    return texts.mapInArrow(run, "doc long, line int, d0 long, d1 long, n int, prefix array<long>, b0 long, b1 long")
+    return texts.mapInArrow(run, "doc long, line int, d0 long, d1 long, n int, alone int, prefix array<long>, b0 long, b1 long")
 
 
 def _index(sets: DataFrame) -> DataFrame:
-    return sets.select("doc", "line", "n", "b0", "b1", F.posexplode("prefix").alias("at", "word"))
+    rows = sets.select("doc", "line", "n", "alone", "b0", "b1", F.posexplode("prefix").alias("i", "word"))
+    return rows.select("doc", "line", "n", "b0", "b1", (F.col("alone") + F.col("i")).alias("at"), "word")
 
 
 def _least_overlap(n, m, threshold: float):
@@ -220,7 +253,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     """(doc, line, exact): the lines to remove, numbered from 0; exact: an earlier line has the same words."""
     texts = _texts(docs, key, text)
     lines = stored(line_sets(texts, word_counts(texts), threshold, least_words), "lines")
-    firsts = lines.groupBy("d0", "d1").agg(F.min(F.struct("doc", "line", "n", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
+    firsts = lines.groupBy("d0", "d1").agg(F.min(F.struct("doc", "line", "n", "alone", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
     sets = stored(firsts.select("d0", "d1", "f.*", "copies"), "line-sets")
     index = _index(sets)
     near, still, skip, take = [], None, 0, 1
@@ -238,6 +271,19 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     return reduce(DataFrame.unionByName, [x.select("doc", "line", F.lit(False).alias("exact")) for x in near], exact).dropDuplicates(["doc", "line"])
 
 
+def _without(text: Column, gone: Column) -> Column:
+    """The text without the lines of those numbers; one pass over its lines however many go."""
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, numbers: pd.Series) -> pd.Series:
+        out = []
+        for t, g in zip(texts, numbers):
+            own = set() if g is None else set(g.tolist())
+            out.append(None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in own))
+        return pd.Series(out, dtype=object)
+
+    return cut(text, gone)
+
+
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs with the removed lines cut out of the text, and two more columns: n_exact and n_near, the lines removed."""
     gone = removed_lines(docs, key, text, threshold, least_words).groupBy("doc").agg(
@@ -245,6 +291,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     gone = stored(gone, "removed-lines")
     own = docs.withColumn("_doc", F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST)))
     both = own.join(gone.withColumnRenamed("doc", "_doc").hint("shuffle_hash"), "_doc", "left")
-    parts = F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda _, i: ~F.array_contains("_gone", i))
-    return both.withColumn(text, F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(parts, "\n"))).select(
+    mine = F.col(f"`{text}`")
+    cut = F.when(F.col("_gone").isNull(), mine).otherwise(_without(F.when(F.col("_gone").isNotNull(), mine), F.col("_gone")))
+    return both.withColumn(text, cut).select(
         *[f"`{c}`" for c in docs.columns], F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"))
