@@ -18,8 +18,9 @@ an earlier one (by document id, then line number) is removed.
     its nearest candidate per word, so a group of thousands of like lines gives
     one candidate per line and word, not all its pairs.
 4.  Candidates are verified on the lines themselves.  Lines none of whose
-    candidates hold get their next ones, four times as many each round, until
-    one holds or none is left, so nothing is missed.
+    candidates hold get their next ones, four times as many each round and only
+    under the words that have more, until one holds or none is left, so nothing
+    is missed.
 
 Lines of fewer than ``least_words`` words stay as they are, and so do empty
 lines.  A null text stays null.  Rows that repeat a document id are treated as
@@ -176,21 +177,23 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
 
 
-def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
-    """(doc, line, e_doc, e_line): per line and word its nearest earlier lines that the filters let pass, without the
-    first ``skip``, ``take`` at most; only: the lines (doc, line) to give them for."""
-    columns = ["word", "doc", "line", "n", "at", "b0", "b1", "open"]
-    index = index.withColumn("open", F.lit(True))
+def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
+    """(doc, line, e_doc, e_line, word, more): per line and word its nearest earlier lines that the filters let pass, without
+    the first ``skip``, ``take`` at most; more: that line and word have further ones.  only: what to give them for, rows
+    of (doc, line) or (doc, line, word)."""
+    columns = ["word", "doc", "line", "n", "at", "b0", "b1"]
     if only is not None:
-        index = index.drop("open").join(only.withColumn("open", F.lit(True)), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-        index = index.join(index.where("open").select("word").distinct(), "word", "left_semi")
+        if "word" in only.columns:  # first, so that only these words' rows move
+            index = index.join(only.select("word").distinct(), "word", "left_semi")
+        index = index.join(only.distinct().withColumn("open", F.lit(True)), only.columns, "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        columns.append("open")
 
     def meet(a: dict[str, np.ndarray]) -> pd.DataFrame:
         total = len(a["word"])
         start = np.r_[True, a["word"][1:] != a["word"][:-1]] if total else np.zeros(0, bool)
         first = np.maximum.accumulate(np.where(start, np.arange(total), 0)) if total else np.zeros(0, np.int64)
-        live = np.nonzero((np.arange(total) > first) & a["open"].astype(bool))[0]
-        seen = np.zeros(total, np.int64)
+        live = np.nonzero((np.arange(total) > first) & a.get("open", np.ones(total, bool)).astype(bool))[0]
+        seen, last = np.zeros(total, np.int64), skip + take
         late, early, d = [], [], 1
         while len(live):
             other = live - d
@@ -202,15 +205,15 @@ def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1,
             differ = _bits(a["b0"][live[k]] ^ a["b0"][other[k]]) + _bits(a["b1"][live[k]] ^ a["b1"][other[k]])
             ok[k] = (n[k] + m[k] - differ) // 2 >= need[k]
             seen[live[ok]] += 1
-            ok &= seen[live] > skip
+            ok &= (seen[live] > skip) & (seen[live] <= last)
             late.append(live[ok])
             early.append(other[ok])
-            live = live[seen[live] < skip + take]
+            live = live[seen[live] <= last]  # one more than is given tells whether any is left
             d += 1
             live = live[live - d >= first[live]]
         i = np.concatenate(late) if late else np.zeros(0, np.int64)
         j = np.concatenate(early) if early else np.zeros(0, np.int64)
-        return pd.DataFrame({"doc": a["doc"][i], "line": a["line"][i], "e_doc": a["doc"][j], "e_line": a["line"][j]})
+        return pd.DataFrame({"doc": a["doc"][i], "line": a["line"][i], "e_doc": a["doc"][j], "e_line": a["line"][j], "word": a["word"][i], "more": seen[i] > last})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest: dict[str, np.ndarray] | None = None
@@ -228,7 +231,12 @@ def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1,
             yield meet(rest)
 
     parts = index.select(*columns).repartition("word").sortWithinPartitions("word", "doc", "line")
-    return parts.mapInPandas(run, "doc long, line int, e_doc long, e_line int").distinct()
+    return parts.mapInPandas(run, "doc long, line int, e_doc long, e_line int, word long, more boolean")
+
+
+def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
+    """(doc, line, e_doc, e_line) of ``_nearest``, each pair once."""
+    return _nearest(index, threshold, skip, take, only).select("doc", "line", "e_doc", "e_line").distinct()
 
 
 def _set_of(line: Column) -> Column:
@@ -258,11 +266,11 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     index = _index(sets)
     near, still, skip, take = [], None, 0, 1
     while True:
-        pairs = stored(candidates(index, threshold, skip, take, still), "line-candidates")
-        if pairs.isEmpty():
+        found = stored(_nearest(index, threshold, skip, take, still), "line-candidates")
+        if found.isEmpty():
             break
-        near.append(stored(verified(pairs, texts, threshold), "near-lines"))
-        still = stored(pairs.select("doc", "line").distinct().join(near[-1], ["doc", "line"], "left_anti"), "open-lines")
+        near.append(stored(verified(found.select("doc", "line", "e_doc", "e_line").distinct(), texts, threshold), "near-lines"))
+        still = stored(found.where("more").select("doc", "line", "word").distinct().join(near[-1], ["doc", "line"], "left_anti"), "open-lines")
         if still.isEmpty():
             break
         skip, take = skip + take, 4 * take
