@@ -15,12 +15,13 @@ an earlier one (by document id, then line number) is removed.
     that match share one of them.  Rows of a word are compared with earlier
     rows of that word by length, position and a 128-bit image of the set
     (whose differing bits bound the overlap from above), and each line gives
-    its nearest candidate per word, so a group of thousands of like lines gives
-    one candidate per line and word, not all its pairs.
-4.  Candidates are verified on the lines themselves.  Lines none of whose
-    candidates hold get their next ones, four times as many each round and only
-    under the words that have more, until one holds or none is left, so nothing
-    is missed.
+    its nearest candidates per word, so a group of thousands of like lines gives
+    few candidates per line and word, not all its pairs.
+4.  Candidates are verified on the lines themselves, per word the nearest
+    first, the others for lines whose nearest ones do not hold.  Lines that are
+    still open get their next ones, four times as many each round and only under
+    the words that have more, until one holds or none is left, so nothing is
+    missed.
 
 Lines of fewer than ``least_words`` words stay as they are, and so do empty
 lines.  A null text stays null.  Rows that repeat a document id are treated as
@@ -47,6 +48,8 @@ LEAST_WORDS = 3
 BITS = 20
 SLOT = 4096
 CHUNK = 1 << 18
+#: Candidates per line and word of the first round; later rounds take four times as many each, until none is left.
+FIRST_ROUND = 8
 LAST = (1 << 63) - 1
 
 
@@ -178,8 +181,8 @@ def _bits(x: np.ndarray) -> np.ndarray:
 
 
 def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
-    """(doc, line, e_doc, e_line, word, more): per line and word its nearest earlier lines that the filters let pass, without
-    the first ``skip``, ``take`` at most; more: that line and word have further ones.  only: what to give them for, rows
+    """(doc, line, e_doc, e_line, word, place, more): per line and word its nearest earlier lines that the filters let pass,
+    without the first ``skip``, ``take`` at most, the first at place 1; more: that line and word have further ones.  only: what to give them for, rows
     of (doc, line) or (doc, line, word)."""
     columns = ["word", "doc", "line", "n", "at", "b0", "b1"]
     if only is not None:
@@ -194,7 +197,7 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
         first = np.maximum.accumulate(np.where(start, np.arange(total), 0)) if total else np.zeros(0, np.int64)
         live = np.nonzero((np.arange(total) > first) & a.get("open", np.ones(total, bool)).astype(bool))[0]
         seen, last = np.zeros(total, np.int64), skip + take
-        late, early, d = [], [], 1
+        late, early, place, d = [], [], [], 1
         while len(live):
             other = live - d
             n, m = a["n"][live], a["n"][other]
@@ -208,12 +211,14 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
             ok &= (seen[live] > skip) & (seen[live] <= last)
             late.append(live[ok])
             early.append(other[ok])
+            place.append(seen[live[ok]] - skip)
             live = live[seen[live] <= last]  # one more than is given tells whether any is left
             d += 1
             live = live[live - d >= first[live]]
         i = np.concatenate(late) if late else np.zeros(0, np.int64)
         j = np.concatenate(early) if early else np.zeros(0, np.int64)
-        return pd.DataFrame({"doc": a["doc"][i], "line": a["line"][i], "e_doc": a["doc"][j], "e_line": a["line"][j], "word": a["word"][i], "more": seen[i] > last})
+        return pd.DataFrame({"doc": a["doc"][i], "line": a["line"][i], "e_doc": a["doc"][j], "e_line": a["line"][j], "word": a["word"][i],
+                             "place": np.concatenate(place) if place else i, "more": seen[i] > last})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest: dict[str, np.ndarray] | None = None
@@ -231,7 +236,7 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
             yield meet(rest)
 
     parts = index.select(*columns).repartition("word").sortWithinPartitions("word", "doc", "line")
-    return parts.mapInPandas(run, "doc long, line int, e_doc long, e_line int, word long, more boolean")
+    return parts.mapInPandas(run, "doc long, line int, e_doc long, e_line int, word long, place long, more boolean")
 
 
 def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
@@ -264,13 +269,16 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     firsts = lines.groupBy("d0", "d1").agg(F.min(F.struct("doc", "line", "n", "alone", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
     sets = stored(firsts.select("d0", "d1", "f.*", "copies"), "line-sets")
     index = _index(sets)
-    near, still, skip, take = [], None, 0, 1
+    near, still, skip, take = [], None, 0, FIRST_ROUND
     while True:
         found = stored(_nearest(index, threshold, skip, take, still), "line-candidates")
-        if found.isEmpty():
-            break
-        near.append(stored(verified(found.select("doc", "line", "e_doc", "e_line").distinct(), texts, threshold), "near-lines"))
-        still = stored(found.where("more").select("doc", "line", "word").distinct().join(near[-1], ["doc", "line"], "left_anti"), "open-lines")
+        rest = found
+        for now in ("place = 1", "place > 1"):  # the others only for lines whose nearest ones do not hold
+            pairs = rest.where(now).select("doc", "line", "e_doc", "e_line").distinct()
+            if not pairs.isEmpty():
+                near.append(stored(verified(pairs, texts, threshold), "near-lines"))
+                rest = rest.join(near[-1], ["doc", "line"], "left_anti")
+        still = stored(rest.where("more").select("doc", "line", "word").distinct(), "open-lines")
         if still.isEmpty():
             break
         skip, take = skip + take, 4 * take
