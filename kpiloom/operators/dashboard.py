@@ -6,19 +6,26 @@ be empty).  Every output is one aggregate or projection over the facts.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.scalars import fmt_pct, safe_ratio_pct, unknown
+from kpiloom.operators.filters import between_days
 
 ALL = "All"
 UNKNOWN = "Unknown"
 
 
-def facts_from_orders(orders: DataFrame) -> DataFrame:
+def facts_from_orders(orders: DataFrame, month: str = ALL) -> DataFrame:
     """Month x channel facts from an orders table: month = order month,
     channel = order priority ('' when not specified), si = finished orders,
-    insp = all orders.  One grouped aggregate (partial + final)."""
+    insp = all orders.  One grouped aggregate (partial + final).  ``month`` (yyyy-MM)
+    is a half-open range on the raw date, so only its row groups are read."""
+    if month != ALL:
+        first = dt.date.fromisoformat(f"{month}-01")
+        orders = between_days(orders, "o_orderdate", first, (first + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1))
     channel = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("")).otherwise(F.col("o_orderpriority"))
     # group on the month's first day (a date), format the text once per group
     facts = (orders.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("_m"), channel.alias("channel"))

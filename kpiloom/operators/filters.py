@@ -35,16 +35,18 @@ def between_days(df: DataFrame, ts_col: str, first: str | dt.date, last: str | d
 def rolling_days(df: DataFrame, ts_col: str, days: int = 30, anchor: str | dt.date | None = None) -> DataFrame:
     """Rows whose day is within ``days`` days before the anchor day (inclusive).
 
-    The anchor defaults to the latest day in the data (a scalar subquery: one
-    extra aggregate job, one value) so reruns give the same rows -- unlike
-    ``CURRENT_DATE``.
+    The anchor defaults to the latest day in the data (one aggregate job, one
+    value) so reruns give the same rows -- unlike ``CURRENT_DATE``.  It enters
+    the filter as a value compared with the raw column, so the bound reaches
+    the Parquet scan.
     """
-    day = F.to_date(F.col(ts_col))
+    c = F.col(f"`{ts_col}`")
     if anchor is None:
-        anchor_col = df.select(F.max(F.to_date(F.col(ts_col)))).scalar()
-    else:
-        anchor_col = F.lit(str(anchor)).cast("date")
-    return df.where(day >= F.date_sub(anchor_col, days))
+        anchor = df.agg(F.max(F.to_date(c))).first()[0]
+        if anchor is None:                 # no time at all: nothing is within the window
+            return df.where(F.lit(False))
+    first = dt.date.fromisoformat(str(anchor)) - dt.timedelta(days=days)
+    return df.where(c >= F.lit(str(first)).cast(df.schema[ts_col].dataType))
 
 
 def where_text(df: DataFrame, predicate: str | None) -> DataFrame:

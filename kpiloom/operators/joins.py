@@ -1,18 +1,16 @@
 """Equi-joins driven by small specs, star joins, and the slab range join.
 
-Broadcast policy: only tables whose size is bounded by configuration (rule
-and slab tables -- counted first, see :func:`slab_join` -- and the 25-row
-nation / 5-row region dimensions) are hinted with ``F.broadcast``.  Every other join is left to the planner: with AQE on, a side
-that turns out smaller than ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-at run time is broadcast, otherwise it stays a shuffled sort-merge join, and
-skewed partitions are split (``spark.sql.adaptive.skewJoin.enabled``).
+Broadcast policy: nothing is hinted.  Joins are left to the planner: a side
+measured below ``spark.sql.autoBroadcastJoinThreshold`` (at run time, with AQE)
+is broadcast, otherwise it stays a shuffled sort-merge join, and skewed
+partitions are split (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 JOIN_TYPES = {
@@ -49,7 +47,8 @@ def join_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str, ho
     how = join_type(how)
     if left_key == right_key:
         return left.join(right, on=left_key, how=how)
-    return left.join(right, on=left[left_key] == right[right_key], how=how)
+    # aliases, so that a table can be joined with itself
+    return left.alias("_l").join(right.alias("_r"), F.col(f"_l.`{left_key}`") == F.col(f"_r.`{right_key}`"), how)
 
 
 def star_join(base: DataFrame, base_name: str, specs: list[JoinSpec], tables: dict[str, DataFrame]) -> DataFrame:
@@ -69,73 +68,54 @@ def star_join(base: DataFrame, base_name: str, specs: list[JoinSpec], tables: di
     return out
 
 
-SLAB_BROADCAST_ROWS = 10_000
-
-
 def slab_join(values: DataFrame, value_col: str, slabs: DataFrame, lo: str = "lo", hi: str = "hi",
               amount: str = "amount", else_value=0, on: list[tuple[str, str]] | None = None,
-              out_col: str | None = None, broadcast_limit: int = SLAB_BROADCAST_ROWS,
-              size_bound: int | None = None) -> DataFrame:
+              out_col: str | None = None) -> DataFrame:
     """Attach to each row the amount of the slab whose ``[lo, hi]`` holds
     ``value_col`` (null bound = open); no slab -> ``else_value``.  Slabs must
-    not overlap (within one ``on`` group).
-
-    The slab table is counted first (it is a rule table: tens of rows).  Up to
-    ``broadcast_limit`` rows it is broadcast and the lookup runs map-side with
-    no shuffle of the large side.  A larger slab table is not broadcast: slabs
-    are cut into value buckets and joined on the bucket id (an equi-join the
-    planner can shuffle), see :func:`_bucketed_slab_join`.  ``on`` adds
-    equality conditions (e.g. the region class).  ``size_bound`` is a proven
-    upper bound on the slab rows (e.g. the 44-row built-in scheme); within the
-    limit it replaces the counting job.
+    not overlap (within one ``on`` group).  ``on`` adds equality conditions
+    (e.g. the region class).
+
+    One plan at any size: the span between a group's lowest and highest bound
+    is cut into four buckets per slab, slabs are repeated for the buckets they
+    touch (at most six rows a slab on average, since they do not overlap), and
+    values meet them by an equality join on (``on`` keys, bucket) with the
+    range check on top.  Values beyond the outer bounds fall into the outer
+    buckets, so an open slab needs no more rows and the values are not scanned
+    beforehand.  A small slab table is broadcast by the planner itself.
     """
     out_col = out_col or amount
-    small = size_bound is not None and size_bound <= broadcast_limit
-    if not small and slabs.limit(broadcast_limit + 1).count() > broadcast_limit:   # reads at most limit+1 rows
-        return _bucketed_slab_join(values, value_col, slabs, lo, hi, amount, else_value, on or [], out_col)
-    v = values.alias("_v")
-    s = slabs.alias("_s")
+    on = on or []
+    keys = [f"_on{i}" for i in range(len(on))]
+    low, high = F.col("_lo").cast("double"), F.col("_hi").cast("double")
+    s = slabs.select(*[F.col(f"`{r}`").alias(k) for k, (_, r) in zip(keys, on)],
+                     F.col(f"`{lo}`").alias("_lo"), F.col(f"`{hi}`").alias("_hi"), F.col(f"`{amount}`").alias("_amt"))
+    s = s.where("_lo is null or _hi is null or _lo <= _hi")
+    zero = F.lit(0.0)
+    span = s.groupBy(*keys).agg(F.coalesce(F.min(F.least(low, high)), zero).alias("_first"),
+                                F.coalesce(F.max(F.greatest(low, high)), zero).alias("_last"),
+                                F.count(F.lit(1)).alias("_n"))
+    width = F.when(F.col("_last") > F.col("_first"), (F.col("_last") - F.col("_first")) / (4 * F.col("_n")))
+    span = span.select(*keys, "_first", "_last", F.coalesce(width, F.lit(1.0)).alias("_width"))
+
+    def measured(df: DataFrame) -> DataFrame:
+        if keys:
+            return df.join(span, keys, "left")
+        return df.withColumns({c: span.select(c).scalar() for c in ("_first", "_last", "_width")})
+
+    def bucket(x: Column) -> Column:
+        inside = F.least(F.greatest(x, F.col("_first")), F.col("_last"))
+        return F.when(x.isNotNull(), F.floor((inside - F.col("_first")) / F.col("_width")))
+
+    ends = F.sequence(bucket(F.coalesce(low, F.col("_first"))), bucket(F.coalesce(high, F.col("_last"))))
+    pieces = measured(s).select(*keys, "_lo", "_hi", "_amt", F.explode(ends).alias("_b"))
+    held = values.withColumns({k: F.col(f"`{v}`") for k, (v, _) in zip(keys, on)}) if keys else values
+    held = measured(held).withColumn("_b", bucket(F.col(f"`{value_col}`").cast("double"))).alias("_v")
     x = F.col(f"_v.`{value_col}`")
-    cond = (F.col(f"_s.{lo}").isNull() | (x >= F.col(f"_s.{lo}"))) & (F.col(f"_s.{hi}").isNull() | (x <= F.col(f"_s.{hi}")))
-    for lcol, rcol in on or []:
-        cond = cond & (F.col(f"_v.`{lcol}`") == F.col(f"_s.`{rcol}`"))
-    joined = v.join(F.broadcast(s), cond, "left")
-    rest = [F.col(f"_v.`{c}`") for c in values.columns]
-    amt = F.coalesce(F.col(f"_s.{amount}"), F.lit(else_value))
-    return joined.select(*rest, amt.alias(out_col))
-
-
-def _bucketed_slab_join(values: DataFrame, value_col: str, slabs: DataFrame, lo: str, hi: str, amount: str,
-                        else_value, on: list[tuple[str, str]], out_col: str) -> DataFrame:
-    """Range lookup without a broadcast and without pairing every value with every slab.
-
-    Bucket width ``w`` = (value span) / (4 x number of slabs), so the slabs,
-    exploded over the buckets they overlap, give at most ~5x as many rows as
-    there are slabs.  Open slab ends are closed at the data's min / max (one
-    scalar aggregate); slabs outside the data's range are dropped.  Each value
-    row carries its bucket id; the equi-join on (bucket, on-keys) plus the
-    range filter finds its slab.
-    """
-    x = F.col(f"`{value_col}`").cast("double")
-    stats = values.agg(F.min(x).alias("vmin"), F.max(x).alias("vmax")).first()
-    n_slabs = slabs.count()
-    vmin, vmax = stats.vmin, stats.vmax
-    if vmin is None:                                   # no values at all
-        return values.withColumn(out_col, F.lit(else_value))
-    width = max((vmax - vmin) / (4.0 * n_slabs), 1e-9)
-    lo_c = F.coalesce(F.col(lo).cast("double"), F.lit(vmin))
-    hi_c = F.coalesce(F.col(hi).cast("double"), F.lit(vmax))
-    overlaps = (lo_c <= hi_c) & (lo_c <= F.lit(vmax)) & (hi_c >= F.lit(vmin))
-    sl = (slabs.where(overlaps)
-               .select(*[F.col(f"`{r}`").alias(f"_on{i}") for i, (_, r) in enumerate(on)],
-                       F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.col(amount).alias("_amt"),
-                       F.explode(F.sequence(F.floor((F.greatest(lo_c, F.lit(vmin)) - vmin) / width),
-                                            F.floor((F.least(hi_c, F.lit(vmax)) - vmin) / width))).alias("_b")))
-    keyed = values.withColumn("_b", F.floor((x - F.lit(vmin)) / width))
-    cond = [keyed["_b"] == sl["_b"]]
-    cond += [keyed[f"`{lcol}`"] == sl[f"_on{i}"] for i, (lcol, _) in enumerate(on)]
-    xv = keyed[f"`{value_col}`"]
-    cond.append((sl["_lo"].isNull() | (xv >= sl["_lo"])) & (sl["_hi"].isNull() | (xv <= sl["_hi"])))
-    joined = keyed.join(sl, cond, "left")
-    amt = F.coalesce(sl["_amt"], F.lit(else_value))
-    return joined.select(*[keyed[f"`{c}`"] for c in values.columns], amt.alias(out_col))
+    cond = F.col("_v._b") == F.col("_s._b")
+    for k in keys:
+        cond = cond & (F.col(f"_v.{k}") == F.col(f"_s.{k}"))
+    cond = cond & (F.col("_lo").isNull() | (x >= F.col("_lo"))) & (F.col("_hi").isNull() | (x <= F.col("_hi")))
+    joined = held.join(pieces.alias("_s"), cond, "left")
+    return joined.select(*[F.col(f"_v.`{c}`") for c in values.columns],
+                         F.coalesce(F.col("_amt"), F.lit(else_value)).alias(out_col))

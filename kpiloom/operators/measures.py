@@ -8,6 +8,7 @@ aggregate, and a global measure as partial -> single final row.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -43,9 +44,9 @@ _AGG = {
 }
 
 
-def measure_column(m: Measure) -> Column | None:
+def measure_column(m: Measure, column: Callable[[str], Column] = col_or_expr) -> Column | None:
     """The aggregate Column for a measure, or None when the measure is unusable
-    (a slab measure with no bounded slab)."""
+    (a slab measure with no bounded slab).  ``column`` finds a column by the measure's text."""
     if m.kind == "agg":
         func = m.func.strip().upper()
         if func not in _AGG:
@@ -54,9 +55,9 @@ def measure_column(m: Measure) -> Column | None:
             if func != "COUNT":
                 raise ValueError(f"{func}(*) is not defined; name a column")
             return F.count(F.lit(1)).alias(m.alias)
-        return _AGG[func](col_or_expr(m.column)).alias(m.alias)
+        return _AGG[func](column(m.column)).alias(m.alias)
     if m.kind == "slab":
-        tier = case_tier(col_or_expr(m.column), m.slabs, m.else_value)
+        tier = case_tier(column(m.column), m.slabs, m.else_value)
         if tier is None:
             return None
         outer = m.outer_func.strip().upper()
@@ -64,7 +65,7 @@ def measure_column(m: Measure) -> Column | None:
             raise ValueError(f"unknown slab aggregate {m.outer_func!r}")
         return _AGG[outer](tier).alias(m.alias)
     if m.kind == "flat":
-        counted = F.count(F.lit(1)) if m.column.strip() == "*" else F.count(col_or_expr(m.column))
+        counted = F.count(F.lit(1)) if m.column.strip() == "*" else F.count(column(m.column))
         return (counted * F.lit(m.per_unit)).alias(m.alias)
     raise ValueError(f"unknown measure kind {m.kind!r}")
 

@@ -6,7 +6,9 @@ from __future__ import annotations
 import csv
 import io
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 SCHEME_COLUMNS = ["Category", "Sub_Category", "Region_or_Condition", "Slab_or_Range", "Amount_or_Payout", "Notes"]
@@ -75,7 +77,9 @@ def load_scheme(spark: SparkSession, path: str | None = None) -> DataFrame:
     if path:
         return spark.read.csv(path, header=True, schema=SCHEME_SCHEMA, encoding="utf-8")
     schema = StructType([StructField("rule_no", IntegerType(), False)] + SCHEME_SCHEMA.fields)
-    return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(scheme_rows())], schema)
+    rows = [(i + 1, *r) for i, r in enumerate(scheme_rows())]
+    # from Arrow it is a local relation, whose size the planner knows when it chooses a join
+    return spark.createDataFrame(pa.table({f.name: list(v) for f, v in zip(schema.fields, zip(*rows))}, to_arrow_schema(schema)), schema)
 
 
 def scheme_amount(sub_category: str) -> float:

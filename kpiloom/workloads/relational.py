@@ -148,7 +148,7 @@ def facts(spark, sf_dir):
 WITH {FACTS_SQL}
 SELECT month, channel, si, insp FROM facts WHERE month = '1996-04' AND COALESCE(NULLIF(channel, ''), 'Unknown') = 'Unknown'""")
 def q_filt_facet(spark, sf_dir):
-    return D.filter_facets(facts(spark, sf_dir), month="1996-04", channel="Unknown")
+    return D.filter_facets(D.facts_from_orders(T(spark, sf_dir, "orders"), "1996-04"), month="1996-04", channel="Unknown")
 
 
 @register("proj_ratio", f"""

@@ -165,23 +165,25 @@ def test_filters(spark):
         union_positional(df, df.withColumn("x", F.lit(1)))
 
 
-def test_slab_join_without_broadcast_matches_broadcast(spark):
+def test_slab_join_by_group_with_open_ends(spark):
     vals = spark.range(0, 3000).select((F.col("id") * 7 % 1001 - 50).cast("double").alias("v"),
                                        (F.col("id") % 2).alias("g"))
     rows = [(g, i * 10 + g, i * 10 + 7 + g, float(i * 100 + g)) for g in (0, 1) for i in range(90)]
     rows += [(0, None, -40, -1.0), (1, 905, None, -2.0)]          # open ends
     slabs = spark.createDataFrame(rows, "g long, lo long, hi long, amount double")
-    a = slab_join(vals, "v", slabs, on=[("g", "g")], else_value=0.0)
-    b = slab_join(vals, "v", slabs, on=[("g", "g")], else_value=0.0, broadcast_limit=0)
-    assert sorted(a.collect()) == sorted(b.collect())
-    assert b.count() == 3000
+    def amount(v, g):
+        hit = [a for h, lo, hi, a in rows if h == g and (lo is None or v >= lo) and (hi is None or v <= hi)]
+        return hit[0] if hit else 0.0
+
+    got = slab_join(vals, "v", slabs, on=[("g", "g")], else_value=0.0).collect()
+    assert len(got) == 3000 and all(r.amount == amount(r.v, r.g) for r in got)
 
 
 def test_bucketed_slab_join_drops_out_of_range_slabs(spark):
     vals = spark.createDataFrame([(5.0,), (15.0,), (None,)], "v double")
     slabs = spark.createDataFrame([(0, 10, 1.0), (11, 20, 2.0), (100, 200, 3.0), (-50, -10, 4.0)],
                                   "lo long, hi long, amount double")
-    got = sorted(slab_join(vals, "v", slabs, broadcast_limit=0).collect(), key=lambda r: (r.v is None, r.v))
+    got = sorted(slab_join(vals, "v", slabs).collect(), key=lambda r: (r.v is None, r.v))
     assert [(r.v, r.amount) for r in got] == [(5.0, 1.0), (15.0, 2.0), (None, 0)]
 
 
@@ -217,9 +219,27 @@ def test_distinct_measures(spark):
         assert r.exact == 100 and abs(r.approx - 100) <= 10
 
 
-def test_slab_size_bound_skips_count_but_not_beyond_limit(spark):
-    vals = spark.createDataFrame([(5.0,), (15.0,)], "v double")
-    slabs = spark.createDataFrame([(0, 10, 1.0), (11, 20, 2.0)], "lo long, hi long, amount double")
-    a = sorted(r.amount for r in slab_join(vals, "v", slabs, size_bound=44).collect())
-    b = sorted(r.amount for r in slab_join(vals, "v", slabs, size_bound=44, broadcast_limit=1).collect())
-    assert a == b == [1.0, 2.0]                       # a bound above the limit still takes the bucketed path
+def test_slab_rows_stay_few_with_many_groups(spark):
+    rows = [(g, i * 10, None if i == 4 else i * 10 + 9, float(i)) for g in range(200) for i in range(5)]
+    slabs = spark.createDataFrame(rows, "g long, lo long, hi long, amount double")
+    vals = spark.createDataFrame([(g, float(v)) for g in (0, 7, 199, 500) for v in (-1, 0, 9, 10, 10**9)] + [(None, 1.0), (3, None)], "g long, v double")
+    got = {(r.g, r.v): r.amount for r in slab_join(vals, "v", slabs, on=[("g", "g")], else_value=-1.0).collect()}
+    assert [got[7, v] for v in (-1.0, 0.0, 9.0, 10.0, 1e9)] == [-1.0, 0.0, 0.0, 1.0, 4.0]
+    assert got[500, 0.0] == got[None, 1.0] == got[3, None] == -1.0
+
+
+def test_join_on_of_a_table_with_itself(spark):
+    t = spark.createDataFrame([(1, 2), (2, 3)], "a int, b int")
+    assert [tuple(r) for r in join_on(t, t, "a", "b", "inner").collect()] == [(2, 3, 1, 2)]
+
+
+@pytest.mark.parametrize("how,want", [("RIGHT JOIN", {1: 10, 3: 7, 4: 8}), ("FULL JOIN", {1: 10, 2: None, 3: 7, 4: 8})])
+def test_builder_groups_by_the_merged_using_key(spark, how, want):
+    base = spark.createDataFrame([(1, "x"), (2, "y")], "k int, `Store Type` string")
+    right = spark.createDataFrame([(1, 10, "r"), (3, 7, "r"), (4, 8, "r")], "k int, v int, `Store Type` string")
+    spec = BuildSpec("base", joins=[JoinSpec("r", "k", "k", how)], group_by=["k"],
+                     measures=[Measure(alias="s", func="SUM", column="v"), Measure(alias="n", column="Store Type"),
+                               Measure(alias="m", column="r.Store Type")])
+    got = {r.k: r for r in build(spec, {"base": base, "r": right}).collect()}
+    assert {k: r.s for k, r in got.items()} == want
+    assert got[3].n == 0 and got[3].m == 1 and got[1].n == got[1].m == 1       # a bare name is the base's column

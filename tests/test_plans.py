@@ -59,10 +59,22 @@ def test_latest_per_key_prunes_before_its_one_shuffle(spark):
     assert tree.count("WindowGroupLimit") == 2 and tree.count("Exchange") == 1 and "Join" not in tree
 
 
-def test_slab_join_shapes(spark):
-    vals = spark.range(100).select(F.col("id").cast("double").alias("v"))
-    slabs = spark.createDataFrame([(0, 50, 1.0), (51, None, 2.0)], "lo long, hi long, amount double")
-    small = plan_of(slab_join(vals, "v", slabs)).split("\n\n")[0]
-    assert "BroadcastNestedLoopJoin" in small and "Exchange" not in small.replace("BroadcastExchange", "")
-    big = plan_of(slab_join(vals, "v", slabs, broadcast_limit=0)).split("\n\n")[0]
-    assert "BroadcastNestedLoopJoin" not in big and "CartesianProduct" not in big
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_slab_join_is_an_equality_join_at_any_size(spark, threshold):
+    vals = spark.range(100).select(F.col("id").cast("double").alias("v"), (F.col("id") % 2).alias("g"))
+    slabs = spark.sql("SELECT * FROM VALUES (0L, 0L, 50L, 1.0D), (1L, 51L, NULL, 2.0D) AS t(g, lo, hi, amount)")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for on in ([], [("g", "g")]):
+            tree = plan_of(slab_join(vals, "v", slabs, on=on)).split("\n\n")[0]
+            assert "NestedLoop" not in tree and "Cartesian" not in tree
+            assert ("BroadcastHashJoin" in tree) == (threshold != "-1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_month_and_rolling_filters_reach_the_scan(spark):
+    for name in ("filt_facet", "filt_rolling"):
+        plan = plan_of(REGISTRY[name][0](spark, SF_SMALL))
+        assert "GreaterThanOrEqual(" in plan, name
