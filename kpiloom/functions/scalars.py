@@ -92,10 +92,14 @@ def money_parts(c, dtype=None) -> tuple[Column, Column]:
     return whole.cast("long"), F.round(rest).cast("long") if _type_name(dtype) == "decimal" else F.rint(rest).cast("long")
 
 
+def exact_parts(whole, rest) -> Column:
+    """Both sums as one decimal."""
+    return _col(whole).cast("decimal(28,9)") + _col(rest).cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-FRACTION))
+
+
 def from_parts(whole, rest) -> Column:
     """Both sums as a double: exact in decimals, rounded once."""
-    exact = _col(whole).cast("decimal(28,9)") + _col(rest).cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-FRACTION))
-    return exact.cast("double")
+    return exact_parts(whole, rest).cast("double")
 
 
 def num_coerce(c, dtype=None) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, NumericType
 
-from kpiloom.functions.scalars import FRACTION, INTEGRAL, NULL_KEY, from_parts, key_norm, money_parts
+from kpiloom.functions.scalars import FRACTION, INTEGRAL, NULL_KEY, exact_parts, from_parts, key_norm, money_parts
 
 # Person-key column candidates (first present wins, compared in
 # lower case) and the words that mark a payout column.
@@ -97,6 +97,22 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
     Sorted by total descending with the key as tie-break (a total order, so
     paging is repeatable).
     """
+    wide, key = _merged(mappings, key_name, total_name, null_key)
+    out = wide.select(key, *[from_parts(f"_v{j}", f"_r{j}").alias(m.label) for j, m in enumerate(mappings)],
+                      from_parts(*_parts_of(range(len(mappings)))).alias(total_name))
+    if sort:
+        out = out.orderBy(F.col(total_name).desc(), F.col(key_name).asc())
+    return out
+
+
+def _parts_of(places) -> tuple[Column, Column]:
+    """The sum over some of the merged values, as whole parts and rests."""
+    zero = F.lit(0).cast("long")
+    return tuple(reduce(lambda a, b: a + b, [F.col(f"_{p}{j}") for j in places], zero) for p in "vr")
+
+
+def _merged(mappings: list[Mapping], key_name: str, total_name: str, null_key: str | None) -> tuple[DataFrame, Column]:
+    """One row per person with both sums (``_v<j>``, ``_r<j>``) of every mapping, and the key as text."""
     if not mappings:
         raise ValueError("consolidate needs at least one mapping")
     labels = [m.label for m in mappings]
@@ -131,28 +147,32 @@ def consolidate(mappings: list[Mapping], key_name: str = "cj_id", total_name: st
 
     sums = [F.coalesce(F.sum(f"_{p}{j}"), F.lit(0).cast("long")).alias(f"_{p}{j}") for j in range(len(mappings)) for p in "vr"]
     wide = long.groupBy(key_name).agg(*sums)
-    whole, rest = (reduce(lambda a, b: a + b, [F.col(f"_{p}{j}") for j in range(len(mappings))]) for p in "vr")
     key_out = key_norm(F.col(key_name), null_key, LongType()) if integral else F.col(key_name)
-    out = wide.select(
-        key_out.alias(key_name),
-        *[from_parts(f"_v{j}", f"_r{j}").alias(lab) for j, lab in enumerate(labels)],
-        from_parts(whole, rest).alias(total_name),
-    )
-    if sort:
-        out = out.orderBy(F.col(total_name).desc(), F.col(key_name).asc())
-    return out
+    return wide, key_out.alias(key_name)
 
 
 def net_payout(incentives: list[Mapping], reimbursements: list[Mapping] = (), penalties: list[Mapping] = (),
-               tips: list[Mapping] = (), key_name: str = "cj_id", total_name: str = "net_payout") -> DataFrame:
+               tips: list[Mapping] = (), severity: list[Mapping] = (), key_name: str = "cj_id",
+               total_name: str = "net_payout", share_name: str = "incentive_share") -> DataFrame:
     """Incentives + reimbursements + tips - penalties per person.
 
     Penalty values are negated before the merge; tips pass through whole.
-    One :func:`consolidate` (one shuffle) over all components.
+    ``severity`` holds points for critical cases (see
+    :func:`kpiloom.operators.rules.critical_outcome`): with a point, half of
+    the incentives is paid, with two or more none; the other components are not
+    touched.  The share paid is a column of its own then.  One merge (one
+    shuffle) over all components.
     """
     negated = [Mapping(m.df, m.key_col, m.val_col, m.label, negate=not m.negate) for m in penalties]
-    return consolidate(list(incentives) + list(reimbursements) + list(tips) + negated,
-                       key_name=key_name, total_name=total_name, sort=False)
+    paid = [*incentives, *reimbursements, *tips, *negated]
+    if not severity:
+        return consolidate(paid, key_name=key_name, total_name=total_name, sort=False)
+    wide, key = _merged([*paid, *severity], key_name, total_name, NULL_KEY)
+    points = _parts_of(range(len(paid), len(paid) + len(severity)))[0]
+    share = F.when(points >= 2, 0.0).when(points >= 1, 0.5).otherwise(1.0).cast("decimal(2,1)")
+    earned, rest = exact_parts(*_parts_of(range(len(incentives)))), exact_parts(*_parts_of(range(len(incentives), len(paid))))
+    return wide.select(key, *[from_parts(f"_v{j}", f"_r{j}").alias(m.label) for j, m in enumerate(paid)],
+                       share.cast("double").alias(share_name), (earned * share + rest).cast("double").alias(total_name))
 
 
 def row_total(df: DataFrame, label_cols: list[str], total_name: str = "total") -> DataFrame:

@@ -16,11 +16,15 @@ Decisions where the rule text is silent:
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.scalars import from_units, money_units
 from kpiloom.operators.joins import slab_join
+from kpiloom.sources.scheme import load_scheme
 
 # ------------------------------------------------------------- scheme parsing
 
@@ -84,17 +88,18 @@ def rule_coverage(parsed: DataFrame, facts: DataFrame) -> DataFrame:
     ``facts``: (family, condition, unit, value) -- ``family`` null matches any
     sub-category.  A fact hits a rule with the same unit, a matching
     condition (rule ``All`` matches every condition) and ``lo <= value <=
-    hi``.  The rule table (tens of rows) is broadcast; facts are counted in
-    one grouped aggregate.  Rules without bounds get a null count.
+    hi``.  Facts are counted by value before they meet the rules.  Rules
+    without bounds get a null count.
     """
+    facts = facts.groupBy("family", "condition", "unit", "value").agg(F.count(F.lit(1)).alias("n"))
     r = parsed.where(F.col("lo").isNotNull()).select("rule_no", "sub_category", "condition", "unit", "lo", "hi")
     cond = ((F.col("f.unit") == F.col("r.unit"))
             & (F.col("f.family").isNull() | (F.col("f.family") == F.col("r.sub_category")))
             & ((F.col("r.condition") == "All") | (F.col("r.condition") == F.col("f.condition")))
             & (F.col("f.value") >= F.col("r.lo"))
             & (F.col("r.hi").isNull() | (F.col("f.value") <= F.col("r.hi"))))
-    hits = (facts.alias("f").join(F.broadcast(r.alias("r")), cond)
-                 .groupBy(F.col("r.rule_no").alias("rule_no")).agg(F.count(F.lit(1)).alias("n_hits")))
+    hits = (facts.alias("f").join(r.alias("r"), cond)
+                 .groupBy(F.col("r.rule_no").alias("rule_no")).agg(F.sum("f.n").alias("n_hits")))
     counted = parsed.join(hits, "rule_no", "left")
     return counted.select(*parsed.columns,
                           F.when(F.col("lo").isNotNull(), F.coalesce("n_hits", F.lit(0))).alias("n_hits"))
@@ -106,6 +111,64 @@ def slabs(parsed: DataFrame, sub_category: str) -> DataFrame:
                   .select("condition", "lo", "hi", "amount"))
 
 
+@dataclass(frozen=True)
+class Critical:
+    """Limits of the critical cases: cost from which a case is critical, upper end of the first level, cost from which one
+    case means the worst action, number of cases that do, flat penalty of the first level, days after joining."""
+    floor: float
+    first_upto: float
+    worst_from: float
+    count: int
+    flat: float = 0.0
+    tenure_days: int = 0
+
+
+@dataclass(frozen=True)
+class Scheme:
+    """The limits and rates of a rule sheet, for rules that are not slab tables."""
+    rates: dict[str, float]
+    regular: Critical
+    new: Critical
+    excellence: tuple[int, float, float]      # least inspections a month, least converted share, bonus
+    night: tuple[int, int]                    # first hour, hour after the last
+
+
+#: A rule sheet is configuration that the driver reads; a longer one is refused.
+MAX_RULES = 10_000
+
+
+def read_scheme(sheet: DataFrame) -> Scheme:
+    """The limits of a rule sheet as loaded by :func:`kpiloom.sources.scheme.load_scheme`, from a file or built in."""
+    rules = scheme_parse(sheet).limit(MAX_RULES + 1).collect()
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"a rule sheet of more than {MAX_RULES} rows")
+
+    def family(pattern: str) -> tuple[str, list]:
+        names = {r.sub_category for r in rules if re.search(pattern, r.sub_category or "", re.I)}
+        if len(names) != 1:
+            raise ValueError(f"the rule sheet needs one family {pattern!r}, it has {sorted(names)}")
+        return (name := names.pop()), [r for r in rules if r.sub_category == name]
+
+    def critical(pattern: str) -> Critical:
+        name, rows = family(pattern)
+        levels = sorted((r for r in rows if r.unit == "case"), key=lambda r: r.lo)
+        days = re.search(r"(\d+)\s*Days", name, re.I)
+        return Critical(levels[0].lo, levels[0].hi, levels[-1].lo, next(r.lo for r in rows if r.unit == "case_count"),
+                        levels[0].amount or 0.0, int(days.group(1)) if days else 0)
+
+    bonus = family("^Excellence")[1][0]
+    text = sheet.where(F.col("Sub_Category") == family("^Night")[0]).first()["Slab_or_Range"]
+    hours = [int(h) % 12 + (12 if half.upper() == "PM" else 0) for h, half in re.findall(r"(\d+)\s*([AP]M)", text, re.I)]
+    return Scheme({r.sub_category: r.amount for r in rules if r.lo is None and r.amount is not None},
+                  critical(r"^Critical.*Regular"), critical(r"^Critical.*Days"), (bonus.lo, bonus.min_share, bonus.amount),
+                  (hours[0], hours[1]))
+
+
+def builtin(df: DataFrame) -> Scheme:
+    """The limits of the built-in sheet."""
+    return read_scheme(load_scheme(df.sparkSession))
+
+
 # ------------------------------------------------------------------ incentives
 
 def daily_counts(events: DataFrame, person: str, ts: str, where: Column | None = None) -> DataFrame:
@@ -166,62 +229,89 @@ def in_window(t: Column, start_hour: int = 18, end_hour: int = 22) -> Column:
     return (F.hour(t) >= start_hour) & (F.hour(t) < end_hour)
 
 
-def night_incentive(df: DataFrame, person: str, booked: Column, inspected: Column, rate: float = 150.0) -> DataFrame:
+def night_incentive(df: DataFrame, person: str, booked: Column, inspected: Column, rate: float = 150.0,
+                    hours: tuple[int, int] = (18, 22)) -> DataFrame:
     """``rate`` per inspection booked and inspected inside the night window."""
     return df.groupBy(F.col(person).alias("person")).agg(
-        (F.count_if(in_window(booked) & in_window(inspected)) * F.lit(rate)).cast("double").alias("night_incentive"))
+        (F.count_if(in_window(booked, *hours) & in_window(inspected, *hours)) * F.lit(rate)).cast("double").alias("night_incentive"))
 
 
 # ------------------------------------------------------------------- penalties
 
-CRITICAL_FROM = 10000
-HALF_UPTO = 13500
-EXIT_FROM = 20000
-
-
-def im_slab_penalty(cases: DataFrame, person: str, cost: str, slab_table: DataFrame) -> DataFrame:
-    """Sum of IM slab penalties per person over non-critical cases (cost below 10000)."""
-    c = cases.where(F.col(cost) < CRITICAL_FROM).select(F.col(person).alias("person"), F.col(cost).alias("cost"))
+def im_slab_penalty(cases: DataFrame, person: str, cost: str, slab_table: DataFrame, limits: Critical | None = None) -> DataFrame:
+    """Sum of IM slab penalties per person over the cases below the critical ones."""
+    limits = limits or builtin(cases).regular
+    c = cases.where(F.col(cost) < limits.floor).select(F.col(person).alias("person"), F.col(cost).alias("cost"))
     priced = slab_join(c, "cost", slab_table.drop("condition"), out_col="amount")
     return priced.groupBy("person").agg(F.sum("amount").cast("double").alias("im_penalty"),
                                         F.count(F.lit(1)).alias("im_cases"))
 
 
-def _severity(n_critical: Column, max_cost: Column) -> Column:
-    return (F.when((n_critical >= 2) | (max_cost >= EXIT_FROM), "EXIT")
-             .when(max_cost > HALF_UPTO, "ZERO")
-             .when(max_cost >= CRITICAL_FROM, "HALF"))
+def _severity(n_critical: Column, max_cost: Column, limits: Critical) -> Column:
+    return (F.when((n_critical >= limits.count) | (max_cost >= limits.worst_from), "EXIT")
+             .when(max_cost > limits.first_upto, "ZERO")
+             .when(max_cost >= limits.floor, "HALF"))
+
+
+def _worse(n_critical: Column, max_cost: Column, limits: Critical) -> Column:
+    return (n_critical >= limits.count) | (max_cost > limits.first_upto)
 
 
-def critical_penalty(cases: DataFrame, person: str, cost: str) -> DataFrame:
+def critical_penalty(cases: DataFrame, person: str, cost: str, limits: Critical | None = None) -> DataFrame:
     """Regular staff: per person with critical cases, the action and the
     incentive multiplier (HALF 0.5, ZERO / EXIT 0)."""
-    c = cases.where(F.col(cost) >= CRITICAL_FROM)
+    limits = limits or builtin(cases).regular
+    c = cases.where(F.col(cost) >= limits.floor)
     agg = c.groupBy(F.col(person).alias("person")).agg(F.count(F.lit(1)).alias("n_critical"),
                                                         F.max(cost).alias("max_cost"))
-    action = _severity(F.col("n_critical"), F.col("max_cost"))
+    action = _severity(F.col("n_critical"), F.col("max_cost"), limits)
     return agg.select("person", "n_critical", "max_cost", action.alias("action"),
                       F.when(action == "HALF", F.lit(0.5)).otherwise(F.lit(0.0)).alias("multiplier"),
                       (action == "EXIT").alias("exit"))
 
 
 def critical_penalty_new(cases: DataFrame, person: str, cost: str, case_day: str, joined: DataFrame,
-                         tenure_days: int = 60, flat_penalty: float = 2500.0) -> DataFrame:
-    """New joiners (case within ``tenure_days`` of joining): half-level cases
-    cost a flat ``flat_penalty`` each; anything worse zeroes the incentive.
+                         limits: Critical | None = None) -> DataFrame:
+    """New joiners (case within the tenure days of joining): cases of the first level
+    cost a flat penalty each; anything worse zeroes the incentive.
 
     ``joined`` is (person, join_day); only cases inside the tenure window count.
     """
-    c = (cases.where(F.col(cost) >= CRITICAL_FROM)
+    limits = limits or builtin(cases).new
+    c = (cases.where(F.col(cost) >= limits.floor)
               .select(F.col(person).alias("person"), F.col(cost).alias("cost"), F.to_date(case_day).alias("day"))
               .join(joined, "person")
-              .where(F.datediff("day", "join_day") <= tenure_days))
+              .where(F.datediff("day", "join_day") <= limits.tenure_days))
     agg = c.groupBy("person").agg(F.count(F.lit(1)).alias("n_critical"), F.max("cost").alias("max_cost"),
-                                  F.count_if(F.col("cost") <= HALF_UPTO).alias("n_half"))
-    worse = (F.col("n_critical") >= 2) | (F.col("max_cost") > HALF_UPTO)
+                                  F.count_if(F.col("cost") <= limits.first_upto).alias("n_half"))
+    worse = _worse(F.col("n_critical"), F.col("max_cost"), limits)
     return agg.select("person", "n_critical", "max_cost",
                       F.when(worse, F.lit("ZERO")).otherwise(F.lit("FLAT")).alias("action"),
-                      F.when(worse, F.lit(0.0)).otherwise(F.col("n_half") * F.lit(flat_penalty)).alias("flat_penalty"))
+                      F.when(worse, F.lit(0.0)).otherwise(F.col("n_half") * F.lit(limits.flat)).alias("flat_penalty"))
+
+
+def critical_outcome(cases: DataFrame, person: str, cost: str, case_day: str, joined: DataFrame, scheme: Scheme) -> DataFrame:
+    """What critical cases do to a payout: (person, severity, flat_penalty).
+
+    A case within the tenure days of joining goes by the new joiners' rule, any other (or one
+    of a person without a joining day) by the regular one.  ``severity``: 1 for HALF, 2 for ZERO
+    or EXIT of either rule; both add up.  One join and one aggregate over the critical cases only.
+    """
+    regular, new = scheme.regular, scheme.new
+    c = (cases.where(F.col(cost) >= min(regular.floor, new.floor))
+              .select(F.col(person).alias("person"), F.col(cost).alias("cost"), F.to_date(case_day).alias("day"))
+              .join(joined, "person", "left")
+              .withColumn("fresh", F.coalesce(F.datediff("day", "join_day") <= new.tenure_days, F.lit(False))))
+    old_cost, new_cost = (F.when(which & (F.col("cost") >= limits.floor), F.col("cost"))
+                          for which, limits in ((~F.col("fresh"), regular), (F.col("fresh"), new)))
+    agg = c.groupBy("person").agg(F.count(old_cost).alias("n_old"), F.max(old_cost).alias("max_old"),
+                                  F.count(new_cost).alias("n_new"), F.max(new_cost).alias("max_new"),
+                                  F.count_if(new_cost <= new.first_upto).alias("n_flat"))
+    action = _severity(F.col("n_old"), F.col("max_old"), regular)
+    worse = F.coalesce(_worse(F.col("n_new"), F.col("max_new"), new), F.lit(False))
+    points = F.when(action == "HALF", 1).when(action.isNotNull(), 2).otherwise(0) + F.when(worse, 2).otherwise(0)
+    return agg.select("person", points.cast("long").alias("severity"),
+                      F.when(worse, 0.0).otherwise(F.col("n_flat") * F.lit(new.flat)).alias("flat_penalty"))
 
 
 def per_unit_penalty(df: DataFrame, person: str, predicate: Column, rate: float, alias: str) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 import logging
 import os
 import posixpath
+import re
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,10 +50,12 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive:
     """Paths of the files below ``folder`` matching ``pattern`` (listing only:
     the binary-file source prunes the ``content`` column, nothing is read).
     The list is bounded by the number of files, not by their size."""
-    rows = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-                 .option("recursiveFileLookup", recursive).load(folder)
-                 .select("path").orderBy("path").collect())
-    return [r.path for r in rows]
+    return [r.path for r in _listed(spark, folder, pattern, recursive).orderBy("path").collect()]
+
+
+def _listed(spark: SparkSession, folder: str, pattern: str, recursive: bool = True) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+                 .option("recursiveFileLookup", recursive).load(folder).select("path"))
 
 
 def read_folder(spark: SparkSession, folder: str, fmt: str = "csv", prefix: str | None = None,
@@ -65,18 +68,12 @@ def read_folder(spark: SparkSession, folder: str, fmt: str = "csv", prefix: str
     ``existing`` (case-insensitive) are skipped.  Returns ``(tables, skipped)``.
     """
     existing = {n.lower() for n in (existing or set())}
-    # Listed paths are full URIs (hdfs://host:port/..., file:/...); compare path parts only.
-    base = urlparse(folder).path.rstrip("/") or "/"
-    entries = []
-    for p in list_files(spark, folder, pattern or f"*.{fmt}"):
-        uri = urlparse(p)
-        path = uri.path
-        if not path.startswith(base + "/"):
-            raise ValueError(f"{p} is not below {folder}")
-        top = path[len(base) + 1:].split("/")[0]
-        entry = p[:len(p) - len(path)] + base + "/" + top if uri.scheme else base + "/" + top
-        if entry not in entries:
-            entries.append(entry)
+    # Listed paths are full URIs (hdfs://host:port/..., file:/...); only their parts up to the entry come back, each once.
+    base = urlparse(folder).path.rstrip("/")
+    top = F.regexp_extract("path", r"^((?:[a-z][a-z0-9+.-]*:(?://[^/]*)?)?" + re.escape(base).replace("\\-", "-") + "/[^/]+)", 1)
+    entries = [r.entry for r in _listed(spark, folder, pattern or f"*.{fmt}").select(top.alias("entry")).distinct().orderBy("entry").collect()]
+    if "" in entries:
+        raise ValueError(f"a listed file is not below {folder}")
     tables, skipped = {}, []
     for entry in entries:
         stem = table_name_for(entry)

@@ -8,6 +8,7 @@ import io
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -71,11 +72,12 @@ def scheme_rows() -> list[tuple]:
 
 
 def load_scheme(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The rule sheet as strings plus ``rule_no`` (1-based sheet order) for
-    the built-in copy: from a CSV file when ``path`` is given, else the copy
-    above.  Re-read on every call (never cached)."""
+    """The rule sheet as strings plus ``rule_no`` (1-based sheet order):
+    from a CSV file when ``path`` is given, else the built-in copy above.  Re-read on every call (never cached)."""
     if path:
-        return spark.read.csv(path, header=True, schema=SCHEME_SCHEMA, encoding="utf-8")
+        rows = spark.read.csv(path, header=True, schema=SCHEME_SCHEMA, encoding="utf-8")
+        # a sheet is one partition, so the ids are the sheet's order
+        return rows.select((F.monotonically_increasing_id() + 1).cast("int").alias("rule_no"), "*")
     schema = StructType([StructField("rule_no", IntegerType(), False)] + SCHEME_SCHEMA.fields)
     rows = [(i + 1, *r) for i, r in enumerate(scheme_rows())]
     # from Arrow it is a local relation, whose size the planner knows when it chooses a join

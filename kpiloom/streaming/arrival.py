@@ -18,11 +18,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StructType
+from pyspark.sql.types import StructType
 
-from kpiloom.functions.scalars import key_norm, num_coerce
-
-MONEY = DecimalType(38, 4)
+from kpiloom.functions.scalars import from_parts, key_norm, money_parts
 
 
 def start_refresh(spark: SparkSession, source_dir: str, schema: StructType, state_dir: str, checkpoint: str,
@@ -42,11 +40,11 @@ def start_refresh(spark: SparkSession, source_dir: str, schema: StructType, stat
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     src = reader.load(source_dir)
-    vtype = schema[value].dataType
-    rows = src.select(key_norm(F.col(key)).alias("cj_id"), num_coerce(F.col(value), vtype).cast(MONEY).alias("v"))
+    whole, rest = money_parts(F.col(value), schema[value].dataType)
+    rows = src.select(key_norm(F.col(key), dtype=schema[key].dataType).alias("cj_id"), whole.alias("w"), rest.alias("r"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        part = batch.groupBy("cj_id").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n"))
+        part = batch.groupBy("cj_id").agg(F.sum("w").alias("w"), F.sum("r").alias("r"), F.count(F.lit(1)).alias("n"))
         part.write.mode("overwrite").parquet(f"{state_dir.rstrip('/')}/batch_id={batch_id}")
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact(batch.sparkSession, state_dir)
@@ -61,15 +59,31 @@ def start_refresh(spark: SparkSession, source_dir: str, schema: StructType, stat
     return writer.start()
 
 
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return hadoop, hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _snapshots(spark: SparkSession, state_dir: str) -> list[int]:
-    """Batch ids covered by compacted snapshots (``<state>/_snapshots/upto=<id>``)."""
-    from kpiloom.sources.files import list_files
-    try:
-        paths = list_files(spark, f"{state_dir.rstrip('/')}/_snapshots", "*.parquet")
-    except Exception:  # no snapshot folder yet
+    """Batch ids covered by compacted snapshots (``<state>/_snapshots/upto=<id>``) whose write has committed: only then the
+    folder holds the ``_SUCCESS`` mark.  One without it is left aside and written anew by the next ``compact``."""
+    root = f"{state_dir.rstrip('/')}/_snapshots"
+    hadoop, fs = _fs(spark, root)
+    if not fs.exists(hadoop(root)):
         return []
-    ids = {int(p.split("upto=")[1].split("/")[0]) for p in paths if "upto=" in p and "/_SUCCESS" not in p}
-    return sorted(ids)
+    names = [f.getPath().getName() for f in fs.listStatus(hadoop(root))]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("upto=") and fs.exists(hadoop(f"{root}/{n}/_SUCCESS")))
+
+
+def _retire(spark: SparkSession, state_dir: str, upto: int) -> None:
+    """Remove the partials and the snapshots that an older snapshot than the newest one covers; readers of that one go on."""
+    base = state_dir.rstrip("/")
+    hadoop, fs = _fs(spark, base)
+    for folder, mark, last in ((base, "batch_id=", upto), (f"{base}/_snapshots", "upto=", upto - 1)):
+        for f in fs.listStatus(hadoop(folder)):
+            name = f.getPath().getName()
+            if name.startswith(mark) and int(name.split("=")[1]) <= last:
+                fs.delete(f.getPath(), True)
 
 
 def _merged_partials(spark: SparkSession, state_dir: str) -> DataFrame:
@@ -79,16 +93,16 @@ def _merged_partials(spark: SparkSession, state_dir: str) -> DataFrame:
     parts = spark.read.parquet(base)
     if snaps:
         parts = parts.where(F.col("batch_id") > snaps[-1])
-    parts = parts.select("cj_id", "v", "n")
+    parts = parts.select("cj_id", "w", "r", "n")
     if snaps:
-        parts = parts.unionByName(spark.read.parquet(f"{base}/_snapshots/upto={snaps[-1]}").select("cj_id", "v", "n"))
+        parts = parts.unionByName(spark.read.parquet(f"{base}/_snapshots/upto={snaps[-1]}").select("cj_id", "w", "r", "n"))
     return parts
 
 
 def current_totals(spark: SparkSession, state_dir: str, value_name: str = "total", count_name: str = "n_rows") -> DataFrame:
     """Totals per key over every committed micro-batch (newest snapshot + later batches)."""
     parts = _merged_partials(spark, state_dir)
-    return parts.groupBy("cj_id").agg(F.sum("v").cast("double").alias(value_name),
+    return parts.groupBy("cj_id").agg(from_parts(F.sum("w"), F.sum("r")).alias(value_name),
                                       F.sum("n").cast("bigint").alias(count_name))
 
 
@@ -97,8 +111,8 @@ def compact(spark: SparkSession, state_dir: str) -> int | None:
 
     The snapshot is written to a new folder (never over the inputs), so a
     failed compaction leaves the previous state readable; readers switch to
-    the new snapshot only once its write has committed.  Older partials stay
-    on disk for the retention policy to remove.  Returns the batch id covered.
+    the new snapshot only once its write has committed.  What the
+    snapshot before it covers is removed then.  Returns the batch id covered.
     """
     base = state_dir.rstrip("/")
     last = spark.read.parquet(base).agg(F.max("batch_id")).first()[0]
@@ -109,11 +123,13 @@ def compact(spark: SparkSession, state_dir: str) -> int | None:
     if snaps:
         newer = spark.read.parquet(base).where((F.col("batch_id") > snaps[-1]) & (F.col("batch_id") <= last))
         older = spark.read.parquet(f"{base}/_snapshots/upto={snaps[-1]}")
-        merged = newer.select("cj_id", "v", "n").unionByName(older.select("cj_id", "v", "n"))
+        merged = newer.select("cj_id", "w", "r", "n").unionByName(older.select("cj_id", "w", "r", "n"))
     else:
-        merged = spark.read.parquet(base).where(F.col("batch_id") <= last).select("cj_id", "v", "n")
-    merged = merged.groupBy("cj_id").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+        merged = spark.read.parquet(base).where(F.col("batch_id") <= last).select("cj_id", "w", "r", "n")
+    merged = merged.groupBy("cj_id").agg(F.sum("w").alias("w"), F.sum("r").alias("r"), F.sum("n").alias("n"))
     merged.write.mode("overwrite").parquet(f"{base}/_snapshots/upto={last}")
+    if snaps:
+        _retire(spark, state_dir, snaps[-1])
     return last
 
 

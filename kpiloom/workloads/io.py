@@ -117,7 +117,7 @@ FROM orders LEFT JOIN ch ON o_orderpriority = ch.priority GROUP BY 1""")
 def q_src_inline(spark, sf_dir):
     ch = FS.inline(spark, CHANNELS, "priority string, channel string")
     o = T(spark, sf_dir, "orders")
-    j = o.join(F.broadcast(ch), o.o_orderpriority == ch.priority, "left")   # literal rows: fixed size
+    j = o.join(ch, o.o_orderpriority == ch.priority, "left")   # literal rows: fixed size
     return j.groupBy(F.coalesce(F.col("channel"), F.lit("Unknown")).alias("channel")).agg(
         F.count(F.lit(1)).alias("insp"), F.count_if(F.col("o_orderstatus") == "F").alias("si"))
 
@@ -138,7 +138,7 @@ def q_src_scheme(spark, sf_dir):
     slabs = R.slabs(R.scheme_parse(load_scheme(spark)), "Productivity")
     daily = R.daily_counts(T(spark, sf_dir, "events"), "user_id", "ts")
     cond = (daily.n >= slabs.lo) & (slabs.hi.isNull() | (daily.n <= slabs.hi))
-    hits = daily.join(F.broadcast(slabs), cond).groupBy("condition", "lo", "hi", "amount").agg(
+    hits = daily.join(slabs, cond).groupBy("condition", "lo", "hi", "amount").agg(
         F.count(F.lit(1)).alias("person_days"))
     h = hits.alias("h")
     same = [F.col(f"s.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("condition", "lo", "hi", "amount")]

@@ -29,7 +29,7 @@ def q_proj_star(spark, sf_dir):
     c = T(spark, sf_dir, "customer").alias("c")
     n = T(spark, sf_dir, "nation").alias("n")
     # nation is a fixed 25-row dimension: broadcasting it never grows with the data
-    return (c.join(F.broadcast(n), F.col("c.c_nationkey") == F.col("n.n_nationkey"), "left")
+    return (c.join(n, F.col("c.c_nationkey") == F.col("n.n_nationkey"), "left")
              .select("c.*", F.col("n.n_name").alias("Nation Name")))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kpiloom.functions.scalars import from_units, money_units
 from kpiloom.operators import rules as R
 from kpiloom.operators.consolidate import Mapping, net_payout
-from kpiloom.sources.scheme import load_scheme, scheme_amount, scheme_rows
+from kpiloom.sources.scheme import load_scheme, scheme_amount
 from kpiloom.sources.tables import table
 from kpiloom.workloads import as_double, register
 
@@ -24,7 +24,16 @@ def T(spark, sf_dir, name):
     return table(spark, sf_dir, name)
 
 
-SCHEME_ROWS = len(scheme_rows())      # proven bound of every slab table cut from the built-in scheme
+# The test people have few inspections a month: the sheet's bonus row is put at a level that some of them reach.
+EXCELLENCE_ROW = ">50 Inspections/Month + 20% Conversion"
+
+
+def sheet_with(spark, changes: dict[str, str], column: str = "Slab_or_Range"):
+    """The built-in sheet with other texts for the named sub-categories."""
+    text = F.col(column)
+    for name, value in changes.items():
+        text = F.when(F.col("Sub_Category") == name, F.lit(value)).otherwise(text)
+    return load_scheme(spark).withColumn(column, text)
 
 
 def parsed_scheme(spark):
@@ -35,8 +44,7 @@ def person_class(spark, sf_dir):
     c = T(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = T(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     cls = F.when(F.col("n_regionkey").isin(0, 1), F.lit("T7 Regions")).otherwise(F.lit("Non T7"))
-    # nation: fixed 25 rows -> broadcast
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
         F.col("c_custkey").alias("person"), cls.alias("condition"))
 
 
@@ -164,16 +172,20 @@ def q_inc_flat(spark, sf_dir):
     return flat(spark, sf_dir)
 
 
-@register("inc_excellence", """
+EXCELLENCE_SQL = """
 SELECT user_id AS person, strftime(ts, '%Y-%m') AS month, CAST(COUNT(*) AS BIGINT) AS n,
        COUNT(*) FILTER (WHERE event_type = 'view') / COUNT(*) AS share,
-       CASE WHEN COUNT(*) > 120 AND COUNT(*) FILTER (WHERE event_type = 'view') / COUNT(*) >= 0.7
+       CASE WHEN COUNT(*) > 50 AND COUNT(*) FILTER (WHERE event_type = 'view') / COUNT(*) >= 0.2
             THEN 3000.0 ELSE 0.0 END::DOUBLE AS excellence_bonus
-FROM events GROUP BY 1, 2""")
+FROM events GROUP BY 1, 2"""
+
+
+@register("inc_excellence", EXCELLENCE_SQL)
 def q_inc_excellence(spark, sf_dir):
-    # Rule row ">120 Inspections/Month + 70% Conversion" -> 3000; conversion = done share.
+    # conversion = done share
+    least, share, bonus = R.read_scheme(sheet_with(spark, {"Excellence Bonus": EXCELLENCE_ROW})).excellence
     return R.excellence_bonus(T(spark, sf_dir, "events"), "user_id", "ts", F.col("event_type") == "view",
-                              min_count=120, min_share=0.70, bonus=scheme_amount("Excellence Bonus"))
+                              min_count=least - 1, min_share=share, bonus=bonus)
 
 
 @register("inc_night", NIGHT_SQL)
@@ -217,8 +229,7 @@ SELECT person, n_critical, CAST(max_cost AS DOUBLE) AS max_cost,
        CAST(CASE WHEN n_critical >= 2 OR max_cost > 13500 THEN 0 ELSE n_half * 2500 END AS DOUBLE) AS flat_penalty
 FROM agg""")
 def q_pen_critical_new(spark, sf_dir):
-    out = R.critical_penalty_new(cases(spark, sf_dir), "o_custkey", "cost", "o_orderdate", joined_days(spark, sf_dir),
-                                 flat_penalty=2500.0)
+    out = R.critical_penalty_new(cases(spark, sf_dir), "o_custkey", "cost", "o_orderdate", joined_days(spark, sf_dir))
     return out.withColumn("max_cost", F.col("max_cost").cast("double"))
 
 
@@ -232,63 +243,86 @@ def q_reimb_km(spark, sf_dir):
     return reimbursement(spark, sf_dir)
 
 
+CRITICAL_SQL = f"""
+SELECT person, CASE WHEN n_old >= 2 OR max_old > 13500 THEN 0.0 WHEN n_old = 1 THEN 0.5 ELSE 1.0 END
+               * CASE WHEN n_new >= 2 OR max_new > 13500 THEN 0.0 ELSE 1.0 END AS share,
+       CASE WHEN n_new >= 2 OR max_new > 13500 THEN 0 ELSE n_new * 2500 END AS flat
+FROM (SELECT o_custkey AS person, COUNT(*) FILTER (WHERE late) AS n_old, MAX(cost) FILTER (WHERE late) AS max_old,
+             COUNT(*) FILTER (WHERE NOT late) AS n_new, MAX(cost) FILTER (WHERE NOT late) AS max_new
+      FROM (SELECT c.o_custkey, cost, CAST(o_orderdate AS DATE) - join_day > 60 AS late
+            FROM (SELECT o_custkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) * 0.05 AS cost FROM orders) c
+            JOIN (SELECT o_custkey, MIN(CAST(o_orderdate AS DATE)) AS join_day FROM orders GROUP BY 1) j
+              ON c.o_custkey = j.o_custkey
+            WHERE cost >= 10000) GROUP BY 1)"""
+
+NET_PARTS = {  # label -> (SQL of the person's amount, taken from)
+    "productivity": ("productivity_incentive", PROD_SQL), "sp_orders": ("sp_incentive", SP_SQL),
+    "per_unit": ("sp_pro + pdi + five_star + referral", FLAT_SQL), "night": ("night_incentive", NIGHT_SQL),
+    "excellence": ("excellence_bonus", EXCELLENCE_SQL), "conveyance": ("reimbursement", REIMB_SQL),
+    "tips": ("tips", """SELECT user_id AS person, CAST(value AS DECIMAL(18,2)) AS tips FROM events WHERE event_type = 'purchase'"""),
+    "one_star": ("-one_star_penalty", ONE_STAR_SQL), "im": ("-im_penalty", IM_SQL), "critical_flat": ("-flat", CRITICAL_SQL)}
+NET_ROWS = " UNION ALL ".join(f"SELECT person, '{label}' AS label, CAST({what} AS DECIMAL(38,4)) AS v FROM ({sql})"
+                              for label, (what, sql) in NET_PARTS.items())
+NET_SUMS = ", ".join(f"COALESCE(SUM(v) FILTER (WHERE label = '{label}'), 0) AS {label}" for label in NET_PARTS)
+NET_EARNED = "(productivity + sp_orders + per_unit + night + excellence)"
 NET_SQL = f"""
-WITH p AS ({PROD_SQL.replace('WITH daily', 'SELECT * FROM (WITH daily').strip()})),
-fl AS ({FLAT_SQL}),
-ni AS ({NIGHT_SQL}),
-rb AS ({REIMB_SQL}),
-os AS ({ONE_STAR_SQL}),
-im AS ({IM_SQL.replace('WITH cases', 'SELECT * FROM (WITH cases').strip()})),
-u AS (
-  SELECT CAST(person AS VARCHAR) AS cj_id, CAST(productivity_incentive AS DECIMAL(38,4)) AS a, NULL AS b, NULL AS c,
-         NULL AS d, NULL AS e, NULL AS f FROM p
-  UNION ALL SELECT CAST(person AS VARCHAR), NULL, CAST(sp_pro + pdi + five_star + referral AS DECIMAL(38,4)), NULL,
-         NULL, NULL, NULL FROM fl
-  UNION ALL SELECT CAST(person AS VARCHAR), NULL, NULL, CAST(night_incentive AS DECIMAL(38,4)), NULL, NULL, NULL FROM ni
-  UNION ALL SELECT CAST(person AS VARCHAR), NULL, NULL, NULL, CAST(reimbursement AS DECIMAL(38,4)), NULL, NULL FROM rb
-  UNION ALL SELECT CAST(person AS VARCHAR), NULL, NULL, NULL, NULL, CAST(-one_star_penalty AS DECIMAL(38,4)), NULL FROM os
-  UNION ALL SELECT CAST(person AS VARCHAR), NULL, NULL, NULL, NULL, NULL, CAST(-im_penalty AS DECIMAL(38,4)) FROM im),
-g AS (SELECT cj_id, COALESCE(SUM(a), 0) AS a, COALESCE(SUM(b), 0) AS b, COALESCE(SUM(c), 0) AS c,
-             COALESCE(SUM(d), 0) AS d, COALESCE(SUM(e), 0) AS e, COALESCE(SUM(f), 0) AS f FROM u GROUP BY cj_id)
-SELECT cj_id, CAST(a AS DOUBLE) AS productivity, CAST(b AS DOUBLE) AS per_unit, CAST(c AS DOUBLE) AS night,
-       CAST(d AS DOUBLE) AS conveyance, CAST(e AS DOUBLE) AS one_star, CAST(f AS DOUBLE) AS im,
-       CAST(a + b + c + d + e + f AS DOUBLE) AS net_payout
-FROM g"""
-
-
-@register("net_payout", NET_SQL)
-def q_net_payout(spark, sf_dir):
-    # All event-based rules share one scan and one (person, day) aggregate;
-    # the IM penalty comes from orders.  Then one consolidate shuffle.
-    e = T(spark, sf_dir, "events")
+WITH g AS (SELECT person, {NET_SUMS} FROM ({NET_ROWS}) GROUP BY person),
+s AS (SELECT g.*, CAST(COALESCE(c.share, 1.0) AS DECIMAL(2,1)) AS share FROM g LEFT JOIN ({CRITICAL_SQL}) c USING (person))
+SELECT CAST(person AS VARCHAR) AS cj_id, {", ".join(f"CAST({label} AS DOUBLE) AS {label}" for label in NET_PARTS)},
+       CAST(share AS DOUBLE) AS incentive_share,
+       CAST(CASE share WHEN 0.0 THEN 0 WHEN 0.5 THEN CAST({NET_EARNED} / 2 AS DECIMAL(38,5)) ELSE {NET_EARNED} END
+            + conveyance + tips + one_star + im + critical_flat AS DOUBLE) AS net_payout
+FROM s"""
+
+
+def payout(spark, sf_dir, sheet):
+    """Every rule of the sheet in one payout row per person.
+
+    All event-based rules share one scan and one (person, day) aggregate, cases and SP orders come from orders; one
+    merge brings them together."""
+    scheme, slab_rows = R.read_scheme(sheet), R.scheme_parse(sheet)
+    rate = scheme.rates
     et, ts = F.col("event_type"), F.col("ts")
     booked = ts - F.expr("INTERVAL 30 MINUTES")
     counters = {
         "views": (et == "view").cast("long"), "clicks": (et == "click").cast("long"),
         "purchases": (et == "purchase").cast("long"), "signups": (et == "signup").cast("long"),
         "errors": (et == "error").cast("long"),
-        "night": (R.in_window(booked) & R.in_window(ts)).cast("long"),
+        "nights": (R.in_window(booked, *scheme.night) & R.in_window(ts, *scheme.night)).cast("long"),
         "km_units": F.when(et == "view", money_units(F.col("value"))),
+        "tip_units": F.when(et == "purchase", money_units(F.col("value"))),
     }
-    daily = R.person_day_rollup(e, "user_id", "ts", counters)
-    priced = R.price_days(daily, R.slabs(parsed_scheme(spark), "Productivity"), person_class(spark, sf_dir))
-    per_unit = (F.sum("views") * scheme_amount("SP Pro") + F.sum("clicks") * scheme_amount("PDI")
-                + F.sum("purchases") * scheme_amount("CJ 5 Star Rating") + F.sum("signups") * scheme_amount("Referral"))
-    km_rate = int(scheme_amount("Conveyance"))
-    people = priced.groupBy("person").agg(
-        F.sum("day_amount").alias("productivity"), per_unit.alias("per_unit"),
-        (F.sum("night") * scheme_amount("Night Inspection")).alias("night"),
-        from_units(F.coalesce(F.sum("km_units"), F.lit(0)) * km_rate).alias("conveyance"),
-        (F.sum("errors") * scheme_amount("1 Star Rating")).alias("one_star"))
-    im = im_penalty(spark, sf_dir)
-
-    def m(df, col, label):
-        return Mapping(df, "person", col, label)
+    daily = R.person_day_rollup(T(spark, sf_dir, "events"), "user_id", "ts", counters)
+    priced = R.price_days(daily, R.slabs(slab_rows, "Productivity"), person_class(spark, sf_dir))
+    monthly = priced.groupBy("person", F.trunc("day", "month").alias("month")).agg(
+        *[F.sum(c).alias(c) for c in ("day_amount", "n", *counters)])
+    least, share, bonus = scheme.excellence
+    people = monthly.groupBy("person").agg(
+        F.sum("day_amount").alias("productivity"),
+        (F.sum("views") * rate["SP Pro"] + F.sum("clicks") * rate["PDI"] + F.sum("purchases") * rate["CJ 5 Star Rating"]
+         + F.sum("signups") * rate["Referral"]).alias("per_unit"),
+        (F.sum("nights") * rate["Night Inspection"]).alias("night"),
+        F.sum(F.when((F.col("n") >= least) & (F.col("views") / F.col("n") >= share), bonus).otherwise(0.0)).alias("excellence"),
+        from_units(F.coalesce(F.sum("km_units"), F.lit(0)) * int(rate["Conveyance"] * 10 ** 4), 8).alias("conveyance"),
+        from_units(F.coalesce(F.sum("tip_units"), F.lit(0))).alias("tips"),
+        (F.sum("errors") * rate["1 Star Rating"]).alias("one_star"))
+    sp = R.daily_slab_incentive(R.daily_counts(T(spark, sf_dir, "orders"), "o_custkey", "o_orderdate"),
+                                R.slabs(slab_rows, "SP / SP Lite"), alias="sp_orders")
+    im = R.im_slab_penalty(cases(spark, sf_dir), "o_custkey", "cost", R.slabs(slab_rows, "IM"), scheme.regular)
+    critical = R.critical_outcome(cases(spark, sf_dir), "o_custkey", "cost", "o_orderdate", joined_days(spark, sf_dir), scheme)
+
+    def m(df, col, label=None):
+        return Mapping(df, "person", col, label or col)
     return net_payout(
-        incentives=[m(people, "productivity", "productivity"), m(people, "per_unit", "per_unit"),
-                    m(people, "night", "night")],
-        reimbursements=[m(people, "conveyance", "conveyance")],
-        penalties=[m(people, "one_star", "one_star"), m(im, "im_penalty", "im")])
+        incentives=[m(people, "productivity"), m(sp, "sp_orders"), m(people, "per_unit"), m(people, "night"), m(people, "excellence")],
+        reimbursements=[m(people, "conveyance")], tips=[m(people, "tips")],
+        penalties=[m(people, "one_star"), m(im, "im_penalty", "im"), m(critical, "flat_penalty", "critical_flat")],
+        severity=[m(critical, "severity")])
+
+
+@register("net_payout", NET_SQL)
+def q_net_payout(spark, sf_dir):
+    return payout(spark, sf_dir, sheet_with(spark, {"Excellence Bonus": EXCELLENCE_ROW}))
 
 
 # Expected typed rule table, stated independently for the oracle (rule_no,

@@ -259,3 +259,25 @@ def test_streaming_scheduled_compaction(spark):
     q.awaitTermination(120)
     assert _snapshots(spark, state) == [1]                      # after batches 0 and 1
     assert sorted((r.cj_id, r.total) for r in current_totals(spark, state).collect()) == [("a", 4.0), ("b", 2.0)]
+
+
+def test_a_snapshot_without_its_mark_is_not_trusted(spark):
+    import glob
+    import os
+
+    from kpiloom.streaming.arrival import _snapshots, compact
+    landing, state, ckpt = (scratch_path(spark, n) for n in ("snap_landing", "snap_state", "snap_ckpt"))
+    schema = spark.createDataFrame([], "k string, v double").schema
+    for i in range(3):
+        spark.createDataFrame([("a", float(i)), ("b", 1.0)], schema).coalesce(1).write.mode("append").parquet(landing)
+        q = start_refresh(spark, landing, schema, state, ckpt, "k", "v")
+        q.awaitTermination(120)
+    want = {r.cj_id: (r.total, r.n_rows) for r in current_totals(spark, state).collect()}
+    assert want == {"a": (3.0, 3), "b": (3.0, 3)} and compact(spark, state) == 2
+    folder = state.removeprefix("file:").replace("//", "/") + "/_snapshots/upto=2"
+    os.remove(f"{folder}/_SUCCESS")                                   # an interrupted commit
+    os.remove(sorted(glob.glob(f"{folder}/part-*"))[0])
+    assert _snapshots(spark, state) == []
+    assert {r.cj_id: (r.total, r.n_rows) for r in current_totals(spark, state).collect()} == want
+    assert compact(spark, state) == 2 and _snapshots(spark, state) == [2]
+    assert {r.cj_id: (r.total, r.n_rows) for r in current_totals(spark, state).collect()} == want

@@ -93,3 +93,40 @@ def test_night_window_edges(spark):
 def test_km_reimbursement_exact(spark):
     ev = spark.createDataFrame([("a", 0.1, True), ("a", 0.2, True), ("a", 5.0, False)], "p string, km double, d boolean")
     assert R.km_reimbursement(ev, "p", F.col("km"), F.col("d")).first().reimbursement == 1.8
+
+
+def test_limits_come_from_the_sheet(spark):
+    built_in = R.read_scheme(load_scheme(spark))
+    assert built_in.regular == R.Critical(10000, 13500, 20000, 2)
+    assert built_in.new == R.Critical(10000, 13500, 20000, 2, 2500.0, 60)
+    assert built_in.excellence == (121, 0.7, 3000.0) and built_in.night == (18, 22) and built_in.rates["SP Pro"] == 150.0
+    sheet = load_scheme(spark).withColumn("Slab_or_Range", F.regexp_replace("Slab_or_Range", "10000 - 13500", "8000 - 9000"))
+    cases = spark.createDataFrame([("a", 8500.0), ("b", 9500.0)], "p string, cost double")
+    got = {r.person: r.action for r in R.critical_penalty(cases, "p", "cost", R.read_scheme(sheet).regular).collect()}
+    assert got == {"a": "HALF", "b": "ZERO"} and R.critical_penalty(cases, "p", "cost").isEmpty()
+
+
+def test_critical_cases_cut_the_incentives_only(spark):
+    from kpiloom.operators.consolidate import mappings_for, net_payout
+    cases = spark.createDataFrame([
+        ("half", 11000.0, "2024-06-01"), ("exit", 25000.0, "2024-06-01"), ("fresh", 12000.0, "2024-01-20"),
+        ("fresh_zero", 15000.0, "2024-01-20"), ("unknown", 11000.0, "2024-01-02"), ("fine", 9000.0, "2024-06-01")],
+        "p string, cost double, d string")
+    joined = spark.createDataFrame([(p, dt.date(2024, 1, 1)) for p in ("half", "exit", "fresh", "fresh_zero", "fine")], "person string, join_day date")
+    out = R.critical_outcome(cases, "p", "cost", "d", joined, R.read_scheme(load_scheme(spark)))
+    assert {r.person: (r.severity, r.flat_penalty) for r in out.collect()} == {
+        "half": (1, 0.0), "exit": (2, 0.0), "fresh": (0, 2500.0), "fresh_zero": (2, 0.0), "unknown": (1, 0.0)}
+    paid = spark.createDataFrame([(p, 100.25, 7.0) for p in ("half", "exit", "fresh", "fine")], "k string, v double, t double")
+    net = net_payout(mappings_for(paid, "inc", "k", ["v"]), tips=mappings_for(paid, "tips", "k", ["t"]),
+                     penalties=mappings_for(out, "flat", "person", ["flat_penalty"]), severity=mappings_for(out, "sev", "person", ["severity"]))
+    got = {r.cj_id: r.net_payout for r in net.collect()}
+    assert {k: got[k] for k in ("half", "exit", "fresh", "fine")} == {"half": 57.125, "exit": 7.0, "fresh": -2392.75, "fine": 107.25}
+
+
+def test_an_edited_sheet_changes_the_payout(spark):
+    from conftest import SF_SMALL
+    from kpiloom.workloads.rules import payout, sheet_with
+    before = {r.cj_id: r for r in payout(spark, SF_SMALL, load_scheme(spark)).collect()}
+    after = {r.cj_id: r for r in payout(spark, SF_SMALL, sheet_with(spark, {"1 Star Rating": "400"}, "Amount_or_Payout")).collect()}
+    assert before.keys() == after.keys() and any(r.one_star for r in before.values())
+    assert all(after[k].one_star == 2 * r.one_star and abs(after[k].net_payout - r.net_payout - r.one_star) < 1e-6 for k, r in before.items())
