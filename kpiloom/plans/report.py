@@ -66,7 +66,7 @@ def report_inputs_from_tables(orders: DataFrame, customer: DataFrame, nation: Da
         F.when(F.col("o_orderstatus") == "F", F.lit("done")).otherwise(F.lower("o_orderstatus")).alias("inspection_status"),
         F.col("o_orderdate").alias("inspection_end_time"),
         F.col("o_custkey").alias("store_id"))
-    geo = F.broadcast(nation.join(region, nation.n_regionkey == region.r_regionkey))  # 25 rows, fixed
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
     centre_list = customer.join(geo, customer.c_nationkey == F.col("n_nationkey"), "left").select(
         F.col("c_custkey").alias("centre_id"), F.col("r_name").alias("region"),
         F.col("n_name").alias("city"), F.col("c_name").alias("centre"))
