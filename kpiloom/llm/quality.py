@@ -7,12 +7,15 @@ and of the language's most common words (with one bin for all others), by
 Jensen-Shannon distance (base 2, so 0 to 1).  A distance counts only for
 documents with enough characters or words, since short ones stray by chance.
 
-The references are sums over all documents of a language.  Languages are tags
-of two or three letters a-z, so there are at most 18,252 of them with
-``COMMON`` words of at most ``COMMON_CHARS`` code points each: that bounds what
-is sent to the executors at any input size.  Documents with another tag or none,
-and those whose language has fewer than ``LEAST_LANGUAGE`` words in all, are
-compared with the reference over all documents.
+The references are sums over all documents of a language.  Languages are primary
+subtags (zh of zh-CN) of two or three letters a-z, so there are at most 18,252 of
+them with ``COMMON`` words of at most ``COMMON_CHARS`` code points each: that
+bounds what is sent to the executors at any input size.  Documents with another
+tag or none, and those whose language has fewer than ``LEAST_LANGUAGE`` words in
+all, have no reference whose letters or words are theirs: word_distance is 0, and
+char_distance that of ``SHAPE``, the classes with all letters and blanks as one,
+to the nearest of all references, so no script or language is rejected as such.
+A table of fewer than ``LEAST_LANGUAGE`` words has no reference, only base rules.
 
 Null texts have no words and fail; repeated rows are judged alike; an empty
 table gives no rows; columns of docs with other names pass through ``keep``.
@@ -46,6 +49,8 @@ FLUSH = 300_000
 
 CLASSES = ("blank", "line end", "vowel", "consonant", "capital", "accented", "accented capital", "other letter",
            "digit", "stop", "comma", "quote or bracket", "exclamation or question", "symbol", "other")
+#: The classes without what sets scripts apart: letters and blanks are one.
+SHAPE = np.array([0, 1, 0, 0, 0, 0, 0, 0, 2, 3, 4, 5, 6, 7, 8])
 
 
 def _class_of(code: int) -> int:
@@ -53,7 +58,7 @@ def _class_of(code: int) -> int:
     if c in BLANKS:
         return int(c == "\n")
     kind = unicodedata.category(c)
-    if kind[0] == "L":
+    if kind[0] in "LM":  # marks are parts of letters, in some scripts every third code point
         if code < 128:
             return 4 if c.isupper() else 2 if c in "aeiou" else 3
         return 7 if code >= 0x250 or kind not in ("Ll", "Lu") else 6 if kind == "Lu" else 5
@@ -71,14 +76,16 @@ _TABLE = np.zeros(0, np.int64)
 def _classes() -> np.ndarray:
     global _TABLE
     if not len(_TABLE):
-        _TABLE = np.array([_class_of(i) for i in range(0x10000)] + [13], np.int64)
+        _TABLE = np.array([_class_of(i) for i in range(0x20000)] + [7, 13], np.int64)
     return _TABLE
 
 
 def characters(text: str) -> np.ndarray:
-    """Counts by class; code points above U+FFFF count as symbols."""
+    """Counts by class; code points from U+20000 count as letters (ideographs), from U+40000 as symbols."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    return np.bincount(_classes()[np.minimum(codes, 0x10000)], minlength=len(CLASSES))
+    if len(codes) and codes.max() >= 0x20000:
+        codes = np.where(codes < 0x20000, codes, np.where(codes < 0x40000, 0x20000, 0x20001))
+    return np.bincount(_classes()[codes], minlength=len(CLASSES))
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -125,11 +132,11 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
 
 
 def language(docs: DataFrame, lang: str | None):
-    """The tag, or the empty string for every other value."""
+    """The tag's primary subtag, or the empty string for every other value."""
     if lang is None:
         return F.lit("")
-    low = F.lower(F.col(f"`{lang}`").cast("string"))
-    return F.when(low.rlike("^[a-z]{2,3}$"), low).otherwise(F.lit(""))
+    low = F.lower(F.trim(F.col(f"`{lang}`").cast("string")))
+    return F.coalesce(F.regexp_extract(low, "^([a-z]{2,3})([-_].*)?$", 1), F.lit(""))
 
 
 def _source(docs: DataFrame, key: str, text: str, lang: str | None) -> DataFrame:
@@ -176,7 +183,7 @@ def references(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     out = {}
     for lg, own in refs.items():
         total = own.pop("\nall", 0)
-        if lg and total < LEAST_LANGUAGE:
+        if total < LEAST_LANGUAGE:
             continue
         chars = np.array([own.pop(f"\n{i}", 0) for i in range(len(CLASSES))])
         words = sorted(own, key=lambda w: (-own[w], w))
@@ -185,15 +192,24 @@ def references(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     return out
 
 
+def shape(chars: np.ndarray) -> np.ndarray:
+    return np.bincount(SHAPE, chars, SHAPE.max() + 1)
+
+
 def measure(text: str, lang: str, refs: dict[str, tuple[np.ndarray, list[bytes], np.ndarray]]) -> tuple:
     """The columns of ``judge`` after the key."""
     words = text.encode().split()
-    n, none = len(words), (np.zeros(len(CLASSES)), [], np.zeros(1))
-    chars, common, counts = refs.get(lang) or refs.get("", none)
+    n, own_ref = len(words), refs.get(lang) if lang else None
     repeats = repeated_words(words)
-    c = distance(characters(text), chars) if len(text) >= CHAR_LEAST else 0.0
-    w = 0.0
-    if n >= WORD_LEAST:
+    c = w = 0.0
+    if len(text) >= CHAR_LEAST:
+        if own_ref:
+            c = distance(characters(text), own_ref[0])
+        else:
+            mine = shape(characters(text))
+            c = min((distance(mine, shape(chars)) for chars, _, _ in refs.values()), default=0.0)
+    if own_ref and n >= WORD_LEAST:
+        _, common, counts = own_ref
         bins = {x: i for i, x in enumerate(common)}
         own = np.bincount(np.array([bins.get(x, len(common)) for x in words]), minlength=len(counts))
         w = distance(own, counts)

@@ -212,6 +212,35 @@ def test_quality_parts_good_from_bad(worker_code):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.2 * len(bad)
 
 
+RUSSIAN = ("Вчера вечером мы долго гуляли по старому городу, смотрели на реку и говорили о книгах. Потом пошёл дождь, и все вернулись домой. "
+           "Утром снова светило солнце, дети играли во дворе, а соседка продавала на рынке яблоки и груши.")
+GREEK = ("Χθες το βράδυ περπατήσαμε πολύ ώρα στην παλιά πόλη, κοιτάξαμε το ποτάμι και μιλήσαμε για βιβλία. Μετά άρχισε να βρέχει και όλοι γύρισαν "
+         "στο σπίτι. Το πρωί ο ήλιος έλαμπε πάλι και τα παιδιά έπαιζαν στην αυλή.")
+HINDI = ("कल शाम हम लोग पुराने शहर में बहुत देर तक घूमते रहे, नदी को देखा और किताबों के बारे में बातें कीं। फिर बारिश होने लगी और सब लोग घर लौट आए। "
+         "सुबह फिर से धूप निकली और बच्चे आँगन में खेल रहे थे।")
+
+
+def test_quality_keeps_prose_without_a_reference_of_its_own(worker_code, docs):
+    """Few documents of a language, no tag or a tag with a region, whatever the script: clean prose stays, junk goes."""
+    junk = " ".join(f"th{chr(97 + i % 26)}e{chr(97 + i // 26)}***" for i in range(80))
+    made = [(RUSSIAN, "ru"), (RUSSIAN, None), (RUSSIAN, "ru-RU"), (GREEK, "el"), (GREEK, "?"), (HINDI, "hi"), (HINDI, None), (" ".join([RUSSIAN, GREEK]), "")]
+    made = [(10**6 + i, t, lg) for i, (t, lg) in enumerate(made)] + [(2 * 10**6 + i, junk, lg) for i, lg in enumerate(["ru", None, "xx-YY", "en-US"])]
+    part = worker_code.createDataFrame(made, "doc_id long, text string, lang string")
+    for base in (docs, worker_code.read.parquet("/root/testdata/sf0.01/documents.parquet"), docs.limit(0)):
+        all_docs = base.select("doc_id", "text", "lang").unionByName(part)
+        kept = {r.doc_id for r in quality.judge(all_docs).where("kept and doc_id >= 1000000").collect()}
+        assert kept >= {i for i, _, _ in made if i < 2 * 10**6}
+        if not base.isEmpty():
+            assert kept == {i for i, _, _ in made if i < 2 * 10**6}
+        assert {r.doc_id for r in quality.keep(all_docs).where("doc_id >= 1000000").collect()} == kept
+
+
+def test_region_tags_share_the_language(worker_code):
+    tags = ["en", "EN", "en-US", "pt_BR", " zh-Hans-CN ", "deu", "english", "e", "", None, "e1", "en\n"]
+    df = worker_code.createDataFrame([(x,) for x in tags], "lang string")
+    assert [r[0] for r in df.select(quality.language(df, "lang")).collect()][:11] == ["en", "en", "en", "pt", "zh", "deu", "", "", "", "", ""]
+
+
 def test_distance():
     p, q = np.array([1.0, 0]), np.array([0, 5.0])
     assert quality.distance(p, q) == pytest.approx(1) and quality.distance(p, 3 * p) == 0 and quality.distance(p, 0 * p) == 0
