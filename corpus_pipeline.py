@@ -30,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that match an earlier line go; a document without any line left stays as an empty text."""
     ship(spark)
-    return _counted(lines.dedup_lines(docs).select(*[f"`{c}`" for c in docs.columns]))
+    return _counted(lines.dedup_lines(docs, least_words=lines.EVERY_LINE).select(*[f"`{c}`" for c in docs.columns]))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

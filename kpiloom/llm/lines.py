@@ -12,7 +12,8 @@ an earlier one (by document id, then line number) is removed.
 2.  Lines with equal sets (by a 128-bit digest) collapse to the earliest; all
     others of them go.
 3.  Of a set of n words, the rarest n - ceil(t n) + 1 are indexed: two sets
-    that match share one of them.  Rows of a word are compared with earlier
+    that match share one of them.  A set so small that one more word is too many
+    (n < t (n + 1)) matches none but its equals and is not indexed.  Rows of a word are compared with earlier
     rows of that word by length, position and a 128-bit image of the set
     (whose differing bits bound the overlap from above), and each line gives
     its nearest candidates per word, so a group of thousands of like lines gives
@@ -45,6 +46,8 @@ from kpiloom.llm.common import stored
 
 THRESHOLD = 0.8
 LEAST_WORDS = 3
+#: What op6_line_dedup and the pipeline take instead: every line that has a word.
+EVERY_LINE = 1
 BITS = 20
 SLOT = 4096
 CHUNK = 1 << 18
@@ -126,7 +129,7 @@ def _sets(keys: list[tuple[int, int]], sizes: list[int], words: list[bytes], pla
     h, line, rank = h[new], line[new], rank[new]
     n = np.bincount(line, minlength=len(sizes))
     start = np.cumsum(n) - n
-    prefix = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+    prefix = np.where(n >= threshold * (n + 1) - 1e-9, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
     alone = np.bincount(line[rank < lone], minlength=len(sizes))  # the first words of a line; they are in no other
     mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     bit, one = h & np.uint64(127), np.uint64(1)

@@ -59,7 +59,7 @@ def personal_data(spark, sf_dir):
 
 @register("op6_line_dedup")
 def line_dedup(spark, sf_dir):
-    return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_exact", "n_near")
+    return lines.dedup_lines(table(spark, sf_dir, "documents"), least_words=lines.EVERY_LINE).select("doc_id", "text", "n_exact", "n_near")
 
 
 @register("op7_token_counts")

@@ -175,6 +175,19 @@ def test_line_dedup(worker_code, docs, odd_docs):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_short_lines_are_deduplicated(worker_code, docs):
+    """The query and the pipeline's stage take lines from one word on."""
+    import corpus_pipeline
+    from kpiloom.llm.queries import QUERIES
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = plain_removed(rows, least=1)
+    assert want > plain_removed(rows)
+    left = {i: None if t is None else "\n".join(x for no, x in enumerate(t.split("\n")) if (i, no) not in want) for i, t in rows}
+    assert {r.doc_id: r.text for r in QUERIES["op6_line_dedup"][0](worker_code, SF).collect()} == left
+    short = worker_code.createDataFrame([(1, "Yes.\nOf course\nyes."), (2, "YES.\ncourse of\nno"), (3, "no no\n\nyes. no")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(worker_code, short, SF).collect()} == {1: "Yes.\nOf course", 2: "no", 3: "\nyes. no"}
+
+
 def test_line_candidates_come_in_rounds(worker_code):
     """The rounds together give the same candidates as one round without a limit, each once per line and word."""
     texts = lines._texts(worker_code.createDataFrame(near_lines_fixture(), "doc_id long, text string"), "doc_id", "text")
@@ -314,6 +327,23 @@ def test_pipeline(worker_code):
         assert stage(worker_code, empty, SF).count() == 0
 
 
+def test_pipeline_takes_short_lines(worker_code):
+    """The documents and token counts of the pipeline against brute force with lines from one word on."""
+    import corpus_pipeline
+    from kpiloom.llm import bpe, pii, quality
+    from kpiloom.llm.queries import tokenizer
+    docs = worker_code.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r.text for r in quality.keep(docs).collect()}
+    gone = plain_removed(sorted(rows.items()), least=1)
+    rows = {i: "\n".join(x for no, x in enumerate(t.split("\n")) if (i, no) not in gone) for i, t in rows.items()}
+    prints = {i: plain_fingerprint(t) for i, t in rows.items()}
+    ids = sorted(rows)
+    comp = groups(ids, [(a, b) for a in ids for b in ids if a < b and (prints[a] ^ prints[b]).bit_count() <= 2])
+    coder = bpe.load(tokenizer())
+    want = {i: coder.count(pii.masked(t)) + 1 for i, t in rows.items() if comp[i] == i}
+    assert {r.doc_id: r.doc_tokens for r in corpus_pipeline.run(worker_code, SF).collect()} == want
+
+
 def test_pipeline_stages_on_odd_rows(worker_code, odd_docs):
     import corpus_pipeline
     part = odd_docs
