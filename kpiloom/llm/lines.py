@@ -25,9 +25,10 @@ an earlier one (by document id, then line number) is removed.
     missed.
 
 Lines of fewer than ``least_words`` words stay as they are, and so do empty
-lines.  A null text stays null.  Rows that repeat a document id are treated as
-one document's: a line that one of them repeats stays in all.  Null ids come
-last.  An empty table gives no rows; other columns pass through.
+lines.  A null text stays null.  Rows that share an id, or have none, are told
+apart by ``row``, a digest of the text, and come in its order; only rows that are
+equal in both are one document's, and a line goes from all of them or none.  Null
+ids come last.  An empty table gives no rows; other columns pass through.
 """
 
 from __future__ import annotations
@@ -54,15 +55,28 @@ CHUNK = 1 << 18
 #: Candidates per line and word of the first round; later rounds take four times as many each, until none is left.
 FIRST_ROUND = 8
 LAST = (1 << 63) - 1
+#: What names a line and, of a pair, the earlier one.
+LINE, EARLIER = ("doc", "row", "line"), ("e_doc", "e_row", "e_line")
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
+def _row_key(docs: DataFrame, key: str, text: str) -> tuple[Column, Column]:
+    """(doc, row) of each row: doc stands for the id, the largest long for a null; row is the text's digest, or 0 where the ids do without."""
+    own, digest = F.col(f"`{key}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
+    repeated = not docs.select(own.alias("doc")).where("doc is not null").groupBy("doc").count().where("count > 1").isEmpty()
+    return F.coalesce(own, F.lit(LAST)), digest if repeated else F.when(own.isNull(), digest).otherwise(F.lit(0).cast("long"))
+
+
+def _keyed(docs: DataFrame, text: str, keys: tuple[Column, Column]) -> DataFrame:
+    """(doc, row, text) of the documents that have a text."""
+    return docs.select(keys[0].alias("doc"), keys[1].alias("row"), F.col(f"`{text}`").alias("text")).where("text is not null")
+
+
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, text) of the documents that have a text; doc stands for the id, the largest long for a null."""
-    return docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST)).alias("doc"), F.col(f"`{text}`").alias("text")).where("text is not null")
+    return _keyed(docs, text, _row_key(docs, key, text))
 
 
 def word_counts(texts: DataFrame) -> np.ndarray:
@@ -119,7 +133,7 @@ def _rare_first(line: np.ndarray, rank: np.ndarray, h: np.ndarray, sizes: int) -
     return order
 
 
-def _sets(keys: list[tuple[int, int]], sizes: list[int], words: list[bytes], place: np.ndarray, lone: int, threshold: float) -> pa.RecordBatch:
+def _sets(keys: list[tuple[int, int, int]], sizes: list[int], words: list[bytes], place: np.ndarray, lone: int, threshold: float) -> pa.RecordBatch:
     """Rows of ``line_sets`` for lines of the given numbers of words, none of them 0."""
     h, line = hashes(words), np.repeat(np.arange(len(sizes)), sizes)
     rank = place[(h & np.uint64(len(place) - 1)).astype(np.int64)].astype(np.uint64)
@@ -139,26 +153,26 @@ def _sets(keys: list[tuple[int, int]], sizes: list[int], words: list[bytes], pla
     at = np.arange(len(h)) - start[line]
     chosen = h[(at >= alone[line]) & (at < prefix[line])]
     return pa.RecordBatch.from_arrays([
-        pa.array([d for d, _ in keys], pa.int64()), pa.array([no for _, no in keys], pa.int32()),
+        pa.array([d for d, _, _ in keys], pa.int64()), pa.array([x for _, x, _ in keys], pa.int64()), pa.array([no for _, _, no in keys], pa.int32()),
         *[pa.array(over(np.add, x).view(np.int64)) for x in (h, mixed ^ (mixed >> np.uint64(32)))], pa.array(n.astype(np.int32)),
         pa.array(alone.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.view(np.int64))),
         *[pa.array(over(np.bitwise_or, x).view(np.int64)) for x in image],
-    ], names=["doc", "line", "d0", "d1", "n", "alone", "prefix", "b0", "b1"])
+    ], names=["doc", "row", "line", "d0", "d1", "n", "alone", "prefix", "b0", "b1"])
 
 
 def line_sets(texts: DataFrame, counts: np.ndarray, threshold: float, least_words: int) -> DataFrame:
-    """One row per line: (doc, line, d0, d1, n, alone, prefix, b0, b1); d0 and d1 are a 128-bit digest of the set of words,
+    """One row per line: (doc, row, line, d0, d1, n, alone, prefix, b0, b1); d0 and d1 are a 128-bit digest of the set of words,
     alone counts the words at its start that occur nowhere else, prefix holds the indexed words after them."""
     sent = texts.sparkSession.sparkContext.broadcast(ranks(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, sizes, words = [], [], []
-            for doc, t in zip(b.column("doc").to_pylist(), b.column("text").to_pylist()):
+            for doc, row, t in zip(*[b.column(c).to_pylist() for c in ("doc", "row", "text")]):
                 for no, line in enumerate(t.encode().lower().split(b"\n")):
                     own = line.split()
                     if len(own) >= max(1, least_words):
-                        keys.append((doc, no))
+                        keys.append((doc, row, no))
                         sizes.append(len(own))
                         words += own
                 if len(words) >= CHUNK:
@@ -167,12 +181,12 @@ def line_sets(texts: DataFrame, counts: np.ndarray, threshold: float, least_word
             if keys:
                 yield _sets(keys, sizes, words, *sent.value, threshold)
 
-    return texts.mapInArrow(run, "doc long, line int, d0 long, d1 long, n int, alone int, prefix array<long>, b0 long, b1 long")
+    return texts.mapInArrow(run, "doc long, row long, line int, d0 long, d1 long, n int, alone int, prefix array<long>, b0 long, b1 long")
 
 
 def _index(sets: DataFrame) -> DataFrame:
-    rows = sets.select("doc", "line", "n", "alone", "b0", "b1", F.posexplode("prefix").alias("i", "word"))
-    return rows.select("doc", "line", "n", "b0", "b1", (F.col("alone") + F.col("i")).alias("at"), "word")
+    rows = sets.select("doc", "row", "line", "n", "alone", "b0", "b1", F.posexplode("prefix").alias("i", "word"))
+    return rows.select("doc", "row", "line", "n", "b0", "b1", (F.col("alone") + F.col("i")).alias("at"), "word")
 
 
 def _least_overlap(n, m, threshold: float):
@@ -184,10 +198,10 @@ def _bits(x: np.ndarray) -> np.ndarray:
 
 
 def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
-    """(doc, line, e_doc, e_line, word, place, more): per line and word its nearest earlier lines that the filters let pass,
+    """(doc, row, line, e_doc, e_row, e_line, word, place, more): per line and word its nearest earlier lines that the filters let pass,
     without the first ``skip``, ``take`` at most, the first at place 1; more: that line and word have further ones.  only: what to give them for, rows
-    of (doc, line) or (doc, line, word)."""
-    columns = ["word", "doc", "line", "n", "at", "b0", "b1"]
+    of (doc, line), (doc, row, line) or (doc, row, line, word)."""
+    columns = ["word", "doc", "row", "line", "n", "at", "b0", "b1"]
     if only is not None:
         if "word" in only.columns:  # first, so that only these words' rows move
             index = index.join(only.select("word").distinct(), "word", "left_semi")
@@ -220,7 +234,7 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
             live = live[live - d >= first[live]]
         i = np.concatenate(late) if late else np.zeros(0, np.int64)
         j = np.concatenate(early) if early else np.zeros(0, np.int64)
-        return pd.DataFrame({"doc": a["doc"][i], "line": a["line"][i], "e_doc": a["doc"][j], "e_line": a["line"][j], "word": a["word"][i],
+        return pd.DataFrame({**{c: a[c][i] for c in LINE}, **{f"e_{c}": a[c][j] for c in LINE}, "word": a["word"][i],
                              "place": np.concatenate(place) if place else i, "more": seen[i] > last})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,13 +252,13 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
         if rest is not None:
             yield meet(rest)
 
-    parts = index.select(*columns).repartition("word").sortWithinPartitions("word", "doc", "line")
-    return parts.mapInPandas(run, "doc long, line int, e_doc long, e_line int, word long, place long, more boolean")
+    parts = index.select(*columns).repartition("word").sortWithinPartitions("word", *LINE)
+    return parts.mapInPandas(run, "doc long, row long, line int, e_doc long, e_row long, e_line int, word long, place long, more boolean")
 
 
 def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
-    """(doc, line, e_doc, e_line) of ``_nearest``, each pair once."""
-    return _nearest(index, threshold, skip, take, only).select("doc", "line", "e_doc", "e_line").distinct()
+    """(doc, row, line, e_doc, e_row, e_line) of ``_nearest``, each pair once."""
+    return _nearest(index, threshold, skip, take, only).select(*LINE, *EARLIER).distinct()
 
 
 def _set_of(line: Column) -> Column:
@@ -253,23 +267,26 @@ def _set_of(line: Column) -> Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """(doc, line) of the pairs whose lines have the similarity."""
-    wanted = pairs.select("doc", "line").unionByName(pairs.select(F.col("e_doc").alias("doc"), F.col("e_line").alias("line")))
-    wanted = wanted.groupBy("doc").agg(F.collect_set("line").alias("lines"))  # the lines of one document
-    named = texts.join(wanted.hint("shuffle_hash"), "doc").withColumn("all", F.split("text", "\n"))
-    named = named.select("doc", F.explode("lines").alias("line"), "all").select("doc", "line", _set_of(F.get("all", F.col("line"))).alias("s"))
-    named = stored(named.dropDuplicates(["doc", "line"]), "candidate-lines")
-    e = named.select(F.col("doc").alias("e_doc"), F.col("line").alias("e_line"), F.col("s").alias("t"))
-    both = pairs.join(named, ["doc", "line"]).join(e, ["e_doc", "e_line"])
+    """(doc, row, line) of the pairs whose lines have the similarity."""
+    wanted = pairs.select(*LINE).unionByName(pairs.select(*[F.col(e).alias(c) for c, e in zip(LINE, EARLIER)]))
+    wanted = wanted.groupBy("doc", "row").agg(F.collect_set("line").alias("lines"))  # the lines of one document
+    named = texts.join(wanted.hint("shuffle_hash"), ["doc", "row"]).withColumn("all", F.split("text", "\n"))
+    named = named.select("doc", "row", F.explode("lines").alias("line"), "all").select(*LINE, _set_of(F.get("all", F.col("line"))).alias("s"))
+    named = stored(named.dropDuplicates([*LINE]), "candidate-lines")
+    e = named.select(*[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)], F.col("s").alias("t"))
+    both = pairs.join(named, [*LINE]).join(e, [*EARLIER])
     common = F.size(F.array_intersect("s", "t"))
-    return both.where(common >= F.lit(threshold) * (F.size("s") + F.size("t") - common) - 1e-9).select("doc", "line").distinct()
+    return both.where(common >= F.lit(threshold) * (F.size("s") + F.size("t") - common) - 1e-9).select(*LINE).distinct()
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc, line, exact): the lines to remove, numbered from 0; exact: an earlier line has the same words."""
-    texts = _texts(docs, key, text)
+    """(doc, row, line, exact): the lines to remove, numbered from 0; exact: an earlier line has the same words."""
+    return _removed(_texts(docs, key, text), threshold, least_words)
+
+
+def _removed(texts: DataFrame, threshold: float, least_words: int) -> DataFrame:
     lines = stored(line_sets(texts, word_counts(texts), threshold, least_words), "lines")
-    firsts = lines.groupBy("d0", "d1").agg(F.min(F.struct("doc", "line", "n", "alone", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
+    firsts = lines.groupBy("d0", "d1").agg(F.min(F.struct(*LINE, "n", "alone", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
     sets = stored(firsts.select("d0", "d1", "f.*", "copies"), "line-sets")
     index = _index(sets)
     near, still, skip, take = [], None, 0, FIRST_ROUND
@@ -277,17 +294,17 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
         found = stored(_nearest(index, threshold, skip, take, still), "line-candidates")
         rest = found
         for now in ("place = 1", "place > 1"):  # the others only for lines whose nearest ones do not hold
-            pairs = rest.where(now).select("doc", "line", "e_doc", "e_line").distinct()
+            pairs = rest.where(now).select(*LINE, *EARLIER).distinct()
             if not pairs.isEmpty():
                 near.append(stored(verified(pairs, texts, threshold), "near-lines"))
-                rest = rest.join(near[-1], ["doc", "line"], "left_anti")
-        still = stored(rest.where("more").select("doc", "line", "word").distinct(), "open-lines")
+                rest = rest.join(near[-1], [*LINE], "left_anti")
+        still = stored(rest.where("more").select(*LINE, "word").distinct(), "open-lines")
         if still.isEmpty():
             break
         skip, take = skip + take, 4 * take
-    again = sets.where("copies > 1").select("d0", "d1", F.col("doc").alias("f_doc"), F.col("line").alias("f_line"))
-    exact = lines.select("d0", "d1", "doc", "line").join(again, ["d0", "d1"]).where("doc != f_doc or line != f_line").select("doc", "line", F.lit(True).alias("exact"))
-    return reduce(DataFrame.unionByName, [x.select("doc", "line", F.lit(False).alias("exact")) for x in near], exact).dropDuplicates(["doc", "line"])
+    again = sets.where("copies > 1").select("d0", "d1", *[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)])
+    exact = lines.select("d0", "d1", *LINE).join(again, ["d0", "d1"]).where("doc != e_doc or row != e_row or line != e_line").select(*LINE, F.lit(True).alias("exact"))
+    return reduce(DataFrame.unionByName, [x.select(*LINE, F.lit(False).alias("exact")) for x in near], exact).dropDuplicates([*LINE])
 
 
 def _without(text: Column, gone: Column) -> Column:
@@ -305,11 +322,12 @@ def _without(text: Column, gone: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs with the removed lines cut out of the text, and two more columns: n_exact and n_near, the lines removed."""
-    gone = removed_lines(docs, key, text, threshold, least_words).groupBy("doc").agg(
+    keys = _row_key(docs, key, text)
+    gone = _removed(_keyed(docs, text, keys), threshold, least_words).groupBy("doc", "row").agg(
         F.collect_set("line").alias("_gone"), F.sum(F.col("exact").cast("long")).alias("n_exact"), F.sum((~F.col("exact")).cast("long")).alias("n_near"))
     gone = stored(gone, "removed-lines")
-    own = docs.withColumn("_doc", F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST)))
-    both = own.join(gone.withColumnRenamed("doc", "_doc").hint("shuffle_hash"), "_doc", "left")
+    own = docs.withColumn("_doc", keys[0]).withColumn("_row", keys[1])
+    both = own.join(gone.withColumnsRenamed({"doc": "_doc", "row": "_row"}).hint("shuffle_hash"), ["_doc", "_row"], "left")
     mine = F.col(f"`{text}`")
     cut = F.when(F.col("_gone").isNull(), mine).otherwise(_without(F.when(F.col("_gone").isNotNull(), mine), F.col("_gone")))
     return both.withColumn(text, cut).select(

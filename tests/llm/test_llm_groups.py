@@ -188,6 +188,21 @@ def test_short_lines_are_deduplicated(worker_code, docs):
     assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(worker_code, short, SF).collect()} == {1: "Yes.\nOf course", 2: "no", 3: "\nyes. no"}
 
 
+def test_rows_that_share_an_id_lose_only_their_own_lines(worker_code):
+    """Null and repeated ids: a duplicate in line k of one row leaves line k of the others alone, for equal and near lines."""
+    said, near = "the same nine words are said here once more", "the same nine words are said here once again more"
+    rows = [(1, f"{said}\nfirst text of all")]
+    rows += [(None, f"{said}\nnull row number {w} has {w} alone") for w in "ab"] + [(None, f"only {w} here, never elsewhere {w}{w}\nsome tail {w}") for w in "cd"]
+    rows += [(7, f"{near}\nseven one ends"), (7, "seven begins in quite another way\nseven two goes on"), (7, None), (None, None)]
+    rows += [(9, "nine is repeated as it is"), (9, "nine is repeated as it is")]
+    df = worker_code.createDataFrame(rows, "doc_id long, text string")
+    want = Counter((i, t if t is None or i == 1 else "\n".join(x for x in t.split("\n") if x not in (said, near))) for i, t in rows)
+    for part in (df, df.where("doc_id is null or doc_id = 1")):
+        got = lines.dedup_lines(part, least_words=1).collect()
+        assert Counter((r.doc_id, r.text) for r in got) == Counter({k: n for k, n in want.items() if part is df or k[0] in (None, 1)})
+        assert sorted(r.n_exact + r.n_near for r in got) == [0] * (len(got) - (3 if part is df else 2)) + [1] * (3 if part is df else 2)
+
+
 def test_line_candidates_come_in_rounds(worker_code):
     """The rounds together give the same candidates as one round without a limit, each once per line and word."""
     texts = lines._texts(worker_code.createDataFrame(near_lines_fixture(), "doc_id long, text string"), "doc_id", "text")
