@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -45,15 +46,20 @@ SCHEMES = ("http://", "https://", "ftp://", "mailto:")
 SPELLED = ("(at)", "[at]", " at sign ")
 
 
+def _lowered(t: str) -> str:
+    """t with A-Z in lower case, of equal length."""
+    return t.lower() if t.isascii() else re.sub("[A-Z]+", lambda m: m[0].lower(), t)
+
+
 @functools.lru_cache(maxsize=1)
 def anchors() -> ahocorasick.Automaton:
+    """For lower-cased texts: cues and schemes count in any spelling, keys and spelled at-signs only in their own."""
     a = ahocorasick.Automaton()
     for w in ("@", "+", *DIGITS):
         a.add_word(w, ("digit" if w in DIGITS else w, 1))
     for kind, words in (("scheme", SCHEMES), ("cue", CUES), ("key", KEYS), ("spelled", SPELLED)):
         for w in words:
-            for form in {w, w.capitalize(), w.upper()} if kind == "cue" else {w}:
-                a.add_word(form, (kind, len(w)))
+            a.add_word(w.lower(), (kind, len(w)))
     a.make_automaton()
     return a
 
@@ -183,7 +189,7 @@ def spans(t: str) -> list[tuple[str, int, int]]:
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in BASE + ADDED}
     done = dict.fromkeys(BASE + ADDED, 0)  # up to where each kind has used the text
     seen = 0  # end of the digit run already looked at
-    for last, (what, width) in anchors().iter(t):
+    for last, (what, width) in anchors().iter(_lowered(t)):
         s = last - width + 1
         if what == "digit":
             if s < seen:
@@ -221,11 +227,11 @@ def spans(t: str) -> list[tuple[str, int, int]]:
                 done["account"] = hit[1]
                 found["account"].append(hit)
         elif what == "key":
-            if s >= done["key"] and not (s and t[s - 1] in ALNUM):
+            if t[s:last + 1] in KEYS and s >= done["key"] and not (s and t[s - 1] in ALNUM):
                 done["key"] = e = _run(t, s, KEY_CHARS)
                 if e - s >= KEYS[t[s:last + 1]]:
                     found["key"].append((s, e))
-        else:
+        elif t[s:last + 1] in SPELLED:
             a = s - 1 if s and t[s - 1] == " " else s
             b = _run(t, last + 1, frozenset(" "))
             left = a
