@@ -5,7 +5,7 @@ import pytest
 from kpiloom.testing.compare import compare, type_problems
 from kpiloom.workloads import load_all
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 
 REGISTRY = load_all()
 

@@ -12,7 +12,7 @@ from kpiloom.operators.joins import slab_join
 from kpiloom.operators.latest import latest_per_key
 from kpiloom.workloads import load_all
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 
 REGISTRY = load_all()
 

@@ -124,7 +124,7 @@ def test_critical_cases_cut_the_incentives_only(spark):
 
 
 def test_an_edited_sheet_changes_the_payout(spark):
-    from conftest import SF_SMALL
+    from fixture_paths import SF_SMALL
     from kpiloom.workloads.rules import payout, sheet_with
     before = {r.cj_id: r for r in payout(spark, SF_SMALL, load_scheme(spark)).collect()}
     after = {r.cj_id: r for r in payout(spark, SF_SMALL, sheet_with(spark, {"1 Star Rating": "400"}, "Amount_or_Payout")).collect()}
