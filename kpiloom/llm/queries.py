@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import bpe, embeddings, lines, packing, pii, quality, simhash, token_cache, toxicity, url_templates
+from kpiloom.llm import bpe, embeddings, hard_negatives, lines, packing, pii, quality, simhash, token_cache, toxicity, url_templates
 from kpiloom.llm.common import ship, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -83,6 +83,32 @@ def sequence_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+@register("op11_hard_negatives", """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS alike,
+           CAST(list_inner_product(a.q, c.q) AS BIGINT) AS score
+    FROM rows a JOIN rows c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+held AS (
+    SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS place
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike
+     AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM held WHERE place <= 3""")
+def hard_negative_mining(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
