@@ -14,15 +14,15 @@ from kpiloom.session import scratch_path
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write to the cluster's shared folder and read back: cuts the lineage, so that
-    a lost executor costs a re-read and not a recomputation."""
+    a lost executor costs a re-read and not a recomputation.  codec: another compression than the session's."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")  # the write's shuffle files go when it ends: nothing reads them again
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

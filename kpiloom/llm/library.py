@@ -40,6 +40,12 @@ class WholeTexts:
             return np.frombuffer(self.own.encode_bytes(text), dtype="<u4")
         return np.array(self.fast.encode(text, allowed_special="all", disallowed_special=()), dtype="<u4")
 
+    def plain_ids(self, text: str) -> np.ndarray:
+        """Ids with special strings inside the text taken as ordinary text."""
+        if self.fast is None or len(text) > LONG_RUN and _RUN.search(text):
+            return np.frombuffer(b"".join([p[0] for p in self.own._plain(text)]), dtype="<u4")
+        return self.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+
     def count(self, text: str) -> int:
         return len(self.ids(text))
 

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import bpe, embeddings, hard_negatives, lines, packing, pii, quality, simhash, token_cache, toxicity, url_templates
+from kpiloom.llm import alignment, bpe, embeddings, hard_negatives, lines, packing, pii, quality, simhash, token_cache, toxicity, url_templates
 from kpiloom.llm.common import ship, table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 TOKEN_LIMIT = 1024
 
@@ -109,6 +110,11 @@ def hard_negative_mining(spark, sf_dir):
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
 
 
+@register("op13_token_alignment")
+def token_alignment(spark, sf_dir):
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), tokenizer(), public_tokenizers.path(PIECES))
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
