@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm import library
 from kpiloom.llm.common import stored, text_of
+from kpiloom.llm.heads import head_limit
 
 STRETCH, LOOK = 512, 64
 CHUNK_CHARS = 1 << 21
@@ -217,16 +218,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
     spark = docs.sparkSession
     found = stored(links(docs, path_a, path_b, key, text), "token-links", "zstd")
     counts = stored(pair_counts(found, len(load(path_a, path_b).bytes_b)), "pair-counts")
-    # the lowest count such that at most `head` pairs have it or more, from a histogram in steps of an eighth of an octave
-    step = F.floor(F.log2("n") * 8)
-    bars = sorted(((r.s, r.k, r.least) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("k"), F.min("n").alias("least")).collect()), reverse=True)
-    least, total = None, 0
-    for _, k, low in bars:
-        total += k
-        if total > head:
-            break
-        least = low
-    all_held = total <= head
+    least = head_limit(counts, head)
     common = counts.where(F.col("n") >= least) if least is not None else counts.limit(0)
     common = common.sort("code").toPandas()
     sent = spark.sparkContext.broadcast(tuple(common[c].to_numpy() for c in ("code", "n", "best")))
@@ -258,9 +250,9 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
     result = [key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     schema = found.drop("codes", "times").schema.add("n_best", "long").add("count_sum", "long")
     out = found.mapInPandas(total_up, schema)
-    if all_held:
-        return out.select(*[f"`{c}`" for c in result])
     others = counts.where(F.col("n") < least) if least is not None else counts
+    if others.isEmpty():
+        return out.select(*[f"`{c}`" for c in result])
     extra = found.select("row", "codes", "times").mapInPandas(rare, "row long, code long, times long").join(others, "code").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more_count"))
     out = out.join(extra, "row", "left")

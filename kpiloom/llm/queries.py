@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import alignment, bpe, embeddings, hard_negatives, lines, packing, pii, quality, simhash, token_cache, toxicity, url_templates
+from kpiloom.llm import alignment, bpe, embeddings, hard_negatives, lines, lm, packing, pii, quality, simhash, token_cache, toxicity, url_templates
 from kpiloom.llm.common import ship, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -110,6 +110,11 @@ def hard_negative_mining(spark, sf_dir):
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
 
 
+@register("op12_lm_scores")
+def language_model_scores(spark, sf_dir):
+    return lm.score_texts(table(spark, sf_dir, "documents"), tokenizer())
+
+
 @register("op13_token_alignment")
 def token_alignment(spark, sf_dir):
     return alignment.align_tokens(table(spark, sf_dir, "documents"), tokenizer(), public_tokenizers.path(PIECES))
