@@ -87,11 +87,11 @@ _MASK = np.where(np.arange(2 * BLOCK)[None] > BLOCK + np.arange(BLOCK)[:, None],
 def attend(p: dict, x: np.ndarray, begins: np.ndarray, before: np.ndarray | None) -> dict:
     """x: (blocks, BLOCK) symbols that follow each other; before: the block ahead of the first, if that one belongs to its text."""
     rows = np.concatenate([before[None] if before is not None else np.zeros((1, BLOCK), x.dtype), x])
-    e = p["e"][rows.ravel()]
+    e = np.take(p["e"], rows.ravel(), axis=0)
     dim = e.shape[1]
-    k, v = ((e @ p[w]).reshape(-1, BLOCK, dim) for w in ("wk", "wv"))
+    # a window is a view of two blocks that follow each other
+    kk, vv = (np.lib.stride_tricks.sliding_window_view(e @ p[w], (2 * BLOCK, dim))[::BLOCK, 0] for w in ("wk", "wv"))
     q = (e[BLOCK:] @ (p["wq"] * np.float32(1 / np.sqrt(dim)))).reshape(-1, BLOCK, dim)
-    kk, vv = (np.concatenate([m[:-1], m[1:]], axis=1) for m in (k, v))
     bias = p["near"][_DISTANCE] + _MASK
 
     def logits() -> np.ndarray:
@@ -127,21 +127,33 @@ def log_probs(p: dict, h: np.ndarray, y: np.ndarray, width: int, grads: dict | N
         left = hh * scale
         grads["c"], grads["cb"] = left.T @ ez, scale[:, 0] @ ez
         dh = (ez @ p["c"].T) * scale
-    ends = np.searchsorted(cls, np.arange(len(p["cb"]) + 1))
-    for k in np.nonzero(np.diff(ends))[0].tolist():
-        lo, hi = ends[k], ends[k + 1]
-        part, u, ub = hh[lo:hi], p["u"][k], p["ub"][k]
-        logits = lambda: part @ u.T + ub  # noqa: E731, B023
-        z = logits()
-        i, j = n[:hi - lo], place[lo:hi]
-        out[lo:hi] += z[i, j]
-        ez, sums, shift = _exps(z, logits)
-        out[lo:hi] -= np.log(sums) + shift
-        if grads is not None:
-            ez[i, j] -= sums
-            scale = (one / sums)[:, None]
-            grads["u"][k], grads["ub"][k] = ez.T @ (part * scale), scale[:, 0] @ ez
-            dh[lo:hi] += (ez @ u) * scale
+    # the places of all classes in one array; the bias is one more dimension
+    ends = np.append(0, np.cumsum(np.bincount(cls, minlength=len(p["cb"]))))
+    spans = [(k, ends[k], ends[k + 1]) for k in np.nonzero(np.diff(ends))[0].tolist()]
+    table = np.concatenate([p["u"], p["ub"][..., None]], axis=2)
+    longer = np.concatenate([hh, np.ones((len(at), 1), hh.dtype)], axis=1)
+
+    def logits() -> np.ndarray:
+        z = np.empty((len(at), width), hh.dtype)
+        for k, lo, hi in spans:
+            np.matmul(longer[lo:hi], table[k].T, out=z[lo:hi])
+        return z
+
+    z = logits()
+    out += z[n, place]
+    ez, sums, shift = _exps(z, logits)
+    out -= np.log(sums) + shift
+    if grads is not None:
+        ez[n, place] -= sums
+        scale = (one / sums)[:, None]
+        longer *= scale
+        back = np.empty_like(hh)
+        for k, lo, hi in spans:
+            g = ez[lo:hi].T @ longer[lo:hi]
+            grads["u"][k], grads["ub"][k] = g[:, :-1], g[:, -1]
+            np.matmul(ez[lo:hi], p["u"][k], out=back[lo:hi])
+        back *= scale
+        dh += back
     full = np.zeros(len(y), np.float64)
     full[at] = out
     if dh is None:

@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -45,13 +44,12 @@ from kpiloom.llm.heads import head_limit
 
 FOLDS = 10
 SHARES = (1, 1, 2, 4, 8, 16, 32)  # of 64, the rounds' shares of the rows
-STEP_BLOCKS, SCORE_BLOCKS = 512, 1024
+STEP_BLOCKS, SCORE_BLOCKS = 512, 2048
 HELD_SYMBOLS = 1 << 19
 HEAD_WORDS = 1 << 17
 HELD_WORDS = 500_000
 LONG_WORD = 64
 PIECE = 1 << 16
-_LONG = re.compile(rb"[^\x20\x09-\x0D]{%d}" % (LONG_WORD + 1))
 
 
 def lowered(text: str) -> bytes:
@@ -61,7 +59,7 @@ def lowered(text: str) -> bytes:
 def words_of(data: bytes) -> list[bytes]:
     """The words; bytes.split() cuts at blank and \\x09-\\x0D only."""
     words = data.split()
-    if _LONG.search(data):
+    if len(max(words, key=len, default=b"")) > LONG_WORD:
         words = [w if len(w) <= LONG_WORD else b"\0" + hashlib.sha256(w).hexdigest().encode() for w in words]
     return words
 
