@@ -2,8 +2,8 @@
 
 Common shape: count or sum per person (and per day / month) with a grouped
 aggregate -- map-side partial aggregation keeps a hot person cheap -- then
-look the count up in the broadcast slab table (tens of rows, fixed by the
-rule sheet), then sum per person.
+look the count up in the slabs (of a rule sheet that the driver has read: a CASE
+over its rows; of a table of slabs: :func:`slab_join`), then sum per person.
 
 Decisions where the rule text is silent:
 * slab bounds are inclusive; a value in a gap between slabs pays nothing;
@@ -17,21 +17,21 @@ Decisions where the rule text is silent:
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.scalars import from_units, money_units
 from kpiloom.operators.joins import slab_join
-from kpiloom.sources.scheme import load_scheme
+from kpiloom.sources.scheme import SCHEME_CSV, load_scheme
 
 # ------------------------------------------------------------- scheme parsing
 
 _INT = r"(\d+)"
 
 
-def scheme_parse(scheme: DataFrame) -> DataFrame:
+def scheme_parse(scheme: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed rule table: category, sub_category, condition, lo, hi, unit,
     amount, action, min_share.
 
@@ -79,7 +79,7 @@ def scheme_parse(scheme: DataFrame) -> DataFrame:
         *ident, F.col("Category").alias("category"), F.col("Sub_Category").alias("sub_category"),
         F.col("Region_or_Condition").alias("condition"),
         lo.alias("lo"), hi.alias("hi"), unit.alias("unit"), amount.alias("amount"), action.alias("action"),
-        min_share.alias("min_share"))
+        min_share.alias("min_share"), *(keep or []))
 
 
 def rule_coverage(parsed: DataFrame, facts: DataFrame) -> DataFrame:
@@ -106,9 +106,30 @@ def rule_coverage(parsed: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def slabs(parsed: DataFrame, sub_category: str) -> DataFrame:
-    """Slab rows (condition, lo, hi, amount) of one rule."""
+    """Slab rows (condition, lo, hi, amount, and rule_no where the sheet has it) of one rule."""
     return (parsed.where((F.col("sub_category") == sub_category) & F.col("lo").isNotNull())
-                  .select("condition", "lo", "hi", "amount"))
+                  .select("condition", "lo", "hi", "amount", *[c for c in ("rule_no",) if c in parsed.columns]))
+
+
+def slab_amount(column: str, slab_rows: list[Slab], condition: str | None = None) -> Column:
+    """Amount of the first slab of the sheet that holds the column's value, 0 where none does; with ``condition`` (a column) of
+    that condition's slabs only.  One CASE, whatever the number of slabs."""
+    x = f"`{column}`"
+    whens = []
+    for s in slab_rows:
+        tests = [f"{x} >= {s.lo!r}"] * (s.lo is not None) + [f"{x} <= {s.hi!r}"] * (s.hi is not None)
+        if condition is not None:
+            tests.append(f"`{condition}` = '{s.condition.replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))}'")
+        whens.append(f"WHEN {' AND '.join(tests) or 'TRUE'} THEN {float(s.amount)!r}D")
+    return F.expr(f"CASE {' '.join(whens)} ELSE 0.0D END") if whens else F.lit(0.0)
+
+
+@dataclass(frozen=True)
+class Slab:
+    condition: str
+    lo: float | None
+    hi: float | None
+    amount: float
 
 
 @dataclass(frozen=True)
@@ -131,6 +152,7 @@ class Scheme:
     new: Critical
     excellence: tuple[int, float, float]      # least inspections a month, least converted share, bonus
     night: tuple[int, int]                    # first hour, hour after the last
+    slabs: dict[str, list[Slab]] = field(default_factory=dict)  # by sub-category, in the sheet's order
 
 
 #: A rule sheet is configuration that the driver reads; a longer one is refused.
@@ -138,8 +160,9 @@ MAX_RULES = 10_000
 
 
 def read_scheme(sheet: DataFrame) -> Scheme:
-    """The limits of a rule sheet as loaded by :func:`kpiloom.sources.scheme.load_scheme`, from a file or built in."""
-    rules = scheme_parse(sheet).limit(MAX_RULES + 1).collect()
+    """The limits and slabs of a rule sheet as loaded by :func:`kpiloom.sources.scheme.load_scheme`, from a file or built in:
+    one read of the sheet."""
+    rules = scheme_parse(sheet, keep=["Slab_or_Range"]).limit(MAX_RULES + 1).collect()
     if len(rules) > MAX_RULES:
         raise ValueError(f"a rule sheet of more than {MAX_RULES} rows")
 
@@ -157,16 +180,26 @@ def read_scheme(sheet: DataFrame) -> Scheme:
                         levels[0].amount or 0.0, int(days.group(1)) if days else 0)
 
     bonus = family("^Excellence")[1][0]
-    text = sheet.where(F.col("Sub_Category") == family("^Night")[0]).first()["Slab_or_Range"]
+    text = family("^Night")[1][0].Slab_or_Range
     hours = [int(h) % 12 + (12 if half.upper() == "PM" else 0) for h, half in re.findall(r"(\d+)\s*([AP]M)", text, re.I)]
+    slab_rows: dict[str, list[Slab]] = {}
+    ordered = sorted(rules, key=lambda r: r.rule_no) if rules and "rule_no" in rules[0] else rules
+    for r in ordered:
+        if r.lo is not None and r.amount is not None:
+            slab_rows.setdefault(r.sub_category, []).append(Slab(r.condition, r.lo, r.hi, r.amount))
     return Scheme({r.sub_category: r.amount for r in rules if r.lo is None and r.amount is not None},
                   critical(r"^Critical.*Regular"), critical(r"^Critical.*Days"), (bonus.lo, bonus.min_share, bonus.amount),
-                  (hours[0], hours[1]))
+                  (hours[0], hours[1]), slab_rows)
+
 
+_BUILTIN: dict[str, Scheme] = {}
 
-def builtin(df: DataFrame) -> Scheme:
-    """The limits of the built-in sheet."""
-    return read_scheme(load_scheme(df.sparkSession))
+
+def builtin(spark: SparkSession) -> Scheme:
+    """The limits and slabs of the built-in sheet, which is a constant: read once."""
+    if SCHEME_CSV not in _BUILTIN:
+        _BUILTIN[SCHEME_CSV] = read_scheme(load_scheme(spark))
+    return _BUILTIN[SCHEME_CSV]
 
 
 # ------------------------------------------------------------------ incentives
@@ -185,16 +218,23 @@ def person_day_rollup(df: DataFrame, person: str, ts: str, counters: dict[str, C
         F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(name) for name, c in counters.items()])
 
 
-def price_days(daily: DataFrame, slab_table: DataFrame, person_class: DataFrame | None = None,
+def price_days(daily: DataFrame, slab_table: DataFrame | list[Slab], person_class: DataFrame | None = None,
                out_col: str = "day_amount") -> DataFrame:
-    """Attach each person-day's slab amount for its count ``n`` (keeps all columns)."""
+    """Attach each person-day's slab amount for its count ``n`` (keeps all columns).
+
+    Slabs: the list of a sheet that the driver has read (no join), or a table."""
+    if isinstance(slab_table, list):
+        if person_class is None:
+            return daily.withColumn(out_col, slab_amount("n", slab_table))
+        return daily.join(person_class, "person", "left").withColumn(out_col, slab_amount("n", slab_table, "condition"))
+    order = "rule_no" if "rule_no" in slab_table.columns else None
     if person_class is not None:
         return slab_join(daily.join(person_class, "person", "left"), "n", slab_table,
-                         on=[("condition", "condition")], out_col=out_col)
-    return slab_join(daily, "n", slab_table.drop("condition"), out_col=out_col)
+                         on=[("condition", "condition")], out_col=out_col, order=order)
+    return slab_join(daily, "n", slab_table.drop("condition"), out_col=out_col, order=order)
 
 
-def daily_slab_incentive(daily: DataFrame, slab_table: DataFrame, person_class: DataFrame | None = None,
+def daily_slab_incentive(daily: DataFrame, slab_table: DataFrame | list[Slab], person_class: DataFrame | None = None,
                          alias: str = "incentive") -> DataFrame:
     """Sum over days of the slab amount for each day's count.
 
@@ -238,11 +278,14 @@ def night_incentive(df: DataFrame, person: str, booked: Column, inspected: Colum
 
 # ------------------------------------------------------------------- penalties
 
-def im_slab_penalty(cases: DataFrame, person: str, cost: str, slab_table: DataFrame, limits: Critical | None = None) -> DataFrame:
+def im_slab_penalty(cases: DataFrame, person: str, cost: str, slab_table: DataFrame | list[Slab], limits: Critical | None = None) -> DataFrame:
     """Sum of IM slab penalties per person over the cases below the critical ones."""
-    limits = limits or builtin(cases).regular
+    limits = limits or builtin(cases.sparkSession).regular
     c = cases.where(F.col(cost) < limits.floor).select(F.col(person).alias("person"), F.col(cost).alias("cost"))
-    priced = slab_join(c, "cost", slab_table.drop("condition"), out_col="amount")
+    if isinstance(slab_table, list):
+        priced = c.withColumn("amount", slab_amount("cost", slab_table))
+    else:
+        priced = slab_join(c, "cost", slab_table.drop("condition"), out_col="amount", order="rule_no" if "rule_no" in slab_table.columns else None)
     return priced.groupBy("person").agg(F.sum("amount").cast("double").alias("im_penalty"),
                                         F.count(F.lit(1)).alias("im_cases"))
 
@@ -260,7 +303,7 @@ def _worse(n_critical: Column, max_cost: Column, limits: Critical) -> Column:
 def critical_penalty(cases: DataFrame, person: str, cost: str, limits: Critical | None = None) -> DataFrame:
     """Regular staff: per person with critical cases, the action and the
     incentive multiplier (HALF 0.5, ZERO / EXIT 0)."""
-    limits = limits or builtin(cases).regular
+    limits = limits or builtin(cases.sparkSession).regular
     c = cases.where(F.col(cost) >= limits.floor)
     agg = c.groupBy(F.col(person).alias("person")).agg(F.count(F.lit(1)).alias("n_critical"),
                                                         F.max(cost).alias("max_cost"))
@@ -277,7 +320,7 @@ def critical_penalty_new(cases: DataFrame, person: str, cost: str, case_day: str
 
     ``joined`` is (person, join_day); only cases inside the tenure window count.
     """
-    limits = limits or builtin(cases).new
+    limits = limits or builtin(cases.sparkSession).new
     c = (cases.where(F.col(cost) >= limits.floor)
               .select(F.col(person).alias("person"), F.col(cost).alias("cost"), F.to_date(case_day).alias("day"))
               .join(joined, "person")
@@ -290,6 +333,14 @@ def critical_penalty_new(cases: DataFrame, person: str, cost: str, case_day: str
                       F.when(worse, F.lit(0.0)).otherwise(F.col("n_half") * F.lit(limits.flat)).alias("flat_penalty"))
 
 
+def _outcome(scheme: Scheme) -> tuple[Column, Column]:
+    """(severity, flat penalty) from a person's n_old, max_old, n_new, max_new and n_flat."""
+    action = _severity(F.col("n_old"), F.col("max_old"), scheme.regular)
+    worse = F.coalesce(_worse(F.col("n_new"), F.col("max_new"), scheme.new), F.lit(False))
+    points = F.when(action == "HALF", 1).when(action.isNotNull(), 2).otherwise(0) + F.when(worse, 2).otherwise(0)
+    return points.cast("long"), F.when(worse, 0.0).otherwise(F.col("n_flat") * F.lit(scheme.new.flat))
+
+
 def critical_outcome(cases: DataFrame, person: str, cost: str, case_day: str, joined: DataFrame, scheme: Scheme) -> DataFrame:
     """What critical cases do to a payout: (person, severity, flat_penalty).
 
@@ -307,11 +358,37 @@ def critical_outcome(cases: DataFrame, person: str, cost: str, case_day: str, jo
     agg = c.groupBy("person").agg(F.count(old_cost).alias("n_old"), F.max(old_cost).alias("max_old"),
                                   F.count(new_cost).alias("n_new"), F.max(new_cost).alias("max_new"),
                                   F.count_if(new_cost <= new.first_upto).alias("n_flat"))
-    action = _severity(F.col("n_old"), F.col("max_old"), regular)
-    worse = F.coalesce(_worse(F.col("n_new"), F.col("max_new"), new), F.lit(False))
-    points = F.when(action == "HALF", 1).when(action.isNotNull(), 2).otherwise(0) + F.when(worse, 2).otherwise(0)
-    return agg.select("person", points.cast("long").alias("severity"),
-                      F.when(worse, 0.0).otherwise(F.col("n_flat") * F.lit(new.flat)).alias("flat_penalty"))
+    severity, flat = _outcome(scheme)
+    return agg.select("person", severity.alias("severity"), flat.alias("flat_penalty"))
+
+
+def case_rollup(cases: DataFrame, person: str, cost: str, case_day: str, scheme: Scheme, day_slabs: list[Slab], case_slabs: list[Slab],
+                joined: DataFrame | None = None) -> DataFrame:
+    """All rules that read the cases, in one pass: (person, day_incentive, case_penalty, severity, flat_penalty).
+
+    ``day_slabs`` price the number of cases a day, ``case_slabs`` each case below the critical ones, and critical cases
+    go by :func:`critical_outcome`.  One aggregate per (person, day), one per person; ``joined`` (person, join_day) is the
+    first day with a case unless given."""
+    regular, new = scheme.regular, scheme.new
+    c = F.col(cost)
+    below = F.when(c < regular.floor, slab_amount(cost, case_slabs)).otherwise(0.0)
+    days = cases.groupBy(F.col(person).alias("person"), F.to_date(case_day).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(below).alias("below"),
+        F.count_if(c >= regular.floor).alias("n_old"), F.max(F.when(c >= regular.floor, c)).alias("max_old"),
+        F.count_if(c >= new.floor).alias("n_new"), F.max(F.when(c >= new.floor, c)).alias("max_new"),
+        F.count_if((c >= new.floor) & (c <= new.first_upto)).alias("n_flat"))
+    if joined is None:
+        days = days.withColumn("join_day", F.min("day").over(Window.partitionBy("person")))
+    else:
+        days = days.join(joined, "person", "left")
+    fresh = F.coalesce(F.datediff("day", "join_day") <= new.tenure_days, F.lit(False))
+    agg = days.withColumn("fresh", fresh).groupBy("person").agg(
+        F.sum(slab_amount("n", day_slabs)).alias("day_incentive"), F.sum("below").alias("case_penalty"),
+        F.sum(F.when(~F.col("fresh"), F.col("n_old")).otherwise(0)).alias("n_old"), F.max(F.when(~F.col("fresh"), F.col("max_old"))).alias("max_old"),
+        F.sum(F.when(F.col("fresh"), F.col("n_new")).otherwise(0)).alias("n_new"), F.max(F.when(F.col("fresh"), F.col("max_new"))).alias("max_new"),
+        F.sum(F.when(F.col("fresh"), F.col("n_flat")).otherwise(0)).alias("n_flat"))
+    severity, flat = _outcome(scheme)
+    return agg.select("person", "day_incentive", "case_penalty", severity.alias("severity"), flat.alias("flat_penalty"))
 
 
 def per_unit_penalty(df: DataFrame, person: str, predicate: Column, rate: float, alias: str) -> DataFrame:

@@ -25,6 +25,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.scheduler.mode": "FAIR",          # parallel batch queries share executors by pool
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site lookup for each Column operation
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from kpiloom.functions.scalars import from_units, money_units
 from kpiloom.operators import rules as R
 from kpiloom.operators.consolidate import Mapping, net_payout
+from kpiloom.operators.joins import slab_join
 from kpiloom.sources.scheme import load_scheme, scheme_amount
 from kpiloom.sources.tables import table
 from kpiloom.workloads import as_double, register
@@ -50,13 +51,13 @@ def person_class(spark, sf_dir):
 
 def productivity(spark, sf_dir):
     daily = R.daily_counts(T(spark, sf_dir, "events"), "user_id", "ts")
-    return R.daily_slab_incentive(daily, R.slabs(parsed_scheme(spark), "Productivity"),
+    return R.daily_slab_incentive(daily, R.builtin(spark).slabs["Productivity"],
                                   person_class(spark, sf_dir), alias="productivity_incentive")
 
 
 def sp_orders(spark, sf_dir):
     daily = R.daily_counts(T(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
-    return R.daily_slab_incentive(daily, R.slabs(parsed_scheme(spark), "SP / SP Lite"), alias="sp_incentive")
+    return R.daily_slab_incentive(daily, R.builtin(spark).slabs["SP / SP Lite"], alias="sp_incentive")
 
 
 def flat(spark, sf_dir):
@@ -82,7 +83,7 @@ def cases(spark, sf_dir):
 
 
 def im_penalty(spark, sf_dir):
-    return R.im_slab_penalty(cases(spark, sf_dir), "o_custkey", "cost", R.slabs(parsed_scheme(spark), "IM"))
+    return R.im_slab_penalty(cases(spark, sf_dir), "o_custkey", "cost", R.builtin(spark).slabs["IM"])
 
 
 def one_star(spark, sf_dir):
@@ -150,11 +151,28 @@ SELECT user_id AS person,
 FROM events GROUP BY user_id"""
 
 
-@register("join_slab_range", PROD_SQL)
+# Cost slabs by order priority in the order of a sheet: with overlaps, a nested one, gaps, shared ends, single values and open ends.
+COST_SLABS = [
+    ("1-URGENT", 7501, 10000, 2500.0), ("1-URGENT", 10000, 13500, 4000.0), ("1-URGENT", None, 2000, 500.0), ("1-URGENT", 2001, 5000, 1000.0),
+    ("2-HIGH", 0, 30000, 10.0), ("2-HIGH", 4000, 6000, 99.0), ("2-HIGH", 20000, None, 77.0),
+    ("3-MEDIUM", 4000, 6000, 99.0), ("3-MEDIUM", 0, 30000, 10.0), ("3-MEDIUM", 5000, 8000, 55.0), ("3-MEDIUM", 5500, 5500, 1.0),
+    ("4-NOT SPECIFIED", 6000, None, 3.0), ("4-NOT SPECIFIED", None, 7000, 2.0)]
+COST_CASE = "CASE " + " ".join(
+    f"WHEN o_orderpriority = '{p}'" + (f" AND cost >= {lo}" if lo is not None else "") + (f" AND cost <= {hi}" if hi is not None else "") + f" THEN {v}"
+    for p, lo, hi, v in COST_SLABS) + " ELSE 0.0 END"
+
+
+@register("join_slab_range", f"""
+WITH c AS (SELECT o_orderkey, o_orderpriority, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.05 AS DOUBLE) AS cost FROM orders
+           UNION ALL SELECT o_orderkey, o_orderpriority, CAST(round(o_totalprice / 20 / 500) * 500 AS DOUBLE) FROM orders)
+SELECT o_orderkey, o_orderpriority, cost, CAST({COST_CASE} AS DOUBLE) AS amount FROM c""")
 def q_join_slab_range(spark, sf_dir):
-    # daily counts x broadcast slab table: equality on the region class plus
-    # the [lo, hi] range condition
-    return productivity(spark, sf_dir)
+    # each order's cost, as it is and rounded to the slabs' ends, against overlapping slabs of its priority: one row per value
+    o = T(spark, sf_dir, "orders")
+    exact = o.select("o_orderkey", "o_orderpriority", (F.col("o_totalprice").cast("decimal(18,2)") / 20).cast("double").alias("cost"))
+    rounded = o.select("o_orderkey", "o_orderpriority", (F.round(F.col("o_totalprice") / 20 / 500) * 500).cast("double").alias("cost"))
+    sheet = spark.createDataFrame([(i, *r) for i, r in enumerate(COST_SLABS)], "place int, priority string, lo long, hi long, amount double")
+    return slab_join(exact.unionAll(rounded), "cost", sheet, on=[("o_orderpriority", "priority")], else_value=0.0, order="place")
 
 
 @register("inc_productivity", PROD_SQL)
@@ -278,9 +296,9 @@ FROM s"""
 def payout(spark, sf_dir, sheet):
     """Every rule of the sheet in one payout row per person.
 
-    All event-based rules share one scan and one (person, day) aggregate, cases and SP orders come from orders; one
+    All event-based rules share one scan and one (person, day) aggregate, all rules on cases and SP orders another; one
     merge brings them together."""
-    scheme, slab_rows = R.read_scheme(sheet), R.scheme_parse(sheet)
+    scheme = R.read_scheme(sheet)
     rate = scheme.rates
     et, ts = F.col("event_type"), F.col("ts")
     booked = ts - F.expr("INTERVAL 30 MINUTES")
@@ -293,7 +311,7 @@ def payout(spark, sf_dir, sheet):
         "tip_units": F.when(et == "purchase", money_units(F.col("value"))),
     }
     daily = R.person_day_rollup(T(spark, sf_dir, "events"), "user_id", "ts", counters)
-    priced = R.price_days(daily, R.slabs(slab_rows, "Productivity"), person_class(spark, sf_dir))
+    priced = R.price_days(daily, scheme.slabs["Productivity"], person_class(spark, sf_dir))
     monthly = priced.groupBy("person", F.trunc("day", "month").alias("month")).agg(
         *[F.sum(c).alias(c) for c in ("day_amount", "n", *counters)])
     least, share, bonus = scheme.excellence
@@ -306,18 +324,15 @@ def payout(spark, sf_dir, sheet):
         from_units(F.coalesce(F.sum("km_units"), F.lit(0)) * int(rate["Conveyance"] * 10 ** 4), 8).alias("conveyance"),
         from_units(F.coalesce(F.sum("tip_units"), F.lit(0))).alias("tips"),
         (F.sum("errors") * rate["1 Star Rating"]).alias("one_star"))
-    sp = R.daily_slab_incentive(R.daily_counts(T(spark, sf_dir, "orders"), "o_custkey", "o_orderdate"),
-                                R.slabs(slab_rows, "SP / SP Lite"), alias="sp_orders")
-    im = R.im_slab_penalty(cases(spark, sf_dir), "o_custkey", "cost", R.slabs(slab_rows, "IM"), scheme.regular)
-    critical = R.critical_outcome(cases(spark, sf_dir), "o_custkey", "cost", "o_orderdate", joined_days(spark, sf_dir), scheme)
+    by_case = R.case_rollup(cases(spark, sf_dir), "o_custkey", "cost", "o_orderdate", scheme, scheme.slabs["SP / SP Lite"], scheme.slabs["IM"])
 
     def m(df, col, label=None):
         return Mapping(df, "person", col, label or col)
     return net_payout(
-        incentives=[m(people, "productivity"), m(sp, "sp_orders"), m(people, "per_unit"), m(people, "night"), m(people, "excellence")],
+        incentives=[m(people, "productivity"), m(by_case, "day_incentive", "sp_orders"), m(people, "per_unit"), m(people, "night"), m(people, "excellence")],
         reimbursements=[m(people, "conveyance")], tips=[m(people, "tips")],
-        penalties=[m(people, "one_star"), m(im, "im_penalty", "im"), m(critical, "flat_penalty", "critical_flat")],
-        severity=[m(critical, "severity")])
+        penalties=[m(people, "one_star"), m(by_case, "case_penalty", "im"), m(by_case, "flat_penalty", "critical_flat")],
+        severity=[m(by_case, "severity")])
 
 
 @register("net_payout", NET_SQL)

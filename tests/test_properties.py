@@ -2,6 +2,7 @@
 same rules, on generated inputs (one Spark job per generated batch)."""
 
 import math
+import random
 import re
 
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from kpiloom.functions import scalars as S
 from kpiloom.operators.consolidate import consolidate, mappings_for
+from kpiloom.functions.scalars import case_tier
 from kpiloom.operators.joins import slab_join
 
 SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -119,6 +121,40 @@ def test_slab_join_agrees_with_python(spark, cuts, xs):
     assert sorted((r.v, r.amount) for r in slab_join(vdf, "v", sdf, else_value=-1.0).collect()) == want
 
 
+def _first_slab(slabs, x):
+    for lo, hi, v in slabs:
+        if x is not None and (lo is None or x >= lo) and (hi is None or x <= hi):
+            return v
+    return -1.0
+
+
+def test_first_of_overlapping_slabs_wins(spark):
+    """Overlapping, nested, open, empty and repeated slabs in 120 random sheets: one row a value, the first slab in the sheet's order."""
+    rng = random.Random(20)
+    end = lambda: rng.choice([None, *range(-6, 7)])
+    sheets = {f"g{g}": [(end(), end(), float(rng.randint(1, 4))) for _ in range(rng.randint(1, 9))] for g in range(120)}
+    slabs = [(i, g, *s) for g, sheet in sheets.items() for i, s in enumerate(sheet)]
+    rng.shuffle(slabs)
+    values = [(g, x / 2) for g in sheets for x in range(-15, 16)] + [("g1", None), (None, 1.0), ("none", 1.0)]
+    sdf = spark.createDataFrame(slabs + [(0, None, 0, 1, 9.0)], "place int, g string, lo long, hi long, amount double")
+    got = slab_join(spark.createDataFrame(values, "g string, v double"), "v", sdf, else_value=-1.0, on=[("g", "g")], order="place").collect()
+    assert sorted(map(str, got)) == sorted(f"Row(g={g!r}, v={x!r}, amount={_first_slab(sheets.get(g, []), x)!r})" for g, x in values)
+
+
+@pytest.mark.parametrize("sheet", [
+    [(7501, 10000, 1.0), (10000, 13500, 2.0)], [(10000, 13500, 2.0), (7501, 10000, 1.0)], [(0, None, 1.0), (3, 5, 2.0)],
+    [(3, 5, 2.0), (None, None, 1.0)], [(None, None, 1.0)], [(5, 3, 1.0)]])
+def test_slabs_without_groups_and_as_a_case(spark, sheet):
+    points = [x + d for lo, hi, _ in sheet for x in (lo, hi) if x is not None for d in (-0.5, 0, 0.5)] + [0.0]
+    vdf = spark.createDataFrame([(float(x),) for x in points], "v double")
+    sdf = spark.createDataFrame([(i, *s) for i, s in enumerate(sheet)], "place int, lo long, hi long, amount double")
+    want = sorted((float(x), _first_slab(sheet, x)) for x in points)
+    assert sorted((r.v, r.amount) for r in slab_join(vdf, "v", sdf, else_value=-1.0, order="place").collect()) == want
+    tier = case_tier("v", sheet, -1.0)
+    if tier is not None and (None, None, 1.0) not in sheet:
+        assert sorted((r.v, r.amount) for r in vdf.withColumn("amount", tier).collect()) == want
+
+
 def test_money_outside_long_units_raises(spark):
     import pytest
     df = spark.createDataFrame([("a", "1e300")], "k string, v string")
