@@ -3,14 +3,19 @@ arrival (streaming), run summary and status roll-up."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kpiloom.operators.measures import Measure
 from kpiloom.plans.batch import REGISTRY_SCHEMA, refresh_kpis, run_batch, run_summary, status_rollup
+from kpiloom.plans.refresh import refresh_changed
 from kpiloom.session import scratch_path
 from kpiloom.sources.catalog import run_kpi
 from kpiloom.sources.tables import register_tables, table
 from kpiloom.streaming.arrival import current_totals, start_refresh
+from kpiloom.streaming.maintained import MaintainedKpi, apply_batch, current_kpi, start_kpi
 from kpiloom.workloads import register
 from kpiloom.workloads.io import RUNLOG_FROM_EVENTS, runlog_from_events
 
@@ -105,6 +110,60 @@ def q_kpi_on_arrival(spark, sf_dir):
     return current_totals(spark, state)
 
 
+MAINTAINED = MaintainedKpi("event_id", ["user_id"], [
+    Measure(func="COUNT", alias="n_rows"), Measure(func="SUM", column="value", alias="total"), Measure(func="AVG", column="value", alias="mean"),
+    Measure(func="MIN", column="value", alias="least"), Measure(func="MAX", column="value", alias="most")], where="event_type <> 'signup'", version="rev")
+
+
+@register("kpi_maintained", """
+WITH now AS (SELECT event_id, CASE WHEN event_id % 100 = 0 THEN 'signup' ELSE event_type END AS event_type, user_id,
+                    CASE WHEN event_id % 20 = 0 THEN value + 1 ELSE value END AS value FROM events)
+SELECT user_id, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(SUM(CAST(value AS DECIMAL(38,4))) AS DOUBLE) AS total,
+       CAST(SUM(CAST(value AS DECIMAL(38,4))) AS DOUBLE) / COUNT(value) AS mean, MIN(value) AS least, MAX(value) AS most
+FROM now WHERE event_type <> 'signup' GROUP BY user_id""")
+def q_kpi_maintained(spark, sf_dir):
+    # The events arrive in six files; a seventh corrects every twentieth row (and takes every hundredth out of the filter).
+    # The KPI's state takes two files a batch; the last batch is applied twice, as after a failure.
+    events = T(spark, sf_dir, "events").withColumn("rev", F.lit(0))
+    landing = scratch_path(spark, "landing")
+    events.repartitionByRange(6, "ts").write.parquet(landing)
+    state = scratch_path(spark, "kpi_state")
+    q = start_kpi(spark, landing, events.schema, MAINTAINED, state, scratch_path(spark, "stream_ckpt"), max_files_per_batch=2, compact_every=2)
+    q.awaitTermination(600)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    corrected = events.where("event_id % 20 = 0").withColumns({
+        "rev": F.lit(1), "value": F.col("value") + 1, "event_type": F.when(F.col("event_id") % 100 == 0, "signup").otherwise(F.col("event_type"))})
+    for _ in range(2):
+        apply_batch(MAINTAINED, corrected, q.lastProgress["batchId"] + 1, state)
+    return current_kpi(spark, MAINTAINED, state)
+
+
+CHANGED_KPIS = {
+    "kpi_total": ("SELECT COUNT(*) AS people, CAST(SUM(pay) AS BIGINT) AS pay FROM kpi_pay", ["kpi_pay"]),
+    "kpi_pay": ("SELECT user_id, COUNT(*) * 150 AS pay FROM events_data WHERE event_type = 'view' GROUP BY user_id", ["events_data"]),
+    "kpi_orders": ("SELECT COUNT(*) AS people, CAST(SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS BIGINT) AS pay FROM orders_data", ["orders_data"])}
+
+
+@register("kpi_refresh_changed", """
+WITH v AS (SELECT COUNT(DISTINCT user_id) AS people, COUNT(*) * 150 AS pay FROM events WHERE event_type = 'view'),
+o AS (SELECT COUNT(*) AS people, COUNT(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS pay FROM orders),
+l AS (SELECT COUNT(*) AS people, COUNT(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS pay FROM orders WHERE o_orderkey % 3 <> 0),
+r AS (SELECT 'first' AS step, 'kpi_total' AS kpi, TRUE AS computed, people, pay FROM v UNION ALL SELECT 'first', 'kpi_orders', TRUE, people, pay FROM o
+      UNION ALL SELECT 'same rows', 'kpi_total', FALSE, people, pay FROM v UNION ALL SELECT 'same rows', 'kpi_orders', FALSE, people, pay FROM o
+      UNION ALL SELECT 'other orders', 'kpi_total', FALSE, people, pay FROM v UNION ALL SELECT 'other orders', 'kpi_orders', TRUE, people, pay FROM l)
+SELECT step, kpi, computed, CAST(people AS BIGINT) AS people, CAST(pay AS BIGINT) AS pay FROM r""")
+def q_kpi_refresh_changed(spark, sf_dir):
+    # three refreshes of one store: all new; the same rows in another order; other orders, so only the KPI on orders is run
+    e, o, store = T(spark, sf_dir, "events"), T(spark, sf_dir, "orders"), scratch_path(spark, "kpi_store")
+    steps = [("first", e, o), ("same rows", e.repartition(3), o.repartition(5)), ("other orders", e, o.where("o_orderkey % 3 <> 0"))]
+    rows = []
+    for step, events, orders in steps:
+        out = refresh_changed(spark, {"events_data": events, "orders_data": orders}, CHANGED_KPIS, store, keep=3)
+        rows += [out[k].df.select(F.lit(step).alias("step"), F.lit(k).alias("kpi"), F.lit(out[k].computed).alias("computed"), "people", "pay") for k in ("kpi_total", "kpi_orders")]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 @register("run_summary", f"""
 WITH log AS ({RUNLOG_FROM_EVENTS})
 SELECT CAST(COUNT(*) AS BIGINT) AS total_queries,
