@@ -37,6 +37,14 @@ def text_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return df.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(text))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as make it none of df's columns (compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _SHIPPED: set[str] = set()
 
 

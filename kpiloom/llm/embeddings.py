@@ -117,8 +117,9 @@ def near_vectors(vecs: DataFrame, threshold: float = 0.9, key: str = "vec_id", v
     keys = stored(rows.select("id", "h"), "vector-keys")
     good = rows.where("h is not null")
     reps = keys.where("h is not null").groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    distinct = good.join(reps, "h").where("id = rep").dropDuplicates(["rep"]).select("rep", "copies", "v")
-    distinct = stored(distinct, "distinct-vectors")
+    # one row per digest, with a number of its own: two vectors can share their smallest id
+    distinct = good.join(reps, "h").where("id = rep").dropDuplicates(["h"]).select("h", F.col("rep").alias("least"), "copies", "v")
+    distinct = stored(distinct.withColumn("rep", F.monotonically_increasing_id()), "distinct-vectors")
     width = distinct.agg(F.max(F.size("v"))).first()[0]
     if width is None:
         return keys.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
@@ -135,9 +136,8 @@ def near_vectors(vecs: DataFrame, threshold: float = 0.9, key: str = "vec_id", v
             yield b.assign(part=part, row=np.arange(at, at + len(b)))
             at += len(b)
 
-    id_type = keys.schema["id"].dataType.simpleString()
-    schema = f"rep {id_type}, copies long, dim int, pc double, x array<double>"
-    turned = distinct.mapInPandas(rotate, schema).repartitionByRange("dim", "pc", "rep").sortWithinPartitions("dim", "pc", "rep")
+    schema = "rep long, copies long, dim int, pc double, x array<double>"
+    turned = distinct.select("rep", "copies", "v").mapInPandas(rotate, schema).repartitionByRange("dim", "pc", "rep").sortWithinPartitions("dim", "pc", "rep")
     turned = stored(turned.mapInPandas(number, f"{schema}, part int, row long"), "turned-vectors")
     # the position in the whole order, from the row counts of the partitions
     counts = {r.part: r.n for r in turned.groupBy("part").agg(F.count("*").alias("n")).collect()}
@@ -179,11 +179,13 @@ def near_vectors(vecs: DataFrame, threshold: float = 0.9, key: str = "vec_id", v
         has = n > 0
         return pd.DataFrame({"rep": ids[has], "first": ids[label[has]], "n": n[has]})
 
-    found = stored(sent.groupBy("p", "q").applyInPandas(task, f"rep {id_type}, first {id_type}, n long"), "vector-links")
-    groups = components(found, "rep", "first").withColumnRenamed("node", "rep")
+    found = stored(sent.groupBy("p", "q").applyInPandas(task, "rep long, first long, n long"), "vector-links")
+    groups = stored(components(found, "rep", "first").withColumnRenamed("node", "rep"), "vector-groups")
+    own = distinct.select("h", "rep", "least", "copies")
+    smallest = own.join(groups, "rep").groupBy("component").agg(F.min("least").alias("component_id"))
     n = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    named = reps.join(n, "rep", "left").join(groups, "rep", "left").select(
-        "h", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    named = own.join(n, "rep", "left").join(groups, "rep", "left").join(smallest, "component", "left").select(
+        "h", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     out = keys.join(named, "h", "left").select(
         F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     return out.withColumn("kept", F.col(key) == F.col("component_id"))

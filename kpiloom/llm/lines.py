@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import stored
+from kpiloom.llm.common import free_name, stored
 
 THRESHOLD = 0.8
 LEAST_WORDS = 3
@@ -320,15 +320,20 @@ def _without(text: Column, gone: Column) -> Column:
     return cut(text, gone)
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs with the removed lines cut out of the text, and two more columns: n_exact and n_near, the lines removed."""
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, least_words: int = LEAST_WORDS,
+                names: tuple[str, str] = ("n_exact", "n_near")) -> DataFrame:
+    """docs with the removed lines cut out of the text, and two more columns with the lines removed: equal and near ones.
+
+    All other columns pass through, but those of docs that have one of the two names, which are replaced."""
     keys = _row_key(docs, key, text)
     gone = _removed(_keyed(docs, text, keys), threshold, least_words).groupBy("doc", "row").agg(
-        F.collect_set("line").alias("_gone"), F.sum(F.col("exact").cast("long")).alias("n_exact"), F.sum((~F.col("exact")).cast("long")).alias("n_near"))
-    gone = stored(gone, "removed-lines")
-    own = docs.withColumn("_doc", keys[0]).withColumn("_row", keys[1])
-    both = own.join(gone.withColumnsRenamed({"doc": "_doc", "row": "_row"}).hint("shuffle_hash"), ["_doc", "_row"], "left")
-    mine = F.col(f"`{text}`")
-    cut = F.when(F.col("_gone").isNull(), mine).otherwise(_without(F.when(F.col("_gone").isNotNull(), mine), F.col("_gone")))
-    return both.withColumn(text, cut).select(
-        *[f"`{c}`" for c in docs.columns], F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"))
+        F.collect_set("line").alias("gone"), F.sum(F.col("exact").cast("long")).alias("exact"), F.sum((~F.col("exact")).cast("long")).alias("near"))
+    gone = stored(gone, "removed-lines").alias("g")
+    doc, row = free_name(docs, "own_doc"), free_name(docs, "own_row")
+    own = docs.withColumn(doc, keys[0]).withColumn(row, keys[1]).alias("d")
+    both = own.join(gone.hint("shuffle_hash"), (F.col(f"d.{doc}") == F.col("g.doc")) & (F.col(f"d.{row}") == F.col("g.row")), "left")
+    mine, numbers = F.col(f"d.`{text}`"), F.col("g.gone")
+    cut = F.when(numbers.isNull(), mine).otherwise(_without(F.when(numbers.isNotNull(), mine), numbers)).alias(text)
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    return both.select(*[cut if c == text else F.col(f"d.`{c}`") for c in kept], F.coalesce("g.exact", F.lit(0)).alias(names[0]),
+                       F.coalesce("g.near", F.lit(0)).alias(names[1]))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import stored, text_of
+from kpiloom.llm.common import stored
 from kpiloom.llm.components import components
 
 SEED = 42
@@ -49,14 +49,19 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little").tobytes(), "little")
 
 
+def content_mark(text: str) -> Column:
+    """Tells apart the texts of rows that share a key."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(key, fp): fp holds the 64 bits as a signed long.  A narrow map."""
+    """(key, fp, mark): fp holds the 64 bits as a signed long, mark is the content's.  A narrow map."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({key: b[key], "fp": np.array([fingerprint(t, shingle) for t in b[text]], dtype=np.uint64).view(np.int64)})
+            yield pd.DataFrame({"k": b["k"], "fp": np.array([fingerprint(t, shingle) for t in b["t"]], dtype=np.uint64).view(np.int64), "mark": b["mark"]})
 
-    src = text_of(docs, key, text)
-    return src.mapInPandas(run, f"`{key}` {src.schema[key].dataType.simpleString()}, fp long")
+    src = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"), content_mark(f"`{text}`").alias("mark"))
+    return src.mapInPandas(run, f"k {src.schema['k'].dataType.simpleString()}, fp long, mark long")
 
 
 def _variants(fp: Column, segment: int, at: int, width: int) -> Column:
@@ -81,17 +86,24 @@ def near_pairs(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     return x.join(y, meet).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
-def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """(key, fingerprint, component_id): 16 hex digits, and the smallest key reachable by links of at most max_bits bits."""
+def _groups(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int) -> DataFrame:
+    """(k, fp, mark, component_id) per row."""
     prints = stored(fingerprints(docs, key, text, shingle), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min(key).alias("rep")), "distinct-fingerprints")
+    distinct = stored(prints.groupBy("fp").agg(F.min("k").alias("rep")), "distinct-fingerprints")
     groups = components(near_pairs(distinct, max_bits))
     named = distinct.join(groups, distinct.rep == groups.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(named, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return prints.join(named, "fp")
+
+
+def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """(key, fingerprint, component_id): 16 hex digits, and the smallest key reachable by links of at most max_bits bits."""
+    return _groups(docs, key, text, shingle, max_bits).select(F.col("k").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """docs with one document of each group: that with the smallest key (rows that repeat that key all stay; null keys stay)."""
-    groups = simhash_groups(docs.where(F.col(key).isNotNull()), key, text, shingle, max_bits)
-    gone = groups.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(gone, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """docs with one document of each group: that with the smallest key.  Null keys stay; of rows that repeat a key each goes
+    by its own text, and rows that repeat key and text stay or go together."""
+    groups = _groups(docs.where(F.col(f"`{key}`").isNotNull()), key, text, shingle, max_bits)
+    gone = groups.where(F.col("k") != F.col("component_id")).select(F.col("k").alias("g0"), F.col("mark").alias("g1")).distinct()
+    same = (F.col(f"d.`{key}`") == F.col("g.g0")) & (content_mark(f"d.`{text}`") == F.col("g.g1"))
+    return docs.alias("d").join(gone.alias("g"), same, "left_anti").select(*[F.col(f"d.`{c}`") for c in docs.columns])

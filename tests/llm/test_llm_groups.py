@@ -345,3 +345,24 @@ def test_pipeline_stages_on_odd_rows(worker_code, odd_docs):
         assert out.count() <= 10 * odd_docs.count(), name
         if stage is not corpus_pipeline.STAGES[-1][1]:
             assert out.columns == part.columns
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(worker_code):
+    texts = {"T1": "one text of a handful of words", "T2": "quite another sentence about other things"}
+    df = worker_code.createDataFrame([(i, texts[t], 7) for i, t in ((5, "T1"), (9, "T1"), (3, "T2"), (5, "T2"))], "doc_id long, text string, g0 int")
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_first(df).collect()) == [(3, texts["T2"]), (5, texts["T1"])]
+
+
+def test_vectors_that_share_an_id_have_their_own_links(worker_code):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (7, [0.05, 1.0]), (8, [1.0, 0.0]), (9, [-1.0, -1.0])]
+    got = embeddings.near_vectors(worker_code.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [
+        (5, 1, 5, True), (5, 1, 5, True), (7, 1, 5, False), (8, 1, 5, False), (9, 0, 9, True)]
+
+
+def test_line_dedup_with_clashing_names(worker_code):
+    rows = [(1, "same line of words here\nown text one", 5, 6, 77, 78, "a"), (2, "same line of words here\nown text two", 5, 6, 77, 78, "b")]
+    df = worker_code.createDataFrame(rows, "doc_id long, text string, n_exact int, _gone int, _doc int, own_row int, `gone` string")
+    got = lines.dedup_lines(df)
+    assert got.columns == ["doc_id", "text", "_gone", "_doc", "own_row", "gone", "n_exact", "n_near"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, rows[0][1], 6, 77, 78, "a", 0, 0), (2, "own text two", 6, 77, 78, "b", 1, 0)]
