@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import lines, packing, pii, quality, simhash
-from kpiloom.llm.common import ship, stored, table
+from kpiloom.llm.common import free_name, ship, stored, table
 from kpiloom.llm.queries import tokenizer
 
 
@@ -30,7 +30,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that match an earlier line go; a document without any line left stays as an empty text."""
     ship(spark)
-    return _counted(lines.dedup_lines(docs, least_words=lines.EVERY_LINE).select(*[f"`{c}`" for c in docs.columns]))
+    names = (free_name(docs, "n_exact"), free_name(docs, "n_near"))
+    return _counted(lines.dedup_lines(docs, least_words=lines.EVERY_LINE, names=names).select(*[f"`{c}`" for c in docs.columns]))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
