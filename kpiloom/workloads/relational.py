@@ -13,6 +13,8 @@ from kpiloom.operators.joins import JoinSpec, join_on, star_join
 from kpiloom.operators.latest import latest_per_key
 from kpiloom.operators.paging import top_n
 from kpiloom.plans.report import inspection_feedback_report, report_inputs_from_tables
+from kpiloom.operators.search_index import build_index
+from kpiloom.session import scratch_path
 from kpiloom.sources.tables import table
 from kpiloom.workloads import as_double, day_text, register, ts_text
 
@@ -128,6 +130,20 @@ def q_search_any(spark, sf_dir):
     return search_any(c, SEARCH).select("c_custkey", "c_name", "c_mktsegment")
 
 
+INDEXED = "building|#0000000[1-3]"
+
+
+@register("search_indexed", f"""
+SELECT c_custkey, c_name, c_mktsegment FROM customer
+WHERE regexp_matches(CAST(c_custkey AS VARCHAR), '{INDEXED}', 'i') OR regexp_matches(c_name, '{INDEXED}', 'i')
+   OR regexp_matches(CAST(c_nationkey AS VARCHAR), '{INDEXED}', 'i') OR regexp_matches(c_mktsegment, '{INDEXED}', 'i')""")
+def q_search_indexed(spark, sf_dir):
+    # the sheet is stored with its trigram postings, then searched through them
+    c = T(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    index = build_index(c, scratch_path(spark, "search-index"), block_rows=1 << 12)
+    return index.search(INDEXED).select("c_custkey", "c_name", "c_mktsegment")
+
+
 # ---------------------------------------------------------- dashboard (facts from orders)
 
 FACTS_SQL = """facts AS (
