@@ -44,9 +44,13 @@ _AGG = {
 }
 
 
-def measure_column(m: Measure, column: Callable[[str], Column] = col_or_expr) -> Column | None:
+def measure_column(m: Measure, column: Callable[[str], Column] = col_or_expr, only: Column | None = None) -> Column | None:
     """The aggregate Column for a measure, or None when the measure is unusable
-    (a slab measure with no bounded slab).  ``column`` finds a column by the measure's text."""
+    (a slab measure with no bounded slab).  ``column`` finds a column by the measure's text;
+    with ``only`` the measure is of the rows for which that holds."""
+    def of(value: Column) -> Column:
+        return value if only is None else F.when(only, value)
+
     if m.kind == "agg":
         func = m.func.strip().upper()
         if func not in _AGG:
@@ -54,8 +58,8 @@ def measure_column(m: Measure, column: Callable[[str], Column] = col_or_expr) ->
         if m.column.strip() == "*":
             if func != "COUNT":
                 raise ValueError(f"{func}(*) is not defined; name a column")
-            return F.count(F.lit(1)).alias(m.alias)
-        return _AGG[func](column(m.column)).alias(m.alias)
+            return F.count(of(F.lit(1))).alias(m.alias)
+        return _AGG[func](of(column(m.column))).alias(m.alias)
     if m.kind == "slab":
         tier = case_tier(column(m.column), m.slabs, m.else_value)
         if tier is None:
@@ -63,9 +67,9 @@ def measure_column(m: Measure, column: Callable[[str], Column] = col_or_expr) ->
         outer = m.outer_func.strip().upper()
         if outer not in ("SUM", "AVG", "MIN", "MAX"):
             raise ValueError(f"unknown slab aggregate {m.outer_func!r}")
-        return _AGG[outer](tier).alias(m.alias)
+        return _AGG[outer](of(tier)).alias(m.alias)
     if m.kind == "flat":
-        counted = F.count(F.lit(1)) if m.column.strip() == "*" else F.count(column(m.column))
+        counted = F.count(of(F.lit(1) if m.column.strip() == "*" else column(m.column)))
         return (counted * F.lit(m.per_unit)).alias(m.alias)
     raise ValueError(f"unknown measure kind {m.kind!r}")
 

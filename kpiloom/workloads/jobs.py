@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from kpiloom.operators.measures import Measure
 from kpiloom.plans.batch import REGISTRY_SCHEMA, refresh_kpis, run_batch, run_summary, status_rollup
 from kpiloom.plans.refresh import refresh_changed
+from kpiloom.plans.shared_batch import Entry, run_shared
 from kpiloom.session import scratch_path
 from kpiloom.sources.catalog import run_kpi
 from kpiloom.sources.tables import register_tables, table
@@ -48,6 +49,32 @@ def q_batch_run(spark, sf_dir):
     return log.select("query_name", "sheet_name", "status", "row_count")
 
 
+SHARED = [
+    Entry("orders by status", "orders", ["o_orderstatus"], [Measure(func="COUNT", alias="n"), Measure(func="MAX", column="o_totalprice", alias="top")]),
+    Entry("urgent by customer", "sales", ["o_custkey"], [Measure(func="COUNT", alias="n"), Measure(func="MAX", column="o_totalprice", alias="top")],
+          "o_orderpriority = '1-URGENT'"),
+    Entry("finished", "orders", [], [Measure(func="COUNT", alias="n"), Measure(func="MAX", column="o_totalprice", alias="top")], "o_orderstatus = 'F'"),
+]
+
+
+@register("batch_shared", """
+SELECT 'orders by status' AS entry, CAST(o_orderstatus AS VARCHAR) AS grp, CAST(COUNT(*) AS BIGINT) AS n, MAX(o_totalprice) AS top
+FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'urgent by customer', CAST(o_custkey AS VARCHAR), COUNT(*), MAX(o_totalprice) FROM orders
+WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey
+UNION ALL SELECT 'finished', 'all', COUNT(*), MAX(o_totalprice) FROM orders WHERE o_orderstatus = 'F'""")
+def q_batch_shared(spark, sf_dir):
+    # three entries over two views of one table: one scan of it; then the sheets written are read
+    root = scratch_path(spark, "batch-shared")
+    log = run_shared(spark, {"orders": T(spark, sf_dir, "orders"), "sales": T(spark, sf_dir, "orders")}, SHARED, root).collect()
+    failed = [r.error for r in log if r.status != "success"]
+    if failed:
+        raise RuntimeError(failed[0])
+    sheets = [spark.read.parquet(f"{root}/{r.sheet_name}").select(
+        F.lit(e.name).alias("entry"), (F.col(e.group_by[0]).cast("string") if e.group_by else F.lit("all")).alias("grp"), "n", "top") for r, e in zip(log, SHARED)]
+    return reduce(lambda a, b: a.unionByName(b), sheets)
+
+
 KPI_SQL = """
 SELECT e.user_id, CAST(COUNT(*) AS BIGINT) AS inspections,
        CAST(SUM(CASE WHEN e.event_type = 'purchase' THEN 10 ELSE 0 END) AS BIGINT) AS five_star_pay

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.search import search_any
 from kpiloom.operators import dashboard as D
+from kpiloom.operators.facet_cube import build_cube
 from kpiloom.operators.filters import (
     between_days, pick_two, rename, rolling_days, union_positional, where_equal, where_text,
 )
@@ -207,6 +208,21 @@ def q_dash_detail(spark, sf_dir):
     return D.detail(facts(spark, sf_dir))
 
 
+@register("dash_facets", f"""
+WITH {FACTS_SQL},
+named AS (SELECT month, COALESCE(NULLIF(channel, ''), 'Unknown') AS channel, si, insp FROM facts)
+SELECT COALESCE(month, 'All') AS month, 'All' AS channel, CAST(SUM(si) AS BIGINT) AS total_si, CAST(SUM(insp) AS BIGINT) AS total_insp,
+       {RATIO_SQL.format(si='SUM(si)', insp='SUM(insp)')} AS si_ratio, CAST(COUNT(DISTINCT channel) AS BIGINT) AS channel_count
+FROM named GROUP BY GROUPING SETS ((named.month), ())
+UNION ALL
+SELECT COALESCE(month, 'All'), named.channel, CAST(SUM(si) AS BIGINT), CAST(SUM(insp) AS BIGINT),
+       {RATIO_SQL.format(si='SUM(si)', insp='SUM(insp)')}, 1
+FROM named GROUP BY GROUPING SETS ((named.month, named.channel), (named.channel))""")
+def q_dash_facets(spark, sf_dir):
+    # the totals of every choice of month and channel, from one cube
+    return build_cube(facts(spark, sf_dir), scratch_path(spark, "facet-cube")).every_choice()
+
+
 @register("domain_values", f"""
 WITH {FACTS_SQL}
 SELECT DISTINCT 'month' AS domain, month AS value FROM facts
