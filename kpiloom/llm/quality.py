@@ -10,12 +10,17 @@ documents with enough characters or words, since short ones stray by chance.
 The references are sums over all documents of a language.  Languages are primary
 subtags (zh of zh-CN) of two or three letters a-z, so there are at most 18,252 of
 them with ``COMMON`` words of at most ``COMMON_CHARS`` code points each: that
-bounds what is sent to the executors at any input size.  Documents with another
-tag or none, and those whose language has fewer than ``LEAST_LANGUAGE`` words in
-all, have no reference whose letters or words are theirs: word_distance is 0, and
-char_distance that of ``SHAPE``, the classes with all letters and blanks as one,
-to the nearest of all references, so no script or language is rejected as such.
-A table of fewer than ``LEAST_LANGUAGE`` words has no reference, only base rules.
+bounds what is sent to the executors at any input size.
+
+How much a language's own reference says grows smoothly with its size: with n
+words it weighs n / (n + ``PRIOR``).  By that weight char_distance is the distance
+to the language's own classes, and by the rest that of ``SHAPE``, the classes with
+all letters and blanks as one, to the nearest shape of any language, so no script
+is rejected as such; word_distance is the distance to the language's words times the
+weight.  Shapes of small languages lean on the pool of all (as if ``PRIOR`` words of
+it were added), and the shape's part weighs N / (N + ``PRIOR``) for a table of N words.
+Documents with another tag or none have the weight 0.  There is no size at which a
+reference starts to count.
 
 Null texts have no words and fail; repeated rows are judged alike; an empty
 table gives no rows; columns of docs with other names pass through ``keep``.
@@ -39,7 +44,7 @@ LEAST_WORDS = 20
 REPEATED_PERCENT = 30
 WINDOW = 8
 COMMON, COMMON_CHARS = 48, 24
-LEAST_LANGUAGE = 20_000
+PRIOR = 2_000
 #: Greatest distances, and the characters and words from which they count.
 CHAR_LIMIT, CHAR_LEAST = 0.30, 100
 WORD_LIMIT, WORD_LEAST = 0.48, 60
@@ -143,8 +148,8 @@ def _source(docs: DataFrame, key: str, text: str, lang: str | None) -> DataFrame
     return docs.select(F.col(f"`{key}`").alias(key), language(docs, lang).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
 
-def references(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = "lang") -> dict[str, tuple[np.ndarray, list[bytes], np.ndarray]]:
-    """By language, and "" for all: class counts, common words, their counts with those of all other words last."""
+def references(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = "lang") -> "References":
+    """Of all documents, by language and pooled."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: Counter = Counter()
         chars: dict[str, np.ndarray] = {}
@@ -161,7 +166,7 @@ def references(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
                 own = Counter(t.encode().split())
                 total = sum(own.values())
                 for w, n in own.items():
-                    if len(w) <= COMMON_CHARS:
+                    if len(w) <= COMMON_CHARS or len(w) <= 4 * COMMON_CHARS and len(w.decode()) <= COMMON_CHARS:
                         words[lg, w] += n
                 words[lg, b"\nall"] += total
                 chars[lg] = chars.get(lg, 0) + characters(t)
@@ -183,36 +188,60 @@ def references(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     out = {}
     for lg, own in refs.items():
         total = own.pop("\nall", 0)
-        if total < LEAST_LANGUAGE:
-            continue
         chars = np.array([own.pop(f"\n{i}", 0) for i in range(len(CLASSES))])
         words = sorted(own, key=lambda w: (-own[w], w))
         n = np.array([own[w] for w in words] + [total - sum(own[w] for w in words)])
         out[lg] = (chars, [w.encode() for w in words], n)
-    return out
+    return References(out)
 
 
 def shape(chars: np.ndarray) -> np.ndarray:
     return np.bincount(SHAPE, chars, SHAPE.max() + 1)
 
 
-def measure(text: str, lang: str, refs: dict[str, tuple[np.ndarray, list[bytes], np.ndarray]]) -> tuple:
+class References:
+    """by_language: language, or "" for all -> (class counts, common words, their counts with those of all other words last)."""
+
+    def __init__(self, by_language: dict[str, tuple[np.ndarray, list[bytes], np.ndarray]]):
+        self.by_language = by_language
+        pool = by_language.get("")
+        self.words = int(pool[2].sum()) if pool else 0
+        lean = shape(pool[0]) * (PRIOR / self.words) if self.words else 0.0
+        shapes = [shape(chars) + lean for chars, _, _ in by_language.values()] if self.words else []
+        self.shapes = np.array([x / x.sum() for x in shapes if x.sum()])
+
+    def weight(self, lang: str) -> float:
+        n = int(self.by_language[lang][2].sum()) if lang in self.by_language else 0
+        return n / (n + PRIOR)
+
+    def nearest_shape(self, chars: np.ndarray) -> float:
+        """The least Jensen-Shannon distance of the shape to any language's."""
+        p = shape(chars)
+        if not len(self.shapes) or not p.sum():
+            return 0.0
+        p = p / p.sum()
+        m = (p + self.shapes) / 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            d = (np.where(p > 0, p * np.log2(p / m), 0) + np.where(self.shapes > 0, self.shapes * np.log2(self.shapes / m), 0)).sum(1)
+        return math.sqrt(max(0.0, d.min() / 2))
+
+
+def measure(text: str, lang: str, refs: References) -> tuple:
     """The columns of ``judge`` after the key."""
     words = text.encode().split()
-    n, own_ref = len(words), refs.get(lang) if lang else None
+    n, own_ref = len(words), refs.by_language.get(lang) if lang else None
+    weight = refs.weight(lang) if lang else 0.0
     repeats = repeated_words(words)
     c = w = 0.0
     if len(text) >= CHAR_LEAST:
-        if own_ref:
-            c = distance(characters(text), own_ref[0])
-        else:
-            mine = shape(characters(text))
-            c = min((distance(mine, shape(chars)) for chars, _, _ in refs.values()), default=0.0)
+        chars = characters(text)
+        whole = refs.words / (refs.words + PRIOR)
+        c = (1 - weight) * whole * refs.nearest_shape(chars) + (weight * distance(chars, own_ref[0]) if own_ref else 0.0)
     if own_ref and n >= WORD_LEAST:
         _, common, counts = own_ref
         bins = {x: i for i, x in enumerate(common)}
         own = np.bincount(np.array([bins.get(x, len(common)) for x in words]), minlength=len(counts))
-        w = distance(own, counts)
+        w = weight * distance(own, counts)
     failed = n < LEAST_WORDS or 100 * repeats > REPEATED_PERCENT * n
     return (n, len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeats, failed, c, w,
             not failed and c <= CHAR_LIMIT and w <= WORD_LIMIT)
@@ -236,8 +265,9 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
                                 "n_repeat_words long, base_failed boolean, char_distance double, word_distance double, kept boolean")
 
 
-def keep(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """docs without the rejected rows, all columns as they are: the verdict is a column beside each row, so nothing is joined."""
+def keep(docs: DataFrame, text: str = "text", lang: str | None = "lang") -> DataFrame:
+    """docs (with or without a column of languages) without the rejected rows, all columns as they are: the verdict is a column beside each row, so nothing is joined."""
+    lang = lang if lang in docs.columns else None
     refs = docs.sparkSession.sparkContext.broadcast(references(docs, docs.columns[0], text, lang))
 
     @F.pandas_udf("boolean")
