@@ -7,13 +7,15 @@ the mention of a group; an additive model cannot.
 
 Fitting uses a bounded, stratified sample of the labelled rows (``SAMPLE`` of
 each label, those with the smallest hashes of their ids), never rows that are
-held out.  From the sample, the ``TERMS`` terms that part the labels best by a
-two-sample z value are kept, the others have no weight: a score then does not
-drift with a document's length.  Scoring is a narrow map over all texts with a
-model of fixed size.
+held out.  From the sample two kinds of terms are kept: the ``TERMS`` that part the
+labels best by themselves (two-sample z value), and those of the ``PAIR_TERMS`` most
+telling by frequency that belong to a pair whose joint effect differs from the sum of
+its single ones (z value of the interaction over the four cells), however neutral each
+is alone.  The others have no weight: a score then does not drift with a document's
+length.  Scoring is a narrow map over all texts with a model of fixed size.
 
 Null texts are empty and get the score of no terms; rows of labels that are
-null or repeat are ignored or used once per row; without labelled rows of both
+null are ignored, repeated ones used once, of texts that share an id the one of the smallest hash; without labelled rows of both
 kinds every score is the share of toxic rows (0 without any).
 """
 
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 SAMPLE = 10_000
 BITS = 20
 TERMS, FACTORS = 2048, 8
+#: Terms whose pairs are tried, and the least |z| of an interaction: of some two million pairs chance gives one in a hundred samples.
+PAIR_TERMS, PAIR_Z, PAIR_LEAST = 2048, 6.0, 5
 EPOCHS, RATE, L2 = 30, 0.1, 1e-4
 MEMO = 400_000
 _WORD = re.compile(r"\w+")
@@ -82,6 +86,36 @@ class Model:
         return score
 
 
+def paired(sample: list[tuple[int, list[int]]], seen: Counter) -> list[int]:
+    """Terms of pairs with an interaction: toxic share with both, minus with one, minus with the other, plus with neither."""
+    n = len(sample)
+    tried = sorted((t for t, k in seen.items() if min(k, n - k) >= 2 * PAIR_LEAST), key=lambda t: (-min(seen[t], n - seen[t]), t))[:PAIR_TERMS]
+    if len(tried) < 2:
+        return []
+    at = {t: i for i, t in enumerate(tried)}
+    both = {y: np.zeros((len(tried), len(tried)), np.float32) for y in (0, 1)}  # counts below 2**24 are exact
+    single = {y: np.zeros(len(tried)) for y in (0, 1)}
+    number = {y: sum(1 for z, _ in sample if z == y) for y in (0, 1)}
+    for y in (0, 1):
+        rows = [ts for z, ts in sample if z == y]
+        for i in range(0, len(rows), 2048):
+            x = np.zeros((min(2048, len(rows) - i), len(tried)), np.float32)
+            for j, ts in enumerate(rows[i:i + 2048]):
+                x[j, [at[t] for t in ts if t in at]] = 1
+            both[y] += x.T @ x
+            single[y] += x.sum(0, dtype=float)
+    effect, variance, least = 0.0, 0.0, np.inf
+    for sign, cell in ((1, lambda y: both[y]), (-1, lambda y: single[y][:, None] - both[y]), (-1, lambda y: single[y][None, :] - both[y]),
+                       (1, lambda y: number[y] - single[y][:, None] - single[y][None, :] + both[y])):
+        toxic, clean = cell(1).astype(float), cell(0).astype(float)
+        k = toxic + clean
+        p = (toxic + 0.5) / (k + 1)  # never 0 or 1, so that an even cell has a variance
+        effect, variance, least = effect + sign * p, variance + p * (1 - p) / (k + 1), np.minimum(least, k)
+    strong = (least >= PAIR_LEAST) & (np.abs(effect) >= PAIR_Z * np.sqrt(variance))
+    np.fill_diagonal(strong, False)
+    return [t for t, any_pair in zip(tried, strong.any(1)) if any_pair]
+
+
 def fit(sample: list[tuple[int, list[int]]]) -> Model:
     """sample: (label, distinct terms) per document."""
     n, toxic = len(sample), sum(y for y, _ in sample)
@@ -97,6 +131,8 @@ def fit(sample: list[tuple[int, list[int]]]) -> Model:
     share = toxic / n
     z = {t: (seen_toxic[t] - k * share) / np.sqrt(k * share * (1 - share)) for t, k in seen.items() if k >= 5}
     chosen = sorted((t for t in z if abs(z[t]) >= 4), key=lambda t: (-abs(z[t]), t))[:TERMS]
+    held = set(chosen)
+    chosen += [t for t in paired(sample, seen) if t not in held]
     index = {t: i for i, t in enumerate(chosen)}
     rng = np.random.default_rng(7)
     w, v, bias = np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), FACTORS)), float(np.log(share / (1 - share)))
@@ -135,12 +171,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"y": b["y"], "k": b["k"], "terms": [np.array(sorted({i for w in set(t.split()) for i in terms_of(w)}), "<i4").tobytes() for t in b["t"]]})
+            yield pd.DataFrame({"y": b["y"], "terms": [np.array(sorted({i for w in set(t.split()) for i in terms_of(w)}), "<i4").tobytes() for t in b["t"]]})
 
     rows = docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).join(chosen, key)
     # a key that repeats in docs counts once, so that the sample keeps its bound
-    got = rows.select("y", F.col(key).alias("k"), "t").dropDuplicates(["k"]).mapInPandas(run, "y int, k long, terms binary").collect()
-    return fit([(r.y, np.frombuffer(r.terms, "<i4").tolist()) for r in sorted(got, key=lambda r: r.k)])
+    once = rows.groupBy(F.xxhash64(key).alias("h"), F.col(key).alias("k")).agg(F.first("y").alias("y"), F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t"))
+    got = once.orderBy("h", "k").select("y", "t").mapInPandas(run, "y int, terms binary").collect()
+    return fit([(r.y, np.frombuffer(r.terms, "<i4").tolist()) for r in got])
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

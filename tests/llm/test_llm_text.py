@@ -1,6 +1,7 @@
 """Tokens, packing, personal data, quality and toxicity against plain Python versions."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -268,7 +269,7 @@ def test_toxicity(worker_code, odd_docs):
 
 
 def test_factors_learn_a_pair_that_weights_miss():
-    """Label 1 only where exactly both terms occur or neither does: no additive score parts that."""
+    """Label 1 only where both terms occur: the pair carries the label, each term alone half of it."""
     rng = random.Random(4)
     sample = []
     for _ in range(800):
@@ -282,3 +283,100 @@ def test_factors_learn_a_pair_that_weights_miss():
     assert z([1, 2]) > 0 > max(z([1]), z([2]), z([]))
     i, j = m.index[1], m.index[2]
     assert m.factors[i] @ m.factors[j] > 0
+
+
+@pytest.mark.parametrize("rule", ["one of two", "both or neither"])
+def test_a_pair_whose_terms_are_neutral_alone(rule):
+    """Either term is as frequent in toxic as in clean documents, so no choice of terms by themselves finds the pair."""
+    rng = random.Random(9)
+    def sample(n):
+        out = []
+        for _ in range(n):
+            a, b = rng.random() < 0.5, rng.random() < 0.5
+            words = rng.sample([f"w{i}" for i in range(60)], 12) + ["insulta"] * a + ["groupb"] * b
+            out.append((int((a != b) == (rule == "one of two")), sorted({t for w in words for t in toxicity.terms_of(w)}), " ".join(words)))
+        return out
+    model = toxicity.fit([(y, ts) for y, ts, _ in sample(4000)])
+    score = model.scorer()
+    fresh = sample(500)
+    assert sum((score(t) >= 0.5) == y for y, _, t in fresh) >= 0.97 * len(fresh)
+    assert len(model.index) < 12  # words without an effect stay out
+
+
+def test_toxicity_of_text_ids_and_repeated_ids(worker_code):
+    rows = [(f"d{i}", ("you vile dolt" if i % 2 else "a calm day") + f" n{i}") for i in range(60)] * 2 + [("d1", "another text of the same id")]
+    docs = worker_code.createDataFrame(rows, "doc_id string, text string")
+    labels = worker_code.createDataFrame([(f"d{i}", i % 2) for i in range(60)], "doc_id string, toxic int")
+    one, two = (toxicity.score(docs.repartition(n), toxicity.train(docs.repartition(n), labels)).collect() for n in (1, 5))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two)) and len(one) == len(rows)
+    assert all(r.predicted == int(r.doc_id[1:]) % 2 for r in one if r.doc_id != "d1")
+
+
+def plain_distance(p, q):
+    a, b = sum(p), sum(q)
+    out = 0.0
+    for x, y in zip(p, q):
+        x, y = x / a, y / b
+        m = (x + y) / 2
+        out += (x * math.log2(x / m) if x else 0) + (y * math.log2(y / m) if y else 0)
+    return math.sqrt(max(0.0, out / 2))
+
+
+def plain_divergence(rows):
+    """(id, char_distance, word_distance) of (id, text, language) rows, all counts by plain loops."""
+    def folded(c):
+        out = [0] * (max(quality.SHAPE) + 1)
+        for i, n in enumerate(c):
+            out[quality.SHAPE[i]] += n
+        return out
+    chars, words = {}, {}
+    for _, t, lg in rows:
+        for key in {lg, ""}:
+            own = chars.setdefault(key, [0] * len(quality.CLASSES))
+            for ch in t:
+                own[quality._class_of(ord(ch))] += 1
+            words.setdefault(key, Counter()).update(re.findall(r"[^\x20\x09-\x0d]+", t))
+    size = {lg: sum(c.values()) for lg, c in words.items()}
+    lean = [x * quality.PRIOR / size[""] for x in folded(chars[""])]
+    shapes = [[x + y for x, y in zip(folded(c), lean)] for c in chars.values()]
+    for i, t, lg in rows:
+        n, c, w = size[lg] if lg else 0, 0.0, 0.0
+        weight = n / (n + quality.PRIOR)
+        own = [0] * len(quality.CLASSES)
+        for ch in t:
+            own[quality._class_of(ord(ch))] += 1
+        if len(t) >= quality.CHAR_LEAST:
+            c = (1 - weight) * size[""] / (size[""] + quality.PRIOR) * min(plain_distance(folded(own), s) for s in shapes)
+            c += weight * plain_distance(own, chars[lg]) if lg else 0
+        mine = Counter(re.findall(r"[^\x20\x09-\x0d]+", t))
+        if lg and sum(mine.values()) >= quality.WORD_LEAST:
+            common = [x for x, k in words[lg].items() if len(x) <= quality.COMMON_CHARS and 1000 * k >= n]
+            common = sorted(common, key=lambda x: (-words[lg][x], x.encode()))[:quality.COMMON]
+            q = [words[lg][x] for x in common]
+            p = [mine[x] for x in common]
+            w = weight * plain_distance(p + [sum(mine.values()) - sum(p)], q + [n - sum(q)])
+        yield i, c, w
+
+
+def test_divergence_equals_a_plain_version(worker_code):
+    rows = [(r.doc_id, r.text, r.lang) for r in worker_code.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()][:300]
+    long_words = " ".join(["предпринимательство", "ответственности"] * 3 + [f"слово{i}" for i in range(60)])  # over 24 bytes, under 24 code points
+    rows += [(10**6, long_words, "ru"), (10**6 + 1, RUSSIAN * 2, "ru"), (10**6 + 2, HINDI * 2, "hi"), (10**6 + 3, GREEK, ""), (10**6 + 4, "short", "en")]
+    df = worker_code.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    for i, c, w in plain_divergence([(i, t, lg if re.fullmatch("[a-z]{2,3}", lg or "") else "") for i, t, lg in rows]):
+        assert got[i].char_distance == pytest.approx(c, abs=1e-9) and got[i].word_distance == pytest.approx(w, abs=1e-9), i
+        assert got[i].kept == (not got[i].base_failed and c <= quality.CHAR_LIMIT and w <= quality.WORD_LIMIT)
+
+
+def test_no_size_at_which_a_reference_starts_to_count(worker_code):
+    """One more document of a language moves a distance by little, at any number of them."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    target = (0, " ".join(rng.choice("qxzvk") * 3 + str(i) for i in range(200)), "ru")
+    def at(n):
+        rows = [target] + [(i, " ".join(rng.choices(words, k=200)), "ru") for i in range(1, n)]
+        r = quality.judge(worker_code.createDataFrame(rows, "doc_id long, text string, lang string")).where("doc_id = 0").first()
+        return r.char_distance, r.word_distance
+    for n in (20, 90, 99):
+        assert at(n) == pytest.approx(at(n + 1), abs=0.03)
