@@ -98,22 +98,26 @@ def paired(sample: list[tuple[int, list[int]]], seen: Counter) -> list[int]:
     number = {y: sum(1 for z, _ in sample if z == y) for y in (0, 1)}
     for y in (0, 1):
         rows = [ts for z, ts in sample if z == y]
-        for i in range(0, len(rows), 2048):
-            x = np.zeros((min(2048, len(rows) - i), len(tried)), np.float32)
-            for j, ts in enumerate(rows[i:i + 2048]):
+        for i in range(0, len(rows), 512):
+            x = np.zeros((min(512, len(rows) - i), len(tried)), np.float32)
+            for j, ts in enumerate(rows[i:i + 512]):
                 x[j, [at[t] for t in ts if t in at]] = 1
             both[y] += x.T @ x
             single[y] += x.sum(0, dtype=float)
-    effect, variance, least = 0.0, 0.0, np.inf
-    for sign, cell in ((1, lambda y: both[y]), (-1, lambda y: single[y][:, None] - both[y]), (-1, lambda y: single[y][None, :] - both[y]),
-                       (1, lambda y: number[y] - single[y][:, None] - single[y][None, :] + both[y])):
-        toxic, clean = cell(1).astype(float), cell(0).astype(float)
-        k = toxic + clean
-        p = (toxic + 0.5) / (k + 1)  # never 0 or 1, so that an even cell has a variance
-        effect, variance, least = effect + sign * p, variance + p * (1 - p) / (k + 1), np.minimum(least, k)
-    strong = (least >= PAIR_LEAST) & (np.abs(effect) >= PAIR_Z * np.sqrt(variance))
-    np.fill_diagonal(strong, False)
-    return [t for t, any_pair in zip(tried, strong.any(1)) if any_pair]
+    found = np.zeros(len(tried), bool)
+    for i in range(0, len(tried), 128):  # a band of the matrix at a time, which bounds the driver's memory
+        band, effect, variance, least = slice(i, i + 128), 0.0, 0.0, np.inf
+        for sign, cell in ((1, lambda y: both[y][band]), (-1, lambda y: single[y][band, None] - both[y][band]),
+                           (-1, lambda y: single[y][None, :] - both[y][band]),
+                           (1, lambda y: number[y] - single[y][band, None] - single[y][None, :] + both[y][band])):
+            toxic, clean = cell(1).astype(float), cell(0).astype(float)
+            k = toxic + clean
+            p = (toxic + 0.5) / (k + 1)  # never 0 or 1, so that an even cell has a variance
+            effect, variance, least = effect + sign * p, variance + p * (1 - p) / (k + 1), np.minimum(least, k)
+        strong = (least >= PAIR_LEAST) & (np.abs(effect) >= PAIR_Z * np.sqrt(variance))
+        strong[np.arange(len(strong)), np.arange(i, i + len(strong))] = False
+        found[band] = strong.any(1)
+    return [t for t, is_paired in zip(tried, found) if is_paired]
 
 
 def fit(sample: list[tuple[int, list[int]]]) -> Model:
