@@ -16,6 +16,7 @@ from kpiloom.operators.paging import top_n
 from kpiloom.plans.report import inspection_feedback_report, report_inputs_from_tables
 from kpiloom.operators.search_index import build_index
 from kpiloom.session import scratch_path
+from kpiloom.sources.layout import write_colocated
 from kpiloom.sources.tables import table
 from kpiloom.workloads import as_double, day_text, register, ts_text
 
@@ -366,6 +367,17 @@ def report(spark, sf_dir, first, last):
     return as_double(out, "feedback_rating")
 
 
+@register("join_colocated", """
+SELECT o.o_orderkey, o.o_custkey, CAST(COUNT(*) AS BIGINT) AS n_lines, CAST(MAX(l.l_extendedprice) AS DOUBLE) AS top_price
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_orderkey, o.o_custkey""")
+def q_join_colocated(spark, sf_dir):
+    # both tables are stored in equal buckets of the order key; the pre-sum of the lines and the join need no further exchange
+    t = write_colocated({"orders": (T(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey"),
+                         "lineitem": (T(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice"), "l_orderkey")}, 8)
+    lines = t["lineitem"].groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_extendedprice").cast("double").alias("top_price"))
+    return t["orders"].hint("merge").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "o_custkey", "n_lines", "top_price")
+
+
 @register("join_enrich", REPORT_SQL.replace("1994-01-01", "1996-01-01").replace("1994-12-31", "1996-12-31"))
 def q_join_enrich(spark, sf_dir):
     return report(spark, sf_dir, "1996-01-01", "1996-12-31")
