@@ -266,15 +266,25 @@ def _set_of(line: Column) -> Column:
     return F.array_distinct(F.filter(F.split(low, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """(doc, row, line) of the pairs whose lines have the similarity."""
-    wanted = pairs.select(*LINE).unionByName(pairs.select(*[F.col(e).alias(c) for c, e in zip(LINE, EARLIER)]))
-    wanted = wanted.groupBy("doc", "row").agg(F.collect_set("line").alias("lines"))  # the lines of one document
-    named = texts.join(wanted.hint("shuffle_hash"), ["doc", "row"]).withColumn("all", F.split("text", "\n"))
+def line_words(pairs: DataFrame, texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(doc, row, line, s) of the lines of the pairs, s their sets of words; known: those read before, which are not read again."""
+    wanted = pairs.select(*LINE).unionByName(pairs.select(*[F.col(e).alias(c) for c, e in zip(LINE, EARLIER)])).distinct()
+    if known is not None:
+        wanted = wanted.join(known.select(*LINE), [*LINE], "left_anti")
+    wanted = stored(wanted.groupBy("doc", "row").agg(F.collect_list("line").alias("lines")), "wanted-lines")  # the lines of one document
+    if known is not None and wanted.isEmpty():
+        return known
+    # The first round wants lines of nearly all documents; what later ones want is often small, and the planner, which knows its size, decides.
+    named = texts.join(wanted.hint("shuffle_hash") if known is None else wanted, ["doc", "row"]).withColumn("all", F.split("text", "\n"))
     named = named.select("doc", "row", F.explode("lines").alias("line"), "all").select(*LINE, _set_of(F.get("all", F.col("line"))).alias("s"))
     named = stored(named.dropDuplicates([*LINE]), "candidate-lines")
-    e = named.select(*[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)], F.col("s").alias("t"))
-    both = pairs.join(named, [*LINE]).join(e, [*EARLIER])
+    return named if known is None else known.unionByName(named)
+
+
+def verified(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """(doc, row, line) of the pairs whose lines, given by ``line_words``, have the similarity."""
+    e = known.select(*[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)], F.col("s").alias("t"))
+    both = pairs.join(known, [*LINE]).join(e, [*EARLIER])
     common = F.size(F.array_intersect("s", "t"))
     return both.where(common >= F.lit(threshold) * (F.size("s") + F.size("t") - common) - 1e-9).select(*LINE).distinct()
 
@@ -289,18 +299,21 @@ def _removed(texts: DataFrame, threshold: float, least_words: int) -> DataFrame:
     firsts = lines.groupBy("d0", "d1").agg(F.min(F.struct(*LINE, "n", "alone", "b0", "b1", "prefix")).alias("f"), F.count("*").alias("copies"))
     sets = stored(firsts.select("d0", "d1", "f.*", "copies"), "line-sets")
     index = _index(sets)
-    near, still, skip, take = [], None, 0, FIRST_ROUND
+    near, still, known, skip, take = [], None, None, 0, FIRST_ROUND
     while True:
         found = stored(_nearest(index, threshold, skip, take, still), "line-candidates")
+        known = line_words(found, texts, known)
         rest = found
         for now in ("place = 1", "place > 1"):  # the others only for lines whose nearest ones do not hold
             pairs = rest.where(now).select(*LINE, *EARLIER).distinct()
             if not pairs.isEmpty():
-                near.append(stored(verified(pairs, texts, threshold), "near-lines"))
+                near.append(stored(verified(pairs, known, threshold), "near-lines"))
                 rest = rest.join(near[-1], [*LINE], "left_anti")
         still = stored(rest.where("more").select(*LINE, "word").distinct(), "open-lines")
         if still.isEmpty():
             break
+        if not skip:  # the words of open lines only get fewer: later rounds read no others
+            index = stored(index.join(still.select("word").distinct(), "word", "left_semi"), "open-index")
         skip, take = skip + take, 4 * take
     again = sets.where("copies > 1").select("d0", "d1", *[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)])
     exact = lines.select("d0", "d1", *LINE).join(again, ["d0", "d1"]).where("doc != e_doc or row != e_row or line != e_line").select(*LINE, F.lit(True).alias("exact"))
