@@ -4,6 +4,7 @@ compared with the plain source table."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -14,8 +15,11 @@ from kpiloom.sources import files as FS
 from kpiloom.sources import sinks as SK
 from kpiloom.sources.catalog import register_sheets, run_sql
 from kpiloom.sources.html import read_html_table, table_html
+from kpiloom.sources.html_grid import read_html_grid
 from kpiloom.sources.scheme import load_scheme
 from kpiloom.sources.tables import register_tables, table
+from kpiloom.sources.typed_csv import read_csv_typed
+from kpiloom.sources.workbook import read_sheet
 from kpiloom.workloads import as_double, register, ts_text
 
 
@@ -84,6 +88,77 @@ def q_src_html_table(spark, sf_dir):
     return rows.select(F.col("c_custkey").cast("bigint"), "c_name", "c_mktsegment")
 
 
+@register("src_html_grid", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def q_src_html_grid(spark, sf_dir):
+    # Customers as documents of at most 100 rows; the customers of a segment stand together behind one cell that
+    # spans their rows, names write # by number, and each name cell holds a table of its own.
+    at = Window.partitionBy("chunk", "c_mktsegment")
+    c = (T(spark, sf_dir, "customer").withColumn("chunk", F.floor(F.col("c_custkey") / 100))
+         .withColumn("first", F.min("c_custkey").over(at) == F.col("c_custkey")).withColumn("n", F.count("*").over(at)))
+    name = F.replace("c_name", F.lit("#"), F.lit("&#35;"))
+    row = F.concat(F.lit("<tr>"), F.when(F.col("first"), F.concat(F.lit("<td rowspan="), F.col("n").cast("string"), F.lit(">"), F.col("c_mktsegment"), F.lit("</td>")))
+                   .otherwise(""), F.lit("<td>"), F.col("c_custkey").cast("string"), F.lit("<td><b>"), name, F.lit("</b><table><tr><td>note</table></tr>"))
+    rows = F.sort_array(F.collect_list(F.struct("c_mktsegment", "c_custkey", row.alias("tr"))))
+    docs = c.groupBy("chunk").agg(F.concat(F.lit("<table><tr><th>C MktSegment<th>C CustKey<th>C Name</tr>"),
+                                           F.array_join(F.transform(rows, lambda r: r["tr"]), ""), F.lit("</table>")).alias("html"))
+    return read_html_grid(docs, "html", HTML_COLS).select(F.col("c_custkey").cast("bigint"), "c_name", "c_mktsegment")
+
+
+@register("src_csv_typed", """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 50 <> 0 THEN c_acctbal END AS c_acctbal, c_custkey % 50 = 0 AS set_aside FROM customer""")
+def q_src_csv_typed(spark, sf_dir):
+    path = scratch_path(spark, "customer_mixed_csv")
+    balance = F.when(F.col("c_custkey") % 50 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    T(spark, sf_dir, "customer").select("c_custkey", "c_name", balance.alias("c_acctbal")).write.option("header", True).csv(path)
+    kept, aside = read_csv_typed(spark, path, tolerance=0.05)
+    kept = kept.select("c_custkey", "c_name", "c_acctbal", F.lit(False).alias("set_aside"))
+    return kept.unionByName(aside.select(F.col("c_custkey").cast("bigint"), "c_name", F.lit(None).cast("double").alias("c_acctbal"),
+                                         (F.col("misfits") == F.array(F.lit("c_acctbal"))).alias("set_aside")))
+
+
+def _books(spark, sf_dir):
+    """(chunk, content): orders as workbooks of at most 500 rows, a sheet of orders and one of their days and states."""
+    o = T(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = o.withColumn("chunk", F.floor(F.col("o_orderkey") / 500).cast("long")).withColumn(
+        "day", F.datediff("o_orderdate", F.lit("1899-12-30").cast("date"))).drop("o_orderdate")
+
+    def book(pdf):
+        import io
+        import zipfile
+        head = '<?xml version="1.0" encoding="UTF-8"?>'
+        ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+        rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+        states = sorted(set(pdf["o_orderstatus"]))
+
+        def sheet(header, rows):
+            own = "".join(f'<c t="inlineStr"><is><t>{h}</t></is></c>' for h in header)
+            return f"{head}<worksheet {ns}><sheetData><row>{own}</row>" + "".join(f"<row>{r}</row>" for r in rows) + "</sheetData></worksheet>"
+
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("xl/workbook.xml", f'{head}<workbook {ns} xmlns:r="{rel}"><sheets><sheet name="Orders" sheetId="1" r:id="a"/><sheet name="Days" sheetId="2" r:id="b"/></sheets></workbook>')
+            z.writestr("xl/_rels/workbook.xml.rels", f'{head}<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="a" Target="worksheets/s1.xml"/><Relationship Id="b" Target="/xl/worksheets/s2.xml"/></Relationships>')
+            z.writestr("xl/sharedStrings.xml", f"{head}<sst {ns}>" + "".join(f"<si><t>{s}</t></si>" for s in states) + "</sst>")
+            z.writestr("xl/styles.xml", f'{head}<styleSheet {ns}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+            z.writestr("xl/worksheets/s1.xml", sheet(["key", "customer", "price"], [f"<c><v>{k}</v></c><c><v>{c}</v></c><c><v>{p!r}</v></c>" for k, c, p in zip(pdf["o_orderkey"].tolist(), pdf["o_custkey"].tolist(), pdf["o_totalprice"].tolist())]))
+            z.writestr("xl/worksheets/s2.xml", sheet(["key", "day", "state"], [f'<c><v>{k}</v></c><c s="1"><v>{d}</v></c><c t="s"><v>{states.index(s)}</v></c>' for k, d, s in zip(pdf["o_orderkey"], pdf["day"], pdf["o_orderstatus"])]))
+        return pdf[["chunk"]].head(1).assign(content=[out.getvalue()])
+
+    return o.groupBy("chunk").applyInPandas(book, "chunk long, content binary")
+
+
+@register("src_workbook", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS order_day FROM orders""")
+def q_src_workbook(spark, sf_dir):
+    path = scratch_path(spark, "order_books")
+    _books(spark, sf_dir).write.parquet(path)
+    books = spark.read.parquet(path)
+    orders = read_sheet(books, "Orders", ["key", "o_custkey", "o_totalprice"])
+    days = read_sheet(books, "Days", ["key", "order_day", "o_orderstatus"])
+    return orders.join(days, "key").select(F.col("key").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint"),
+                                           F.col("o_totalprice").cast("double"), "o_orderstatus", "order_day")
+
+
 ORDER_JSON_SCHEMA = StructType([
     StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
     StructField("o_orderstatus", StringType()), StructField("o_totalprice", DoubleType()),
