@@ -247,21 +247,19 @@ def plain_templates(rows):
     """rows: (host, path, said or None) -> template and purity of each, level by level."""
     def form(s):
         return 0 if s == "" else 1 if s in ("{n}", "{d}", "{x}") else 3 if "{" in s else 2
-    items = []
-    for host, path, said in rows:
-        parts = re.sub("^/", "", path).split("/")
-        items.append({"host": host, "said": said, "s": [plain_shape(p) for p in (parts + [""] * 3)[:3]], "deep": "**" if len(parts) > 3 else "", "t": []})
-    for level in range(3):
+    items = [{"host": host, "said": said, "s": [*map(plain_shape, re.sub("^/", "", path).split("/")), ""], "t": []} for host, path, said in rows]
+    level, live = 0, items
+    while live:
         def stat(xs):
             known = [x["said"] for x in xs if x["said"]]
-            after = [form(x["s"][level + 1] if level < 2 else x["deep"]) for x in xs]
+            after = [form(x["s"][level + 1] if level + 1 < len(x["s"]) else "") for x in xs]
             return len(xs), len(known), known.count("block"), max(range(4), key=lambda i: (after.count(i), -i))
         by_parent, by_child = {}, {}
-        for x in items:
+        for x in live:
             p = (x["host"], *x["t"])
             by_parent.setdefault(p, []).append(x)
             by_child.setdefault((*p, x["s"][level]), []).append(x)
-        named = {}
+        named, few = {}, set()
         for child, xs in by_child.items():
             s = child[-1]
             n, known, blocked, main = stat(xs)
@@ -269,21 +267,27 @@ def plain_templates(rows):
             alike = main == pmain
             if alike and known and pb not in (0, pk):
                 alike = abs(blocked / known - pb / pk) / np.sqrt(pb / pk * (1 - pb / pk) / known) < 2
-            named[child] = "" if s == "" else s if n == pn and "{" not in s else "*" if n < 3 or n < 0.02 * pn or alike else s
-        for x in items:
-            x["new"] = named[(x["host"], *x["t"], x["s"][level])]
-        for x in items:
-            x["t"].append(x.pop("new"))
+            named[child] = "" if s == "" else "**" if pn < 3 else s if n == pn and "{" not in s else "*" if n < 3 or n < 0.02 * pn or alike else s
+            if s != "" and pn < 3:
+                few.add(child)
+        for x in live:
+            x["at"] = (x["host"], *x["t"], x["s"][level])
+        for x in live:
+            x["t"].append(named[x["at"]])
+        level += 1
+        live = [x for x in live if len(x["s"]) > level and x["at"] not in few]
     known = [x["said"] for x in items if x["said"]]
     rate = known.count("block") / len(known) if known else 0
     out, by = [], {}
     for x in items:
-        x["template"] = re.sub("/+$", "", "/".join(["", *x["t"], x["deep"]]))
+        x["template"] = re.sub("/+$", "", "/".join(["", *x["t"]]))
         by.setdefault((x["host"], x["template"]), []).append(x["said"])
     for x in items:
         own = by[x["host"], x["template"]]
         k = [s for s in own if s]
-        out.append((x["template"], (k.count("block") + 10 * rate) / (len(k) + 10)))
+        h = [y["said"] for y in items if y["host"] == x["host"] and y["said"]]
+        near = (h.count("block") + 10 * rate) / (len(h) + 10)
+        out.append((x["template"], (k.count("block") + 10 * near) / (len(k) + 10)))
     return out
 
 
@@ -309,6 +313,19 @@ def test_pure_template_is_rejected(worker_code):
     assert {r.verdict for r in clean.collect()} == {"allow"}
 
 
+def test_branches_part_at_any_depth(worker_code):
+    """Pages that differ in their fourth and sixth segment only; the rules label two of three."""
+    for before in ("a/b/c", "a/b/c/d/e"):
+        rows = [(i, f"http://s.com/{before}/{'bad' if i % 2 else 'ok'}/{i}") for i in range(240)] + [(999, "http://s.com/" + "x/" * 300)]
+        rules = [("block" if i % 2 else "allow", f"s.com/{before}/{'bad' if i % 2 else 'ok'}/{i}") for i in range(240) if i % 3]
+        got = url_templates.judge(worker_code.createDataFrame(rows, "page_id long, url string"), rules).collect()
+        open_pages = [r for r in got if r.rule is None and r.page_id != 999]
+        assert len(open_pages) > 30 and all(r.verdict == ("block" if r.page_id % 2 else "allow") for r in open_pages)
+        depth = before.count("/") + 1
+        assert {r.template for r in open_pages} == {"/*" * depth + "/bad/*", "/*" * depth + "/ok/*"}  # the odd page makes their heads variables
+        assert [r.template for r in got if r.page_id == 999] == ["/*" * (depth + 1) + "/**"]
+
+
 def test_pipeline_stages_keep_the_columns(worker_code):
     import corpus_pipeline
     docs = worker_code.read.parquet(f"{SF}/documents.parquet")
