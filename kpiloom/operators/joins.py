@@ -9,6 +9,7 @@ partitions are split (``spark.sql.adaptive.skewJoin.enabled``).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -157,3 +158,27 @@ def slab_join(values: DataFrame, value_col: str, slabs: DataFrame, lo: str = "lo
     joined = held.join(pieces.alias("_s"), cond, "left")
     return joined.select(*[F.col(f"_v.`{c}`") for c in values.columns],
                          F.coalesce(F.col("_amt"), F.lit(else_value)).alias(out_col))
+
+
+def full_merge(tables: list[DataFrame], key: str) -> DataFrame:
+    """N-way FULL OUTER merge on a key of which each table has one row at most: every key of any table, nulls where a table lacks it.
+
+    One union and one grouping instead of a chain of joins, each of which would shuffle again because the merged key is a
+    new column.  Value columns need different names; a null key is a key like any other here, and meets the other tables' null
+    keys.  A key that a table repeats is an error when the merge runs, because joins would multiply its rows.
+    """
+    values = [[c for c in t.columns if c != key] for t in tables]
+    names = [c for own in values for c in own]
+    if len({n.lower() for n in [key, *names]}) != len(names) + 1:
+        raise ValueError(f"value columns need names of their own: {names}")
+    kinds = {f.name: f.dataType for t in tables for f in t.schema.fields}
+
+    def lifted(i: int, t: DataFrame) -> DataFrame:
+        own = set(values[i])
+        return t.select(F.col(f"`{key}`"), F.lit(i).alias("__from"), *[(F.col(f"`{c}`") if c in own else F.lit(None).cast(kinds[c])).alias(c) for c in names])
+
+    rows = reduce(DataFrame.unionByName, [lifted(i, t) for i, t in enumerate(tables)])
+    counts = [F.count_if(F.col("__from") == i).alias(f"__n{i}") for i in range(len(tables))]
+    merged = rows.groupBy(f"`{key}`").agg(*[F.any_value(F.col(f"`{c}`"), True).alias(c) for c in names], *counts)
+    once = F.assert_true(F.greatest(*[F.col(f"__n{i}") for i in range(len(tables))], F.lit(0)) <= 1, F.lit("full_merge: a table repeats a key"))
+    return merged.where(once.isNull()).select(F.col(f"`{key}`"), *[F.col(f"`{c}`") for c in names])

@@ -10,6 +10,7 @@ from kpiloom.functions.scalars import from_units
 from kpiloom.functions.search import search_summary
 from kpiloom.operators.consolidate import Mapping, consolidate, mappings_for, payout_cards, presum, row_total
 from kpiloom.operators.order_index import build_order
+from kpiloom.operators.joins import full_merge
 from kpiloom.operators.paging import page, page_count, top_n
 from kpiloom.session import scratch_path
 from kpiloom.sources.tables import table
@@ -79,10 +80,18 @@ def q_consolidate(spark, sf_dir):
     return flagship(spark, sf_dir)
 
 
-@register("join_nway_full", MERGED)
+@register("join_nway_full", """
+WITH a AS (SELECT o_custkey AS person, CAST(MAX(o_totalprice) AS DOUBLE) AS top_order FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000 GROUP BY 1),
+b AS (SELECT c_custkey AS person, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'),
+c AS (SELECT user_id AS person, CAST(COUNT(*) AS DOUBLE) AS n_events FROM events WHERE value > 90 GROUP BY 1)
+SELECT CAST(person AS BIGINT) AS person, top_order, c_acctbal, n_events FROM a FULL OUTER JOIN b USING (person) FULL OUTER JOIN c USING (person)""")
 def q_join_nway_full(spark, sf_dir):
-    # The N-way FULL OUTER merge on the person key is the consolidate plan.
-    return flagship(spark, sf_dir)
+    # Three tables with different people: dear closed orders, customers of a segment, users with large events.
+    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND o_totalprice > 300000")
+    a = orders.groupBy(F.col("o_custkey").cast("long").alias("person")).agg(F.max("o_totalprice").cast("double").alias("top_order"))
+    b = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("long").alias("person"), "c_acctbal")
+    c = table(spark, sf_dir, "events").where("value > 90").groupBy(F.col("user_id").cast("long").alias("person")).agg(F.count("*").cast("double").alias("n_events"))
+    return full_merge([a, b, c], "person")
 
 
 @register("agg_key_presum", f"""

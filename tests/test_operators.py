@@ -243,3 +243,17 @@ def test_builder_groups_by_the_merged_using_key(spark, how, want):
     got = {r.k: r for r in build(spec, {"base": base, "r": right}).collect()}
     assert {k: r.s for k, r in got.items()} == want
     assert got[3].n == 0 and got[3].m == 1 and got[1].n == got[1].m == 1       # a bare name is the base's column
+
+
+def test_full_merge_of_unequal_keys(spark):
+    from kpiloom.operators.joins import full_merge
+    a = spark.createDataFrame([(1, "x"), (2, None), (None, "n")], "k long, a string")
+    b = spark.createDataFrame([(2, 2.5), (3, 3.5), (None, 0.5)], "k long, b double")
+    c = spark.createDataFrame([(4, True)], "k long, c boolean")
+    got = {r.k: (r.a, r.b, r.c) for r in full_merge([a, b, c], "k").collect()}
+    assert got == {1: ("x", None, None), 2: (None, 2.5, None), 3: (None, 3.5, None), 4: (None, None, True), None: ("n", 0.5, None)}
+    assert full_merge([a.limit(0), b.limit(0)], "k").count() == 0
+    with pytest.raises(ValueError):
+        full_merge([a, a], "k")
+    with pytest.raises(Exception, match="repeats a key"):
+        full_merge([a.unionByName(a), b], "k").collect()
