@@ -96,15 +96,17 @@ def read_result_json(spark: SparkSession, path: str, schema: StructType | None =
     """A result set stored as JSON lines.  An object carrying ``__error__``
     marks a failed run; no records at all is a failure too.
 
-    Returns ``(df, status, error)``; the checks look at one record at most.
+    Returns ``(df, status, error)``; one read checks both, with an error column over all records, else up to the first.
     """
     df = spark.read.schema(schema).json(path) if schema is not None else spark.read.json(path)
     if "__error__" in df.columns:
-        err = df.where(F.col("__error__").isNotNull()).select("__error__").limit(1).collect()
-        if err:
-            return None, "failed", str(err[0][0])
-        df = df.drop("__error__")
-    if df.isEmpty():
+        found = df.agg(F.any_value("__error__", F.lit(True)).alias("error"), F.count("*").alias("n")).first()
+        if found.error is not None:
+            return None, "failed", str(found.error)
+        df, empty = df.drop("__error__"), found.n == 0
+    else:
+        empty = df.isEmpty()
+    if empty:
         return None, "failed", "empty result"
     return df, "success", None
 
