@@ -107,10 +107,10 @@ def _first_grid():
 
 
 def html_grid(df: DataFrame, html_col: str, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns, ``row_no`` (0 = header row) and ``cells`` (text by column; null where no cell reaches)."""
+    """``keep`` columns, ``row_no`` (0 = header row), ``cells`` (text by column; null where no cell reaches) and ``head``, the document's first row."""
     keep = keep or []
     picked = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").alias("__html"))
-    schema = StructType([picked.schema[c] for c in keep]).add("row_no", IntegerType()).add("cells", ArrayType(StringType()))
+    schema = StructType([picked.schema[c] for c in keep]).add("row_no", IntegerType()).add("cells", ArrayType(StringType())).add("head", ArrayType(StringType()))
     grid = _first_grid()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,6 +121,7 @@ def html_grid(df: DataFrame, html_col: str, keep: list[str] | None = None) -> Da
                     part = rows[at:at + 10_000]
                     out = pd.concat([b[keep].iloc[[i]]] * len(part), ignore_index=True) if keep else pd.DataFrame(index=range(len(part)))
                     out["row_no"], out["cells"] = range(at, at + len(part)), part
+                    out["head"] = [rows[0]] * len(part)
                     yield out
 
     return picked.mapInPandas(run, schema)
@@ -129,17 +130,15 @@ def html_grid(df: DataFrame, html_col: str, keep: list[str] | None = None) -> Da
 def read_html_grid(df: DataFrame, html_col: str, columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """Rows below the header of each document's first table as named string columns.
 
-    Names are looked up in the document's own header (lower case, blanks as ``_``; the first of equal names), which is joined
-    to its rows inside the parser's output, so documents may order their columns differently; a name not there gives nulls.
+    Names are looked up in the document's own header (lower case, blanks as ``_``; the first of equal names), which the
+    parser gives with each row, so documents may order their columns differently; a name not there gives nulls.
     """
     keep = keep or []
-    doc = "__doc"
-    rows = html_grid(df.withColumn(doc, F.monotonically_increasing_id()), html_col, [*keep, doc])
-    head = rows.where("row_no = 0").select(doc, F.transform("cells", lambda c: F.regexp_replace(F.lower(c), " ", "_")).alias("__head"))
-    both = rows.where("row_no > 0").join(head, doc)
+    both = html_grid(df, html_col, keep).where("row_no > 0").withColumn(
+        "head", F.transform("head", lambda c: F.regexp_replace(F.lower(c), " ", "_")))
 
     def named(name: str):
-        at = F.array_position("__head", name).cast("int")
+        at = F.array_position("head", name).cast("int")
         return F.when(at > 0, F.try_element_at("cells", at)).alias(name)
 
     return both.select(*keep, "row_no", *[named(c) for c in columns])
