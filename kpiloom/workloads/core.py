@@ -3,12 +3,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.scalars import from_units
+from kpiloom.functions.scalars import NULL_KEY, from_parts, from_units, key_norm, money_parts
 from kpiloom.functions.search import search_summary
-from kpiloom.operators.consolidate import Mapping, consolidate, mappings_for, payout_cards, presum, row_total
+from kpiloom.operators.consolidate import Mapping, consolidate, mappings_for, payout_cards, presum, q, row_total
 from kpiloom.operators.order_index import build_order
 from kpiloom.operators.joins import full_merge
 from kpiloom.operators.paging import page, page_count, top_n
@@ -80,18 +82,22 @@ def q_consolidate(spark, sf_dir):
     return flagship(spark, sf_dir)
 
 
-@register("join_nway_full", """
-WITH a AS (SELECT o_custkey AS person, CAST(MAX(o_totalprice) AS DOUBLE) AS top_order FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000 GROUP BY 1),
-b AS (SELECT c_custkey AS person, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'),
-c AS (SELECT user_id AS person, CAST(COUNT(*) AS DOUBLE) AS n_events FROM events WHERE value > 90 GROUP BY 1)
-SELECT CAST(person AS BIGINT) AS person, top_order, c_acctbal, n_events FROM a FULL OUTER JOIN b USING (person) FULL OUTER JOIN c USING (person)""")
+@register("join_nway_full", MERGED)
 def q_join_nway_full(spark, sf_dir):
-    # Three tables with different people: dear closed orders, customers of a segment, users with large events.
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND o_totalprice > 300000")
-    a = orders.groupBy(F.col("o_custkey").cast("long").alias("person")).agg(F.max("o_totalprice").cast("double").alias("top_order"))
-    b = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("long").alias("person"), "c_acctbal")
-    c = table(spark, sf_dir, "events").where("value > 90").groupBy(F.col("user_id").cast("long").alias("person")).agg(F.count("*").cast("double").alias("n_events"))
-    return full_merge([a, b, c], "person")
+    # Each table summed per person first, then one full merge of all persons of the three; the sums stay whole part and rest
+    # until the end, so that totals are exact.
+    mappings = flagship_mappings(spark, sf_dir)
+    sums = []
+    for m in mappings:
+        whole, rest = money_parts(q(m.val_col), m.df.schema[m.val_col].dataType)
+        key = key_norm(q(m.key_col), NULL_KEY, m.df.schema[m.key_col].dataType).alias("cj_id")
+        rows = m.df.select(key, whole.alias("_w"), rest.alias("_r"))
+        sums.append(rows.groupBy("cj_id").agg(F.sum("_w").alias(f"{m.label}_w"), F.sum("_r").alias(f"{m.label}_r")))
+    merged = full_merge(sums, "cj_id").na.fill(0)
+    parts = [(F.col(f"{m.label}_w"), F.col(f"{m.label}_r")) for m in mappings]
+    total = from_parts(*[reduce(Column.__add__, own) for own in zip(*parts)]).alias("total_incentive")
+    out = merged.select("cj_id", *[from_parts(*p).alias(m.label) for p, m in zip(parts, mappings)], total)
+    return out.orderBy(F.col("total_incentive").desc(), "cj_id")
 
 
 @register("agg_key_presum", f"""

@@ -257,3 +257,19 @@ def test_full_merge_of_unequal_keys(spark):
         full_merge([a, a], "k")
     with pytest.raises(Exception, match="repeats a key"):
         full_merge([a.unionByName(a), b], "k").collect()
+
+
+def test_join_nway_full_keeps_every_person(spark, tmp_path):
+    """Persons of one table only, of two and of all, whatever their amounts, status or segment; a null person is a bucket."""
+    from kpiloom.workloads.core import q_consolidate, q_join_nway_full
+    tables = {
+        "orders": ([(1, 10, 100.25, "O"), (2, 10, 0.5, "F"), (3, 20, 7.0, "P"), (4, None, 3.0, "F")],
+                   "o_orderkey long, o_custkey long, o_totalprice double, o_orderstatus string"),
+        "events": ([(10, 0.1), (10, 0.2), (30, 95.0), (None, 1.0)], "user_id long, value double"),
+        "lineitem": ([(1, 50.0, 0.1), (1, 10.0, 0.0), (3, 2.0, 0.5), (9, 9.0, 0.0)], "l_orderkey long, l_extendedprice double, l_discount double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = [tuple(r) for r in q_join_nway_full(spark, str(tmp_path)).collect()]
+    assert got == [("10", 100.75, 0.3, 55.0, 156.05), ("30", 0.0, 95.0, 0.0, 95.0), ("20", 7.0, 0.0, 1.0, 8.0), ("nan", 3.0, 1.0, 0.0, 4.0)]
+    assert got == [tuple(r) for r in q_consolidate(spark, str(tmp_path)).collect()]
