@@ -20,7 +20,7 @@ an earlier one (by document id, then line number) is removed.
     few candidates per line and word, not all its pairs.
 4.  Candidates are verified on the lines themselves, per word the nearest
     first, the others for lines whose nearest ones do not hold.  Lines that are
-    still open get their next ones, four times as many each round and only under
+    still open get their next ones, sixteen times as many each round and only under
     the words that have more, until one holds or none is left, so nothing is
     missed.
 
@@ -33,6 +33,7 @@ ids come last.  An empty table gives no rows; other columns pass through.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -51,16 +52,75 @@ LEAST_WORDS = 3
 EVERY_LINE = 1
 BITS = 20
 SLOT = 4096
-CHUNK = 1 << 18
-#: Candidates per line and word of the first round; later rounds take four times as many each, until none is left.
+#: Bytes of lines that are made sets, and of words that are hashed, at a time.
+CHUNK, PIECE = 1 << 20, 1 << 16
+LONG_WORD = 4096
+BLANKS = b" \t\n\x0b\x0c\r"
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+#: Candidates per line and word of the first round; later rounds take sixteen times as many each, until none is left.
 FIRST_ROUND = 8
 LAST = (1 << 63) - 1
 #: What names a line and, of a pair, the earlier one.
 LINE, EARLIER = ("doc", "row", "line"), ("e_doc", "e_row", "e_line")
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+def _weights() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(6)
+    values, places = (rng.integers(0, 1 << 64, n, np.uint64) for n in (256, LONG_WORD))
+    values[list(BLANKS)] = 0
+    return values, places
+
+
+VALUES, PLACES = _weights()
+INSIDE = bytes(int(x not in BLANKS) for x in range(256))
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of each word of the (lower-cased) bytes, and the number of its line.
+
+    A word's hash is the sum over its bytes of (number of the byte) * (number of its place), mixed: whole arrays at a time.
+    Words above LONG_WORD bytes take their XXH64."""
+    found, lines, lo, before = [], [], 0, 0
+    while lo < len(data):
+        cut = BLANK.search(data, lo + PIECE) if lo + PIECE < len(data) else None  # pieces end behind a blank
+        piece = data[lo:cut.end() if cut else len(data)]
+        lo += len(piece)
+        a = np.frombuffer(piece, np.uint8)
+        inside = np.frombuffer(b"\0" + piece.translate(INSIDE) + b"\0", np.uint8)
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edges[::2], edges[1::2]
+        breaks = np.flatnonzero(a == 10)
+        if len(start):
+            place = np.arange(len(a)) - np.repeat(np.append(0, start), np.diff(start, prepend=0, append=len(a)))
+            total = VALUES.take(a)
+            total *= PLACES.take(place, mode="clip")
+            np.cumsum(total, out=total)  # sums wrap, and so do their differences
+            h = total[end - 1]
+            h[1:] -= h[:-1].copy()
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+            for i in np.flatnonzero(end - start > LONG_WORD):
+                h[i] = xxhash.xxh64_intdigest(piece[start[i]:end[i]])
+            found.append(h)
+            lines.append(before + np.searchsorted(breaks, start))
+        before += len(breaks)
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(lines)
+
+
+def _joined(texts: Iterator[str]) -> Iterator[tuple[bytes, int]]:
+    """Lower-cased texts (A-Z), joined by line breaks to a bounded size (or one text), and how many they are."""
+    own, size = [], 0
+    for t in texts:
+        own.append(t.encode().lower())
+        size += len(own[-1]) + 1
+        if size >= CHUNK:
+            yield b"\n".join(own), len(own)
+            own, size = [], 0
+    if own:
+        yield b"\n".join(own), len(own)
 
 
 def _row_key(docs: DataFrame, key: str, text: str) -> tuple[Column, Column]:
@@ -88,8 +148,8 @@ def word_counts(texts: DataFrame) -> np.ndarray:
             return pd.DataFrame({"slot": np.arange(len(total) // SLOT), "counts": [x.tobytes() for x in total.reshape(-1, SLOT)]})
 
         for b in batches:
-            for t in b["text"]:
-                at = (hashes(t.encode().lower().split()) & mask).astype(np.int64)
+            for data, _ in _joined(b["text"]):
+                at = (word_hashes(data)[0] & mask).astype(np.int64)
                 if words + len(at) >= 1 << 32:  # the counts leave before they could overflow
                     yield out()
                     total, words = np.zeros(1 << BITS, np.uint32), 0
@@ -133,9 +193,9 @@ def _rare_first(line: np.ndarray, rank: np.ndarray, h: np.ndarray, sizes: int) -
     return order
 
 
-def _sets(keys: list[tuple[int, int, int]], sizes: list[int], words: list[bytes], place: np.ndarray, lone: int, threshold: float) -> pa.RecordBatch:
-    """Rows of ``line_sets`` for lines of the given numbers of words, none of them 0."""
-    h, line = hashes(words), np.repeat(np.arange(len(sizes)), sizes)
+def _sets(keys: list[np.ndarray], sizes: np.ndarray, h: np.ndarray, place: np.ndarray, lone: int, threshold: float) -> pa.RecordBatch:
+    """Rows of ``line_sets`` for lines of the given numbers of words, none of them 0; keys: their docs, rows and numbers; h: the words' hashes."""
+    line = np.repeat(np.arange(len(sizes)), sizes)
     rank = place[(h & np.uint64(len(place) - 1)).astype(np.int64)].astype(np.uint64)
     order = _rare_first(line, rank, h, len(sizes))
     h, line, rank = h[order], line[order], rank[order]
@@ -153,7 +213,7 @@ def _sets(keys: list[tuple[int, int, int]], sizes: list[int], words: list[bytes]
     at = np.arange(len(h)) - start[line]
     chosen = h[(at >= alone[line]) & (at < prefix[line])]
     return pa.RecordBatch.from_arrays([
-        pa.array([d for d, _, _ in keys], pa.int64()), pa.array([x for _, x, _ in keys], pa.int64()), pa.array([no for _, _, no in keys], pa.int32()),
+        *[pa.array(x, kind) for x, kind in zip(keys, (pa.int64(), pa.int64(), pa.int32()))],
         *[pa.array(over(np.add, x).view(np.int64)) for x in (h, mixed ^ (mixed >> np.uint64(32)))], pa.array(n.astype(np.int32)),
         pa.array(alone.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.view(np.int64))),
         *[pa.array(over(np.bitwise_or, x).view(np.int64)) for x in image],
@@ -167,19 +227,19 @@ def line_sets(texts: DataFrame, counts: np.ndarray, threshold: float, least_word
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, sizes, words = [], [], []
-            for doc, row, t in zip(*[b.column(c).to_pylist() for c in ("doc", "row", "text")]):
-                for no, line in enumerate(t.encode().lower().split(b"\n")):
-                    own = line.split()
-                    if len(own) >= max(1, least_words):
-                        keys.append((doc, row, no))
-                        sizes.append(len(own))
-                        words += own
-                if len(words) >= CHUNK:
-                    yield _sets(keys, sizes, words, *sent.value, threshold)
-                    keys, sizes, words = [], [], []
-            if keys:
-                yield _sets(keys, sizes, words, *sent.value, threshold)
+            doc, row = (b.column(c).to_numpy() for c in ("doc", "row"))
+            done = 0
+            for data, many in _joined(b.column("text").to_pylist()):
+                texts_lines = 1 + np.fromiter((t.count("\n") for t in b.column("text").slice(done, many).to_pylist()), np.int64, many)
+                h, line = word_hashes(data)
+                sizes = np.bincount(line, minlength=texts_lines.sum())
+                use = np.flatnonzero(sizes >= max(1, least_words))
+                if len(use):
+                    own = np.repeat(np.arange(done, done + many), texts_lines)
+                    number = np.arange(len(sizes)) - np.repeat(np.cumsum(texts_lines) - texts_lines, texts_lines)
+                    keys = [doc[own[use]], row[own[use]], number[use]]
+                    yield _sets(keys, sizes[use], h[sizes[line] >= max(1, least_words)], *sent.value, threshold)
+                done += many
 
     return texts.mapInArrow(run, "doc long, row long, line int, d0 long, d1 long, n int, alone int, prefix array<long>, b0 long, b1 long")
 
@@ -266,19 +326,21 @@ def _set_of(line: Column) -> Column:
     return F.array_distinct(F.filter(F.split(low, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
 
 
-def line_words(pairs: DataFrame, texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(doc, row, line, s) of the lines of the pairs, s their sets of words; known: those read before, which are not read again."""
+def line_words(pairs: DataFrame, texts: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc, row, line, s) of the lines of the pairs, s their sets of words, alone and with ``known``: those read before, which are not read again."""
     wanted = pairs.select(*LINE).unionByName(pairs.select(*[F.col(e).alias(c) for c, e in zip(LINE, EARLIER)])).distinct()
     if known is not None:
+        wanted = stored(wanted, "round-lines")  # often few: the planner, which knows their size, then moves no others
+        held = known.join(wanted, [*LINE], "left_semi")
         wanted = wanted.join(known.select(*LINE), [*LINE], "left_anti")
     wanted = stored(wanted.groupBy("doc", "row").agg(F.collect_list("line").alias("lines")), "wanted-lines")  # the lines of one document
     if known is not None and wanted.isEmpty():
-        return known
+        return stored(held, "round-words"), known
     # The first round wants lines of nearly all documents; what later ones want is often small, and the planner, which knows its size, decides.
     named = texts.join(wanted.hint("shuffle_hash") if known is None else wanted, ["doc", "row"]).withColumn("all", F.split("text", "\n"))
     named = named.select("doc", "row", F.explode("lines").alias("line"), "all").select(*LINE, _set_of(F.get("all", F.col("line"))).alias("s"))
     named = stored(named.dropDuplicates([*LINE]), "candidate-lines")
-    return named if known is None else known.unionByName(named)
+    return (named, named) if known is None else (stored(held.unionByName(named), "round-words"), known.unionByName(named))
 
 
 def verified(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
@@ -302,19 +364,20 @@ def _removed(texts: DataFrame, threshold: float, least_words: int) -> DataFrame:
     near, still, known, skip, take = [], None, None, 0, FIRST_ROUND
     while True:
         found = stored(_nearest(index, threshold, skip, take, still), "line-candidates")
-        known = line_words(found, texts, known)
+        words, known = line_words(found, texts, known)
         rest = found
-        for now in ("place = 1", "place > 1"):  # the others only for lines whose nearest ones do not hold
+        # At first the others only for lines whose nearest ones do not hold; what is open later has no near one that holds.
+        for now in ("true",) if skip else ("place = 1", "place > 1"):
             pairs = rest.where(now).select(*LINE, *EARLIER).distinct()
             if not pairs.isEmpty():
-                near.append(stored(verified(pairs, known, threshold), "near-lines"))
+                near.append(stored(verified(pairs, words, threshold), "near-lines"))
                 rest = rest.join(near[-1], [*LINE], "left_anti")
         still = stored(rest.where("more").select(*LINE, "word").distinct(), "open-lines")
         if still.isEmpty():
             break
         if not skip:  # the words of open lines only get fewer: later rounds read no others
             index = stored(index.join(still.select("word").distinct(), "word", "left_semi"), "open-index")
-        skip, take = skip + take, 4 * take
+        skip, take = skip + take, 16 * take
     again = sets.where("copies > 1").select("d0", "d1", *[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)])
     exact = lines.select("d0", "d1", *LINE).join(again, ["d0", "d1"]).where("doc != e_doc or row != e_row or line != e_line").select(*LINE, F.lit(True).alias("exact"))
     return reduce(DataFrame.unionByName, [x.select(*LINE, F.lit(False).alias("exact")) for x in near], exact).dropDuplicates([*LINE])

@@ -383,3 +383,27 @@ def test_line_dedup_with_clashing_names(worker_code):
     got = lines.dedup_lines(df)
     assert got.columns == ["doc_id", "text", "_gone", "_doc", "own_row", "gone", "n_exact", "n_near"]
     assert sorted(tuple(r) for r in got.collect()) == [(1, rows[0][1], 6, 77, 78, "a", 0, 0), (2, "own text two", 6, 77, 78, "b", 1, 0)]
+
+
+def test_word_hashes_follow_words_and_lines(monkeypatch):
+    """Equal words have equal hashes wherever they stand, whatever piece they fall into; blanks are those of bytes.split()."""
+    rng = random.Random(4)
+    for piece in (1 << 16, 7):
+        monkeypatch.setattr(lines, "PIECE", piece)
+        for _ in range(200):
+            data = bytes(rng.choice(b" \t\n\x0b\x0c\rab\x00\x1c\x85\xc3\xa9") for _ in range(rng.randrange(60)))
+            got = list(zip(*(x.tolist() for x in lines.word_hashes(data))))
+            assert got == [(int(lines.word_hashes(w)[0][0]), no) for no, line in enumerate(data.split(b"\n")) for w in line.split()]
+    long = b"x" * (lines.LONG_WORD + 1)
+    assert len({int(lines.word_hashes(w)[0][0]) for w in (long, long + b"x", long[:-1], b"x", b"ab", b"ba")}) == 6
+
+
+def test_later_rounds_take_only_their_lines(worker_code):
+    texts = lines._texts(worker_code.createDataFrame([(i, f"a b c{i}\nd e f{i}") for i in range(4)], "doc_id long, text string"), "doc_id", "text")
+    pairs = lambda *p: worker_code.createDataFrame([(a, 0, 0, b, 0, 0) for a, b in p], "doc long, row long, line int, e_doc long, e_row long, e_line int")
+    first, known = lines.line_words(pairs((1, 0), (2, 1)), texts)
+    assert first.count() == known.count() == 3
+    own, known = lines.line_words(pairs((3, 2)), texts, known)
+    assert {(r.doc, *sorted(r.s)) for r in own.collect()} == {(2, "a", "b", "c2"), (3, "a", "b", "c3")} and known.count() == 4
+    own, known = lines.line_words(pairs((3, 0)), texts, known)
+    assert {r.doc for r in own.collect()} == {0, 3} and known.count() == 4
