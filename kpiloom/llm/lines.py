@@ -59,6 +59,8 @@ BLANKS = b" \t\n\x0b\x0c\r"
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
 #: Candidates per line and word of the first round; later rounds take sixteen times as many each, until none is left.
 FIRST_ROUND = 8
+#: Index rows that meet at a time, times the candidates that each may give.
+GATHERED = 1 << 20
 LAST = (1 << 63) - 1
 #: What names a line and, of a pair, the earlier one.
 LINE, EARLIER = ("doc", "row", "line"), ("e_doc", "e_row", "e_line")
@@ -257,6 +259,29 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
 
 
+def _whole_words(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of rows ordered by word, from batch to batch: ``least`` rows or more at a time (fewer at the end), no word in two of them.
+
+    A word that goes on over many batches is put together once, at its end."""
+    def columns(held: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
+        rows = pa.Table.from_batches(held)
+        return {c: rows.column(c).to_numpy() for c in rows.column_names}
+
+    held, rows = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        rows += b.num_rows
+        word = b.column("word").to_numpy()
+        if rows >= least and word[0] != word[-1]:  # the last word may go on in the next batch
+            cut = int(np.flatnonzero(word != word[-1])[-1]) + 1
+            yield columns([*held[:-1], b.slice(0, cut)])
+            held, rows = [b.slice(cut)], b.num_rows - cut
+    if held:
+        yield columns(held)
+
+
 def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
     """(doc, row, line, e_doc, e_row, e_line, word, place, more): per line and word its nearest earlier lines that the filters let pass,
     without the first ``skip``, ``take`` at most, the first at place 1; more: that line and word have further ones.  only: what to give them for, rows
@@ -268,7 +293,7 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
         index = index.join(only.distinct().withColumn("open", F.lit(True)), only.columns, "left").withColumn("open", F.coalesce("open", F.lit(False)))
         columns.append("open")
 
-    def meet(a: dict[str, np.ndarray]) -> pd.DataFrame:
+    def meet(a: dict[str, np.ndarray]) -> pa.RecordBatch:
         total = len(a["word"])
         start = np.r_[True, a["word"][1:] != a["word"][:-1]] if total else np.zeros(0, bool)
         first = np.maximum.accumulate(np.where(start, np.arange(total), 0)) if total else np.zeros(0, np.int64)
@@ -294,26 +319,14 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
             live = live[live - d >= first[live]]
         i = np.concatenate(late) if late else np.zeros(0, np.int64)
         j = np.concatenate(early) if early else np.zeros(0, np.int64)
-        return pd.DataFrame({**{c: a[c][i] for c in LINE}, **{f"e_{c}": a[c][j] for c in LINE}, "word": a["word"][i],
-                             "place": np.concatenate(place) if place else i, "more": seen[i] > last})
+        return pa.RecordBatch.from_pydict({**{c: a[c][i] for c in LINE}, **{f"e_{c}": a[c][j] for c in LINE}, "word": a["word"][i],
+                                           "place": np.concatenate(place) if place else i, "more": seen[i] > last})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: dict[str, np.ndarray] | None = None
-        for b in batches:
-            now = {c: b[c].to_numpy() for c in columns}
-            if rest is not None:
-                now = {c: np.concatenate([rest[c], now[c]]) for c in columns}
-            if not len(now["word"]):
-                continue
-            cut = int(np.nonzero(now["word"] != now["word"][-1])[0][-1]) + 1 if (now["word"] != now["word"][-1]).any() else 0
-            if cut:  # the last word may go on in the next batch
-                yield meet({c: x[:cut] for c, x in now.items()})
-            rest = {c: x[cut:] for c, x in now.items()}
-        if rest is not None:
-            yield meet(rest)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(meet, _whole_words(batches, max(1, GATHERED // take)))
 
     parts = index.select(*columns).repartition("word").sortWithinPartitions("word", *LINE)
-    return parts.mapInPandas(run, "doc long, row long, line int, e_doc long, e_row long, e_line int, word long, place long, more boolean")
+    return parts.mapInArrow(run, "doc long, row long, line int, e_doc long, e_row long, e_line int, word long, place long, more boolean")
 
 
 def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -407,3 +408,34 @@ def test_later_rounds_take_only_their_lines(worker_code):
     assert {(r.doc, *sorted(r.s)) for r in own.collect()} == {(2, "a", "b", "c2"), (3, "a", "b", "c3")} and known.count() == 4
     own, known = lines.line_words(pairs((3, 0)), texts, known)
     assert {r.doc for r in own.collect()} == {0, 3} and known.count() == 4
+
+
+def test_index_rows_gather_over_small_batches():
+    """Few meetings however small the batches, each word whole in one of them, and nothing lost or reordered."""
+    rng = np.random.default_rng(4)
+    word = np.sort(np.concatenate([rng.integers(0, 400, 3000), np.full(900, 77)]))
+    rows = pa.RecordBatch.from_pydict({"word": word, "doc": np.arange(len(word))})
+    for size in (1, 7, 100, 5000):
+        batches = [rows.slice(i, size) for i in range(0, len(word), size)] + [rows.slice(0, 0)]
+        got = list(lines._whole_words(iter(batches), 500))
+        assert np.concatenate([x["doc"] for x in got]).tolist() == list(range(len(word)))
+        assert all(len(x["doc"]) > 400 for x in got[:-1]) and len(got) <= 8
+        whole = [set(x["word"].tolist()) for x in got]
+        assert sum(map(len, whole)) == len(set(word.tolist()))
+    assert list(lines._whole_words(iter([rows.slice(0, 0)]), 500)) == []
+
+
+@pytest.mark.parametrize("gathered", [1, 1 << 20])
+def test_line_candidates_do_not_depend_on_batches(worker_code, monkeypatch, gathered):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.sample("a b c d e f g h i j".split(), 8))) for i in range(120)]
+    texts = lines._texts(worker_code.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    index = lines._index(lines.line_sets(texts, lines.word_counts(texts), 0.5, 1)).localCheckpoint()
+    want = Counter(tuple(r) for r in lines._nearest(index, 0.5, 0, 4).collect())
+    monkeypatch.setattr(lines, "GATHERED", gathered)
+    before = worker_code.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    worker_code.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        assert Counter(tuple(r) for r in lines._nearest(index, 0.5, 0, 4).collect()) == want and want
+    finally:
+        worker_code.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
