@@ -156,10 +156,7 @@ def word_counts(texts: DataFrame) -> np.ndarray:
                     yield out()
                     total, words = np.zeros(1 << BITS, np.uint32), 0
                 words += len(at)
-                if len(at) < 1 << 14:
-                    np.add.at(total, at, np.uint32(1))
-                else:
-                    total += np.bincount(at, minlength=1 << BITS).astype(np.uint32)
+                np.add.at(total, at, np.uint32(1))
         if words:
             yield out()
 
@@ -282,6 +279,21 @@ def _whole_words(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[dict
         yield columns(held)
 
 
+def _by_line(a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The columns of rows ordered by word, with each word's rows ordered by line: one sort of a packed number where the ids leave room for it."""
+    if len(a["word"]) < 2:
+        return a
+    word = np.cumsum(np.r_[False, a["word"][1:] != a["word"][:-1]])
+    doc, row, line = (a[c] for c in LINE)
+    low, first, last = int(line.max()).bit_length(), int(doc.min()), int(doc.max())
+    high = low + (last - first).bit_length()
+    if row.min() == row.max() and line.min() >= 0 and high + int(word[-1]).bit_length() <= 63:
+        order = np.argsort(word << high | (doc - first) << low | line)
+    else:
+        order = np.lexsort((line, row, doc, word))
+    return {c: x[order] for c, x in a.items()}
+
+
 def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, only: DataFrame | None = None) -> DataFrame:
     """(doc, row, line, e_doc, e_row, e_line, word, place, more): per line and word its nearest earlier lines that the filters let pass,
     without the first ``skip``, ``take`` at most, the first at place 1; more: that line and word have further ones.  only: what to give them for, rows
@@ -323,9 +335,9 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
                                            "place": np.concatenate(place) if place else i, "more": seen[i] > last})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from map(meet, _whole_words(batches, max(1, GATHERED // take)))
+        yield from map(meet, map(_by_line, _whole_words(batches, max(1, GATHERED // take))))
 
-    parts = index.select(*columns).repartition("word").sortWithinPartitions("word", *LINE)
+    parts = index.select(*columns).repartition("word").sortWithinPartitions("word")  # by one number, as Spark sorts fastest
     return parts.mapInArrow(run, "doc long, row long, line int, e_doc long, e_row long, e_line int, word long, place long, more boolean")
 
 
@@ -335,8 +347,9 @@ def candidates(index: DataFrame, threshold: float, skip: int = 0, take: int = 1,
 
 
 def _set_of(line: Column) -> Column:
-    low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_distinct(F.filter(F.split(low, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    other = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    low = F.when(F.octet_length(line) == F.char_length(line), F.lower(line)).otherwise(other)  # in ASCII, lower() changes A-Z only
+    return F.array_distinct(F.array_remove(F.split(low, r"[\x20\x09-\x0D]+"), ""))
 
 
 def line_words(pairs: DataFrame, texts: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -348,20 +361,20 @@ def line_words(pairs: DataFrame, texts: DataFrame, known: DataFrame | None = Non
         wanted = wanted.join(known.select(*LINE), [*LINE], "left_anti")
     wanted = stored(wanted.groupBy("doc", "row").agg(F.collect_list("line").alias("lines")), "wanted-lines")  # the lines of one document
     if known is not None and wanted.isEmpty():
-        return stored(held, "round-words"), known
+        return stored(held.hint("rebalance"), "round-words"), known
     # The first round wants lines of nearly all documents; what later ones want is often small, and the planner, which knows its size, decides.
     named = texts.join(wanted.hint("shuffle_hash") if known is None else wanted, ["doc", "row"]).withColumn("all", F.split("text", "\n"))
     named = named.select("doc", "row", F.explode("lines").alias("line"), "all").select(*LINE, _set_of(F.get("all", F.col("line"))).alias("s"))
     named = stored(named.dropDuplicates([*LINE]), "candidate-lines")
-    return (named, named) if known is None else (stored(held.unionByName(named), "round-words"), known.unionByName(named))
+    return (named, named) if known is None else (stored(held.unionByName(named).hint("rebalance"), "round-words"), known.unionByName(named))
 
 
 def verified(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """(doc, row, line) of the pairs whose lines, given by ``line_words``, have the similarity."""
     e = known.select(*[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)], F.col("s").alias("t"))
     both = pairs.join(known, [*LINE]).join(e, [*EARLIER])
-    common = F.size(F.array_intersect("s", "t"))
-    return both.where(common >= F.lit(threshold) * (F.size("s") + F.size("t") - common) - 1e-9).select(*LINE).distinct()
+    common = F.size(F.array_intersect("s", "t"))  # named once: a filter computes each mention anew
+    return both.where(F.lit(1 + threshold) * common >= F.lit(threshold) * (F.size("s") + F.size("t")) - 1e-9).select(*LINE).distinct()
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -389,7 +402,7 @@ def _removed(texts: DataFrame, threshold: float, least_words: int) -> DataFrame:
         if still.isEmpty():
             break
         if not skip:  # the words of open lines only get fewer: later rounds read no others
-            index = stored(index.join(still.select("word").distinct(), "word", "left_semi"), "open-index")
+            index = stored(index.join(still.select("word").distinct(), "word", "left_semi").hint("rebalance"), "open-index")
         skip, take = skip + take, 16 * take
     again = sets.where("copies > 1").select("d0", "d1", *[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)])
     exact = lines.select("d0", "d1", *LINE).join(again, ["d0", "d1"]).where("doc != e_doc or row != e_row or line != e_line").select(*LINE, F.lit(True).alias("exact"))

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from kpiloom.llm import components, embeddings, lines, simhash, url_templates
 from kpiloom.llm.queries import URL_RULES
@@ -439,3 +440,45 @@ def test_line_candidates_do_not_depend_on_batches(worker_code, monkeypatch, gath
         assert Counter(tuple(r) for r in lines._nearest(index, 0.5, 0, 4).collect()) == want and want
     finally:
         worker_code.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+@pytest.mark.parametrize("docs, rows", [((0, 50), (0, 1)), ((-5, 5), (0, 1)), ((0, 5), (-2, 2)), ((-(1 << 63), lines.LAST), (0, 1))])
+def test_index_rows_of_a_word_are_ordered_by_line(docs, rows):
+    """Whatever the ids: few, negative, told apart by row, or too far apart for one packed number."""
+    rng = np.random.default_rng(7)
+    n = 3000
+    a = {"word": np.sort(rng.integers(-9, 9, n)), "doc": rng.integers(*docs, n), "row": rng.integers(*rows, n), "line": rng.integers(0, 90, n).astype(np.int32), "at": np.arange(n)}
+    got = lines._by_line(a)
+    want = sorted(zip(*(a[c].tolist() for c in ("word", "doc", "row", "line"))))
+    assert list(zip(*(got[c].tolist() for c in ("word", "doc", "row", "line")))) == want
+    assert sorted(got["at"].tolist()) == list(range(n)) and all((a[c][got["at"]] == got[c]).all() for c in a)
+    assert lines._by_line({c: x[:1] for c, x in a.items()})["at"].tolist() == [0]
+
+
+def test_index_rows_are_sorted_by_one_number(worker_code):
+    """Spark sorts by the word alone; the lines of a word are put in order in the arrays, and in whatever order they come the candidates are the same."""
+    rows = [(i, " ".join(random.Random(i).sample("a b c d e f g h i j".split(), 8))) for i in range(60)]
+    texts = lines._texts(worker_code.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    index = lines._index(lines.line_sets(texts, lines.word_counts(texts), 0.5, 1)).localCheckpoint()
+    near = lines._nearest(index, 0.5, 0, 4)
+    sorts = re.findall(r"Sort \[[^\]]*\]", near._jdf.queryExecution().optimizedPlan().toString())
+    assert len(sorts) == 1 and sorts[0].count("ASC") == 1
+    back = lines._nearest(index.orderBy(F.desc("doc")), 0.5, 0, 4)
+    assert Counter(tuple(r) for r in back.collect()) == Counter(tuple(r) for r in near.collect())
+
+
+def test_later_rounds_write_few_files(worker_code):
+    """The lines of a later round are few; they do not come in as many files as the lines read so far."""
+    texts = lines._texts(worker_code.createDataFrame([(i, f"a b c{i}") for i in range(64)], "doc_id long, text string"), "doc_id", "text")
+    pairs = worker_code.createDataFrame([(i, 0, 0, i - 1, 0, 0) for i in range(1, 64)], "doc long, row long, line int, e_doc long, e_row long, e_line int")
+    _, known = lines.line_words(pairs, texts)
+    for more in (pairs, pairs.unionByName(pairs.limit(1).withColumn("e_doc", F.lit(0).cast("long")))):
+        own, _ = lines.line_words(more, texts, known.repartition(8).localCheckpoint())
+        assert own.count() == 64 and len(own.inputFiles()) == 1
+
+
+def test_sets_of_words_lower_only_a_to_z(worker_code):
+    said = ["The THE the", " \tA\x0bB\x0c\r a ", "", "\u212a K k", "\u00c0B \u00e0b \u00c0b", "\u0130I i", "[Z] @Z {z}"]
+    got = worker_code.createDataFrame([(i, x) for i, x in enumerate(said)], "i long, x string").select("i", lines._set_of(F.col("x")).alias("s")).collect()
+    for r in got:
+        assert r.s == [w.decode() for w in dict.fromkeys(said[r.i].encode().lower().split())]
