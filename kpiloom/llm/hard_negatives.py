@@ -10,9 +10,10 @@ the total before each lower plane puts the planes together (the top plane of
 two's complement counts negatively).  The scores are whole and exact.
 
 Candidates lie in blocks of about ``candidate_rows`` rows, anchors in blocks of
-``anchor_rows``; a pair of blocks is one row of an equality join on both block
-numbers, so the work spreads over the cluster, nothing depends on how often an
-id, a label or a vector occurs, and a lost executor costs the pairs it held.
+``anchor_rows``, all in files; a task reads some blocks of both sides and pairs
+them, so no side is sent to the driver or copied to a shuffle for its pairs, the
+work spreads over the cluster, nothing depends on how often an id, a label or a
+vector occurs, and a lost executor costs the pairs it held.
 Anchors are a stated query set against all rows, in blocks.  Two passes: the
 first finds each anchor's positives (its first rows of the same label), the
 second the first different-label rows within each positive's limits.  A task
@@ -86,7 +87,7 @@ def scores(tables: np.ndarray, planes: np.ndarray) -> np.ndarray:
     return total
 
 
-def _blocks(rows: DataFrame, per_block: int, width: int, planes: int | None, name: str) -> tuple[DataFrame, int]:
+def _blocks(rows: DataFrame, per_block: int, width: int, planes: int | None, name: str) -> DataFrame:
     """Rows dealt evenly to blocks, one per partition, whatever their ids: (block, n, ids, labels, data), sorted by id inside.
 
     data: bit planes with planes, else the whole numbers."""
@@ -104,14 +105,13 @@ def _blocks(rows: DataFrame, per_block: int, width: int, planes: int | None, nam
                                 "labels": [b["label"].to_numpy(np.int64).tobytes()], "data": [data.tobytes()]})
 
     made = rows.repartition(n).mapInPandas(run, "block int, n int, ids binary, labels binary, data binary")
-    return stored(made, name), n
+    return stored(made, name)
 
 
-def _pairs(anchors: DataFrame, n_anchors: int, candidates: DataFrame, n_candidates: int) -> DataFrame:
-    """One row per pair of an anchor block and a candidate block."""
-    a = anchors.withColumnsRenamed({c: f"a_{c}" for c in anchors.columns}).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))))
-    c = candidates.withColumn("a_block", F.explode(F.sequence(F.lit(0), F.lit(n_anchors - 1))))
-    return c.join(a, ["a_block", "block"])
+def _pairs(anchors: DataFrame, candidates: DataFrame) -> DataFrame:
+    """One row per pair of an anchor block and a candidate block: never a broadcast, however small the files of a side are."""
+    a = anchors.withColumnsRenamed({c: f"a_{c}" for c in anchors.columns})
+    return candidates.crossJoin(a.hint("shuffle_replicate_nl"))
 
 
 def _ranked_keys(r, width: int, planes: int, dtype, same: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -154,8 +154,8 @@ def mine(vecs: DataFrame, anchor: Column, label: Column, key: str = "vec_id", ve
         raise ValueError(f"components of up to {largest / scale:g} in {most_dims} dimensions: scores could pass 62 bits")
     planes = max(2, int(largest).bit_length() + 1)
     dtype = np.int32 if 2 * width * (largest + 1) ** 2 < 2 ** 31 else np.int64
-    c, n_c = _blocks(rows, candidate_rows, width, planes, "candidate-blocks")
-    a, n_a = _blocks(anchors, anchor_rows, width, None, "anchor-blocks")
+    c = _blocks(rows, candidate_rows, width, planes, "candidate-blocks")
+    a = _blocks(anchors, anchor_rows, width, None, "anchor-blocks")
 
     def first_positives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -170,12 +170,13 @@ def mine(vecs: DataFrame, anchor: Column, label: Column, key: str = "vec_id", ve
                 if at:
                     yield pd.DataFrame({"a_block": r.a_block, "at": at, "id": np.concatenate(ids_), "score": np.concatenate(sums)})
 
-    near = _pairs(a, n_a, c, n_c).mapInPandas(first_positives, "a_block int, at int, id long, score long")
+    near = _pairs(a, c).mapInPandas(first_positives, "a_block int, at int, id long, score long")
     place = F.row_number().over(Window.partitionBy("a_block", "at").orderBy(F.desc("score"), "id"))
     near = near.withColumn("place", place).where(F.col("place") <= positives)
     # at most anchor_rows * positives entries to a block
     lists = near.groupBy("a_block").agg(F.collect_list(F.struct("at", "place", "id", "score")).alias("near"))
-    a = stored(a.join(lists, a.block == lists.a_block).drop("a_block"), "anchor-positives")
+    # merged: whole numbers take far less room in a file than in a broadcast
+    a = stored(a.join(lists.hint("merge"), a.block == lists.a_block).drop("a_block"), "anchor-positives")
 
     def first_negatives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -196,7 +197,7 @@ def mine(vecs: DataFrame, anchor: Column, label: Column, key: str = "vec_id", ve
                 if out:
                     yield pd.DataFrame(out, columns=["a_block", "at", "place", "anchor_id", "positive_id", "positive_score", "negative_score", "negative_id"])
 
-    far = _pairs(a, n_a, c, n_c).mapInPandas(
+    far = _pairs(a, c).mapInPandas(
         first_negatives, "a_block int, at int, place int, anchor_id long, positive_id long, positive_score long, negative_score long, negative_id long")
     rank = F.row_number().over(Window.partitionBy("a_block", "at", "place").orderBy(F.desc("negative_score"), "negative_id"))
     return far.withColumn("rank", rank).where(F.col("rank") <= negatives).select(

@@ -79,3 +79,12 @@ def test_too_large_components_are_refused(worker_code):
     df = worker_code.createDataFrame([(0, [1e30], 1), (1, [1.0], 1)], "vec_id long, embedding array<double>, label int")
     with pytest.raises(ValueError, match="62 bits"):
         mined(df)
+
+
+def test_pairs_of_blocks_are_not_broadcast(worker_code):
+    """The files of a few anchors are small; their copies for all candidate blocks are not."""
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(8)], rng.randrange(2)) for i in range(300)]
+    df = worker_code.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = hard_negatives.mine(df, F.col("vec_id") % 50 == 0, F.col("label"), candidate_rows=20, anchor_rows=2)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
