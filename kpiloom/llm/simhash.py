@@ -83,7 +83,8 @@ def near_pairs(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     meet = ((F.col("x.slot") == F.col("y.slot")) & (F.col("x.bits") == F.col("y.bits"))
             & (((F.col("x.bit") == 0) & (F.col("y.bit") == 1)) | ((F.col("x.bit") == -1) & (F.col("x.fp") < F.col("y.fp"))))
             & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_bits))
-    return x.join(y, meet).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    # merged: Spark takes the size of the prints for that of their many keys and would broadcast those
+    return x.join(y.hint("merge"), meet).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
 def _groups(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int) -> DataFrame:

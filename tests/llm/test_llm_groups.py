@@ -66,6 +66,12 @@ def test_simhash(docs, odd_docs):
     assert simhash.simhash_groups(docs.limit(0)).count() == 0
 
 
+def test_keys_of_prints_are_not_broadcast(worker_code):
+    """Few prints are a small table; their keys, 66 to a print, need not be."""
+    prints = worker_code.createDataFrame([(i << 40, i) for i in range(50)], "fp long, rep long")
+    assert "Broadcast" not in simhash.near_pairs(prints)._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("bits", [1, 2, 3])
 def test_pairs_within_bits(worker_code, bits):
     rng, prints = random.Random(bits), set()
