@@ -93,7 +93,7 @@ def _groups(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int) -
     distinct = stored(prints.groupBy("fp").agg(F.min("k").alias("rep")), "distinct-fingerprints")
     groups = components(near_pairs(distinct, max_bits))
     named = distinct.join(groups, distinct.rep == groups.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(named, "fp")
+    return prints.join(named.hint("merge"), "fp")  # else the prints, smaller in their file than as rows, may be broadcast
 
 
 def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:

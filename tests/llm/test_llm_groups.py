@@ -72,6 +72,21 @@ def test_keys_of_prints_are_not_broadcast(worker_code):
     assert "Broadcast" not in simhash.near_pairs(prints)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pipeline_broadcasts_no_prints(worker_code, docs, monkeypatch):
+    """Neither their keys nor the rows of all documents, which are far smaller in their files."""
+    import corpus_pipeline
+    plans = []
+
+    def seen(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return components.components(links)
+
+    monkeypatch.setattr(simhash, "components", seen)
+    kept = corpus_pipeline.simhash_near_dedup(worker_code, docs, SF)
+    assert len(plans) == 1 and "Broadcast" not in plans[0]
+    assert not re.search(r"BroadcastHashJoin \[fp#", kept._jdf.queryExecution().executedPlan().toString())
+
+
 @pytest.mark.parametrize("bits", [1, 2, 3])
 def test_pairs_within_bits(worker_code, bits):
     rng, prints = random.Random(bits), set()
