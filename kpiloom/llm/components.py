@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import stored
+from kpiloom.llm.common import counted, stored
 
 
-def _star(links: DataFrame) -> DataFrame:
-    """links(u, v), each node u with all v it is to be joined with: (v, smallest of u's neighbourhood)."""
+def _star(links: DataFrame, rows: int) -> DataFrame:
+    """links(u, v), about as many as the rows, each node u with all v it is to be joined with: (v, smallest of u's neighbourhood)."""
     least = links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return links.join(least, "u")
+    return links.join(counted(least, rows), "u")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,18 +28,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Null ends and links of a node to itself are ignored; repeated links count once."""
     now = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                  .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct(), "links")
-    seen = None
+    seen, rows = None, now.count()
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _star(both, rows).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
-        s = _star(large)
+        s = _star(large, rows)
         small = s.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(s.select("u", F.col("m").alias("v")))
         now = stored(small.where("u != v").distinct(), "links")
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             break
-        seen = mark
+        seen, rows = mark, mark[0]
     # every link now leads from a node to its component's smallest node
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return counted(now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), rows)

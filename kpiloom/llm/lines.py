@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import free_name, stored
+from kpiloom.llm.common import counted, free_name, stored
 
 THRESHOLD = 0.8
 LEAST_WORDS = 3
@@ -300,9 +300,10 @@ def _nearest(index: DataFrame, threshold: float, skip: int = 0, take: int = 1, o
     of (doc, line), (doc, row, line) or (doc, row, line, word)."""
     columns = ["word", "doc", "row", "line", "n", "at", "b0", "b1"]
     if only is not None:
+        rows = only.count()
         if "word" in only.columns:  # first, so that only these words' rows move
-            index = index.join(only.select("word").distinct(), "word", "left_semi")
-        index = index.join(only.distinct().withColumn("open", F.lit(True)), only.columns, "left").withColumn("open", F.coalesce("open", F.lit(False)))
+            index = index.join(counted(only.select("word").distinct(), rows), "word", "left_semi")
+        index = index.join(counted(only.distinct().withColumn("open", F.lit(True)), rows), only.columns, "left").withColumn("open", F.coalesce("open", F.lit(False)))
         columns.append("open")
 
     def meet(a: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -357,7 +358,7 @@ def line_words(pairs: DataFrame, texts: DataFrame, known: DataFrame | None = Non
     wanted = pairs.select(*LINE).unionByName(pairs.select(*[F.col(e).alias(c) for c, e in zip(LINE, EARLIER)])).distinct()
     if known is not None:
         wanted = stored(wanted, "round-lines")  # often few: the planner, which knows their size, then moves no others
-        held = known.join(wanted, [*LINE], "left_semi")
+        held = known.join(counted(wanted, wanted.count()), [*LINE], "left_semi")
         wanted = wanted.join(known.select(*LINE), [*LINE], "left_anti")
     wanted = stored(wanted.groupBy("doc", "row").agg(F.collect_list("line").alias("lines")), "wanted-lines")  # the lines of one document
     if known is not None and wanted.isEmpty():
@@ -397,12 +398,12 @@ def _removed(texts: DataFrame, threshold: float, least_words: int) -> DataFrame:
             pairs = rest.where(now).select(*LINE, *EARLIER).distinct()
             if not pairs.isEmpty():
                 near.append(stored(verified(pairs, words, threshold), "near-lines"))
-                rest = rest.join(near[-1], [*LINE], "left_anti")
+                rest = rest.join(counted(near[-1], near[-1].count()), [*LINE], "left_anti")
         still = stored(rest.where("more").select(*LINE, "word").distinct(), "open-lines")
         if still.isEmpty():
             break
         if not skip:  # the words of open lines only get fewer: later rounds read no others
-            index = stored(index.join(still.select("word").distinct(), "word", "left_semi").hint("rebalance"), "open-index")
+            index = stored(index.join(counted(still.select("word").distinct(), still.count()), "word", "left_semi").hint("rebalance"), "open-index")
         skip, take = skip + take, 16 * take
     again = sets.where("copies > 1").select("d0", "d1", *[F.col(c).alias(e) for c, e in zip(LINE, EARLIER)])
     exact = lines.select("d0", "d1", *LINE).join(again, ["d0", "d1"]).where("doc != e_doc or row != e_row or line != e_line").select(*LINE, F.lit(True).alias("exact"))

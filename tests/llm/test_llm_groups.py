@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from kpiloom.llm import components, embeddings, lines, simhash, url_templates
+from kpiloom.llm import common, components, embeddings, lines, simhash, url_templates
 from kpiloom.llm.queries import URL_RULES
 
 SF = "/root/testdata/sf0.001"
@@ -503,3 +503,24 @@ def test_sets_of_words_lower_only_a_to_z(worker_code):
     got = worker_code.createDataFrame([(i, x) for i, x in enumerate(said)], "i long, x string").select("i", lines._set_of(F.col("x")).alias("s")).collect()
     for r in got:
         assert r.s == [w.decode() for w in dict.fromkeys(said[r.i].encode().lower().split())]
+
+
+def test_large_sides_are_merged_whatever_their_files(worker_code, docs, monkeypatch):
+    """Line dedup and components: a million keys may be a file of a few hundred KB."""
+    some, plans = docs.limit(60), []
+    links = worker_code.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")
+    want = sorted(lines.removed_lines(some).collect()), sorted(components.components(links).collect())
+
+    def seen(module):
+        def keep(df, name, codec=None, real=module.stored):
+            if name in ("open-lines", "line-candidates", "links"):
+                plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+            return real(df, name, codec)
+        monkeypatch.setattr(module, "stored", keep)
+
+    seen(lines)
+    seen(components)
+    monkeypatch.setattr(common, "SENT", 0, raising=False)
+    assert (sorted(lines.removed_lines(some).collect()), sorted(components.components(links).collect())) == want
+    assert {n for n, p in plans} == {"open-lines", "line-candidates", "links"}
+    assert [n for n, p in plans if "BroadcastHashJoin" in p] == []
